@@ -435,7 +435,7 @@ MARKDOWN_TAGS = {
     "blockquote": ("\n\n> ", "\n\n"), "pre": ("\n\n```\n", "\n```\n\n"),
     "b": ("**", "**"), "strong": ("**", "**"), "i": ("_", "_"), "em": ("_", "_"),
     "code": ("`", "`"), "tt": ("`", "`"), "del": ("~~", "~~"), "s": ("~~", "~~"),
-    "li": ("", "\n"), "tr": ("", "\n"),
+    "li": ("", ""), "tr": ("", "\n"),
 }
 INLINE_PAIRS = ["b", "strong", "i", "em", "code", "tt", "del", "s"]
 
@@ -464,7 +464,7 @@ def to_markdown(matched: DataFrame, templates: bool = True,
             .withColumn("_item", F.sum((is_open & (name == "li")).cast("int"))
                         .over(Window.partitionBy("page_id", "_list.pos").orderBy("pos")))
             .withColumn("_cell", F.sum(F.coalesce(cell, F.lit(False)).cast("int")).over(_in_order("_row")))
-            .withColumn("_first_row", F.min(F.when(F.col("_table") > 0, F.col("_row")))
+            .withColumn("_first_row", F.min(F.when(is_open & (name == "tr"), F.col("_row")))
                         .over(Window.partitionBy("page_id", "_table"))))
 
     def url(attrs, key):
