@@ -15,10 +15,17 @@ def _lines(c) -> Column:
 
 
 def _from_first(lines: Column, skipped) -> Column:
-    """Lines from the first one that is not skipped; none when all are."""
-    first = F.array_position(F.transform(lines, lambda x: ~skipped(x)), True)
-    return F.when(first > 0, F.slice(lines, first.cast("int"), F.size(lines))) \
-            .otherwise(F.slice(lines, 1, 0))
+    """Lines from the first one that is not skipped; none when all are.
+
+    The first lines nearly always decide; the rest is looked at only when they do not.
+    """
+    def first(part):
+        return F.array_position(F.transform(part, lambda x: ~skipped(x)), True)
+
+    near = F.nullif(first(F.slice(lines, 1, 32)), F.lit(0).cast("long"))
+    start = F.coalesce(near, F.nullif(first(lines), F.lit(0).cast("long")))
+    return F.when(start.isNull(), F.slice(lines, 1, 0)) \
+            .otherwise(F.slice(lines, start.cast("int"), F.size(lines)))
 
 
 def _squash_newlines(c: Column) -> Column:

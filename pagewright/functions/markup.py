@@ -1,7 +1,6 @@
 """Column functions on HTML source: tokens, attributes and entities."""
 from __future__ import annotations
 
-import json
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,8 +18,11 @@ ATTRIBUTE = r"([a-zA-Z_:@][^\s=/>\"']*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 VOID_TAGS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
              "source", "track", "wbr"]
 
-# Named entities come from the standard library table, as one literal map.
-_NAMED = json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+# Named entities come from the standard library table, as one literal map, the usual ones
+# first: a literal map is searched in order.
+_USUAL = ["amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;"]
+_NAMES = _USUAL + [k for k in html5 if k.endswith(";") and k not in _USUAL]
+_NAMED = "\u0002".join(f"{k}\u0001{html5[k]}" for k in _NAMES)
 
 
 def visible_source(html) -> Column:
@@ -49,21 +51,25 @@ def tag_name(token) -> Column:
 
 
 def attribute_map(token) -> Column:
-    """Attributes of a tag; a repeated attribute keeps its last value."""
+    """Decoded attributes of a tag; a repeated attribute keeps its last value."""
     t = col(token)
     names = F.transform(F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(1)), lambda n: F.lower(n))
     values = F.transform(F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(2)),
-                         lambda v: F.regexp_replace(v, r"(?s)^([\"'])(.*)\1\z", "$2"))
-    pairs = F.arrays_zip(names.alias("n"), values.alias("v"))
+                         lambda v: decode_entities(F.regexp_replace(v, r"(?s)^([\"'])(.*)\1\z", "$2")))
     keys = F.array_distinct(names)
-    last = F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["n"] == k), -1)["v"])
-    return F.map_from_arrays(keys, last)
+
+    def last_value(k):
+        return F.element_at(F.filter(F.arrays_zip(names.alias("n"), values.alias("v")),
+                                     lambda p: p["n"] == k), -1)["v"]
+
+    return F.when(F.size(keys) == F.size(names), F.map_from_arrays(names, values)) \
+            .otherwise(F.map_from_arrays(keys, F.transform(keys, last_value)))
 
 
 def decode_entities(text) -> Column:
     """Numeric and named character references; texts without ``&`` pass untouched."""
     t = col(text)
-    named = F.from_json(F.lit(_NAMED), "map<string,string>")
+    named = F.str_to_map(F.lit(_NAMED), F.lit("\u0002"), F.lit("\u0001"))
 
     def one(ref: Column) -> Column:
         body = F.regexp_extract(ref, r"^&#?(.*);$", 1)

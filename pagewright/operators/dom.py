@@ -15,8 +15,14 @@ from pagewright.functions.text import col, page_id_from_href, strip, without_tit
 
 
 def html_tokens(pages: DataFrame, attributes: bool = True) -> DataFrame:
-    """(page_id, pos, kind, name, attrs, text): one row per tag or text run, in order."""
-    exploded = (pages.select("page_id", "html").repartition("page_id")
+    """(page_id, pos, kind, name, attrs, text): one row per tag or text run, in order.
+
+    Pages are spread over ``spark.sql.shuffle.partitions`` tasks, a number that AQE keeps:
+    the tokens of a page need several times the room of its source, so partitions sized by
+    the source would be too few.
+    """
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    exploded = (pages.select("page_id", "html").repartition(parts, "page_id")
                 .select("page_id", F.posexplode(markup.split_tokens("html")).alias("pos", "token"))
                 .withColumn("kind", markup.token_kind("token"))
                 .withColumn("name", markup.tag_name("token")))
@@ -28,33 +34,46 @@ def html_tokens(pages: DataFrame, attributes: bool = True) -> DataFrame:
 
 
 def attr(name: str, source="attrs") -> Column:
-    return markup.decode_entities(col(source)[name])
+    return col(source)[name]
 
 
 def _in_order(*keys: str):
     return Window.partitionBy("page_id", *keys).orderBy("pos")
 
 
-def match_tags(tokens: DataFrame) -> DataFrame:
+def _page(*keys: str):
+    return Window.partitionBy("page_id", *keys)
+
+
+def _flag(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
+
+
+def match_tags(tokens: DataFrame, marks: dict[str, Column] | None = None) -> DataFrame:
     """Add ``depth`` (per tag name), and the partner of each tag: ``partner``, ``opener``.
 
     An open tag's partner is the next token of the same name and depth, if that is a close
     tag; ``opener`` carries the attributes of the matching open tag to its close tag.
-    Unclosed elements have no partner and end with the page.
+    Unclosed elements have no partner and end with the page. Each mark, a condition on open
+    tags, becomes a flag, and ``<mark>_end`` flags the close tags of marked elements.
     """
+    marks = marks or {}
     delta = F.when(F.col("kind") == "open", 1).when(F.col("kind") == "close", -1).otherwise(0)
     level = F.sum(delta).over(_in_order("name"))
-    tagged = tokens.withColumn("depth", F.when(F.col("kind") == "close", level + 1)
+    tagged = tokens.withColumns({m: _flag(c) for m, c in marks.items()}) if marks else tokens
+    tagged = tagged.withColumn("depth", F.when(F.col("kind") == "close", level + 1)
                                .when(F.col("kind") == "open", level))
     same = _in_order("name", "depth")
     is_open, is_close = F.col("kind") == "open", F.col("kind") == "close"
+    closes = is_close & (F.col("_prev.kind") == "open")
     return (tagged
-            .withColumn("_next", F.lead(F.struct("pos", "kind")).over(same))
-            .withColumn("_prev", F.lag(F.struct("pos", "kind", "attrs")).over(same))
-            .withColumn("partner", F.when(is_open & (F.col("_next.kind") == "close"), F.col("_next.pos"))
-                        .when(is_close & (F.col("_prev.kind") == "open"), F.col("_prev.pos")))
-            .withColumn("opener", F.when(is_close & (F.col("_prev.kind") == "open"),
-                                         F.col("_prev.attrs")))
+            .withColumns({"_next": F.lead(F.struct("pos", "kind")).over(same),
+                          "_prev": F.lag(F.struct("pos", "kind", "attrs", *marks)).over(same)})
+            .withColumns({
+                "partner": F.when(is_open & (F.col("_next.kind") == "close"), F.col("_next.pos"))
+                .when(closes, F.col("_prev.pos")),
+                "opener": F.when(closes, F.col("_prev.attrs")),
+                **{f"{m}_end": _flag(closes & F.col(f"_prev.{m}")) for m in marks}})
             .drop("_next", "_prev"))
 
 
@@ -140,7 +159,7 @@ def link_paths(tokens: DataFrame) -> DataFrame:
              .withColumn("_next", F.first(F.when(html_link, F.struct(
                  F.col("pos").alias("pos"), F.col("_title").alias("title"))),
                  ignorenulls=True).over(ahead))
-             .withColumn("ul_end", F.coalesce(F.col("partner"), F.lit(2147483647))))
+             .withColumn("ul_end", F.coalesce(F.col("partner"), F.lit(PAGE_END))))
     # what follows the close of a list, brought back to its open tag
     same = Window.partitionBy("page_id", "name", "_level").orderBy("pos")
     level = F.when(F.col("kind") == "close", F.col("ul_depth") + 1).otherwise(F.col("ul_depth"))
@@ -230,39 +249,61 @@ def rule_hit(rule: dict) -> Column:
     hit = (F.col("kind") == "open") & F.col("name").isin(rule["tags"])
     for name in ("id", "class", "href"):
         if name in rule:
-            hit = hit & F.coalesce(F.rlike(attr(name), F.lit(rule[name])), F.lit(False))
-    return F.coalesce(hit, F.lit(False))
+            hit = hit & F.rlike(attr(name), F.lit(rule[name]))
+    return _flag(hit)
 
 
-def _page():
-    return Window.partitionBy("page_id")
+def _any_rule(tokens: DataFrame, rules: list[dict]) -> tuple[DataFrame, Column]:
+    """Tokens with helper columns, and the condition that any rule hits.
+
+    A rule of scope "first" names one tag, so its first hit is found next to the tag depths.
+    """
+    firsts = {f"_first{i}": F.min(F.when(rule_hit(r), F.col("pos"))).over(_page("name"))
+              for i, r in enumerate(rules) if r.get("first")}
+    hit = F.lit(False)
+    for i, r in enumerate(rules):
+        hit = hit | (F.col("pos") == F.col(f"_first{i}") if r.get("first") else rule_hit(r))
+    return (tokens.withColumns(firsts) if firsts else tokens), _flag(hit)
+
+
+def _outside(starts: Column, ends: Column) -> Column:
+    """Whether a token lies outside all elements flagged by their open and close tags."""
+    delta = starts.cast("int") - ends.cast("int")
+    return F.sum(delta).over(_in_order()) + ends.cast("int") == 0
+
+
+def _match_and_prune(tokens: DataFrame, rules: list[dict], marks: dict[str, Column] | None = None) -> DataFrame:
+    """Matched tokens without the subtrees the rules hit: one running sum, no join."""
+    helped, hit = _any_rule(tokens, rules)
+    matched = match_tags(helped, {"_cut": hit, **(marks or {})})
+    return (matched.withColumn("_keep", _outside(F.col("_cut"), F.col("_cut_end"))).where("_keep")
+            .drop("_cut", "_cut_end", "_keep", *[c for c in helped.columns if c.startswith("_first")]))
+
+
+def html_prune(tokens: DataFrame, rules: list[dict] | None = None) -> DataFrame:
+    """Remove whole subtrees by rule."""
+    return _match_and_prune(tokens, PRUNE_RULES if rules is None else rules)
 
 
 def _prune_marked(matched: DataFrame, hit: Column) -> DataFrame:
-    """Drop the subtrees of all open tags marked by ``hit``: one running sum, no join."""
-    marked = matched.withColumn("_hit", hit)
+    """Drop the subtrees of open tags found after matching."""
+    marked = matched.withColumn("_hit", _flag(hit))
     closing = F.lag("_hit").over(_in_order("name", "depth"))
-    marked = marked.withColumn("_ends", F.coalesce(
-        F.when((F.col("kind") == "close") & F.col("partner").isNotNull(), closing), F.lit(False)))
-    delta = F.col("_hit").cast("int") - F.col("_ends").cast("int")
-    inside = F.sum(delta).over(_in_order()) + F.col("_ends").cast("int")
-    return marked.withColumn("_inside", inside).where("_inside = 0").drop("_hit", "_ends", "_inside")
+    marked = marked.withColumn("_ends", _flag(F.when(
+        (F.col("kind") == "close") & F.col("partner").isNotNull(), closing)))
+    return (marked.withColumn("_keep", _outside(F.col("_hit"), F.col("_ends"))).where("_keep")
+            .drop("_hit", "_ends", "_keep"))
 
 
-def prune(matched: DataFrame, rules: list[dict]) -> DataFrame:
-    """Remove whole subtrees by rule. Input and output carry the columns of ``match_tags``."""
-    hits, marked = F.lit(False), matched
-    for i, rule in enumerate(rules):
-        hit = rule_hit(rule)
-        if rule.get("first"):
-            marked = marked.withColumn(f"_first{i}", F.min(F.when(hit, F.col("pos"))).over(_page()))
-            hit = F.coalesce(F.col("pos") == F.col(f"_first{i}"), F.lit(False))
-        hits = hits | hit
-    return _prune_marked(marked, hits).drop(*[f"_first{i}" for i in range(len(rules))])
+PAGE_END = 2147483647  # end of an element that is never closed
 
 
-def html_prune(tokens: DataFrame, rules: list[dict] | None = None) -> DataFrame:
-    return prune(match_tags(tokens), PRUNE_RULES if rules is None else rules)
+def _span(*more: Column) -> Column:
+    return F.struct(*more, F.col("pos").alias("start"), F.coalesce("partner", F.lit(PAGE_END)).alias("end"))
+
+
+def _within(span: str) -> Column:
+    return F.col("pos").between(F.col(f"{span}.start"), F.col(f"{span}.end"))
 
 
 def main_content(matched: DataFrame) -> DataFrame:
@@ -270,33 +311,31 @@ def main_content(matched: DataFrame) -> DataFrame:
     rank = F.lit(None).cast("int")
     for i, rule in reversed(list(enumerate(MAIN_RULES, 1))):
         rank = F.when(rule_hit(rule), i).otherwise(rank)
-    best = F.min(F.when(rank.isNotNull(), F.struct(
-        rank.alias("rank"), F.col("pos").alias("start"),
-        F.coalesce("partner", F.lit(2147483647)).alias("end")))).over(_page())
-    return (matched.withColumn("main", best)
-            .where(F.col("pos").between(F.col("main.start"), F.col("main.end"))))
+    best = F.min(F.when(rank.isNotNull(), _span(rank.alias("rank")))).over(_page())
+    return matched.withColumn("main", best).where(_within("main"))
 
 
 def main_content_span(tokens: DataFrame) -> DataFrame:
     """(page_id, rank, start, end): which rule found the main content, and where."""
-    kept = main_content(prune(match_tags(tokens), PRUNE_RULES))
-    return (kept.where(F.col("pos") == F.col("main.start"))
+    return (main_content(html_prune(tokens)).where(F.col("pos") == F.col("main.start"))
             .select("page_id", "main.rank", "main.start",
-                    F.nullif(F.col("main.end"), F.lit(2147483647)).alias("end")))
+                    F.nullif(F.col("main.end"), F.lit(PAGE_END)).alias("end")))
+
 
+def _clean_main(main: DataFrame) -> DataFrame:
+    """Navigation inside the main content goes, and its first list if that is a breadcrumb.
 
-def _clean_main(matched: DataFrame) -> DataFrame:
-    """Navigation inside the main content, then its first list if that is a breadcrumb."""
-    inner = F.col("pos") > F.col("main.start")
-    kept = _prune_marked(matched, inner & rule_hit(CONTENT_RULES[0]))
-    first_ol = F.min(F.when((F.col("kind") == "open") & (F.col("name") == "ol"), F.struct(
-        F.col("pos").alias("start"), F.coalesce("partner", F.lit(2147483647)).alias("end")))).over(_page())
+    Needs the flags ``_nav`` and ``_nav_end`` of rule P6; the main element itself is exempt.
+    """
+    starts = F.col("_nav") & (F.col("pos") > F.col("main.start"))
+    ends = F.col("_nav_end") & (F.col("partner") > F.col("main.start"))
+    kept = main.withColumn("_keep", _outside(starts, _flag(ends))).where("_keep").drop("_nav", "_nav_end", "_keep")
+    first_ol = F.min(F.when((F.col("kind") == "open") & (F.col("name") == "ol"), _span())).over(_page())
     kept = kept.withColumn("_ol", first_ol)
     to_index = ((F.col("name") == "a") & (F.col("kind") == "open") & (attr("href") == "index.html")
-                & F.col("pos").between(F.col("_ol.start"), F.col("_ol.end")))
-    kept = kept.withColumn("_crumbs", F.max(F.coalesce(to_index, F.lit(False))).over(_page()))
-    hit = F.coalesce(F.col("_crumbs") & (F.col("pos") == F.col("_ol.start")), F.lit(False))
-    return _prune_marked(kept, hit).drop("_ol", "_crumbs")
+                & _within("_ol"))
+    kept = kept.withColumn("_crumbs", F.max(_flag(to_index)).over(_page()))
+    return kept.where(~(F.col("_crumbs") & _flag(_within("_ol")))).drop("_ol", "_crumbs")
 
 
 # ---------------------------------------------------------------- attributes and blocks
@@ -352,10 +391,9 @@ def drop_generator_lines(matched: DataFrame) -> DataFrame:
 
 def space_metadata(tokens: DataFrame) -> DataFrame:
     """Key, name, description and creator from the first table; one row per page with any."""
-    first = F.min(F.when((F.col("name") == "table") & (F.col("kind") == "open"), F.struct(
-        F.col("pos").alias("start"), F.coalesce("partner", F.lit(2147483647)).alias("end")))).over(_page())
+    first = F.min(F.when((F.col("name") == "table") & (F.col("kind") == "open"), _span())).over(_page())
     table = (match_tags(tokens).withColumn("_t", first)
-             .where(F.col("pos").between(F.col("_t.start"), F.col("_t.end"))))
+             .where(_within("_t")))
     opens = F.col("kind") == "open"
     is_cell = opens & F.col("name").isin("td", "th")
     rows = (table
@@ -380,18 +418,18 @@ def breadcrumb_from_html(tokens: DataFrame) -> DataFrame:
     """(page_id, breadcrumb): numbered lines from ``ol#breadcrumbs``; all items count."""
     list_span = F.min(F.when(
         (F.col("kind") == "open") & (F.col("name") == "ol") & (attr("id") == "breadcrumbs"),
-        F.struct(F.col("pos").alias("start"), F.coalesce("partner", F.lit(2147483647)).alias("end")))).over(_page())
+        _span())).over(_page())
     inside = (match_tags(tokens).withColumn("_ol", list_span)
-              .where(F.col("pos").between(F.col("_ol.start"), F.col("_ol.end"))))
+              .where(_within("_ol")))
     is_open = F.col("kind") == "open"
     numbered = inside.withColumn("item", F.sum(
         (is_open & (F.col("name") == "li")).cast("int")).over(_in_order()))
     # the first anchor of each item and the text inside it
     first_a = F.min(F.when(is_open & (F.col("name") == "a"), F.struct(
-        F.col("pos").alias("start"), F.coalesce("partner", F.lit(2147483647)).alias("end"),
-        F.coalesce(attr("href"), F.lit("")).alias("href")))).over(Window.partitionBy("page_id", "item"))
+        F.col("pos").alias("start"), F.coalesce("partner", F.lit(PAGE_END)).alias("end"),
+        F.coalesce(attr("href"), F.lit("")).alias("href")))).over(_page("item"))
     linked = (numbered.withColumn("_a", first_a)
-              .where((F.col("item") > 0) & F.col("pos").between(F.col("_a.start"), F.col("_a.end"))))
+              .where((F.col("item") > 0) & _within("_a")))
     runs = F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct(
         F.col("pos"), markup.decode_entities("text").alias("t")))))
     lines = (linked.groupBy("page_id", "item")
@@ -410,12 +448,10 @@ def title_from_page(tokens: DataFrame) -> DataFrame:
     span = is_open & (F.col("name") == "span") & (attr("id") == "title-text")
     tag = is_open & (F.col("name") == "title")
     rank = F.when(span, 1).when(tag, 2)
-    best = F.min(F.when(rank.isNotNull(), F.struct(
-        rank.alias("rank"), F.col("pos").alias("start"),
-        F.coalesce("partner", F.lit(2147483647)).alias("end")))).over(_page())
+    best = F.min(F.when(rank.isNotNull(), _span(rank.alias("rank")))).over(_page())
     inside = (match_tags(tokens).withColumn("_t", best)
               .where((F.col("kind") == "text")
-                     & F.col("pos").between(F.col("_t.start"), F.col("_t.end"))))
+                     & _within("_t")))
     runs = F.array_sort(F.collect_list(F.struct("pos", markup.decode_entities("text").alias("t"))))
     return (inside.groupBy("page_id")
             .agg(without_title_prefix(strip(F.array_join(
@@ -446,67 +482,67 @@ def to_markdown(matched: DataFrame, templates: bool = True,
     tags = MARKDOWN_TAGS if tags is None else tags
     kind, name = F.col("kind"), F.col("name")
     is_open, is_close = kind == "open", kind == "close"
-    is_list = name.isin("ul", "ol")
-
-    def step(cond_open, cond_close):
-        return F.when(cond_open, 1).when(cond_close, -1).otherwise(0)
-
-    w = _in_order()
-    rows = (matched
-            .withColumn("_lists", F.sum(step(is_open & is_list, is_close & is_list)).over(w))
-            .withColumn("_pre", F.sum(step(is_open & (name == "pre"), is_close & (name == "pre"))).over(w))
-            .withColumn("_row", F.sum((is_open & (name == "tr")).cast("int")).over(w))
-            .withColumn("_table", F.sum((is_open & (name == "table")).cast("int")).over(w)))
-    cell = is_open & name.isin("td", "th")
-    rows = (rows
-            .withColumn("_list", F.last(F.when(is_open & is_list, F.struct("pos", "name")),
-                                        ignorenulls=True).over(_in_order("_lists")))
-            .withColumn("_item", F.sum((is_open & (name == "li")).cast("int"))
-                        .over(Window.partitionBy("page_id", "_list.pos").orderBy("pos")))
-            .withColumn("_cell", F.sum(F.coalesce(cell, F.lit(False)).cast("int")).over(_in_order("_row")))
-            .withColumn("_first_row", F.min(F.when(is_open & (name == "tr"), F.col("_row")))
-                        .over(Window.partitionBy("page_id", "_table"))))
+    is_list, is_row = name.isin("ul", "ol"), is_open & (name == "tr")
+    is_item, is_cell = is_open & (name == "li"), is_open & name.isin("td", "th")
+
+    def depth(cond: Column) -> Column:
+        return F.sum(F.when(is_open & cond, 1).when(is_close & cond, -1).otherwise(0)).over(_in_order())
+
+    def count(cond: Column, *keys: str) -> Column:
+        return F.sum(_flag(cond).cast("int")).over(_in_order(*keys))
+
+    def at_last(value: str, cond: Column, *keys: str) -> Column:
+        return F.last(F.when(cond, F.col(value)), ignorenulls=True).over(_in_order(*keys))
+
+    # positions in lists and tables: running counts, less their value where the list, row or
+    # table began; two sort orders serve them all
+    rows = matched.withColumns({"_lists": depth(is_list), "_pre": depth(name == "pre"),
+                                "_rows": count(is_row), "_cells": count(is_cell)})
+    rows = rows.withColumns({"_cell": F.col("_cells") - at_last("_cells", is_row),
+                             "_row": F.col("_rows") - at_last("_rows", is_open & (name == "table"))})
+    rows = rows.withColumns({"_items": count(is_item, "_lists"),
+                             "_list": at_last("name", is_open & is_list, "_lists")})
+    rows = rows.withColumn("_item", F.col("_items") - at_last("_items", is_open & is_list, "_lists"))
 
     def url(attrs, key):
-        raw = markup.decode_entities(F.col(attrs)[key])
-        return attachment_url(raw) if templates else raw
+        return attachment_url(F.col(attrs)[key]) if templates else F.col(attrs)[key]
 
     def titled(attrs):
-        return F.when(F.col(attrs)["title"].isNotNull(), F.concat(
-            F.lit(' "'), markup.decode_entities(F.col(attrs)["title"]), F.lit('"'))).otherwise("")
+        return F.coalesce(F.concat(F.lit(' "'), F.col(attrs)["title"], F.lit('"')), F.lit(""))
+
+    def literals(side: int) -> Column:
+        """Lookup of the text around a tag in one literal map."""
+        return F.map_from_arrays(F.array(*[F.lit(t) for t in tags]),
+                                 F.array(*[F.lit(v[side]) for v in tags.values()]))[name]
 
-    has_href = F.coalesce(F.col("attrs")["href"].isNotNull(), F.lit(False))
-    had_href = F.coalesce(F.col("opener")["href"].isNotNull(), F.lit(False))
     bullet = F.concat(F.lit("\n"), F.repeat(F.lit(INDENT * 2), F.greatest(F.col("_lists"), F.lit(1)).cast("int")),
-                      F.when(F.col("_list.name") == "ol", F.concat(F.col("_item").cast("string"), F.lit(". ")))
+                      F.when(F.col("_list") == "ol", F.concat(F.col("_item").cast("string"), F.lit(". ")))
                       .otherwise("* "))
     rule_row = F.concat(F.lit("\n"), F.array_join(F.array_repeat(
         F.lit("---"), F.greatest(F.col("_cell"), F.lit(1)).cast("int")), "|"), F.lit("\n"))
     text = markup.decode_entities("text")
+    image = F.when(F.col("attrs")["src"].isNotNull(), F.concat(
+        F.lit("!["), F.coalesce(attr("alt"), F.lit("")), F.lit("]("), url("attrs", "src"), titled("attrs"), F.lit(")")))
+    # an inline pair shows only if it is closed and not inside preformatted text
+    shown = ~name.isin(INLINE_PAIRS) | (F.col("partner").isNotNull() & (F.col("_pre") == 0))
+    opening = (F.when(name == "a", F.when(F.col("attrs")["href"].isNotNull() & F.col("partner").isNotNull(), "["))
+               .when(name == "li", bullet)
+               .when(name.isin("td", "th"), F.when(F.col("_cell") > 1, "| "))
+               .when(shown, literals(0)))
+    closing = (F.when(name == "a", F.when(F.col("opener")["href"].isNotNull(), F.concat(
+                   F.lit("]("), url("opener", "href"), titled("opener"), F.lit(")"))))
+               .when((name == "tr") & (F.col("_row") == 1), rule_row)
+               .when(shown, literals(1)))
     piece = (F.when(kind == "text", F.when(F.col("_pre") > 0, text)
                     .otherwise(F.regexp_replace(text, r"(?U)\s+", " ")))
-             .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n")
-             .when(name == "img", F.when(F.col("attrs")["src"].isNotNull(), F.concat(
-                 F.lit("!["), F.coalesce(attr("alt"), F.lit("")), F.lit("]("), url("attrs", "src"),
-                 titled("attrs"), F.lit(")"))).otherwise(""))
-             .when(is_open & (name == "a") & has_href & F.col("partner").isNotNull(), "[")
-             .when(is_close & (name == "a") & had_href, F.concat(
-                 F.lit("]("), url("opener", "href"), titled("opener"), F.lit(")")))
-             .when(is_open & (name == "li"), bullet)
-             .when(cell & (F.col("_cell") > 1), "| ")
-             .when(is_close & (name == "tr") & (F.col("_row") == F.col("_first_row")), rule_row))
-    for tag, (before, after) in tags.items():
-        paired = F.col("partner").isNotNull() if tag in INLINE_PAIRS else F.lit(True)
-        plain = F.col("_pre") == 0 if tag in INLINE_PAIRS else F.lit(True)
-        piece = (piece.when(is_open & (name == tag) & paired & plain, before)
-                 .when(is_close & (name == tag) & paired & plain, after))
-    parts = F.array_sort(F.collect_list(F.when(piece.isNotNull(), F.struct("pos", piece.alias("t")))))
-    joined = F.array_join(F.transform(parts, lambda p: p["t"]), "")
-    tidy = F.regexp_replace(joined, r"\n +(?=[^\n ])", "\n")
-    tidy = F.regexp_replace(tidy, r"(?<! ) \n", "\n")
-    tidy = F.regexp_replace(tidy, r"\n\s*\n", "\n\n")
-    tidy = F.replace(tidy, F.lit(INDENT), F.lit(" "))
-    return rows.groupBy("page_id").agg(tidy.alias("markdown"))
+             .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n").when(name == "img", image)
+             .when(is_open, opening).when(is_close, closing))
+    pieces = rows.select("page_id", "pos", piece.alias("piece")).where("piece is not null")
+    parts = F.array_sort(F.collect_list(F.struct("pos", "piece")))
+    tidy = F.array_join(F.transform(parts, lambda p: p["piece"]), "")
+    for pattern, new in ((r"\n +(?=[^\n ])", "\n"), (r"(?<! ) \n", "\n"), (r"\n\s*\n", "\n\n"), (INDENT, " ")):
+        tidy = F.regexp_replace(tidy, pattern, new)
+    return pieces.groupBy("page_id").agg(tidy.alias("markdown"))
 
 
 def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
@@ -514,9 +550,9 @@ def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
 
     Pages without any content element get a message with their file name (``names`` column).
     """
-    tokens = html_tokens(pages)
-    main = _clean_main(main_content(prune(match_tags(tokens), PRUNE_RULES)))
-    done = to_markdown(main).withColumn("markdown", strip(clean_markdown("markdown")))
+    matched = _match_and_prune(html_tokens(pages), PRUNE_RULES, {"_nav": rule_hit(CONTENT_RULES[0])})
+    done = to_markdown(_clean_main(main_content(matched))) \
+        .withColumn("markdown", strip(clean_markdown("markdown")))
     lost = F.concat(F.lit("Could not extract content from "),
                     F.col(names) if names else F.col("page_id").cast("string"))
     return (pages.select("page_id", *([names] if names else [])).join(done, "page_id", "left")
@@ -525,6 +561,5 @@ def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
 
 def legacy_clean_html(pages: DataFrame) -> DataFrame:
     """(page_id, markdown) by the legacy chain: P8-P11, bare attributes, no empty blocks."""
-    matched = prune(match_tags(html_tokens(pages)), LEGACY_RULES)
-    matched = drop_generator_lines(drop_empty_blocks(matched))
-    return to_markdown(keep_attrs(matched), templates=False)
+    kept = drop_generator_lines(drop_empty_blocks(_match_and_prune(html_tokens(pages), LEGACY_RULES)))
+    return to_markdown(keep_attrs(kept), templates=False)
