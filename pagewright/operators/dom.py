@@ -478,7 +478,7 @@ INLINE_PAIRS = ["b", "strong", "i", "em", "code", "tt", "del", "s"]
 
 def to_markdown(matched: DataFrame, templates: bool = True,
                 tags: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """(page_id, markdown) from the remaining tokens of each page."""
+    """(page_id, markdown) from the remaining tokens of each page; heads are left out."""
     tags = MARKDOWN_TAGS if tags is None else tags
     kind, name = F.col("kind"), F.col("name")
     is_open, is_close = kind == "open", kind == "close"
@@ -496,7 +496,7 @@ def to_markdown(matched: DataFrame, templates: bool = True,
 
     # positions in lists and tables: running counts, less their value where the list, row or
     # table began; two sort orders serve them all
-    rows = matched.withColumns({"_lists": depth(is_list), "_pre": depth(name == "pre"),
+    rows = matched.withColumns({"_lists": depth(is_list), "_pre": depth(name == "pre"), "_head": depth(name == "head"),
                                 "_rows": count(is_row), "_cells": count(is_cell)})
     rows = rows.withColumns({"_cell": F.col("_cells") - at_last("_cells", is_row),
                              "_row": F.col("_rows") - at_last("_rows", is_open & (name == "table"))})
@@ -537,7 +537,8 @@ def to_markdown(matched: DataFrame, templates: bool = True,
                     .otherwise(F.regexp_replace(text, r"(?U)\s+", " ")))
              .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n").when(name == "img", image)
              .when(is_open, opening).when(is_close, closing))
-    pieces = rows.select("page_id", "pos", piece.alias("piece")).where("piece is not null")
+    pieces = (rows.where("_head = 0").select("page_id", "pos", piece.alias("piece"))
+              .where("piece is not null"))
     parts = F.array_sort(F.collect_list(F.struct("pos", "piece")))
     tidy = F.array_join(F.transform(parts, lambda p: p["piece"]), "")
     for pattern, new in ((r"\n +(?=[^\n ])", "\n"), (r"(?<! ) \n", "\n"), (r"\n\s*\n", "\n\n"), (INDENT, " ")):

@@ -102,11 +102,6 @@ def _(fx):
         "page_id", F.md5("markdown").alias("md5"), F.length("markdown").alias("chars"))
 
 
-@query("html_to_markdown_raw")
-def _(fx):
-    return dom.html_to_markdown(fx.table("pages"))
-
-
 @query("space_metadata", f"""
     SELECT page_id, 'K' || page_id AS space_key, c_name AS space_name, 'of' || n_name AS description, CAST(NULL AS VARCHAR) AS created_by FROM {INDEX}""")
 def _(fx):

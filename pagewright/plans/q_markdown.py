@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from pagewright.functions import markdown as md
-from pagewright.operators import legacy
+from pagewright.operators import dom, legacy, status
 from pagewright.plans.q_status import raw_files
 from pagewright.plans.registry import query
 
@@ -120,6 +120,13 @@ CLEAN = f"""(SELECT doc_id, 'd' || doc_id || '.md' AS filename, doc_id % 17 <> 0
     length({RAW}) AS n FROM documents)"""
 
 
+@query("cleaning_summary", f"""
+    SELECT count(*) AS total_files, count(*) FILTER (ok) AS processed, count(*) FILTER (NOT ok) AS errors,
+      CAST(sum(CASE WHEN ok THEN n - length(t) END) AS BIGINT) AS size_reduction FROM {CLEAN}""")
+def _(fx):
+    return status.cleaning_summary(legacy.clean_files(raw_files(fx)))
+
+
 @query("clean_file", f"""
     SELECT filename, CASE WHEN ok THEN 'Doc' END AS title, CASE WHEN ok THEN '' END AS breadcrumb, CASE WHEN ok THEN md5(t) END AS md5,
       CASE WHEN ok THEN n END AS original_size, CASE WHEN ok THEN length(t) END AS cleaned_size,
@@ -130,10 +137,36 @@ def _(fx):
         "content_type", "error")
 
 
-@query("clean_file_html")
+def raw_page_markdown() -> str:
+    """Markdown of the given raw pages: they nest nothing but one flat list."""
+    t = r"regexp_replace(regexp_extract(src, '(?s)<body>(.*)', 1), '\s+', ' ', 'g')"
+    t = rf"""regexp_replace({t}, '<a href="([^"]*)">([^<]*)</a>', '[\2](\1)', 'g')"""
+    t = rf"regexp_replace({t}, '</li>|<b>|</body>|</html>|</?nav>', '', 'g')"
+    t = f"replace(replace(replace({t}, '<li>', chr(10) || chr(1) || chr(1) || '* '), '<br>', '  ' || chr(10)), '<h1>', chr(10) || chr(10) || '# ')"
+    t = rf"regexp_replace({t}, '</h1>|</?ul>|</?p>|</?article>|</?footer>|</?div[^>]*>', chr(10) || chr(10), 'g')"
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+        t = f"replace({t}, '{entity}', '{char}')"
+    t = rf"regexp_replace({t}, '\n +([^\n ])', chr(10) || '\1', 'g')"
+    t = rf"regexp_replace({t}, '(^|[^ ]) \n', '\1' || chr(10), 'g')"
+    t = rf"regexp_replace({t}, '\n\s*\n', chr(10) || chr(10), 'g')"
+    return f"replace({t}, chr(1), ' ')"
+
+
+@query("html_to_markdown_raw", f"""
+    SELECT page_id, {DIGEST} FROM (SELECT page_id, {stripped(squashed(rf"regexp_replace(regexp_replace({raw_page_markdown()}, '(?m)^\s*[*+-]\s*$', '', 'g'), '\|\s*\|', '|', 'g')"))} AS t FROM fx_visible)""")
+def _(fx):
+    return dom.html_to_markdown(fx.table("pages")).select("page_id", *digest("markdown"))
+
+
+@query("clean_file_html", rf"""
+    SELECT page_id, url AS filename, title, '' AS breadcrumb, md5(t) AS md5, length(html) AS original_size,
+      length(t) AS cleaned_size, 'html' AS content_type FROM (
+      SELECT page_id, url, html, {post_processed(raw_page_markdown())} AS t,
+        trim(replace(replace(regexp_extract(html, '<title>([^<]*)', 1), '&quot;', '"'), '&amp;', '&')) AS title FROM fx_visible)""")
 def _(fx):
     pages = fx.table("pages").select("page_id", F.col("url").alias("filename"), F.col("html").alias("raw"))
-    return legacy.clean_files(pages)
+    return legacy.clean_files(pages).select("page_id", "filename", "title", "breadcrumb", F.md5("clean_content").alias("md5"),
+                                            "original_size", "cleaned_size", "content_type")
 
 
 @query("clean_file_wiki", r"""

@@ -1,7 +1,7 @@
 """Roll-ups, first rows and milestones."""
 from pyspark.sql import functions as F
 
-from pagewright.operators import archives, legacy, status
+from pagewright.operators import archives, status
 from pagewright.plans.registry import query
 
 SUMMARY = """(SELECT zip_file, 'Export-' || split_part(split_part(zip_file, 'export-', 2), '.', 1) AS folder_name, error IS NULL AS success,
@@ -28,11 +28,6 @@ def raw_files(fx):
         F.when(F.col("doc_id") % 17 != 0, F.concat(F.lit("# Doc\n\n"), "text", F.lit("   \n\n\n"))).alias("raw"))
 
 
-@query("cleaning_summary")
-def _(fx):
-    return status.cleaning_summary(legacy.clean_files(raw_files(fx)))
-
-
 @query("space_summary", """
     SELECT s.space_key, s.space_name, s.collection_id, '' AS description, count(*) AS total_items, count(*) FILTER (depth = 1) AS root_items
     FROM fx_spaces s JOIN fx_items i ON i.space_key = s.space_key GROUP BY ALL""")
