@@ -5,7 +5,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagewright.functions import fixed
-from pagewright.functions.text import col, group, is_blank, strip, without_title_prefix
+from pagewright.functions.text import col, group, is_blank, let, strip, without_title_prefix
 
 _CRUMBS = "array<struct<title:string,link:string>>"
 
@@ -20,12 +20,14 @@ def _from_first(lines: Column, skipped) -> Column:
     The first lines nearly always decide; the rest is looked at only when they do not.
     """
     def first(part):
-        return F.array_position(F.transform(part, lambda x: ~skipped(x)), True)
+        return F.nullif(F.array_position(F.transform(part, lambda x: ~skipped(x)), True),
+                        F.lit(0).cast("long"))
 
-    near = F.nullif(first(F.slice(lines, 1, 32)), F.lit(0).cast("long"))
-    start = F.coalesce(near, F.nullif(first(lines), F.lit(0).cast("long")))
-    return F.when(start.isNull(), F.slice(lines, 1, 0)) \
-            .otherwise(F.slice(lines, start.cast("int"), F.size(lines)))
+    def cut(x):
+        start = F.coalesce(first(F.slice(x, 1, 16)), first(x), F.size(x) + F.lit(1).cast("long"))
+        return let(start.cast("int"), lambda n: F.slice(x, n, F.size(x)))
+
+    return let(lines, cut)
 
 
 def _squash_newlines(c: Column) -> Column:
@@ -65,41 +67,55 @@ def clean_content_for_api(md) -> Column:
     """Drop breadcrumbs and repeated headings, shorten ``# Space : Title`` headings."""
     crumbs = r"(?Ud)^(\d+\\?\.\s*\[.*?\]\([^)]+\)\s*)+"
     one_crumb = r"(?U)^\d+\\?\.\s*\["
+    prefixed = r"(?Ud)^(#+)\s*[^:]+\s*:\s*(.+)$"
 
     # 1: several breadcrumbs on one line; the rest of such a line stays if there is any
     kept = F.transform(_lines(md), lambda x: F.when(
         x.rlike(crumbs), F.nullif(strip(F.regexp_replace(x, crumbs, "")), F.lit(""))).otherwise(x))
     kept = F.filter(kept, lambda x: x.isNotNull())
     # 2: leading breadcrumb and blank lines
-    kept = _from_first(kept, lambda x: strip(x).rlike(one_crumb) | (strip(x) == ""))
+    kept = _from_first(kept, lambda x: let(strip(x), lambda s: s.rlike(one_crumb) | (s == "")))
+
+    def is_heading(x):
+        return x.rlike(r"(?U)^\s*#")
 
     # 3: a repeated heading gives way to the text after it, if any
     def heading_text(s):
         return strip(F.get(F.split(s, "#", -1), F.lit(1)))
 
     def step(state, h):
-        parts = F.split(h["s"], "#", -1)
+        parts = F.split(strip(h["raw"]), "#", -1)
         rest = strip(F.array_join(F.slice(parts, 3, F.greatest(F.size(parts), F.lit(1))), "#"))
-        again = F.array_contains(state["seen"], heading_text(h["s"]))
+        again = F.array_contains(state["seen"], heading_text(strip(h["raw"])))
         new = F.when(again, F.when(rest != "", F.concat(F.lit("# "), rest))).otherwise(h["raw"])
-        seen = F.when(again & (rest == ""), state["seen"]).otherwise(
-            F.concat(state["seen"], F.array(heading_text(strip(new)))))
-        return F.struct(seen.alias("seen"), F.concat(state["out"], F.array(new)).alias("out"))
+        return let(new, lambda n: F.struct(
+            F.when(n.isNull(), state["seen"]).otherwise(
+                F.concat(state["seen"], F.array(heading_text(strip(n))))).alias("seen"),
+            F.concat(state["out"], F.array(n)).alias("out")))
 
-    heads = F.filter(F.transform(kept, lambda x, i: F.struct(
-        i.alias("i"), x.alias("raw"), strip(x).alias("s"))), lambda h: h["s"].startswith("#"))
     empty = F.array().cast("array<string>")
-    folded = F.aggregate(heads, F.struct(empty.alias("seen"), empty.alias("out")), step)
-    new_heads = F.map_from_arrays(F.transform(heads, lambda h: h["i"]), folded["out"])
-    kept = F.filter(F.transform(kept, lambda x, i: F.when(
-        strip(x).startswith("#"), new_heads[i]).otherwise(x)), lambda x: x.isNotNull())
+
+    def without_repeats(x):
+        heads = F.filter(F.transform(x, lambda v, i: F.struct(i.alias("i"), v.alias("raw"))),
+                         lambda h: is_heading(h["raw"]))
+
+        def replaced(hs):
+            folded = F.aggregate(hs, F.struct(empty.alias("seen"), empty.alias("out")), step)
+            new_heads = F.map_from_arrays(F.transform(hs, lambda h: h["i"]), folded["out"])
+            return let(new_heads, lambda m: F.filter(F.transform(
+                x, lambda v, i: F.when(is_heading(v), m[i]).otherwise(v)), lambda v: v.isNotNull()))
+
+        return let(heads, lambda hs: F.when(F.size(hs) < 2, x).otherwise(replaced(hs)))
+
+    kept = let(kept, without_repeats)
 
     # 4: space prefixes in headings
-    prefixed = r"(?Ud)^(#+)\s*[^:]+\s*:\s*(.+)$"
-    kept = F.transform(kept, lambda x: F.when(
-        strip(x).rlike(prefixed),
-        F.concat(F.regexp_extract(strip(x), prefixed, 1), F.lit(" "),
-                 strip(F.regexp_extract(strip(x), prefixed, 2)))).otherwise(x))
+    def shortened(x):
+        return let(strip(x), lambda s: F.when(s.rlike(prefixed), F.concat(
+            F.regexp_extract(s, prefixed, 1), F.lit(" "),
+            strip(F.regexp_extract(s, prefixed, 2)))).otherwise(x))
+
+    kept = F.transform(kept, lambda x: F.when(is_heading(x), shortened(x)).otherwise(x))
     return strip(_squash_newlines(F.array_join(kept, "\n")))
 
 

@@ -4,12 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagewright.functions.text import col
-
-
-def let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+from pagewright.functions.text import col, let
 
 
 def _quoted(path: Column) -> Column:

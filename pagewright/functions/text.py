@@ -11,6 +11,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c) -> Column:
     """Drop leading and trailing white space of any kind."""
     return F.regexp_replace(col(c), r"(?U)^\s+|\s+\z", "")

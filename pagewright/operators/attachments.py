@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import refs
 from pagewright.functions.text import basename, col, is_image, with_mime_type
 from pagewright.operators.numbering import number_rows
+from pagewright.session import stage
 
 CHUNK = 1000  # attachments per section chunk
 
@@ -114,8 +115,9 @@ def section_chunks(contents: DataFrame, details: DataFrame) -> DataFrame:
     each list is cut into chunks of ``CHUNK`` attachments. Concatenating in (part, chunk)
     order gives the whole section, at any number of attachments per page.
     """
-    rows = (usable(details).join(contents.select("page_id", "content"), "page_id")
-            .withColumn("linked", _linked()).drop("content"))
+    rows = stage(usable(details).join(contents.select("page_id", "content"), "page_id").select(
+        "page_id", "ord", "name", "api_url", "image", "content_type", "attachment_id",
+        _linked().alias("linked")), "section")
     link = F.concat(F.lit("["), F.col("name"), F.lit("]("), F.col("api_url"), F.lit(")"))
     loose = (F.when(F.col("image"), F.concat(F.lit("!"), link, F.lit("\n\n")))
              .otherwise(F.concat(F.lit("- "), link, F.lit("\n"))))
@@ -151,7 +153,7 @@ def prepare_content(contents: DataFrame, listed: DataFrame, details: DataFrame)
     has_list = listed.select("page_id").distinct()
     touched = contents.join(has_list, "page_id", "left_semi")
     same = contents.join(has_list, "page_id", "left_anti")
-    new = replace_refs(touched, details)
+    new = stage(replace_refs(touched, details), "contents")
     body = new.unionByName(same).select("page_id", F.lit(0).alias("part"),
                                         F.lit(0).cast("long").alias("chunk"), F.col("content").alias("text"))
     return body.unionByName(section_chunks(new, details))

@@ -6,11 +6,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.session import stage
+
 FAN = 32  # FAN * FAN order buckets, found by two rounds of FAN comparisons
 
 
 def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
-                out: str = "rn") -> DataFrame:
+                out: str = "rn", staged: bool = False) -> DataFrame:
     """Add ``out`` = 1-based position of each row in its group, ordered by ``order``.
 
     ``lead`` is a number or timestamp that grows with the first order column. Its quantiles
@@ -18,7 +20,12 @@ def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
     group with a third of all rows is spread over about a third of the ranges. Each range is
     numbered on its own and shifted by the row count of the ranges before it; the quantiles
     steer balance only, the numbering is exact for any bounds.
+
+    The input is read three times (quantiles, counts, rows). ``staged`` writes it to the
+    shared folder first, for inputs that are costly to compute.
     """
+    if staged:
+        df = stage(df, "numbering")
     shares = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
     bounds = df.select(F.percentile_approx(lead, shares, 10000)).scalar()
 

@@ -50,7 +50,7 @@ def ambiguous_collections(collections: DataFrame) -> DataFrame:
               .where("matches > 1"))
     newest = -F.unix_micros(F.col("updated_at").cast("timestamp"))
     found = collections.join(shared, "name").withColumn("_newest", newest)
-    return (number_rows(found, ["name"], F.col("_newest"), ["_newest", "id"], "choice")
+    return (number_rows(found, ["name"], F.col("_newest"), ["_newest", "id"], "choice", staged=True)
             .withColumn("documents", F.coalesce(F.col("document_count").cast("string"), F.lit("unknown")))
             .drop("_newest"))
 
@@ -120,10 +120,12 @@ def under_root() -> Column:
 
 
 def sync_waves(items: DataFrame) -> DataFrame:
-    """Parents before children: the space page is wave 0, its children are top level."""
+    """Parents before children: the space page is wave 0, its children are top level.
+
+    Run the waves in order; sort by (wave, pos) where one sequence is wanted.
+    """
     return (items.join(root_pages(items), "space_key", "left")
-            .withColumn("wave", F.size("path") - under_root().cast("int"))
-            .orderBy("wave", "pos"))
+            .withColumn("wave", F.size("path") - under_root().cast("int")))
 
 
 def blocked_parents(items: DataFrame, failed: DataFrame) -> DataFrame:
@@ -290,7 +292,7 @@ def error_action(attempts: DataFrame, max_retries: int = fixed.MAX_RETRIES) -> D
 
 def item_errors(failures: DataFrame, by: str = "item") -> DataFrame:
     """Error records with ``retry_count`` = failures of the item before this one."""
-    return (number_rows(failures, [by], F.col("seq"), ["seq"])
+    return (number_rows(failures, [by], F.col("seq"), ["seq"], staged=True)
             .withColumn("retry_count", (F.col("rn") - 1).cast("long")).drop("rn"))
 
 
@@ -351,7 +353,7 @@ def resume_batch(items: DataFrame, state: DataFrame) -> DataFrame:
 
 def batch_assign(plan: DataFrame, size: int = 10) -> DataFrame:
     """Batches of ``size`` documents within each wave, in position order."""
-    return (number_rows(plan, ["wave"], F.col("pos"), ["pos"])
+    return (number_rows(plan, ["wave"], F.col("pos"), ["pos"], staged=True)
             .withColumn("batch", F.floor((F.col("rn") - 1) / size).cast("long")).drop("rn"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators are designed for. Hot pages, users or spaces are split by
 # AQE when a join key is skewed, also when a later step would like to reuse the partitioning.
@@ -34,3 +34,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="pagewright-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table once to the shared folder and read it back.
+
+    For results that several later passes read: it cuts the lineage, survives lost executors
+    and keeps column pruning, unlike a checkpoint of rows. This runs a job when called.
+    """
+    folder = scratch_path(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
