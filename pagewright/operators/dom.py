@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import fixed, markup
 from pagewright.functions.markdown import clean_markdown
-from pagewright.functions.text import col, page_id_from_href, strip, without_title_prefix
+from pagewright.functions.text import col, let, page_id_from_href, strip, without_title_prefix
 
 
 def html_tokens(pages: DataFrame, attributes: bool = True) -> DataFrame:
@@ -33,6 +33,9 @@ def html_tokens(pages: DataFrame, attributes: bool = True) -> DataFrame:
     return out.withColumn("text", text).drop("token")
 
 
+PAGE_END = 2147483647  # end of an element that is never closed
+
+
 def attr(name: str, source="attrs") -> Column:
     return col(source)[name]
 
@@ -86,36 +89,33 @@ def html_elements(tokens: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- links and paths
 
-def _stripped_text(tokens: DataFrame, key: str) -> DataFrame:
-    """Text runs of each ``key`` group, each stripped, joined without a separator."""
-    piece = strip(markup.decode_entities("text"))
-    runs = F.array_sort(F.collect_list(F.struct("pos", piece.alias("t"))))
-    return (tokens.where((F.col("kind") == "text") & F.col(key).isNotNull())
-            .groupBy("page_id", key)
-            .agg(F.array_join(F.transform(runs, lambda r: r["t"]), "").alias("title")))
+def _marks(tokens: DataFrame) -> DataFrame:
+    """List tags and anchors of each page: (page_id, pos, kind, name, href, title).
 
+    Text runs join the last anchor opened before them if it is still open (anchors do not
+    nest); an anchor's title is its runs, each stripped, without a separator.
+    """
+    is_a = F.col("name") == "a"
+    slim = (tokens.where(F.col("name").isin("a", "ul") | (F.col("kind") == "text"))
+            .select("page_id", "pos", "kind", "name", attr("href").alias("href"), "text"))
+    slim = slim.withColumns({
+        "_open": F.last(F.when(is_a & (F.col("kind") == "open"), F.col("pos")), ignorenulls=True).over(_in_order()),
+        "_close": F.last(F.when(is_a & (F.col("kind") == "close"), F.col("pos")), ignorenulls=True).over(_in_order())})
+    slot = (F.when(F.col("name") == "ul", F.col("pos"))
+            .when(F.col("_open") > F.coalesce("_close", F.lit(-1)), F.col("_open")))
+    own = F.col("pos") == F.col("slot")
+    run = F.when(F.col("kind") == "text", F.struct("pos", strip(markup.decode_entities("text")).alias("t")))
+    return (slim.withColumn("slot", slot).where("slot is not null").groupBy("page_id", "slot")
+            .agg(F.max(F.when(own, F.col("kind"))).alias("kind"), F.max(F.when(own, F.col("name"))).alias("name"),
+                 F.max(F.when(own, F.col("href"))).alias("href"),
+                 F.array_join(F.transform(F.array_sort(F.collect_list(run)), lambda r: r["t"]), "").alias("title"))
+            .withColumnRenamed("slot", "pos"))
 
-def anchors(tokens: DataFrame) -> DataFrame:
-    """(page_id, pos, href, title): all anchors with an href, text possibly empty.
 
-    A text run belongs to the last anchor opened before it that is still open; anchors do
-    not nest.
-    """
-    opened = F.last(F.when((F.col("kind") == "open") & (F.col("name") == "a"), F.col("pos")),
-                    ignorenulls=True).over(_in_order())
-    closed = F.last(F.when((F.col("kind") == "close") & (F.col("name") == "a"), F.col("pos")),
-                    ignorenulls=True).over(_in_order())
-    marked = (tokens.withColumn("_open", opened).withColumn("_close", closed)
-              .withColumn("anchor", F.when(F.col("_open") > F.coalesce("_close", F.lit(-1)),
-                                           F.col("_open"))))
-    piece = F.when(F.col("kind") == "text", strip(markup.decode_entities("text")))
-    runs = F.array_sort(F.collect_list(F.when(piece.isNotNull(), F.struct("pos", piece.alias("t")))))
-    href = F.max(F.when(F.col("pos") == F.col("anchor"), attr("href")))
-    return (marked.where("anchor is not null").groupBy("page_id", "anchor")
-            .agg(href.alias("href"),
-                 F.array_join(F.transform(runs, lambda r: r["t"]), "").alias("title"))
-            .where("href is not null")
-            .select("page_id", F.col("anchor").alias("pos"), "href", "title"))
+def anchors(tokens: DataFrame) -> DataFrame:
+    """(page_id, pos, href, title): all anchors with an href, text possibly empty."""
+    return (_marks(tokens).where("name = 'a' and href is not null")
+            .select("page_id", "pos", "href", "title"))
 
 
 def html_links(tokens: DataFrame) -> DataFrame:
@@ -144,71 +144,59 @@ def link_paths(tokens: DataFrame) -> DataFrame:
 
     The title a list gives to the links of a list inside it is the first ``.html`` anchor of
     the outer list that does not lie in the inner one. It depends on the pair of lists only,
-    so it is worked out once per list, by looking ahead in document order, and the chain of
-    enclosing lists is found by an as-of lookup per level instead of a containment join.
+    so it is worked out once per inner list, by looking ahead in document order. The lists
+    around a list or link are found by an as-of window per level (the last list opened there
+    before it), in one pass over the marks, instead of a containment join.
     """
-    titles = anchors(tokens).select("page_id", "pos", F.col("title").alias("_title"),
-                                    F.col("href").alias("_href"))
-    marks = (with_ul_depth(match_tags(tokens))
-             .where(F.col("name").isin("ul", "a") & F.col("kind").isin("open", "close"))
-             .select("page_id", "pos", "kind", "name", "partner", "ul_depth")
-             .join(titles, ["page_id", "pos"], "left"))
-    html_link = F.col("_href").endswith(".html")
-    ahead = Window.partitionBy("page_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
-    marks = (marks
-             .withColumn("_next", F.first(F.when(html_link, F.struct(
-                 F.col("pos").alias("pos"), F.col("_title").alias("title"))),
-                 ignorenulls=True).over(ahead))
-             .withColumn("ul_end", F.coalesce(F.col("partner"), F.lit(PAGE_END))))
-    # what follows the close of a list, brought back to its open tag
-    same = Window.partitionBy("page_id", "name", "_level").orderBy("pos")
-    level = F.when(F.col("kind") == "close", F.col("ul_depth") + 1).otherwise(F.col("ul_depth"))
+    html_link = (F.col("name") == "a") & F.col("href").endswith(".html")
     is_list = F.col("name") == "ul"
-    marks = (marks.withColumn("_level", F.when(is_list, level))
-             .withColumn("_after", F.when(F.col("partner").isNotNull(), F.lead("_next").over(same))))
-    lists = (marks.where(is_list & (F.col("kind") == "open"))
-             .select("page_id", F.col("pos").alias("ul"), "ul_end", F.col("_level").alias("level"),
-                     "_next", "_after"))
-    links = (marks.where((F.col("name") == "a") & html_link & (F.col("_title") != ""))
-             .select("page_id", "pos", "ul_depth", F.col("_title").alias("title"),
-                     F.col("_href").alias("href")))
-
-    def nearest(rows: DataFrame, at: str, levels: Column) -> DataFrame:
-        """Rows once per level, with the list open at that level before ``at``."""
-        asked = rows.select("*", F.explode(levels).alias("level"))
-        both = (asked.select("*", F.col(at).alias("_at"), F.lit(1).alias("_q"))
-                .unionByName(lists.select("page_id", "level", F.col("ul").alias("_at"),
-                                          F.struct("ul", "ul_end", "_next").alias("_list"),
-                                          F.lit(0).alias("_q")), allowMissingColumns=True))
-        w = Window.partitionBy("page_id", "level").orderBy("_at", "_q")
-        # a list with the same position is the asking list itself, one level further down
-        return (both.withColumn("outer", F.last("_list", ignorenulls=True).over(w))
-                .where("_q = 1").drop("_at", "_q", "_list"))
-
-    # title that the list around each list contributes to what is inside
-    inner = nearest(lists.select("page_id", "ul", "ul_end", "_after", F.col("level").alias("own")),
-                    "ul", F.when(F.col("own") > 1, F.array(F.col("own") - 1)).otherwise(
-                        F.array().cast("array<int>")))
-    inside = F.col("outer._next.pos").between(F.col("ul"), F.col("ul_end"))
-    usable = F.col("_after.pos") < F.col("outer.ul_end")
-    first_title = (F.when(~inside, F.col("outer._next.title"))
-                   .when(usable, F.col("_after.title")))
-    given = inner.select("page_id", "ul", first_title.alias("given"))
-    # every link asks for the lists around it, from level 2 on: their given titles are its path
-    chain = nearest(links, "pos", F.when(F.col("ul_depth") > 1, F.sequence(F.lit(2), F.col("ul_depth")))
-                    .otherwise(F.array().cast("array<int>")))
-    parts = (chain.select("page_id", "pos", "level", F.col("outer.ul").alias("ul"))
-             .join(given, ["page_id", "ul"])
-             .groupBy("page_id", "pos")
-             .agg(F.transform(F.array_sort(F.collect_list(F.when(
-                 F.col("given").isNotNull(), F.struct("level", "given")))),
-                 lambda p: p["given"]).alias("prefix")))
-    own = F.when(F.col("ul_depth") > 0, F.array("title")).otherwise(F.array().cast("array<string>"))
-    prefix = F.coalesce("prefix", F.array().cast("array<string>"))
-    return (links.join(parts, ["page_id", "pos"], "left")
-            .select("page_id", "pos", "title", F.concat(prefix, own).alias("path"), "href",
-                    page_id_from_href("href").alias("link_page_id"),
-                    F.col("ul_depth").alias("hierarchy_level")))
+    delta = (F.when(is_list & (F.col("kind") == "open"), 1)
+             .when(is_list & (F.col("kind") == "close"), -1).otherwise(0))
+    ahead = _in_order().rowsBetween(1, Window.unboundedFollowing)
+    marks = _marks(tokens).withColumns({
+        "depth": F.sum(delta).over(_in_order()).cast("int"),
+        "_next": F.first(F.when(html_link, F.struct("pos", "title")), ignorenulls=True).over(ahead)})
+    # a close tag belongs to the level it leaves; what follows it goes to its open tag
+    marks = marks.withColumn("level", F.when(is_list & (F.col("kind") == "close"), F.col("depth") + 1)
+                             .when(is_list, F.col("depth")))
+    same = _in_order("name", "level")
+    closed = F.lead("kind").over(same) == "close"
+    marks = marks.withColumns({"end": F.when(closed, F.lead("pos").over(same)).otherwise(PAGE_END),
+                               "_after": F.when(closed, F.lead("_next").over(same))})
+    marks = marks.where((is_list & (F.col("kind") == "open")) | (html_link & (F.col("title") != "")))
+
+    def surrounding(rows: DataFrame, asked: Column, told: Column) -> DataFrame:
+        """Rows once per asked level with ``outer``, the last told list of that level.
+
+        Lists tell at their own level and may ask at another; the told copies are dropped.
+        """
+        copies = F.concat(
+            F.when(is_list, F.array(F.struct(F.col("level").alias("at"), F.lit(0).alias("asks"))))
+            .otherwise(F.array().cast("array<struct<at:int,asks:int>>")),
+            F.transform(asked, lambda x: F.struct(x.cast("int").alias("at"), F.lit(1).alias("asks"))))
+        both = rows.withColumn("_c", F.explode(copies)).select("*", "_c.*").drop("_c")
+        w = Window.partitionBy("page_id", "at").orderBy("pos", "asks")
+        seen = F.last(F.when(F.col("asks") == 0, told), ignorenulls=True).over(w)
+        return both.withColumn("outer", seen).where("asks = 1").drop("asks")
+
+    # 1: each list asks for the list around it; links pass through
+    inner = surrounding(marks, F.when(is_list, F.array(F.col("level") - 1)).otherwise(F.array(F.lit(-1))),
+                        F.struct("end", "_next")).drop("at")
+    inside = F.col("outer._next.pos").between(F.col("pos"), F.col("end"))
+    given = (F.when(~inside, F.col("outer._next.title"))
+             .when(F.col("_after.pos") < F.col("outer.end"), F.col("_after.title")))
+    lists = inner.withColumn("given", F.when(is_list, given)).drop("outer", "_next", "_after")
+    # 2: each link asks for the lists around it; their given titles are its path
+    levels = (F.when(is_list, F.array().cast("array<int>"))
+              .when(F.col("depth") > 0, F.sequence(F.lit(1), F.col("depth"))).otherwise(F.array(F.lit(0))))
+    asked = surrounding(lists, levels, F.struct("given"))
+    part = F.when((F.col("at") > 1) & F.col("outer.given").isNotNull(),
+                  F.struct("at", F.col("outer.given").alias("given")))
+    own = F.when(F.col("hierarchy_level") > 0, F.array("title")).otherwise(F.array().cast("array<string>"))
+    return (asked.groupBy("page_id", "pos", "title", "href", F.col("depth").alias("hierarchy_level"))
+            .agg(F.transform(F.array_sort(F.collect_list(part)), lambda p: p["given"]).alias("prefix"))
+            .select("page_id", "pos", "title", F.concat("prefix", own).alias("path"), "href",
+                    page_id_from_href("href").alias("link_page_id"), "hierarchy_level"))
 
 
 # ---------------------------------------------------------------- pruning
@@ -272,12 +260,22 @@ def _outside(starts: Column, ends: Column) -> Column:
     return F.sum(delta).over(_in_order()) + ends.cast("int") == 0
 
 
+def _remove(rows: DataFrame, keep: Column, blank: bool = False) -> DataFrame:
+    """Rows that are kept; with ``blank`` the others stay as rows of kind "gone"."""
+    marked = rows.withColumn("_keep", keep)
+    if not blank:
+        return marked.where("_keep").drop("_keep")
+    return marked.withColumns({
+        "kind": F.when(F.col("_keep"), F.col("kind")).otherwise("gone"),
+        "name": F.when(F.col("_keep"), F.col("name"))}).drop("_keep")
+
+
 def _match_and_prune(tokens: DataFrame, rules: list[dict], marks: dict[str, Column] | None = None) -> DataFrame:
     """Matched tokens without the subtrees the rules hit: one running sum, no join."""
     helped, hit = _any_rule(tokens, rules)
     matched = match_tags(helped, {"_cut": hit, **(marks or {})})
-    return (matched.withColumn("_keep", _outside(F.col("_cut"), F.col("_cut_end"))).where("_keep")
-            .drop("_cut", "_cut_end", "_keep", *[c for c in helped.columns if c.startswith("_first")]))
+    return (_remove(matched, _outside(F.col("_cut"), F.col("_cut_end")))
+            .drop("_cut", "_cut_end", *[c for c in helped.columns if c.startswith("_first")]))
 
 
 def html_prune(tokens: DataFrame, rules: list[dict] | None = None) -> DataFrame:
@@ -285,17 +283,13 @@ def html_prune(tokens: DataFrame, rules: list[dict] | None = None) -> DataFrame:
     return _match_and_prune(tokens, PRUNE_RULES if rules is None else rules)
 
 
-def _prune_marked(matched: DataFrame, hit: Column) -> DataFrame:
+def _prune_marked(matched: DataFrame, hit: Column, blank: bool = False) -> DataFrame:
     """Drop the subtrees of open tags found after matching."""
     marked = matched.withColumn("_hit", _flag(hit))
     closing = F.lag("_hit").over(_in_order("name", "depth"))
     marked = marked.withColumn("_ends", _flag(F.when(
         (F.col("kind") == "close") & F.col("partner").isNotNull(), closing)))
-    return (marked.withColumn("_keep", _outside(F.col("_hit"), F.col("_ends"))).where("_keep")
-            .drop("_hit", "_ends", "_keep"))
-
-
-PAGE_END = 2147483647  # end of an element that is never closed
+    return _remove(marked, _outside(F.col("_hit"), F.col("_ends")), blank).drop("_hit", "_ends")
 
 
 def _span(*more: Column) -> Column:
@@ -329,7 +323,7 @@ def _clean_main(main: DataFrame) -> DataFrame:
     """
     starts = F.col("_nav") & (F.col("pos") > F.col("main.start"))
     ends = F.col("_nav_end") & (F.col("partner") > F.col("main.start"))
-    kept = main.withColumn("_keep", _outside(starts, _flag(ends))).where("_keep").drop("_nav", "_nav_end", "_keep")
+    kept = _remove(main, _outside(starts, _flag(ends))).drop("_nav", "_nav_end")
     first_ol = F.min(F.when((F.col("kind") == "open") & (F.col("name") == "ol"), _span())).over(_page())
     kept = kept.withColumn("_ol", first_ol)
     to_index = ((F.col("name") == "a") & (F.col("kind") == "open") & (attr("href") == "index.html")
@@ -360,7 +354,7 @@ def rewrite_attachment_urls(tokens: DataFrame) -> DataFrame:
             .withColumn("url", attachment_url(source)).where("url is not null"))
 
 
-def drop_empty_blocks(matched: DataFrame) -> DataFrame:
+def drop_empty_blocks(matched: DataFrame, blank: bool = False) -> DataFrame:
     """Remove ``p`` and ``div`` elements without visible text."""
     has_text = (F.col("kind") == "text") & (strip(markup.decode_entities("text")) != "")
     upto = F.sum(F.coalesce(has_text, F.lit(False)).cast("int")).over(_in_order())
@@ -368,10 +362,10 @@ def drop_empty_blocks(matched: DataFrame) -> DataFrame:
         "_end_upto", F.lead("_upto").over(_in_order("name", "depth")))
     empty = ((F.col("kind") == "open") & F.col("name").isin("p", "div")
              & F.col("partner").isNotNull() & (F.col("_upto") == F.col("_end_upto")))
-    return _prune_marked(counted, F.coalesce(empty, F.lit(False))).drop("_upto", "_end_upto")
+    return _prune_marked(counted, empty, blank).drop("_upto", "_end_upto")
 
 
-def drop_generator_lines(matched: DataFrame) -> DataFrame:
+def drop_generator_lines(matched: DataFrame, blank: bool = False) -> DataFrame:
     """Remove the innermost element around a generator line (P10)."""
     level = F.when((F.col("kind") == "open") & F.col("partner").isNotNull(), 1) \
              .when((F.col("kind") == "close") & F.col("partner").isNotNull(), -1).otherwise(0)
@@ -383,7 +377,7 @@ def drop_generator_lines(matched: DataFrame) -> DataFrame:
     # the element opened at the same nesting level is the parent; mark its open tag
     parents = F.collect_set("_parent").over(_page())
     nested = nested.withColumn("_parents", parents)
-    return _prune_marked(nested, F.array_contains("_parents", F.col("pos"))) \
+    return _prune_marked(nested, F.array_contains("_parents", F.col("pos")), blank) \
         .drop("_nest", "_parent", "_parents")
 
 
@@ -414,48 +408,71 @@ def space_metadata(tokens: DataFrame) -> DataFrame:
                    for k, v in fixed.METADATA_KEYS.items()]))
 
 
+def _ordered_text(run: str = "text") -> Column:
+    """Aggregate: text runs in order, decoded, joined and stripped."""
+    run = F.when(F.col(run).isNotNull(), F.struct("pos", markup.decode_entities(run).alias("t")))
+    return strip(F.array_join(F.transform(F.array_sort(F.collect_list(run)), lambda r: r["t"]), ""))
+
+
+def with_breadcrumb_links(matched: DataFrame) -> DataFrame:
+    """Add ``crumb``: (item, href) for the tokens of the first link of each item of
+    ``ol#breadcrumbs``, null elsewhere."""
+    is_open, is_close = F.col("kind") == "open", F.col("kind") == "close"
+    in_list = F.min(F.when(is_open & (F.col("name") == "ol") & (attr("id") == "breadcrumbs"), _span())).over(_page())
+    rows = matched.withColumn("_ol", in_list)
+    inside = _flag(_within("_ol"))
+    item, a_open = inside & is_open & (F.col("name") == "li"), inside & is_open & (F.col("name") == "a")
+    a_close = inside & is_close & (F.col("name") == "a")
+    rows = rows.withColumns({
+        "_item": F.sum(_flag(item).cast("int")).over(_in_order()),
+        "_as": F.sum(_flag(a_open).cast("int")).over(_in_order()),
+        "_closed": F.last(F.when(a_close, F.col("pos")), ignorenulls=True).over(_in_order()),
+        "_a": F.last(F.when(a_open, F.struct("pos", F.coalesce(attr("href"), F.lit("")).alias("href"))),
+                     ignorenulls=True).over(_in_order())})
+    before = F.last(F.when(item, F.col("_as")), ignorenulls=True).over(_in_order())
+    first_open = (inside & (F.col("_item") > 0) & (F.col("_as") - F.col("_before") == 1)
+                  & (F.col("_a.pos") > F.coalesce("_closed", F.lit(-1))))
+    return (rows.withColumn("_before", before)
+            .withColumn("crumb", F.when(first_open, F.struct(F.col("_item").alias("item"), F.col("_a.href").alias("href"))))
+            .drop("_ol", "_item", "_as", "_closed", "_a", "_before"))
+
+
+def breadcrumb_lines(run: str = "text") -> Column:
+    """Aggregate: numbered lines of the breadcrumb links; all items count, linked or not."""
+    pieces = F.array_sort(F.collect_list(F.when(F.col("crumb").isNotNull(), F.struct(
+        "crumb.item", "pos", "crumb.href", F.coalesce(markup.decode_entities(run), F.lit("")).alias("t")))))
+
+    def lines(p):
+        def line(i):
+            of_item = F.filter(p, lambda x: x["item"] == i)
+            title = strip(F.array_join(F.transform(of_item, lambda x: x["t"]), ""))
+            return F.concat(i.cast("string"), F.lit(".  ["), title, F.lit("]("), F.get(of_item, F.lit(0))["href"], F.lit(")"))
+
+        return F.array_join(F.transform(F.array_distinct(F.transform(p, lambda x: x["item"])), line), "\n")
+
+    return let(pieces, lines)
+
+
 def breadcrumb_from_html(tokens: DataFrame) -> DataFrame:
-    """(page_id, breadcrumb): numbered lines from ``ol#breadcrumbs``; all items count."""
-    list_span = F.min(F.when(
-        (F.col("kind") == "open") & (F.col("name") == "ol") & (attr("id") == "breadcrumbs"),
-        _span())).over(_page())
-    inside = (match_tags(tokens).withColumn("_ol", list_span)
-              .where(_within("_ol")))
+    """(page_id, breadcrumb): numbered lines from ``ol#breadcrumbs``, for pages that have any."""
+    return (with_breadcrumb_links(match_tags(tokens)).where("crumb is not null")
+            .groupBy("page_id").agg(breadcrumb_lines().alias("breadcrumb")))
+
+
+def with_title_span(matched: DataFrame) -> DataFrame:
+    """Add ``title_span``: ``span#title-text``, else ``<title>``."""
     is_open = F.col("kind") == "open"
-    numbered = inside.withColumn("item", F.sum(
-        (is_open & (F.col("name") == "li")).cast("int")).over(_in_order()))
-    # the first anchor of each item and the text inside it
-    first_a = F.min(F.when(is_open & (F.col("name") == "a"), F.struct(
-        F.col("pos").alias("start"), F.coalesce("partner", F.lit(PAGE_END)).alias("end"),
-        F.coalesce(attr("href"), F.lit("")).alias("href")))).over(_page("item"))
-    linked = (numbered.withColumn("_a", first_a)
-              .where((F.col("item") > 0) & _within("_a")))
-    runs = F.array_sort(F.collect_list(F.when(F.col("kind") == "text", F.struct(
-        F.col("pos"), markup.decode_entities("text").alias("t")))))
-    lines = (linked.groupBy("page_id", "item")
-             .agg(strip(F.array_join(F.transform(runs, lambda r: r["t"]), "")).alias("title"),
-                  F.max("_a.href").alias("href"))
-             .withColumn("line", F.concat(F.col("item").cast("string"), F.lit(".  ["), F.col("title"),
-                                          F.lit("]("), F.col("href"), F.lit(")"))))
-    return (lines.groupBy("page_id").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("item", "line"))), lambda r: r["line"]), "\n")
-        .alias("breadcrumb")))
+    rank = (F.when(is_open & (F.col("name") == "span") & (attr("id") == "title-text"), 1)
+            .when(is_open & (F.col("name") == "title"), 2))
+    return matched.withColumn("title_span", F.min(F.when(
+        rank.isNotNull(), _span(rank.alias("rank")))).over(_page()))
 
 
 def title_from_page(tokens: DataFrame) -> DataFrame:
-    """(page_id, title): ``span#title-text``, else ``<title>``, organisation prefix removed."""
-    is_open = F.col("kind") == "open"
-    span = is_open & (F.col("name") == "span") & (attr("id") == "title-text")
-    tag = is_open & (F.col("name") == "title")
-    rank = F.when(span, 1).when(tag, 2)
-    best = F.min(F.when(rank.isNotNull(), _span(rank.alias("rank")))).over(_page())
-    inside = (match_tags(tokens).withColumn("_t", best)
-              .where((F.col("kind") == "text")
-                     & _within("_t")))
-    runs = F.array_sort(F.collect_list(F.struct("pos", markup.decode_entities("text").alias("t"))))
-    return (inside.groupBy("page_id")
-            .agg(without_title_prefix(strip(F.array_join(
-                F.transform(runs, lambda r: r["t"]), ""))).alias("title")))
+    """(page_id, title): title span or tag, organisation prefix removed."""
+    inside = _flag(_within("title_span"))
+    return (with_title_span(match_tags(tokens)).where(inside).groupBy("page_id")
+            .agg(without_title_prefix(_ordered_text()).alias("title")))
 
 
 # ---------------------------------------------------------------- markdown
@@ -476,9 +493,9 @@ MARKDOWN_TAGS = {
 INLINE_PAIRS = ["b", "strong", "i", "em", "code", "tt", "del", "s"]
 
 
-def to_markdown(matched: DataFrame, templates: bool = True,
-                tags: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """(page_id, markdown) from the remaining tokens of each page; heads are left out."""
+def markdown_pieces(matched: DataFrame, templates: bool = True,
+                    tags: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Add ``piece``: the markdown each remaining token stands for; heads have none."""
     tags = MARKDOWN_TAGS if tags is None else tags
     kind, name = F.col("kind"), F.col("name")
     is_open, is_close = kind == "open", kind == "close"
@@ -537,13 +554,17 @@ def to_markdown(matched: DataFrame, templates: bool = True,
                     .otherwise(F.regexp_replace(text, r"(?U)\s+", " ")))
              .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n").when(name == "img", image)
              .when(is_open, opening).when(is_close, closing))
-    pieces = (rows.where("_head = 0").select("page_id", "pos", piece.alias("piece"))
-              .where("piece is not null"))
-    parts = F.array_sort(F.collect_list(F.struct("pos", "piece")))
+    return (rows.withColumn("piece", F.when(F.col("_head") == 0, piece))
+            .drop("_lists", "_pre", "_head", "_rows", "_cells", "_cell", "_row", "_items", "_list", "_item"))
+
+
+def joined_pieces() -> Column:
+    """Aggregate: the pieces of a page in order, white space tidied."""
+    parts = F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("pos", "piece"))))
     tidy = F.array_join(F.transform(parts, lambda p: p["piece"]), "")
     for pattern, new in ((r"\n +(?=[^\n ])", "\n"), (r"(?<! ) \n", "\n"), (r"\n\s*\n", "\n\n"), (INDENT, " ")):
         tidy = F.regexp_replace(tidy, pattern, new)
-    return pieces.groupBy("page_id").agg(tidy.alias("markdown"))
+    return tidy
 
 
 def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
@@ -552,15 +573,25 @@ def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
     Pages without any content element get a message with their file name (``names`` column).
     """
     matched = _match_and_prune(html_tokens(pages), PRUNE_RULES, {"_nav": rule_hit(CONTENT_RULES[0])})
-    done = to_markdown(_clean_main(main_content(matched))) \
-        .withColumn("markdown", strip(clean_markdown("markdown")))
+    done = (markdown_pieces(_clean_main(main_content(matched))).where("piece is not null")
+            .groupBy("page_id").agg(strip(clean_markdown(joined_pieces())).alias("markdown")))
     lost = F.concat(F.lit("Could not extract content from "),
                     F.col(names) if names else F.col("page_id").cast("string"))
     return (pages.select("page_id", *([names] if names else [])).join(done, "page_id", "left")
             .select("page_id", F.coalesce("markdown", lost).alias("markdown")))
 
 
-def legacy_clean_html(pages: DataFrame) -> DataFrame:
-    """(page_id, markdown) by the legacy chain: P8-P11, bare attributes, no empty blocks."""
-    kept = drop_generator_lines(drop_empty_blocks(_match_and_prune(html_tokens(pages), LEGACY_RULES)))
-    return to_markdown(keep_attrs(kept), templates=False)
+def legacy_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, title, breadcrumb, markdown) by the legacy chain, in one pass over the tokens.
+
+    Title and breadcrumb are read before rules P8-P11 and the empty blocks cut their tokens.
+    """
+    helped, hit = _any_rule(html_tokens(pages), LEGACY_RULES)
+    rows = with_title_span(with_breadcrumb_links(match_tags(helped, {"_cut": hit})))
+    rows = rows.withColumn("title_run", F.when(_within("title_span"), F.col("text"))).withColumn(
+        "crumb_run", F.when(F.col("crumb").isNotNull(), F.coalesce("text", F.lit(""))))
+    rows = _remove(rows, _outside(F.col("_cut"), F.col("_cut_end")), blank=True)
+    rows = drop_generator_lines(drop_empty_blocks(rows, blank=True), blank=True)
+    return (markdown_pieces(keep_attrs(rows), templates=False).groupBy("page_id")
+            .agg(without_title_prefix(_ordered_text("title_run")).alias("title"),
+                 breadcrumb_lines("crumb_run").alias("breadcrumb"), joined_pieces().alias("markdown")))

@@ -18,12 +18,8 @@ def clean_files(pages: DataFrame) -> DataFrame:
     typed = pages.where("raw is not null").withColumn("content_type", detect_content_type("raw"))
     sized = typed.withColumn("original_size", F.length("raw").cast("long"))
     as_html = sized.where("content_type = 'html'")
-    source = as_html.select("page_id", F.col("raw").alias("html"))
-    tokens = dom.html_tokens(source)
-    html = (as_html.drop("raw")
-            .join(dom.title_from_page(tokens), "page_id", "left")
-            .join(dom.breadcrumb_from_html(tokens), "page_id", "left")
-            .join(dom.legacy_clean_html(source), "page_id", "left"))
+    html = as_html.drop("raw").join(
+        dom.legacy_pages(as_html.select("page_id", F.col("raw").alias("html"))), "page_id", "left")
     text = (sized.where("content_type <> 'html'")
             .withColumns({"title": md.title_from_markdown("raw"), "breadcrumb": md.breadcrumb_block("raw"),
                           "markdown": F.col("raw")}).drop("raw"))
