@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pagewright.functions.text import col
 
 # --- fixed values: the token grammar ---
-HIDDEN = (r"(?is)<!--.*?-->|<script\b[^>]*>.*?(?:</script\s*>|\z)"
-          r"|<style\b[^>]*>.*?(?:</style\s*>|\z)")
+HIDDEN = (r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script\s*>|\z)"
+          r"|style\b[^>]*>.*?(?:</style\s*>|\z))")
 TAG = (r"<[a-zA-Z/!?][^>=]*+"
        r"(?:=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+)[^>=]*+)*+>")
 TOKEN = TAG + r"|[^<]+|<"
@@ -35,19 +35,18 @@ def split_tokens(html) -> Column:
     return F.regexp_extract_all(visible_source(html), F.lit(TOKEN), F.lit(0))
 
 
-def token_kind(token) -> Column:
+def tag_name(token) -> Column:
     t = col(token)
-    void = "|".join(VOID_TAGS)
-    return (F.when(t.startswith("</"), "close")
-            .when(t.rlike(r"^<[!?]"), "decl")
-            .when(t.rlike(rf"(?i)^<(?:{void})[\s/>]") | t.rlike(r"(?s)^<[a-zA-Z].*/>\z"), "void")
-            .when(t.rlike(r"(?s)^<[a-zA-Z].*>\z"), "open")
-            .otherwise("text"))
+    return F.when(t.startswith("<"), F.nullif(
+        F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1)), F.lit("")))
 
 
-def tag_name(token) -> Column:
-    name = F.lower(F.regexp_extract(col(token), r"^</?([a-zA-Z][^\s/>]*)", 1))
-    return F.nullif(name, F.lit(""))
+def token_kind(token, name) -> Column:
+    """text, close, decl, void or open; plain prefix tests, text runs first."""
+    t = col(token)
+    return (F.when(~t.startswith("<") | (t == "<"), "text").when(t.startswith("</"), "close")
+            .when(t.startswith("<!") | t.startswith("<?"), "decl")
+            .when(col(name).isin(VOID_TAGS) | t.endswith("/>"), "void").otherwise("open"))
 
 
 def attribute_map(token) -> Column:

@@ -14,18 +14,20 @@ from pagewright.functions.markdown import clean_markdown
 from pagewright.functions.text import col, let, page_id_from_href, strip, without_title_prefix
 
 
-def html_tokens(pages: DataFrame, attributes: bool = True) -> DataFrame:
+def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = False) -> DataFrame:
     """(page_id, pos, kind, name, attrs, text): one row per tag or text run, in order.
 
     Pages are spread over ``spark.sql.shuffle.partitions`` tasks, a number that AQE keeps:
     the tokens of a page need several times the room of its source, so partitions sized by
-    the source would be too few.
+    the source would be too few. ``keep_empty`` leaves one row of nulls for pages
+    without any token.
     """
     parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     exploded = (pages.select("page_id", "html").repartition(parts, "page_id")
-                .select("page_id", F.posexplode(markup.split_tokens("html")).alias("pos", "token"))
-                .withColumn("kind", markup.token_kind("token"))
-                .withColumn("name", markup.tag_name("token")))
+                .select("page_id", explode(markup.split_tokens("html")).alias("pos", "token"))
+                .withColumn("name", markup.tag_name("token"))
+                .withColumn("kind", markup.token_kind("token", "name")))
     is_tag = F.col("kind").isin("open", "void") & F.col("token").contains("=")
     attrs = F.when(is_tag, markup.attribute_map("token"))
     text = F.when(F.col("kind") == "text", F.col("token"))
@@ -300,13 +302,17 @@ def _within(span: str) -> Column:
     return F.col("pos").between(F.col(f"{span}.start"), F.col(f"{span}.end"))
 
 
-def main_content(matched: DataFrame) -> DataFrame:
-    """Tokens of the main content, the outer element included; pages without one vanish."""
+def main_content(matched: DataFrame, keep_lost: bool = False) -> DataFrame:
+    """Tokens of the main content, the outer element included.
+
+    Pages without one vanish, or leave their first row with a null ``main``.
+    """
     rank = F.lit(None).cast("int")
     for i, rule in reversed(list(enumerate(MAIN_RULES, 1))):
         rank = F.when(rule_hit(rule), i).otherwise(rank)
     best = F.min(F.when(rank.isNotNull(), _span(rank.alias("rank")))).over(_page())
-    return matched.withColumn("main", best).where(_within("main"))
+    lost = F.col("main").isNull() & (F.coalesce("pos", F.lit(0)) == 0)
+    return matched.withColumn("main", best).where(_within("main") | lost if keep_lost else _within("main"))
 
 
 def main_content_span(tokens: DataFrame) -> DataFrame:
@@ -321,7 +327,7 @@ def _clean_main(main: DataFrame) -> DataFrame:
 
     Needs the flags ``_nav`` and ``_nav_end`` of rule P6; the main element itself is exempt.
     """
-    starts = F.col("_nav") & (F.col("pos") > F.col("main.start"))
+    starts = _flag(F.col("_nav") & (F.col("pos") > F.col("main.start")))
     ends = F.col("_nav_end") & (F.col("partner") > F.col("main.start"))
     kept = _remove(main, _outside(starts, _flag(ends))).drop("_nav", "_nav_end")
     first_ol = F.min(F.when((F.col("kind") == "open") & (F.col("name") == "ol"), _span())).over(_page())
@@ -528,9 +534,11 @@ def markdown_pieces(matched: DataFrame, templates: bool = True,
         return F.coalesce(F.concat(F.lit(' "'), F.col(attrs)["title"], F.lit('"')), F.lit(""))
 
     def literals(side: int) -> Column:
-        """Lookup of the text around a tag in one literal map."""
-        return F.map_from_arrays(F.array(*[F.lit(t) for t in tags]),
-                                 F.array(*[F.lit(v[side]) for v in tags.values()]))[name]
+        """Text around a tag: one branch per distinct text."""
+        out = F.lit(None).cast("string")
+        for shown_text in dict.fromkeys(v[side] for v in tags.values()):
+            out = F.when(name.isin([t for t, v in tags.items() if v[side] == shown_text]), shown_text).otherwise(out)
+        return out
 
     bullet = F.concat(F.lit("\n"), F.repeat(F.lit(INDENT * 2), F.greatest(F.col("_lists"), F.lit(1)).cast("int")),
                       F.when(F.col("_list") == "ol", F.concat(F.col("_item").cast("string"), F.lit(". ")))
@@ -572,13 +580,21 @@ def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
 
     Pages without any content element get a message with their file name (``names`` column).
     """
-    matched = _match_and_prune(html_tokens(pages), PRUNE_RULES, {"_nav": rule_hit(CONTENT_RULES[0])})
-    done = (markdown_pieces(_clean_main(main_content(matched))).where("piece is not null")
-            .groupBy("page_id").agg(strip(clean_markdown(joined_pieces())).alias("markdown")))
-    lost = F.concat(F.lit("Could not extract content from "),
-                    F.col(names) if names else F.col("page_id").cast("string"))
-    return (pages.select("page_id", *([names] if names else [])).join(done, "page_id", "left")
-            .select("page_id", F.coalesce("markdown", lost).alias("markdown")))
+    tokens = html_tokens(pages, keep_empty=True)
+    matched = _match_and_prune(tokens, PRUNE_RULES, {"_nav": rule_hit(CONTENT_RULES[0])})
+    pieces = markdown_pieces(_clean_main(main_content(matched, keep_lost=True)))
+    done = (pieces.where(F.col("piece").isNotNull() | (F.col("pos") == F.col("main.start")) | F.col("main").isNull())
+            .groupBy("page_id").agg(F.max("main").alias("main"),
+                                    strip(clean_markdown(joined_pieces())).alias("markdown")))
+    found, lost = F.col("main").isNotNull(), F.lit("Could not extract content from ")
+    if names is None:
+        name = F.col("page_id").cast("string")
+    else:
+        # only the lost pages need their names
+        name = F.col(names)
+        wanted = done.where(~found).select("page_id").join(pages.select("page_id", names), "page_id")
+        done = done.join(wanted, "page_id", "left")
+    return done.select("page_id", F.when(found, F.col("markdown")).otherwise(F.concat(lost, name)).alias("markdown"))
 
 
 def legacy_pages(pages: DataFrame) -> DataFrame:
