@@ -150,13 +150,11 @@ def prepare_content(contents: DataFrame, listed: DataFrame, details: DataFrame)
 
     Pages that list no attachments keep their text as it is.
     """
-    has_list = listed.select("page_id").distinct()
-    touched = contents.join(has_list, "page_id", "left_semi")
-    same = contents.join(has_list, "page_id", "left_anti")
-    new = stage(replace_refs(touched, details), "contents")
-    body = new.unionByName(same).select("page_id", F.lit(0).alias("part"),
-                                        F.lit(0).cast("long").alias("chunk"), F.col("content").alias("text"))
-    return body.unionByName(section_chunks(new, details))
+    counted = details.join(listed.select("page_id").distinct(), "page_id", "left_semi")
+    new = stage(replace_refs(contents, counted), "contents")
+    body = new.select("page_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("chunk"),
+                      F.col("content").alias("text"))
+    return body.unionByName(section_chunks(new, counted))
 
 
 def pending(listed: DataFrame, details: DataFrame) -> DataFrame:

@@ -154,10 +154,11 @@ def link_paths(tokens: DataFrame) -> DataFrame:
     is_list = F.col("name") == "ul"
     delta = (F.when(is_list & (F.col("kind") == "open"), 1)
              .when(is_list & (F.col("kind") == "close"), -1).otherwise(0))
-    ahead = _in_order().rowsBetween(1, Window.unboundedFollowing)
+    # backwards and over preceding rows: a frame of following rows would be quadratic
+    ahead = Window.partitionBy("page_id").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     marks = _marks(tokens).withColumns({
         "depth": F.sum(delta).over(_in_order()).cast("int"),
-        "_next": F.first(F.when(html_link, F.struct("pos", "title")), ignorenulls=True).over(ahead)})
+        "_next": F.last(F.when(html_link, F.struct("pos", "title")), ignorenulls=True).over(ahead)})
     # a close tag belongs to the level it leaves; what follows it goes to its open tag
     marks = marks.withColumn("level", F.when(is_list & (F.col("kind") == "close"), F.col("depth") + 1)
                              .when(is_list, F.col("depth")))
@@ -483,7 +484,8 @@ def title_from_page(tokens: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- markdown
 
-INDENT = "\u0001"  # stands for a blank that must survive white space clean-up
+# stand for a blank and a line feed that must survive white space clean-up
+INDENT, LINE = "\u0001", "\u0002"
 
 # tag → (text at the open tag, text at the close tag); users may pass their own mapping
 MARKDOWN_TAGS = {
@@ -558,7 +560,7 @@ def markdown_pieces(matched: DataFrame, templates: bool = True,
                    F.lit("]("), url("opener", "href"), titled("opener"), F.lit(")"))))
                .when((name == "tr") & (F.col("_row") == 1), rule_row)
                .when(shown, literals(1)))
-    piece = (F.when(kind == "text", F.when(F.col("_pre") > 0, text)
+    piece = (F.when(kind == "text", F.when(F.col("_pre") > 0, F.translate(text, " \n", INDENT + LINE))
                     .otherwise(F.regexp_replace(text, r"(?U)\s+", " ")))
              .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n").when(name == "img", image)
              .when(is_open, opening).when(is_close, closing))
@@ -570,9 +572,9 @@ def joined_pieces() -> Column:
     """Aggregate: the pieces of a page in order, white space tidied."""
     parts = F.array_sort(F.collect_list(F.when(F.col("piece").isNotNull(), F.struct("pos", "piece"))))
     tidy = F.array_join(F.transform(parts, lambda p: p["piece"]), "")
-    for pattern, new in ((r"\n +(?=[^\n ])", "\n"), (r"(?<! ) \n", "\n"), (r"\n\s*\n", "\n\n"), (INDENT, " ")):
+    for pattern, new in ((r"\n +(?=[^\n ])", "\n"), (r"(?<! ) \n", "\n"), (r"\n\s*\n", "\n\n")):
         tidy = F.regexp_replace(tidy, pattern, new)
-    return tidy
+    return F.translate(tidy, INDENT + LINE, " \n")
 
 
 def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
