@@ -59,13 +59,15 @@ def match_collections(spaces: DataFrame, collections: DataFrame) -> DataFrame:
     """The collection of each space: stored id if it still has the name, else by exact name,
     else new. ``choice`` picks among several of one name; without it the space is ambiguous.
     """
-    by_id = collections.select(F.col("id").alias("stored_id"), F.col("name").alias("_stored_name"))
+    by_id = collections.select(F.col("id").alias("_id"), F.col("name").alias("_stored_name"))
     by_name = collections.groupBy(F.col("name").alias("space_name")).agg(
         F.count(F.lit(1)).alias("_matches"), F.min("id").alias("_only"))
     chosen = ambiguous_collections(collections).select(
         F.col("name").alias("space_name"), "choice", F.col("id").alias("_chosen"))
     valid = F.coalesce(F.col("_stored_name") == F.col("space_name"), F.lit(False))
-    return (spaces.join(by_id, "stored_id", "left").join(by_name, "space_name", "left")
+    # spaces without a stored id get a key of their own so that they do not meet in one task
+    asked = F.coalesce("stored_id", F.concat(F.lit("\u0000"), F.col("space_key")))
+    return (spaces.withColumn("_id", asked).join(by_id, "_id", "left").drop("_id").join(by_name, "space_name", "left")
             .join(chosen, ["space_name", "choice"], "left")
             .withColumn("decision", F.when(valid, "stored").when(F.col("_matches").isNull(), "create")
                         .when(F.col("_matches") == 1, "found")

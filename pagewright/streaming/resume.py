@@ -13,26 +13,15 @@ def resume_stream(spark: SparkSession, source: str, schema: T.StructType, checkp
                   files_per_batch: int = 64) -> StreamingQuery:
     """Run ``step`` over pages that arrived since the last run and append the results.
 
-    The checkpoint remembers which files were read. Each micro-batch writes its own folder
-    ``batch=<id>``, so a batch that is repeated after a lost executor or driver replaces its
-    own output and nothing else. A page seen in an earlier batch is skipped against the
-    state, which is the output itself, read for its key column only.
+    The checkpoint remembers which files were read and, as keyed streaming state spread over
+    the executors, which pages were seen, so a page that arrives again is skipped without
+    reading earlier output. Each micro-batch writes its own folder ``batch=<id>``: a batch
+    that is repeated after a lost executor or driver replaces its own output and nothing else.
     """
     def finish(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        fresh = batch.dropDuplicates([key])
-        earlier = _earlier(session, target, batch_id)
-        if earlier is not None:
-            fresh = fresh.join(earlier.select(key), key, "left_anti")
-        step(fresh).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        step(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+            .dropDuplicates([key])
             .writeStream.foreachBatch(finish).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
-
-
-def _earlier(spark: SparkSession, target: str, batch_id: int) -> DataFrame | None:
-    """Output of the batches before this one."""
-    if batch_id == 0:
-        return None
-    return spark.read.parquet(target).where(f"batch < {batch_id}")
