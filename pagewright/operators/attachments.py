@@ -27,21 +27,29 @@ def page_attachments(pages: DataFrame, files: DataFrame) -> DataFrame:
     return pages.join(files, "page_id")
 
 
-def attachment_hrefs(tokens: DataFrame) -> DataFrame:
-    """(page_id, pos, path): hrefs that start with ``attachments/``, relative steps removed."""
+def attachment_hrefs(tokens: DataFrame, normalize_query: bool = False) -> DataFrame:
+    """(page_id, pos, path): hrefs that start with ``attachments/``, relative steps removed.
+
+    A query part stays, as it does in listings; ``normalize_query`` cuts it.
+    """
     from pagewright.operators.dom import attr
 
     hrefs = (tokens.where("kind = 'open' and name = 'a'").withColumn("href", attr("href"))
              .where(F.col("href").startswith("attachments/")))
     clean = F.replace(F.replace("href", F.lit("../"), F.lit("")), F.lit("./"), F.lit(""))
+    if normalize_query:
+        clean = F.substring_index(clean, "?", 1)
     return hrefs.select("page_id", "pos", clean.alias("path"))
 
 
-def page_attachments_union(listed: DataFrame, referenced: DataFrame) -> DataFrame:
+def page_attachments_union(listed: DataFrame, referenced: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """Directory files, then references, each path once at its first place.
 
     ``listed`` and ``referenced`` carry (page_id, path, ord); the place is (source, ord).
+    ``pages`` limits both to pages of spaces that have an attachment directory.
     """
+    if pages is not None:
+        listed, referenced = (t.join(pages.select("page_id"), "page_id", "left_semi") for t in (listed, referenced))
     both = (listed.select("page_id", "path", F.lit(0).alias("source"), F.col("ord").cast("long").alias("ord"))
             .unionByName(referenced.select("page_id", "path", F.lit(1).alias("source"),
                                            F.col("ord").cast("long").alias("ord"))))

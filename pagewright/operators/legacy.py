@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.functions import fixed
 from pagewright.functions import markdown as md
 from pagewright.functions.text import detect_content_type, page_id_from_filename
 from pagewright.operators import attachments, dom
@@ -50,6 +51,17 @@ def process_pages(pages: DataFrame, files: DataFrame) -> DataFrame:
             .withColumn("attachment_count", F.coalesce("attachment_count", F.lit(0)).cast("long")))
 
 
+def detected_space_name(pages: DataFrame, default: str = fixed.DEFAULT_SPACE_NAME) -> DataFrame:
+    """One row with the space name from the first ``index.html`` by path, else the default.
+
+    ``pages`` carries (file_path, content).
+    """
+    index = F.col("file_path").rlike(r"(?:^|/)index\.html$")
+    first = pages.agg(F.min_by(F.when(index, F.col("content")), F.when(index, F.col("file_path"))).alias("c"))
+    return first.select(F.when(F.col("c").isNull(), default)
+                        .otherwise(md.space_name_from_index("c", default)).alias("space_name"))
+
+
 def attachments_from_content(pages: DataFrame, files: DataFrame) -> DataFrame:
     """Attachment files of pages with type, size and whether the text refers to them."""
     refs = pages.select("page_id", md.attachment_refs("content").alias("refs"))

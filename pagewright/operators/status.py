@@ -30,10 +30,17 @@ def space_summary(spaces: DataFrame, items: DataFrame) -> DataFrame:
             .withColumn("description", F.coalesce("description", F.lit(""))))
 
 
-def upload_status(items: DataFrame) -> DataFrame:
-    """Per space: created, total, percentage and whether everything is created."""
+def upload_status(items: DataFrame, spaces: DataFrame | None = None) -> DataFrame:
+    """Per space: created, total, percentage and whether everything is created.
+
+    With ``spaces`` also their upload time and collection id, and a row of zeros for spaces
+    without items.
+    """
     counts = items.groupBy("space_key").agg(
         F.count_if(F.col("created")).alias("created_items"), F.count(F.lit(1)).alias("total_items"))
+    if spaces is not None:
+        counts = (spaces.select("space_key", "uploaded_at", "collection_id").join(counts, "space_key", "left")
+                  .na.fill(0, ["created_items", "total_items"]))
     return (counts.withColumn("completion_percentage", percent("created_items", "total_items"))
             .withColumn("upload_successful", F.col("created_items") == F.col("total_items")))
 

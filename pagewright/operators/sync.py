@@ -162,16 +162,20 @@ def _titled(stub: str) -> Column:
     return F.concat(F.lit("# "), F.col("title"), F.lit("\n\n" + stub))
 
 
-def collection_payload(spaces: DataFrame, items: DataFrame) -> DataFrame:
-    """Create request per space; the root page is the description if it bears the space's name."""
+def collection_payload(spaces: DataFrame, items: DataFrame, legacy: bool = False) -> DataFrame:
+    """Create request per space; the root page is the description if it bears the space's name.
+
+    The legacy request has a visibility field in place of the icon.
+    """
     first = items.where(F.size("path") == 1).groupBy("space_key").agg(
         F.min_by(F.struct("title", "md_content"), "pos").alias("_root"))
     content = F.when((F.col("_root.title") == F.col("space_name")) & ~is_blank("_root.md_content"),
                      F.col("_root.md_content"))
+    last = F.lit(False).alias("private") if legacy else F.lit(fixed.COLLECTION_ICON).alias("icon")
     body = F.struct(
         F.col("space_name").alias("name"),
         F.coalesce(content, F.concat(F.lit(fixed.IMPORTED_FROM), F.col("space_key"))).alias("description"),
-        F.lit(fixed.COLLECTION_COLOR).alias("color"), F.lit(fixed.COLLECTION_ICON).alias("icon"))
+        F.lit(fixed.COLLECTION_COLOR).alias("color"), last)
     return spaces.join(first, "space_key", "left").select("space_key", body.alias("request"))
 
 
@@ -183,20 +187,31 @@ def document_text(has_attachments, md_content, item_type) -> Column:
                 .otherwise(_titled(fixed.NO_CONTENT_STUB)))))
 
 
-def document_payload(items: DataFrame) -> DataFrame:
-    """Create request per item as a struct; null fields vanish in ``to_json``."""
-    body = F.struct(
+def document_request() -> Column:
+    """Create request of an item; null fields vanish in ``to_json``."""
+    return F.struct(
         "title", document_text("has_attachments", "md_content", "type").alias("text"),
         F.col("collection_id").alias("collectionId"), F.lit(True).alias("publish"),
         F.col("parent_uuid").alias("parentDocumentId"))
-    return items.select(*KEY, body.alias("request"))
 
 
-def update_payload(items: DataFrame) -> DataFrame:
-    body = F.struct(F.col("page_uuid").alias("id"),
+def update_request() -> Column:
+    return F.struct(F.col("page_uuid").alias("id"),
                     _or_stub("md_content", _titled(fixed.NO_CONTENT_STUB)).alias("text"),
                     F.lit(True).alias("publish"))
-    return items.select(*KEY, body.alias("request"))
+
+
+def document_payload(items: DataFrame) -> DataFrame:
+    return items.select(*KEY, document_request().alias("request"))
+
+
+def update_payload(items: DataFrame) -> DataFrame:
+    return items.select(*KEY, update_request().alias("request"))
+
+
+def partial_update_payload(documents: DataFrame) -> DataFrame:
+    """Legacy update: only the fields that are given (id, title, text) are sent."""
+    return documents.select("id", F.to_json(F.struct("id", "title", "text")).alias("request"))
 
 
 def content_update_needed(original, rewritten) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import item_type, page_id_from_name
+from pagewright.session import stage
 
 KEY = ["space_key", "path"]
 
@@ -47,10 +48,16 @@ def _complete_parents(nodes: DataFrame) -> DataFrame:
             .where(F.col("found") == F.size("parent_path")).drop("found"))
 
 
-def build_tree(links: DataFrame, parent_label: str = "navigation") -> DataFrame:
-    """Nodes reachable from depth-1 roots, with parent path, depth and type."""
+def build_tree(links: DataFrame, parent_label: str = "navigation", staged: bool = False) -> DataFrame:
+    """Nodes reachable from depth-1 roots, with parent path, depth and type.
+
+    The distinct nodes are read several times; ``staged`` writes them to the shared folder
+    first, for links that are costly to compute.
+    """
     nodes = (dedupe_paths(links).where(F.size("path") > 0)
              .withColumn("parent_path", parent_of()).withColumn("depth", F.size("path")))
+    if staged:
+        nodes = stage(nodes, "nodes")
     complete = _complete_parents(nodes)
     inner = nodes.where("depth > 1").join(complete, ["space_key", "parent_path"], "left_semi")
     kept = nodes.where("depth = 1").unionByName(inner)

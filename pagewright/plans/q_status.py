@@ -36,11 +36,14 @@ def _(fx):
 
 
 @query("upload_status", """
-    SELECT space_key, count(*) FILTER (created) AS created_items, count(*) AS total_items,
-      round(100.0 * count(*) FILTER (created) / count(*), 4)::DOUBLE AS completion_percentage, bool_and(created) AS upload_successful
-    FROM fx_items GROUP BY 1""")
+    SELECT s.space_key, s.collection_id, '2024-01-0' || (CAST(right(s.collection_id, 1) AS INTEGER) + 1) AS uploaded_at, coalesce(n, 0) AS total_items,
+      coalesce(c, 0) AS created_items, coalesce(round(100.0 * c / n, 4)::DOUBLE, 0.0::DOUBLE) AS completion_percentage, coalesce(c = n, true) AS upload_successful
+    FROM fx_spaces s LEFT JOIN (SELECT space_key, count(*) AS n, count(*) FILTER (created) AS c FROM fx_items GROUP BY 1) i ON i.space_key = s.space_key""")
 def _(fx):
-    return status.upload_status(fx.items).withColumn("completion_percentage", F.round("completion_percentage", 4))
+    day = F.concat(F.lit("2024-01-0"), (F.substring("collection_id", -1, 1).cast("int") + 1).cast("string"))
+    return status.upload_status(fx.items, fx.spaces.withColumn("uploaded_at", day)).withColumn(
+        "completion_percentage", F.round("completion_percentage", 4)).select(
+        "space_key", "collection_id", "uploaded_at", "total_items", "created_items", "completion_percentage", "upload_successful")
 
 
 @query("upload_success", "SELECT space_key, bool_and(created) AS upload_successful FROM fx_items GROUP BY 1")

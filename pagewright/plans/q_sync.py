@@ -145,6 +145,24 @@ def _(fx):
         "space_key", label().alias("path"), F.to_json("request").alias("request"))
 
 
+@query("update_payload_partial", r"""
+    SELECT id, '{"id":"' || id || '"' || CASE WHEN k % 2 = 0 THEN ',"title":"' || title || '"' ELSE '' END
+      || CASE WHEN k % 3 = 0 THEN ',"text":"' || replace(text, chr(10), '\n') || '"' ELSE '' END || '}' AS request
+    FROM (SELECT *, CAST(regexp_extract(id, '[0-9]+') AS BIGINT) AS k FROM fx_docs)""")
+def _(fx):
+    k = F.regexp_extract("id", "[0-9]+", 0).cast("long")
+    return sync.partial_update_payload(fx.documents.select(
+        "id", F.when(k % 2 == 0, F.col("title")).alias("title"), F.when(k % 3 == 0, F.col("text")).alias("text")))
+
+
+@query("collection_payload_legacy", """
+    SELECT s_suppkey, '{"name":"' || s_name || '","description":"Imported from Confluence space: s' || s_suppkey
+      || '","color":"#4E5C6E","private":false}' AS request FROM supplier""")
+def _(fx):
+    return sync.collection_payload(fx.supplier_spaces, fx.items, legacy=True).select(
+        F.substring("space_key", 2, 20).cast("long").alias("s_suppkey"), F.to_json("request").alias("request"))
+
+
 @query("content_update_needed", """
     SELECT space_key, array_to_string(path, '/') AS path, md_content <> '' OR pos % 2 = 0 AS needed FROM fx_items""")
 def _(fx):
@@ -178,6 +196,15 @@ def _(fx):
         "event_id", F.round("delay", 4).alias("delay"))
 
 
+@query("attachment_waits", """
+    SELECT path, CASE WHEN l_linenumber % 3 = 0 THEN 0.0 ELSE pow(2, l_linenumber % 3) * 2 END::DOUBLE AS upload_wait,
+      (pow(2, l_linenumber % 3) * 2)::DOUBLE AS record_wait FROM fx_att""")
+def _(fx):
+    n = F.col("l_linenumber") % 3
+    return fx.attachments.select("path", sync.attachment_wait(n).alias("upload_wait"),
+                                 sync.attachment_record_wait(n).alias("record_wait"))
+
+
 @query("retry_outcome", "SELECT request_id, outcome, attempts, status_code FROM fx_outcome")
 def _(fx):
     return sync.retry_outcome(sync.live_attempts(fx.attempts))

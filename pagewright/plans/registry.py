@@ -31,7 +31,7 @@ def label(path: str = "path"):
 
 def load() -> None:
     from pagewright.plans import (  # noqa: F401  registration happens on import
-        q_attachments, q_dom, q_markdown, q_sources, q_status, q_sync, q_text, q_tree)
+        q_attachments, q_dom, q_markdown, q_phases, q_sources, q_status, q_sync, q_text, q_tree)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
