@@ -6,7 +6,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagewright.functions.text import col
+from pagewright.functions.text import col, let
 
 # --- fixed values: the token grammar ---
 HIDDEN = (r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?(?:</script\s*>|\z)"
@@ -51,18 +51,24 @@ def token_kind(token, name) -> Column:
 
 def attribute_map(token) -> Column:
     """Decoded attributes of a tag; a repeated attribute keeps its last value."""
-    t = col(token)
-    names = F.transform(F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(1)), lambda n: F.lower(n))
-    values = F.transform(F.regexp_extract_all(t, F.lit(ATTRIBUTE), F.lit(2)),
-                         lambda v: decode_entities(F.regexp_replace(v, r"(?s)^([\"'])(.*)\1\z", "$2")))
-    keys = F.array_distinct(names)
+    def found(i):
+        return F.regexp_extract_all(col(token), F.lit(ATTRIBUTE), F.lit(i))
+
+    names = F.transform(found(1), lambda n: F.lower(n))
+    values = F.transform(found(2), lambda v: decode_entities(
+        F.regexp_replace(v, r"(?s)^([\"'])(.*)\1\z", "$2")))
+
+    def as_map(pairs):
+        keys = F.array_distinct(pairs["n"])
+
+        def last_value(k):
+            return F.element_at(F.filter(F.arrays_zip(pairs["n"].alias("n"), pairs["v"].alias("v")),
+                                         lambda p: p["n"] == k), -1)["v"]
 
-    def last_value(k):
-        return F.element_at(F.filter(F.arrays_zip(names.alias("n"), values.alias("v")),
-                                     lambda p: p["n"] == k), -1)["v"]
+        return F.when(F.size(keys) == F.size(pairs["n"]), F.map_from_arrays(pairs["n"], pairs["v"])) \
+                .otherwise(F.map_from_arrays(keys, F.transform(keys, last_value)))
 
-    return F.when(F.size(keys) == F.size(names), F.map_from_arrays(names, values)) \
-            .otherwise(F.map_from_arrays(keys, F.transform(keys, last_value)))
+    return let(F.struct(names.alias("n"), values.alias("v")), as_map)
 
 
 def decode_entities(text) -> Column:

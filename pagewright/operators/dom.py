@@ -17,6 +17,8 @@ from pagewright.functions.text import col, let, page_id_from_href, strip, withou
 def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = False) -> DataFrame:
     """(page_id, pos, kind, name, attrs, text): one row per tag or text run, in order.
 
+    Attribute values and text are decoded here, once for all that follows.
+
     Pages are spread over ``spark.sql.shuffle.partitions`` tasks, a number that AQE keeps:
     the tokens of a page need several times the room of its source, so partitions sized by
     the source would be too few. ``keep_empty`` leaves one row of nulls for pages
@@ -30,7 +32,7 @@ def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = Fa
                 .withColumn("kind", markup.token_kind("token", "name")))
     is_tag = F.col("kind").isin("open", "void") & F.col("token").contains("=")
     attrs = F.when(is_tag, markup.attribute_map("token"))
-    text = F.when(F.col("kind") == "text", F.col("token"))
+    text = markup.decode_entities(F.when(F.col("kind") == "text", F.col("token")))
     out = exploded.withColumn("attrs", attrs) if attributes else exploded
     return out.withColumn("text", text).drop("token")
 
@@ -106,7 +108,7 @@ def _marks(tokens: DataFrame) -> DataFrame:
     slot = (F.when(F.col("name") == "ul", F.col("pos"))
             .when(F.col("_open") > F.coalesce("_close", F.lit(-1)), F.col("_open")))
     own = F.col("pos") == F.col("slot")
-    run = F.when(F.col("kind") == "text", F.struct("pos", strip(markup.decode_entities("text")).alias("t")))
+    run = F.when(F.col("kind") == "text", F.struct("pos", strip(F.col("text")).alias("t")))
     return (slim.withColumn("slot", slot).where("slot is not null").groupBy("page_id", "slot")
             .agg(F.max(F.when(own, F.col("kind"))).alias("kind"), F.max(F.when(own, F.col("name"))).alias("name"),
                  F.max(F.when(own, F.col("href"))).alias("href"),
@@ -363,7 +365,7 @@ def rewrite_attachment_urls(tokens: DataFrame) -> DataFrame:
 
 def drop_empty_blocks(matched: DataFrame, blank: bool = False) -> DataFrame:
     """Remove ``p`` and ``div`` elements without visible text."""
-    has_text = (F.col("kind") == "text") & (strip(markup.decode_entities("text")) != "")
+    has_text = (F.col("kind") == "text") & (strip(F.col("text")) != "")
     upto = F.sum(F.coalesce(has_text, F.lit(False)).cast("int")).over(_in_order())
     counted = matched.withColumn("_upto", upto).withColumn(
         "_end_upto", F.lead("_upto").over(_in_order("name", "depth")))
@@ -400,7 +402,7 @@ def space_metadata(tokens: DataFrame) -> DataFrame:
     rows = (table
             .withColumn("row", F.sum((opens & (F.col("name") == "tr")).cast("int")).over(_in_order()))
             .withColumn("cell", F.sum(F.coalesce(is_cell, F.lit(False)).cast("int")).over(_in_order("row"))))
-    piece = F.when(F.col("kind") == "text", strip(markup.decode_entities("text")))
+    piece = F.when(F.col("kind") == "text", strip(F.col("text")))
     cells = (rows.where("row > 0 and cell in (1, 2)").groupBy("page_id", "row")
              .agg(*[F.array_join(F.transform(F.array_sort(F.collect_list(F.when(
                  piece.isNotNull() & (F.col("cell") == n), F.struct("pos", piece.alias("t"))))),
@@ -417,7 +419,7 @@ def space_metadata(tokens: DataFrame) -> DataFrame:
 
 def _ordered_text(run: str = "text") -> Column:
     """Aggregate: text runs in order, decoded, joined and stripped."""
-    run = F.when(F.col(run).isNotNull(), F.struct("pos", markup.decode_entities(run).alias("t")))
+    run = F.when(F.col(run).isNotNull(), F.struct("pos", F.col(run).alias("t")))
     return strip(F.array_join(F.transform(F.array_sort(F.collect_list(run)), lambda r: r["t"]), ""))
 
 
@@ -447,7 +449,7 @@ def with_breadcrumb_links(matched: DataFrame) -> DataFrame:
 def breadcrumb_lines(run: str = "text") -> Column:
     """Aggregate: numbered lines of the breadcrumb links; all items count, linked or not."""
     pieces = F.array_sort(F.collect_list(F.when(F.col("crumb").isNotNull(), F.struct(
-        "crumb.item", "pos", "crumb.href", F.coalesce(markup.decode_entities(run), F.lit("")).alias("t")))))
+        "crumb.item", "pos", "crumb.href", F.coalesce(F.col(run), F.lit("")).alias("t")))))
 
     def lines(p):
         def line(i):
@@ -547,7 +549,7 @@ def markdown_pieces(matched: DataFrame, templates: bool = True,
                       .otherwise("* "))
     rule_row = F.concat(F.lit("\n"), F.array_join(F.array_repeat(
         F.lit("---"), F.greatest(F.col("_cell"), F.lit(1)).cast("int")), "|"), F.lit("\n"))
-    text = markup.decode_entities("text")
+    text = F.col("text")
     image = F.when(F.col("attrs")["src"].isNotNull(), F.concat(
         F.lit("!["), F.coalesce(attr("alt"), F.lit("")), F.lit("]("), url("attrs", "src"), titled("attrs"), F.lit(")")))
     # an inline pair shows only if it is closed and not inside preformatted text

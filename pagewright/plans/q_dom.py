@@ -6,7 +6,14 @@ from pagewright.operators import dom
 from pagewright.plans.registry import query
 
 
-@query("html_tokens", "SELECT page_id, pos, kind, name, CASE WHEN kind = 'text' THEN token END AS text FROM fx_tokens")
+def decoded(text: str) -> str:
+    """The entities that occur in the given pages."""
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    return text
+
+
+@query("html_tokens", f"SELECT page_id, pos, kind, name, CASE WHEN kind = 'text' THEN {decoded('token')} END AS text FROM fx_tokens")
 def _(fx):
     return dom.html_tokens(fx.table("pages"), attributes=False).select("page_id", "pos", "kind", "name", "text")
 
@@ -52,7 +59,7 @@ BOLD = "'one' || 'two ' || 'bold'"
     SELECT page_id, md5('Information Systems : ' || c_name || 'Menu' || c_name || text || ' ' || {BOLD} || 'ab12' || ' file rel') AS md5 FROM fx_parts""")
 def _(fx):
     kept = dom.html_prune(dom.html_tokens(fx.wiki_pages)).where("kind = 'text'")
-    runs = F.array_sort(F.collect_list(F.struct("pos", markup.decode_entities("text").alias("t"))))
+    runs = F.array_sort(F.collect_list(F.struct("pos", F.col("text").alias("t"))))
     return kept.groupBy("page_id").agg(F.md5(F.array_join(F.transform(runs, lambda r: r["t"]), "")).alias("md5"))
 
 
