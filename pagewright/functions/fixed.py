@@ -59,7 +59,6 @@ SRC_REF = r"src=[\"']([^\"']+)[\"']"
 EMPTY_LINK = r"\[\s*\]\([^)]*\)"
 PAGE_ID_IN_FILENAME = r"_(\d+)\.(html?|md)$"
 UNSAFE_FILENAME_CHARS = r"[^a-zA-Z0-9\-_]"
-LEGACY_SPAN_CLASSES = r"legacy-color-text|author|editor|ng-scope"
 
 # --- fixed values: remote documents ---
 COLLECTION_COLOR = "#4E5C6E"

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.functions import refs
+from pagewright.functions import fixed, refs
 from pagewright.functions.text import basename, col, is_image, with_mime_type
 from pagewright.operators.numbering import number_rows
 from pagewright.session import stage
@@ -172,7 +172,7 @@ def pending(listed: DataFrame, details: DataFrame) -> DataFrame:
             .agg(F.bool_or(~F.coalesce("_done", F.lit(False))).alias("pending")))
 
 
-def outcomes(attempts: DataFrame, tries: int) -> DataFrame:
+def outcomes(attempts: DataFrame, tries: int = fixed.ATTACHMENT_TRIES) -> DataFrame:
     """One row per attachment after at most ``tries`` attempts: success or failure record."""
     done = (attempts.where(F.col("attempt") < tries).groupBy("page_id", "path")
             .agg(F.min(F.when(F.col("success"), F.col("attempt"))).alias("first_ok"),

@@ -89,7 +89,7 @@ def _(fx):
                                   F.explode(F.sequence(F.lit(0), last)).alias("attempt"))
     success = F.col("ok") & (F.col("attempt") == F.col("last"))
     return att.outcomes(tries.withColumn("success", success).withColumn(
-        "error", F.when(~success, F.concat(F.lit("HTTP 500 at "), F.col("attempt").cast("string")))), 3)
+        "error", F.when(~success, F.concat(F.lit("HTTP 500 at "), F.col("attempt").cast("string")))))
 
 
 @query("attachment_payload", f"""
