@@ -1,6 +1,7 @@
 """Exact row numbers and running counts that never put one hot group into one task."""
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -8,7 +9,14 @@ from pyspark.sql import functions as F
 
 from pagewright.session import stage
 
-FAN = 32  # FAN * FAN order buckets, found by two rounds of FAN comparisons
+# fan * fan order ranges are found by two rounds of fan comparisons
+MIN_FAN, MAX_FAN = 32, 128
+
+
+def _fan(df: DataFrame) -> int:
+    """At least as many ranges as shuffle partitions, within bounds."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(MIN_FAN, math.isqrt(parts) + 1), MAX_FAN)
 
 
 def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
@@ -26,8 +34,9 @@ def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
     """
     if staged:
         df = stage(df, "numbering")
-    shares = [i / (FAN * FAN) for i in range(1, FAN * FAN)]
-    bounds = df.select(F.percentile_approx(lead, shares, 10000)).scalar()
+    fan = _fan(df)
+    shares = [i / (fan * fan) for i in range(1, fan * fan)]
+    bounds = df.select(F.percentile_approx(lead, shares, 10 * fan * fan)).scalar()
 
     def passed(index: list[Column | int]) -> Column:
         hits = [(F.col("_lead") >= F.get(F.col("_bounds"), F.lit(i) if isinstance(i, int) else i))
@@ -36,15 +45,15 @@ def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
 
     cut = (df.withColumn("_lead", lead)
            .withColumn("_bounds", bounds)
-           .withColumn("_coarse", passed([j * FAN - 1 for j in range(1, FAN)])))
-    cut = (cut.withColumn("_range", F.col("_coarse") * FAN
-                          + passed([F.col("_coarse") * FAN + j for j in range(FAN - 1)]))
+           .withColumn("_coarse", passed([j * fan - 1 for j in range(1, fan)])))
+    cut = (cut.withColumn("_range", F.col("_coarse") * fan
+                          + passed([F.col("_coarse") * fan + j for j in range(fan - 1)]))
            .drop("_lead", "_bounds", "_coarse"))
 
     keys = [*group, "_range"]
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     if not group:
-        # at most FAN * FAN rows: one per range
+        # at most fan * fan rows: one per range
         before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(
             Window.unboundedPreceding, -1)
     shift = (cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

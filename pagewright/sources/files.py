@@ -60,7 +60,8 @@ def scan_zip_members(archives: DataFrame) -> DataFrame:
 def read_zip_members(archives: DataFrame, admitted: DataFrame) -> DataFrame:
     """(zip_file, member, content) of admitted members: extraction without local disk.
 
-    The admitted names of an archive travel with it, so each archive is opened once.
+    The admitted names of an archive travel with it, so each archive is opened once. There
+    are no more of them than the archive guard lets pass.
     """
     names = admitted.groupBy(F.col("zip_file").alias("path")).agg(F.collect_set("member").alias("names"))
 
