@@ -136,7 +136,7 @@ def section_chunks(contents: DataFrame, details: DataFrame) -> DataFrame:
         F.when(~F.col("linked"), F.struct(F.lit(2).alias("part"), loose.alias("line"))),
         F.struct(F.lit(4).alias("part"), fact.alias("line")))).alias("l")).where("l is not null") \
         .select("page_id", "ord", "l.part", "l.line")
-    numbered = number_rows(lines, ["page_id", "part"], F.col("ord"), ["ord"])
+    numbered = number_rows(lines, ["page_id", "part"], ["ord"])
     body = (numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / CHUNK).cast("long"))
             .groupBy("page_id", "part", "chunk")
             .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "line"))),

@@ -1,7 +1,6 @@
 """Exact row numbers and running counts that never put one hot group into one task."""
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,58 +8,33 @@ from pyspark.sql import functions as F
 
 from pagewright.session import stage
 
-# fan * fan order ranges are found by two rounds of fan comparisons
-MIN_FAN, MAX_FAN = 32, 128
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null equal to null; the keys of the left side stay."""
+    right = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
+    equal = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_r_{key}")) for key in keys])
+    return left.join(right, equal, how).drop(*[f"_r_{key}" for key in keys])
 
-def _fan(df: DataFrame) -> int:
-    """At least as many ranges as shuffle partitions, within bounds."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(MIN_FAN, math.isqrt(parts) + 1), MAX_FAN)
 
-
-def number_rows(df: DataFrame, group: list[str], lead: Column, order: list[str],
-                out: str = "rn", staged: bool = False) -> DataFrame:
+def number_rows(df: DataFrame, group: list[str], order: list[str | Column], out: str = "rn") -> DataFrame:
     """Add ``out`` = 1-based position of each row in its group, ordered by ``order``.
 
-    ``lead`` is a number or timestamp that grows with the first order column. Its quantiles
-    over all rows cut the order into ranges holding equal shares of the *whole* table, so a
-    group with a third of all rows is spread over about a third of the ranges. Each range is
-    numbered on its own and shifted by the row count of the ranges before it; the quantiles
-    steer balance only, the numbering is exact for any bounds.
-
-    The input is read three times (quantiles, counts, rows). ``staged`` writes it to the
-    shared folder first, for inputs that are costly to compute.
+    The rows are dealt to ranges of (group, order) and written with the number of their
+    range, so a group with a third of all rows, or with one value in the first order column,
+    takes a third of the ranges. Each range is numbered on its own and shifted by the counts
+    of the ranges before it. ``order`` should be total: rows equal in all of it are numbered
+    in any order, and only such rows share a range without limit. Null keys form a group.
     """
-    if staged:
-        df = stage(df, "numbering")
-    fan = _fan(df)
-    shares = [i / (fan * fan) for i in range(1, fan * fan)]
-    bounds = df.select(F.percentile_approx(lead, shares, 10 * fan * fan)).scalar()
-
-    def passed(index: list[Column | int]) -> Column:
-        hits = [(F.col("_lead") >= F.get(F.col("_bounds"), F.lit(i) if isinstance(i, int) else i))
-                .cast("int") for i in index]
-        return F.coalesce(reduce(lambda a, b: a + b, hits), F.lit(0))
-
-    cut = (df.withColumn("_lead", lead)
-           .withColumn("_bounds", bounds)
-           .withColumn("_coarse", passed([j * fan - 1 for j in range(1, fan)])))
-    cut = (cut.withColumn("_range", F.col("_coarse") * fan
-                          + passed([F.col("_coarse") * fan + j for j in range(fan - 1)]))
-           .drop("_lead", "_bounds", "_coarse"))
-
+    ranged = stage(df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()),
+                   "numbering")
     keys = [*group, "_range"]
-    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    if not group:
-        # at most fan * fan rows: one per range
-        before = Window.partitionBy(F.lit(1)).orderBy("_range").rowsBetween(
-            Window.unboundedPreceding, -1)
-    shift = (cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one row for each range that a group reaches into
+    before = Window.partitionBy(*(group or [F.lit(1)])).orderBy("_range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    shift = (ranged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
              .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)))
              .drop("_n"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return (cut.withColumn("_inside", inside)
-            .join(shift, keys)
+    return (same_keys(ranged.withColumn("_inside", inside), shift, keys)
             .withColumn(out, F.col("_inside") + F.col("_shift"))
             .drop("_inside", "_shift", "_range"))

@@ -82,7 +82,7 @@ def first_k_success(results: DataFrame, k: int = 3) -> DataFrame:
 def progress_milestones(events: DataFrame) -> DataFrame:
     """Events at which exactly 25, 50 or 75 percent or the end is reached, by ``seq``."""
     total = events.select(F.count(F.lit(1)).cast("long")).scalar()
-    counted = number_rows(events, [], F.col("seq"), ["seq"], "current").withColumn("total", total)
+    counted = number_rows(events, [], ["seq"], "current").withColumn("total", total)
     share = F.col("current") * 100
     hit = (F.col("current") == F.col("total")) | share.isin(
         [F.col("total") * p for p in (25, 50, 75)])

@@ -50,7 +50,7 @@ def ambiguous_collections(collections: DataFrame) -> DataFrame:
               .where("matches > 1"))
     newest = -F.unix_micros(F.col("updated_at").cast("timestamp"))
     found = collections.join(shared, "name").withColumn("_newest", newest)
-    return (number_rows(found, ["name"], F.col("_newest"), ["_newest", "id"], "choice", staged=True)
+    return (number_rows(found, ["name"], ["_newest", "id"], "choice")
             .withColumn("documents", F.coalesce(F.col("document_count").cast("string"), F.lit("unknown")))
             .drop("_newest"))
 
@@ -309,7 +309,7 @@ def error_action(attempts: DataFrame, max_retries: int = fixed.MAX_RETRIES) -> D
 
 def item_errors(failures: DataFrame, by: str = "item") -> DataFrame:
     """Error records with ``retry_count`` = failures of the item before this one."""
-    return (number_rows(failures, [by], F.col("seq"), ["seq"], staged=True)
+    return (number_rows(failures, [by], ["seq"])
             .withColumn("retry_count", (F.col("rn") - 1).cast("long")).drop("rn"))
 
 
@@ -370,7 +370,7 @@ def resume_batch(items: DataFrame, state: DataFrame) -> DataFrame:
 
 def batch_assign(plan: DataFrame, size: int = 10) -> DataFrame:
     """Batches of ``size`` documents within each wave, in position order."""
-    return (number_rows(plan, ["wave"], F.col("pos"), ["pos"], staged=True)
+    return (number_rows(plan, ["wave"], ["pos"])
             .withColumn("batch", F.floor((F.col("rn") - 1) / size).cast("long")).drop("rn"))
 
 

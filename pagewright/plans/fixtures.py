@@ -179,7 +179,7 @@ class Fixtures:
     @cached_property
     def attempts(self) -> DataFrame:
         """Request attempts from events: six in a row of one user form a request."""
-        numbered = number_rows(self.table("events"), ["user_id"], F.col("ts"), ["ts", "event_id"])
+        numbered = number_rows(self.table("events"), ["user_id"], ["ts", "event_id"])
         n = F.col("rn") - 1
         request = F.floor(n / 6).cast("long")
         kind, net = F.col("event_type"), F.col("event_id") % 10 == 0

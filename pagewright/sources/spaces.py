@@ -81,7 +81,7 @@ def nest_space_json(items: DataFrame, fields: list[str] | None = None) -> DataFr
     fields = fields or ["title", "type", "html_page", "page_uuid", "created"]
     up = F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0)))
     placed = items.select("space_key", up.alias("parent_path"), "pos", *fields)
-    numbered = number_rows(placed, ["space_key", "parent_path"], F.col("pos"), ["pos"], staged=True)
+    numbered = number_rows(placed, ["space_key", "parent_path"], ["pos"])
     return (numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / CHILDREN_PER_ROW).cast("long"))
             .groupBy("space_key", "parent_path", "chunk")
             .agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("rn", *fields))),
