@@ -1,13 +1,15 @@
 """Queries of this subpackage and, where SQL can say the whole result, their oracles."""
 from __future__ import annotations
 
-from pagewright.llm import mixing, packing, sharding, tokens
+from pagewright.llm import mixing, packing, pii, quality, sharding, tokens
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op3_sharding": sharding.op3_sharding,
     "op4_packing": packing.op4_packing,
+    "op6_pii": pii.op6_pii,
     "op7_token_counts": tokens.op7_token_counts,
+    "op9_quality": quality.op9_quality,
 }
 
 ORACLES = {"op1_mixing": mixing.ORACLE}
