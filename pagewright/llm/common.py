@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.session import stage  # noqa: F401  used by the operators
+from pagewright.session import stage, unstage  # noqa: F401  used by the operators
 
 # A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

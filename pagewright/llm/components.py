@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import stage
+from pagewright.llm.common import stage, unstage
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,9 +24,11 @@ def components(links: DataFrame) -> DataFrame:
                  .where("a <> b").distinct())
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.greatest("b", "m").alias("x"), F.least("b", "m").alias("y"))
+        last = edges
         edges = stage(small.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b")
                       .unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "stars")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        unstage(last)
         if now == before:
             break
         before = now

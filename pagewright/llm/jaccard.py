@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import documents, small_batches, stage
+from pagewright.llm.common import documents, small_batches, stage, unstage
 from pagewright.llm.components import components
 
 SIZE, PERCENT = 4, 85
@@ -196,6 +196,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                      "postings")
     shared = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     lists = stage(postings.join(shared.select("token"), "token").distinct(), "lists")
+    unstage(postings)
 
     chosen = lists.select("node").distinct().join(
         nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("r")), "node").select(
@@ -204,7 +205,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     bits = [f"p{i}" for i in range(PARITY_WORDS)]
     sets = stage(texts.select("text").mapInPandas(
         _sets(size), "node long, tokens binary, " + ", ".join(f"{p} long" for p in bits)).dropDuplicates(["node"]), "sets")
-    lists = stage(lists.join(sets.drop("tokens"), "node"), "listed")
+    slim_lists, lists = lists, stage(lists.join(sets.drop("tokens"), "node"), "listed")
+    unstage(slim_lists)
 
     def verified(pairs: DataFrame) -> DataFrame:
         sides = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
@@ -227,6 +229,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
 
     whole = F.struct("node", "root", "n", *bits)
     tested, roots, todo = None, None, None
+    spent = [sets, lists]
     listed = lists.count()
     for turn in range(STAR_ROUNDS + 1):
         placed = lists.withColumn("root", F.col("node")) if roots is None else \
@@ -236,6 +239,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
             lot = per.groupBy("token").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("root", "c").alias("big"))
             lot = lot.where(F.col("all") > F.col("most"))  # the others lie in one component and are done
             placed = stage(placed.join(lot, "token"), "open")
+            spent.append(placed)
             last, todo = todo, placed.agg(F.sum(F.when(F.col("root") != F.col("big"), F.col("all")))).first()[0] or 0
             if todo <= FEW_PAIRS * listed or turn == STAR_ROUNDS or (last and todo > 0.8 * last):
                 break
@@ -252,6 +256,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
                     .where(may_link("e")), "e")
         tested = tested.unionByName(verified(rest))
         roots = components(tested.where("linked"))
+    unstage(*spent)
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))

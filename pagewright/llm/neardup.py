@@ -19,6 +19,8 @@ BLOCK = 4096             # queries that one task puts to one shard
 DEGREE = 12              # links of a node on upper levels; twice as many on the lowest
 BUILD_BEAM = 40
 BEAM = 32                # width at first; doubled until the audit passes
+WIDEST = 128             # a beam beyond it would cost more than comparing all nodes
+UPPER, STARTS = 24, 8    # beam on upper levels, and what of it enters the next one
 CHUNK = 512              # queries searched side by side
 EXPAND = 4               # beam members expanded in one step
 AUDITED = 48             # queries that a task compares with brute force
@@ -69,10 +71,10 @@ class Graph:
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
     def descend(self, queries: np.ndarray, level: int) -> np.ndarray:
-        """A near node on ``level`` for each query, found from the top."""
+        """Near nodes of the level above for each query, found from the top."""
         start = np.zeros((len(queries), 1), np.int64)
         for above in range(len(self.links) - 1, level, -1):
-            start = self.beam(queries, above, start, 2)[0][:, :1]
+            start = self.beam(queries, above, start, UPPER)[0][:, :STARTS]
         return start
 
     def select(self, queries: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int) -> np.ndarray:
@@ -183,7 +185,7 @@ def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float) ->
     """Positions whose cosine with each query reaches ``least``, verified in double precision.
 
     The beam doubles until the audit, by brute force on some queries that have links and some
-    others, finds enough; a beam as wide as the shard is brute force itself.
+    others, finds enough; in place of a beam beyond ``WIDEST`` all nodes are compared.
     """
     small = queries.astype(np.float32)
     margin = np.float32(least - 1e-4)
@@ -192,14 +194,14 @@ def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float) ->
         found = []
         for i in range(0, len(queries), CHUNK):
             part = small[i:i + CHUNK]
-            if width >= len(exact):
+            if width > min(WIDEST, len(exact)):
                 found += [np.flatnonzero(row >= margin) for row in part @ graph.x.T]
                 continue
             ids, sims = graph.beam(part, 0, graph.descend(part, 0), width)
             found += [graph.near(query, row[s >= margin], margin) if s[0] >= margin else row[:0]
                       for query, row, s in zip(part, ids, sims)]
         found = [ids[exact[ids] @ query >= least] if len(ids) else ids for ids, query in zip(found, queries)]
-        if width >= len(exact):
+        if width > min(WIDEST, len(exact)):
             return found
         rng = np.random.default_rng(len(queries))
         having = np.flatnonzero([len(f) > 1 for f in found])
