@@ -47,4 +47,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     folder = scratch_path(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.parquet(folder)
+    table = df.sparkSession.read.parquet(folder)
+    table._folder = folder
+    return table
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete staged tables that no result reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
