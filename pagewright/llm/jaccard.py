@@ -20,6 +20,7 @@ CACHED_WORDS = 500_000   # a worker forgets its words beyond that
 STAR_ROUNDS = 6
 FEW_PAIRS = 4            # with fewer open pairs per listed document, star rounds end
 PARITY_WORDS = 8         # 64-bit words of a set's parity sketch
+PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -69,26 +70,36 @@ def node_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Each token flips one of 512 bits. The bits in which two sets differ are never more than
+    the tokens in which they differ, and nearly as many while these are few."""
+    bits = 64 * PARITY_WORDS
+    flips = np.bincount((mix64(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def _nodes(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int64), set()
         for batch in batches:
-            n, node = [], []
+            n, node, bits = [], [], []
             for text in batch["text"]:
                 tokens = shingles(text, size, hashes)
                 n.append(len(tokens))
+                bits.append(parity(tokens))
                 node.append(node_of(tokens))
                 if node[-1] not in seen and len(tokens):
                     seen.add(node[-1])
                     np.add.at(counts, (tokens % np.uint64(SKETCH)).astype(np.int64), 1)
                     if len(seen) > 1_000_000:
                         seen.clear()
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "text_key": batch["text_key"], "n": n, "node": node,
-                                "bucket": None, "df": None})
+            bits = np.array(bits).reshape(-1, PARITY_WORDS)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "pick": batch["pick"], "n": n, "node": node,
+                                "bucket": None, "df": None} | {p: bits[:, i] for i, p in enumerate(PARITY)})
         used = np.flatnonzero(counts)
         for part in np.array_split(used, max(1, len(used) // 50_000)):
-            yield pd.DataFrame({"doc_id": None, "text_key": None, "n": None, "node": None,
-                                "bucket": part, "df": counts[part]})
+            yield pd.DataFrame({"doc_id": None, "pick": None, "n": None, "node": None,
+                                "bucket": part, "df": counts[part]} | dict.fromkeys(PARITY))
 
     return run
 
@@ -116,22 +127,14 @@ def _postings(size: int, percent: int, levels: np.ndarray):
     return run
 
 
-def parity(tokens: np.ndarray) -> np.ndarray:
-    """Each token flips one of 512 bits. The bits in which two sets differ are never more than
-    the tokens in which they differ, and nearly as many while these are few."""
-    bits = 64 * PARITY_WORDS
-    flips = np.bincount((mix64(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(flips.astype(np.uint8)).view(np.int64)
-
-
-def _sets(size: int):
+def _sets(size: int, wanted: np.ndarray):
+    """The sets of the rows whose ``pick`` falls on a wanted counter; few others pass."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            found = [shingles(text, size, hashes) for text in batch["text"]]
-            bits = np.array([parity(f) for f in found]).reshape(len(found), PARITY_WORDS)
-            yield pd.DataFrame({"node": [node_of(f) for f in found], "tokens": [f.tobytes() for f in found]}
-                               | {f"p{i}": bits[:, i] for i in range(PARITY_WORDS)})
+            batch = batch[wanted[(batch["pick"] % SKETCH).to_numpy()]]
+            found = [shingles(text, size, hashes).tobytes() for text in batch["text"]]
+            yield pd.DataFrame({"pick": batch["pick"], "tokens": found})
 
     return run
 
@@ -177,10 +180,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     """
     small_batches(docs.sparkSession)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    keyed = slim.withColumn("text_key", F.xxhash64("text"))
-    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, text_key long, n long, node long, bucket long, df long"),
-                 "nodes")
-    nodes = both.where("bucket IS NULL").select("doc_id", "text_key", "n", "node")
+    keyed = slim.withColumn("pick", F.xxhash64("doc_id", F.xxhash64("text")))
+    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, pick long, n long, node long, bucket long, df long, "
+                                   + ", ".join(f"{p} long" for p in PARITY)), "nodes")
+    nodes = both.where("bucket IS NULL").drop("bucket", "df")
 
     # at most SKETCH rows, and only counters well above the mean, reach the driver
     sketch = both.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("df").alias("df"))
@@ -198,26 +201,34 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     lists = stage(postings.join(shared.select("token"), "token").distinct(), "lists")
     unstage(postings)
 
-    chosen = lists.select("node").distinct().join(
-        nodes.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("r")), "node").select(
-        F.col("r.doc_id").alias("i"), F.col("r.text_key").alias("k"))
-    texts = keyed.join(chosen, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_key") == F.col("k")), "left_semi")
-    bits = [f"p{i}" for i in range(PARITY_WORDS)]
-    sets = stage(texts.select("text").mapInPandas(
-        _sets(size), "node long, tokens binary, " + ", ".join(f"{p} long" for p in bits)).dropDuplicates(["node"]), "sets")
-    slim_lists, lists = lists, stage(lists.join(sets.drop("tokens"), "node"), "listed")
+    # one document for each node
+    whole = F.struct("doc_id", "pick", *PARITY)
+    picked = nodes.groupBy("node").agg(F.min(whole).alias("r")).select("node", "r.pick", *[f"r.{p}" for p in PARITY])
+    slim_lists, lists = lists, stage(lists.join(picked, "node"), "listed")
     unstage(slim_lists)
 
     def verified(pairs: DataFrame) -> DataFrame:
+        """Tested pairs. Texts of the pairs' documents are read again: a bitmap of SKETCH counters
+        leaves out most others where they lie, and only sets of a pair's document are moved."""
+        pairs = stage(pairs, "pairs")
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(picked, "node").select("node", "pick")
+        used = needed.select(F.pmod("pick", F.lit(SKETCH)).alias("w")).distinct().toPandas()["w"]
+        wanted = np.zeros(SKETCH, bool)
+        wanted[used.to_numpy(np.int64)] = True
+        sets = (keyed.select("pick", "text").mapInPandas(_sets(size, wanted), "pick long, tokens binary")
+                .join(needed, "pick").select("node", "tokens").dropDuplicates(["node"]))
+        sets = stage(sets, "sets")
         sides = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"))
-        return stage(sides.select("a", "b", "x", "y").mapInPandas(_verify(percent, levels), "a long, b long, linked boolean"),
-                     "tested")
+        found = stage(sides.select("a", "b", "x", "y").mapInPandas(_verify(percent, levels), "a long, b long, linked boolean"),
+                      "tested")
+        unstage(pairs, sets)
+        return found
 
     def may_link(other: str):
         """Sizes and parity sketches allow the similarity; this never excludes a link."""
         n, m = F.col("n"), F.col(f"{other}.n")
-        differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}.{p}"))) for p in bits), F.lit(0))
+        differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}.{p}"))) for p in PARITY), F.lit(0))
         return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
                 & (differ * (100 + percent) <= (n + m) * (100 - percent)))
 
@@ -227,9 +238,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
         return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
-    whole = F.struct("node", "root", "n", *bits)
+    whole = F.struct("node", "root", "n", *PARITY)
     tested, roots, todo = None, None, None
-    spent = [sets, lists]
+    spent = [lists]
     listed = lists.count()
     for turn in range(STAR_ROUNDS + 1):
         placed = lists.withColumn("root", F.col("node")) if roots is None else \
