@@ -369,8 +369,8 @@ def resume_batch(items: DataFrame, state: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- documented extras
 
 def batch_assign(plan: DataFrame, size: int = 10) -> DataFrame:
-    """Batches of ``size`` documents within each wave, in position order."""
-    return (number_rows(plan, ["wave"], ["pos"])
+    """Batches of ``size`` documents within each wave of a space, by position, then path."""
+    return (number_rows(plan, ["space_key", "wave"], ["pos", "path"])
             .withColumn("batch", F.floor((F.col("rn") - 1) / size).cast("long")).drop("rn"))
 
 
@@ -385,13 +385,13 @@ def dry_run_report(plan: DataFrame) -> DataFrame:
 def verify_upload(items: DataFrame, documents: DataFrame) -> DataFrame:
     """Items against remote documents by id: missing, extra, changed or equal."""
     mine = items.where("page_uuid is not null").select(
-        F.col("page_uuid").alias("id"), F.sha2("md_content", 256).alias("_mine"))
-    theirs = documents.select("id", F.sha2("text", 256).alias("_theirs"))
+        F.col("page_uuid").alias("id"), F.sha2("md_content", 256).alias("_mine"), F.lit(True).alias("_here"))
+    theirs = documents.select("id", F.sha2("text", 256).alias("_theirs"), F.lit(True).alias("_there"))
     return (mine.join(theirs, "id", "full_outer")
-            .withColumn("verdict", F.when(F.col("_theirs").isNull(), "missing")
-                        .when(F.col("_mine").isNull(), "extra")
-                        .when(F.col("_mine") == F.col("_theirs"), "equal").otherwise("changed"))
-            .drop("_mine", "_theirs"))
+            .withColumn("verdict", F.when(F.col("_there").isNull(), "missing")
+                        .when(F.col("_here").isNull(), "extra")
+                        .when(F.col("_mine").eqNullSafe(F.col("_theirs")), "equal").otherwise("changed"))
+            .drop("_mine", "_theirs", "_here", "_there"))
 
 
 def rollback_plan(created: DataFrame) -> DataFrame:
@@ -411,19 +411,19 @@ def nav_mapping(nodes: DataFrame) -> DataFrame:
 
 
 def cross_reference_update(contents: DataFrame, uuids: DataFrame, base_url: str) -> DataFrame:
-    """Links to known pages rewritten to their document URLs.
+    """Links to known pages of the same space rewritten to their document URLs.
 
     The links of a page are bounded by its text, so they may be gathered for the fold.
     """
     link = r"\]\(([^()\s]+\.html)\)"
-    links = contents.select("page_id", F.explode(F.array_distinct(
+    links = contents.select("space_key", "page_id", F.explode(F.array_distinct(
         F.regexp_extract_all("content", F.lit(link), F.lit(1)))).alias("href"))
-    found = (links.join(uuids.select("href", "page_uuid"), "href")
-             .groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("href", "page_uuid"))).alias("_l")))
+    found = (links.join(uuids.select("space_key", "href", "page_uuid"), ["space_key", "href"])
+             .groupBy("space_key", "page_id").agg(F.array_sort(F.collect_list(F.struct("href", "page_uuid"))).alias("_l")))
     new = F.aggregate("_l", F.col("content"), lambda c, x: F.replace(
         c, F.concat(F.lit("]("), x["href"], F.lit(")")),
         F.concat(F.lit(f"]({base_url}/doc/"), x["page_uuid"], F.lit(")"))))
-    return (contents.join(found, "page_id", "left")
+    return (contents.join(found, ["space_key", "page_id"], "left")
             .withColumn("content", F.coalesce(new, F.col("content"))).drop("_l"))
 
 

@@ -278,7 +278,7 @@ def _(fx):
 
 
 @query("batch_assign", """
-    SELECT array_to_string(path, '/') AS path, depth - 1 AS wave, (row_number() OVER (PARTITION BY depth ORDER BY pos) - 1) // 10 AS batch FROM fx_items""")
+    SELECT array_to_string(path, '/') AS path, depth - 1 AS wave, (row_number() OVER (PARTITION BY space_key, depth ORDER BY pos, path) - 1) // 10 AS batch FROM fx_items""")
 def _(fx):
     return sync.batch_assign(sync.sync_waves(fx.items)).select(label().alias("path"), "wave", "batch")
 
@@ -331,7 +331,7 @@ def _(fx):
 def _(fx):
     top = fx.items.where("depth = 1").select("space_key", F.col("href").alias("top"))
     contents = fx.items.join(top, "space_key").select(
-        F.col("pos").alias("page_id"), F.concat(
+        "space_key", F.col("pos").alias("page_id"), F.concat(
             F.lit("[me]("), "href", F.lit(") and [top]("), "top", F.lit(") or [gone](Gone_"),
             F.col("pos").cast("string"), F.lit(".html)")).alias("content"))
     uuids = fx.items.where("page_uuid is not null")

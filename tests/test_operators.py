@@ -278,3 +278,29 @@ def test_archive_guard_order(spark):
     assert got == {"a": (False, 0, 0, "Archive contains too many files (5 > 4)"),
                    "b": (False, 0, 0, "Archive too large when uncompressed (1000 bytes)"), "c": (True, 1, 1, None)}
     assert {r.member for r in archives.admitted(df, max_files=4, max_total_size=40).collect()} == {"n"}
+
+
+# ---------------------------------------------------------------- keys and nulls of the sync steps
+
+def test_numbering_splits_equal_values_and_keeps_null_groups(spark):
+    df = spark.range(4000).select(F.lit(None).cast("string").alias("g"), F.lit(1).alias("v"), "id")
+    got = number_rows(df, ["g"], ["v", "id"])
+    assert got.where("rn <> id + 1").count() == 0 and got.count() == 4000
+
+
+def test_cross_references_stay_in_their_space(spark):
+    from pagewright.operators import sync
+    contents = spark.createDataFrame([("A", 1, "[h](Home.html)"), ("B", 1, "[h](Home.html)")],
+                                     "space_key string, page_id long, content string")
+    uuids = spark.createDataFrame([("A", "Home.html", "ua"), ("B", "Home.html", "ub")],
+                                  "space_key string, href string, page_uuid string")
+    got = {r.space_key: r.content for r in sync.cross_reference_update(contents, uuids, "u").collect()}
+    assert got == {"A": "[h](u/doc/ua)", "B": "[h](u/doc/ub)"}
+
+
+def test_verification_tells_null_texts_from_absent_documents(spark):
+    from pagewright.operators import sync
+    items = spark.createDataFrame([("a", None), ("b", None), ("c", "x")], "page_uuid string, md_content string")
+    remote = spark.createDataFrame([("a", None), ("b", "y"), ("d", None)], "id string, text string")
+    got = {r.id: r.verdict for r in sync.verify_upload(items, remote).collect()}
+    assert got == {"a": "equal", "b": "changed", "c": "missing", "d": "extra"}
