@@ -21,6 +21,7 @@ STAR_ROUNDS = 6
 FEW_PAIRS = 4            # with fewer open pairs per listed document, star rounds end
 PARITY_WORDS = 8         # 64-bit words of a set's parity sketch
 PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
+LARGE = 128 * PARITY_WORDS  # sets of more tokens also have a long parity sketch
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -78,15 +79,36 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype(np.uint8)).view(np.int64)
 
 
+def long_parity(tokens: np.ndarray) -> bytes | None:
+    """The same sketch of as many bits as the set has tokens, rounded up to a power of two; none
+    for sets that the short one serves. The xor of its halves is the sketch of half the bits."""
+    if len(tokens) <= LARGE:
+        return None
+    bits = 1 << (len(tokens) - 1).bit_length()
+    flips = np.bincount((mix64(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def parities_differ(x: bytes, y: bytes) -> int:
+    """In how many bits two long sketches differ, at the length of the shorter one."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _nodes(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int64), set()
         for batch in batches:
-            n, node, bits = [], [], []
+            n, node, bits, long = [], [], [], []
             for text in batch["text"]:
                 tokens = shingles(text, size, hashes)
                 n.append(len(tokens))
                 bits.append(parity(tokens))
+                long.append(long_parity(tokens))
                 node.append(node_of(tokens))
                 if node[-1] not in seen and len(tokens):
                     seen.add(node[-1])
@@ -94,11 +116,11 @@ def _nodes(size: int):
                     if len(seen) > 1_000_000:
                         seen.clear()
             bits = np.array(bits).reshape(-1, PARITY_WORDS)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "pick": batch["pick"], "n": n, "node": node,
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "pick": batch["pick"], "n": n, "node": node, "long": long,
                                 "bucket": None, "df": None} | {p: bits[:, i] for i, p in enumerate(PARITY)})
         used = np.flatnonzero(counts)
         for part in np.array_split(used, max(1, len(used) // 50_000)):
-            yield pd.DataFrame({"doc_id": None, "pick": None, "n": None, "node": None,
+            yield pd.DataFrame({"doc_id": None, "pick": None, "n": None, "node": None, "long": None,
                                 "bucket": part, "df": counts[part]} | dict.fromkeys(PARITY))
 
     return run
@@ -139,6 +161,19 @@ def _sets(size: int, wanted: np.ndarray):
     return run
 
 
+def _likely(percent: int):
+    """Whether the long sketches of a pair allow the similarity; this never excludes a link."""
+    def likely(n: int, x: bytes, m: int, y: bytes) -> bool:
+        return parities_differ(x, y) * (100 + percent) <= (n + m) * (100 - percent)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [likely(*pair) for pair in zip(batch["n"], batch["x"], batch["m"], batch["y"])]
+            yield batch[["a", "b"]].assign(likely=np.array(found, bool))
+
+    return run
+
+
 def _verify(percent: int, levels: np.ndarray):
     def similar(x: np.ndarray, y: np.ndarray) -> bool:
         for order in range(1, ORDERS):
@@ -171,7 +206,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     leader of the list in another component, and components are joined. In the last step the
     members outside a list's largest component meet the members of other components, so no
     link that could join two components is lost, whatever the size of a list. Pairs whose
-    sizes or parity sketches rule out the similarity are not emitted.
+    sizes or parity sketches rule out the similarity are not emitted, or not verified.
 
     Words are lower-cased in A-Z only; a document with fewer words than ``size`` has its
     whole sequence as one shingle; one without words, or null, is linked with nothing. Rows of
@@ -181,7 +216,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     small_batches(docs.sparkSession)
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     keyed = slim.withColumn("pick", F.xxhash64("doc_id", F.xxhash64("text")))
-    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, pick long, n long, node long, bucket long, df long, "
+    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, pick long, n long, node long, long binary, bucket long, df long, "
                                    + ", ".join(f"{p} long" for p in PARITY)), "nodes")
     nodes = both.where("bucket IS NULL").drop("bucket", "df")
 
@@ -207,22 +242,36 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     slim_lists, lists = lists, stage(lists.join(picked, "node"), "listed")
     unstage(slim_lists)
 
+    def named(pairs: DataFrame) -> DataFrame:
+        """The nodes of the pairs and their documents."""
+        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(picked, "node").select("node", "pick")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        """Tested pairs. Texts of the pairs' documents are read again: a bitmap of SKETCH counters
+        """Tested pairs. Long sketches first exclude pairs of large sets. Texts of the pairs' documents are read again: a bitmap of SKETCH counters
         leaves out most others where they lie, and only sets of a pair's document are moved."""
         pairs = stage(pairs, "pairs")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(picked, "node").select("node", "pick")
+        long = stage(named(pairs).join(nodes.where("long IS NOT NULL").select("pick", "n", "long"), "pick")
+                     .select("node", "n", "long").dropDuplicates(["node"]), "long")
+        ends = (pairs.join(long.select(F.col("node").alias("a"), "n", F.col("long").alias("x")), "a", "left")
+                .join(long.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("long").alias("y")), "b", "left"))
+        rated = (ends.where("x IS NOT NULL AND y IS NOT NULL").select("a", "b", "n", "x", "m", "y")
+                 .mapInPandas(_likely(percent), "a long, b long, likely boolean"))
+        short = ends.where("x IS NULL OR y IS NULL").select("a", "b", F.lit(True).alias("likely"))
+        rated = stage(rated.unionByName(short), "rated")
+        open_pairs = rated.where("likely").select("a", "b")
+        needed = named(open_pairs)
         used = needed.select(F.pmod("pick", F.lit(SKETCH)).alias("w")).distinct().toPandas()["w"]
         wanted = np.zeros(SKETCH, bool)
         wanted[used.to_numpy(np.int64)] = True
         sets = (keyed.select("pick", "text").mapInPandas(_sets(size, wanted), "pick long, tokens binary")
                 .join(needed, "pick").select("node", "tokens").dropDuplicates(["node"]))
         sets = stage(sets, "sets")
-        sides = (pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+        sides = (open_pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b"))
-        found = stage(sides.select("a", "b", "x", "y").mapInPandas(_verify(percent, levels), "a long, b long, linked boolean"),
-                      "tested")
-        unstage(pairs, sets)
+        found = sides.select("a", "b", "x", "y").mapInPandas(_verify(percent, levels), "a long, b long, linked boolean")
+        excluded = rated.where("NOT likely").select("a", "b", F.lit(False).alias("linked"))
+        found = stage(found.unionByName(excluded), "tested")
+        unstage(pairs, long, rated, sets)
         return found
 
     def may_link(other: str):
@@ -269,9 +318,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         roots = components(tested.where("linked"))
     unstage(*spent)
 
-    named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return (named.join(least, "root", "left")
+    placed = nodes.drop("long").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return (placed.join(least, "root", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
 

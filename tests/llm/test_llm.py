@@ -132,6 +132,30 @@ def test_parity_never_exceeds_the_difference():
         assert bits <= len(np.setxor1d(x, y))
 
 
+def test_long_parity_never_exceeds_the_difference():
+    rng = np.random.default_rng(2)
+    assert jaccard.long_parity(np.arange(jaccard.LARGE, dtype=np.uint64)) is None
+    for _ in range(50):
+        x = np.unique(rng.integers(0, 9000, rng.integers(1500, 9000)).astype(np.uint64))
+        y = np.unique(rng.integers(0, 9000, rng.integers(1500, 9000)).astype(np.uint64))
+        assert jaccard.parities_differ(jaccard.long_parity(x), jaccard.long_parity(y)) <= len(np.setxor1d(x, y))
+        assert jaccard.parities_differ(jaccard.long_parity(x), jaccard.long_parity(x)) == 0
+
+
+def test_jaccard_of_large_sets_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(40):
+        if i % 4 == 0:  # three copies follow, changed more and more; the last ones are on the border
+            base = rng.integers(0, 50_000, rng.integers(900, 5000))
+        w = base.copy()
+        at = rng.random(len(w)) < (0, 0.01, 0.02, 0.045)[i % 4]
+        w[at] = rng.integers(0, 50_000, at.sum())
+        rows.append((i, " ".join(map(str, w))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.join(docs).collect()), key=str) == brute_components(docs.collect(), 4, 85)
+
+
 def brute_quality(text):
     w, text = words(text), text or ""
     seen = collections.Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
