@@ -15,7 +15,7 @@ from pagewright.llm.components import components
 COSINE = 0.95
 LEAST_SHARDS = 4
 SHARD_BYTES = 64 << 20   # of vectors in a shard, about
-BLOCK = 4096             # queries that one task puts to one shard
+BLOCK_BYTES = 8 << 20    # of queries that one task puts to one shard, about
 DEGREE = 12              # links of a node on upper levels; twice as many on the lowest
 BUILD_BEAM = 40
 BEAM = 32                # width at first; doubled until the audit passes
@@ -23,7 +23,8 @@ WIDEST = 128             # a beam beyond it would cost more than comparing all n
 UPPER, STARTS = 24, 8    # beam on upper levels, and what of it enters the next one
 CHUNK = 512              # queries searched side by side
 EXPAND = 4               # beam members expanded in one step
-AUDITED = 48             # queries that a task compares with brute force
+AUDITED = 128            # queries that a task compares with brute force before it searches all
+AUDITED_LINKED = 24      # queries with links that it compares afterwards
 RECALL = 0.99            # least share of the audited links that must be found
 
 
@@ -184,33 +185,41 @@ def _build(cell: pd.DataFrame) -> pd.DataFrame:
 def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float) -> list[np.ndarray]:
     """Positions whose cosine with each query reaches ``least``, verified in double precision.
 
-    The beam doubles until the audit, by brute force on some queries that have links and some
-    others, finds enough; in place of a beam beyond ``WIDEST`` all nodes are compared.
+    The beam doubles until two audits by brute force find enough: one of queries drawn before
+    the block is searched, so that a beam too narrow is not tried on all of it, and one of
+    queries that have links, after it. In place of a beam beyond ``WIDEST`` all nodes are
+    compared.
     """
-    small = queries.astype(np.float32)
     margin = np.float32(least - 1e-4)
-    width = BEAM
-    while True:
-        found = []
-        for i in range(0, len(queries), CHUNK):
-            part = small[i:i + CHUNK]
-            if width > min(WIDEST, len(exact)):
-                found += [np.flatnonzero(row >= margin) for row in part @ graph.x.T]
+    rng = np.random.default_rng(len(queries))
+
+    def search(part: np.ndarray, width: int | None) -> list[np.ndarray]:
+        found, small = [], part.astype(np.float32)
+        for i in range(0, len(part), CHUNK):
+            chunk = small[i:i + CHUNK]
+            if width is None:
+                found += [np.flatnonzero(row >= margin) for row in chunk @ graph.x.T]
                 continue
-            ids, sims = graph.beam(part, 0, graph.descend(part, 0), width)
+            ids, sims = graph.beam(chunk, 0, graph.descend(chunk, 0), width)
             found += [graph.near(query, row[s >= margin], margin) if s[0] >= margin else row[:0]
-                      for query, row, s in zip(part, ids, sims)]
-        found = [ids[exact[ids] @ query >= least] if len(ids) else ids for ids, query in zip(found, queries)]
-        if width > min(WIDEST, len(exact)):
-            return found
-        rng = np.random.default_rng(len(queries))
-        having = np.flatnonzero([len(f) > 1 for f in found])
-        audit = np.unique(np.concatenate([rng.choice(having, min(len(having), AUDITED // 2), replace=False) if len(having) else having,
-                                          rng.choice(len(queries), min(len(queries), AUDITED), replace=False)]).astype(int))
-        true = (queries[audit] @ exact.T >= least).sum()
-        if sum(len(found[i]) for i in audit) >= RECALL * true:
-            return found
+                      for query, row, s in zip(chunk, ids, sims)]
+        return [ids[exact[ids] @ query >= least] if len(ids) else ids for ids, query in zip(found, part)]
+
+    def passes(found: list[np.ndarray], true: int) -> bool:
+        return sum(map(len, found)) >= RECALL * true
+
+    drawn = queries[rng.choice(len(queries), min(len(queries), AUDITED), replace=False)]
+    true = int((drawn @ exact.T >= least).sum())
+    width = BEAM
+    while width <= min(WIDEST, len(exact)):
+        if passes(search(drawn, width), true):
+            found = search(queries, width)
+            having = np.flatnonzero([len(f) > 1 for f in found])
+            having = rng.choice(having, min(len(having), AUDITED_LINKED), replace=False)
+            if passes([found[i] for i in having], int((queries[having] @ exact.T >= least).sum())):
+                return found
         width *= 2
+    return search(queries, None)
 
 
 def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
@@ -274,7 +283,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     n, dim = nodes.agg(F.count(F.lit(1)), F.max("dim")).first()
     shards = max(LEAST_SHARDS, math.ceil(n * (dim or 1) * 8 / SHARD_BYTES))
     placed = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
-    blocks = max(1, math.ceil(n / BLOCK))
+    blocks = max(1, math.ceil(n * (dim or 1) * 8 / BLOCK_BYTES))
     graphs = stage(placed.groupBy("dim", "shard").applyInPandas(
         _build, "dim int, shard int, graph binary, nodes binary, raw binary, copies binary"), "graphs")
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
