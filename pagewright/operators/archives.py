@@ -38,7 +38,7 @@ def admitted(members: DataFrame, max_file_size: int = fixed.MAX_FILE_SIZE,
              max_files: int = fixed.MAX_FILES, max_total_size: int = fixed.MAX_TOTAL_SIZE) -> DataFrame:
     """Members that pass both guards."""
     good = archive_guard(members, max_files, max_total_size).where("error is null").select("zip_file")
-    return (members.where(zip_member_guard("member", "file_size", max_file_size).isNull())
+    return (members.where(F.col("member").isNotNull() & zip_member_guard("member", "file_size", max_file_size).isNull())
             .join(good, "zip_file", "left_semi"))
 
 

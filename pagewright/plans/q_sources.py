@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import basename
-from pagewright.operators import legacy
+from pagewright.operators import archives, legacy
 from pagewright.plans.q_markdown import CLEAN
 from pagewright.plans.q_status import raw_files
 from pagewright.plans.registry import label, query
@@ -34,10 +34,12 @@ def _(fx):
 
 
 @query("read_zip_members", """
-    SELECT 'zips/page-' || page_id || '.html.zip' AS zip_file, md5(html) AS md5 FROM pages WHERE page_id % 10 <> 9""")
+    SELECT 'zips/page-' || page_id || '.html.zip' AS zip_file, 'IS/Page_' || (30000000 + page_id) || '.html' AS member, md5(html) AS md5
+    FROM pages WHERE page_id % 10 <> 9
+    UNION ALL SELECT 'zips/page-' || page_id || '.html.zip', 'IS/index.html', md5(url) FROM pages WHERE page_id % 10 <> 9""")
 def _(fx):
-    admitted = files.scan_zip_members(fx.page_archives).where("error is null and member like '%Page%'")
-    return files.read_zip_members(fx.page_archives, admitted).select("zip_file", F.md5("content").alias("md5"))
+    admitted = archives.admitted(files.scan_zip_members(fx.page_archives))
+    return files.read_zip_members(fx.page_archives, admitted).select("zip_file", "member", F.md5("content").alias("md5"))
 
 
 @query("discover_spaces", """
@@ -87,7 +89,7 @@ CUST = "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regio
 def _(fx):
     folder = scratch_path(fx.spark, "spaces-json")
     json_texts(fx).write.text(folder)
-    return spaces.scan_space_json(fx.spark, folder, depth=3, multiline=False).select(
+    return spaces.scan_space_json(fx.spark, folder, multiline=False).select(
         "space_key", "space_name", "processing_stats.total_pages", F.size("space_content").alias("roots"))
 
 
@@ -97,8 +99,8 @@ def _(fx):
     UNION ALL SELECT 'c' || c_custkey, r_name || '/' || n_name || '/' || c_name, 3, c_name, 'attachments/' || c_name FROM {CUST}
     UNION ALL SELECT 'c' || c_custkey, c_mktsegment, 1, c_mktsegment, 'attachments/' || c_mktsegment FROM customer""")
 def _(fx):
-    docs = spaces.parse_space_json(json_texts(fx), depth=3)
-    return spaces.flatten_space_json(docs.select("space_key", "space_content"), depth=3).select(
+    docs = spaces.parse_space_json(json_texts(fx))
+    return spaces.flatten_space_json(docs.select("space_key", "space_content")).select(
         "space_key", label().alias("path"), "depth", "title", F.array_join("attachments", ",").alias("attachments"))
 
 

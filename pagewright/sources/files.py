@@ -42,15 +42,18 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    rows += [(path, i.filename, i.file_size, None) for i in z.infolist()]
+                    rows += [(path, i.filename, i.file_size, None) for i in z.infolist()] or [(path, None, None, None)]
             except zipfile.BadZipFile:
                 rows.append((path, None, None, "Invalid or corrupted zip file"))
+            except Exception as error:  # whatever else an archive does, the others go on
+                rows.append((path, None, None, str(error) or type(error).__name__))
         out = pd.DataFrame(rows, columns=["zip_file", "member", "file_size", "error"])
         yield out.astype({"file_size": "Int64"})
 
 
 def scan_zip_members(archives: DataFrame) -> DataFrame:
-    """One row per archive member; a corrupt archive gives one error row.
+    """One row per archive member; an archive that cannot be read gives one error row, one
+    without members a row without a member.
 
     ``archives`` carries (path, content). Archives are read one by one where they lie.
     """
@@ -58,7 +61,10 @@ def scan_zip_members(archives: DataFrame) -> DataFrame:
 
 
 def read_zip_members(archives: DataFrame, admitted: DataFrame) -> DataFrame:
-    """(zip_file, member, content) of admitted members: extraction without local disk.
+    """(zip_file, member, content, error) of admitted members: extraction without local disk.
+
+    A member that cannot be read (checksum, encryption, compression) has an error and no
+    content; the others go on.
 
     The admitted names of an archive travel with it, so each archive is opened once. There
     are no more of them than the archive guard lets pass.
@@ -70,10 +76,15 @@ def read_zip_members(archives: DataFrame, admitted: DataFrame) -> DataFrame:
             for path, content, wanted in zip(pdf["path"], pdf["content"], pdf["names"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for name in sorted(wanted):
-                        yield pd.DataFrame({"zip_file": [path], "member": [name], "content": [z.read(name)]})
+                        body, why = None, None
+                        try:
+                            body = z.read(name)
+                        except Exception as error:
+                            why = str(error) or type(error).__name__
+                        yield pd.DataFrame({"zip_file": [path], "member": [name], "content": [body], "error": [why]})
 
     return (archives.select("path", "content").join(names, "path")
-            .mapInPandas(read, "zip_file string, member string, content binary"))
+            .mapInPandas(read, "zip_file string, member string, content binary, error string"))
 
 
 # ---------------------------------------------------------------- folder layout

@@ -1,7 +1,7 @@
 """Space documents: nested JSON at the border, adjacency rows inside.
 
 A space of any size is stored as many rows below ``space_key=<key>/``, never as one value.
-Nested documents of other tools are read with a fixed depth and flattened.
+Nested documents of other tools are read level by level and flattened, whatever their depth.
 """
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pagewright.functions.markdown import clean_page_text
 from pagewright.functions.text import basename
 from pagewright.operators.numbering import number_rows
+from pagewright.session import stage
 
 CHILDREN_PER_ROW = 1000
 
@@ -21,25 +22,23 @@ _ITEM_FIELDS = ("title string, html_page string, md_content string, parent_uuid
                 "page_uuid string, created boolean, type string, attachments array<string>")
 
 
-def item_schema(depth: int) -> str:
-    """Schema text of a content item with ``depth`` nested levels."""
-    inner = f", children: array<{item_schema(depth - 1)}>" if depth > 1 else ""
-    fields = ", ".join(f"{n}: {t}" for n, t in (f.split(" ", 1) for f in _ITEM_FIELDS.split(", ")))
-    return f"struct<{fields}{inner}>"
+# Children stay JSON text until their level is read, so documents may be of any depth.
+_ITEMS = "array<struct<" + ", ".join(
+    f"{name}: {kind}" for name, kind in (f.split(" ", 1) for f in _ITEM_FIELDS.split(", "))) + ", children: string>>"
 
 
-def space_schema(depth: int) -> T.StructType:
+def space_schema() -> T.StructType:
     stats = ("struct<total_pages: int, total_navigation_nodes: int, max_depth: int, "
              "processed_at: timestamp, content_extracted_at: timestamp, uploaded_at: timestamp, "
              "collection_id: string, upload_successful: boolean>")
     return T._parse_datatype_string(
         f"space_name string, space_key string, description string, local_folder string, "
-        f"processing_stats {stats}, space_content array<{item_schema(depth)}>")
+        f"processing_stats {stats}, space_content {_ITEMS}")
 
 
-def scan_space_json(spark: SparkSession, folder: str, depth: int = 8, multiline: bool = True) -> DataFrame:
+def scan_space_json(spark: SparkSession, folder: str, multiline: bool = True) -> DataFrame:
     """Stored space documents, one row each, under an explicit schema."""
-    return (spark.read.schema(space_schema(depth)).json(folder, multiLine=multiline)
+    return (spark.read.schema(space_schema()).json(folder, multiLine=multiline)
             .withColumn("file_key", F.regexp_replace(basename(F.col("_metadata.file_path")), r"\.json$", "")))
 
 
@@ -48,27 +47,30 @@ def missing_keys(requested: DataFrame, spaces: DataFrame) -> DataFrame:
     return requested.join(spaces.select("space_key"), "space_key", "left_anti")
 
 
-def parse_space_json(texts: DataFrame, depth: int = 8) -> DataFrame:
+def parse_space_json(texts: DataFrame) -> DataFrame:
     """Space documents from a JSON text column ``json``."""
-    return texts.withColumn("doc", F.from_json("json", space_schema(depth))).select(
+    return texts.withColumn("doc", F.from_json("json", space_schema())).select(
         *[c for c in texts.columns if c != "json"], "doc.*")
 
 
-def flatten_space_json(spaces: DataFrame, depth: int = 8) -> DataFrame:
+def flatten_space_json(spaces: DataFrame) -> DataFrame:
     """Items of nested documents as rows with their path and depth.
 
-    One ``explode`` per level; every branch reads the same scan and no rows are shuffled.
+    Goes down level by level until one is empty, so a document of any depth is whole; each
+    level is a staged table that holds the text of the levels below it.
     """
     names = [f.split(" ")[0] for f in _ITEM_FIELDS.split(", ")]
     keep = [c for c in spaces.columns if c != "space_content"]
-    none = F.array().cast("array<string>")
-    level = spaces.select(*keep, F.explode("space_content").alias("i"), none.alias("_up"))
+    level = spaces.select(*keep, F.explode("space_content").alias("i"), F.array().cast("array<string>").alias("_up"))
     levels = []
-    for d in range(1, depth + 1):
-        here = level.select(*keep, "i", F.concat("_up", F.array("i.title")).alias("path"))
-        levels.append(here.select(*keep, "path", F.lit(d).alias("depth"), *[f"i.{n}" for n in names]))
-        if d < depth:
-            level = here.select(*keep, F.explode("i.children").alias("i"), F.col("path").alias("_up"))
+    while True:
+        here = stage(level.select(
+            *keep, F.concat("_up", F.array("i.title")).alias("path"), F.lit(len(levels) + 1).alias("depth"),
+            *[f"i.{n}" for n in names], F.col("i.children").alias("_children")), "items-of-level")
+        if levels and here.isEmpty():
+            break
+        levels.append(here.drop("_children"))
+        level = here.select(*keep, F.explode(F.from_json("_children", _ITEMS)).alias("i"), F.col("path").alias("_up"))
     return reduce(DataFrame.unionByName, levels)
 
 

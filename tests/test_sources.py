@@ -45,12 +45,41 @@ def test_archives(spark, tmp_path):
     assert [(r.member, bytes(r.content).decode()) for r in content] == [("IS/index.html", "héllo")]
 
 
+def test_archives_that_are_empty_or_damaged(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "empty.zip", "w"):
+        pass
+    with zipfile.ZipFile(tmp_path / "part.zip", "w") as z:
+        z.writestr("a.html", "good")
+        z.writestr("b.html", "body-that-breaks")
+    raw = (tmp_path / "part.zip").read_bytes()
+    (tmp_path / "part.zip").write_bytes(raw.replace(b"body-that-breaks", b"body-that-differs"[:16]))
+    found = files.scan_archives(spark, str(tmp_path))
+    members = files.scan_zip_members(found)
+    summary = {r.folder_name: (r.success, r.files_extracted) for r in archives.extraction_summary(members).collect()}
+    assert summary == {"empty": (True, 0), "part": (True, 2)}
+    read = {r.member: (r.content and bytes(r.content), r.error) for r in files.read_zip_members(found, archives.admitted(members)).collect()}
+    assert read["a.html"] == (b"good", None)
+    assert read["b.html"][0] is None and "CRC" in read["b.html"][1] and len(read) == 2
+
+
+def test_space_json_of_any_depth(spark):
+    text = ""
+    for i in range(14, 0, -1):
+        text = f'[{{"title": "t{i}", "children": {text or "[]"}}}, {{"title": "leaf{i}"}}]'
+    docs = spaces.parse_space_json(spark.createDataFrame([(f'{{"space_key": "s", "space_content": {text}}}',)], "json string"))
+    flat = spaces.flatten_space_json(docs.select("space_key", "space_content")).collect()
+    assert len(flat) == 28 and max(r.depth for r in flat) == 14
+    assert ["/".join(r.path) for r in flat if r.title == "leaf3"] == ["t1/t2/leaf3"]
+    empty = spaces.parse_space_json(spark.createDataFrame([], "json string"))
+    assert spaces.flatten_space_json(empty.select("space_key", "space_content")).count() == 0
+
+
 def test_space_json(spark, tmp_path):
     (tmp_path / "is.json").write_text('{"space_name": "S",\n "space_key": "is", "space_content": [{"title": "r", "children": '
                                       '[{"title": "a", "children": []}, {"title": "b"}]}, {"title": "r2"}]}')
-    docs = spaces.scan_space_json(spark, str(tmp_path), depth=4)
+    docs = spaces.scan_space_json(spark, str(tmp_path))
     assert [r.file_key for r in docs.collect()] == ["is"]
-    flat = spaces.flatten_space_json(docs, depth=4)
+    flat = spaces.flatten_space_json(docs)
     assert sorted(("/".join(r.path), r.depth) for r in flat.collect()) == [("r", 1), ("r/a", 2), ("r/b", 2), ("r2", 1)]
     asked = spark.createDataFrame([("is",), ("gi",)], "space_key string")
     assert [r.space_key for r in spaces.missing_keys(asked, docs).collect()] == ["gi"]
