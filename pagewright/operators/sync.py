@@ -144,12 +144,23 @@ def attempted_items(items: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def with_parent_uuid(items: DataFrame) -> DataFrame:
-    """Parent document id; none for roots and for the children of the space page."""
-    up = items.select("space_key", F.col("path").alias("parent_path"), F.col("page_uuid").alias("_up"))
+    """Parent document id; none for roots and for the children of the space page.
+
+    Where ``action`` is planned, an id that a parent had before it is created anew does not
+    count: its children have no parent id yet and ``waits_for_parent``. Plan them again when
+    the outcomes of the wave before are merged.
+    """
+    planned = "action" in items.columns
+    new = F.coalesce(F.col("action") == "create", F.lit(False)) if planned else F.lit(False)
+    up = items.select("space_key", F.col("path").alias("parent_path"), F.col("page_uuid").alias("_up"), new.alias("_new"))
     top = (F.size("path") == 1) | (F.col("parent_path") == F.col("root_path"))
-    return (items.drop("parent_uuid").join(root_pages(items), "space_key", "left")
-            .join(up, ["space_key", "parent_path"], "left")
-            .withColumn("parent_uuid", F.when(~top, F.col("_up"))).drop("_up", "root_path"))
+    waits = F.coalesce(~top & F.col("_new"), F.lit(False))
+    out = (items.drop("parent_uuid").join(root_pages(items), "space_key", "left")
+           .join(up, ["space_key", "parent_path"], "left")
+           .withColumn("parent_uuid", F.when(~top & ~waits, F.col("_up"))))
+    if planned:
+        out = out.withColumn("waits_for_parent", waits & new)
+    return out.drop("_up", "_new", "root_path")
 
 
 # ---------------------------------------------------------------- payloads

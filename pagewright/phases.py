@@ -56,7 +56,8 @@ def upload_plan(items: DataFrame, documents: DataFrame, spaces: DataFrame, liste
                 force: bool = False) -> DataFrame:
     """Request rows: action, wave, parent and body of every item, nothing sent.
 
-    The body is a create or an update request, null where nothing is to be sent.
+    The body is a create or an update request, null where nothing is to be sent, and where the
+    item waits for its parent's id: merge the outcomes of a wave, then plan the next one.
     """
     have = listed.select("page_id").distinct().withColumn("has_attachments", F.lit(True))
     planned = (sync.with_parent_uuid(sync.sync_action(items, documents, spaces, force).drop("root_path"))
@@ -65,5 +66,5 @@ def upload_plan(items: DataFrame, documents: DataFrame, spaces: DataFrame, liste
     waved = sync.sync_waves(planned).drop("root_path")
     create = F.to_json(sync.document_request())
     update = F.to_json(sync.update_request())
-    return waved.withColumn("request", F.when(F.col("action") == "create", create)
+    return waved.withColumn("request", F.when((F.col("action") == "create") & ~F.col("waits_for_parent"), create)
                             .when(F.col("action") == "update", update))

@@ -59,15 +59,17 @@ def _(fx):
 
 
 @query("upload_plan", rf"""
-    SELECT space_key, array_to_string(path, '/') AS path, action, depth - 1 AS wave, up AS parent_uuid, CASE WHEN action = 'create' THEN
+    SELECT space_key, array_to_string(path, '/') AS path, action, depth - 1 AS wave, up AS parent_uuid, waits AS waits_for_parent, CASE WHEN action = 'create' AND NOT waits THEN
       '{{"title":"' || title || '","text":"' || text || '","collectionId":"' || collection_id || '","publish":true'
       || CASE WHEN up IS NULL THEN '' ELSE ',"parentDocumentId":"' || up || '"' END || '}}' END AS request
-    FROM (SELECT i.*, {NORMAL} AS action, {STUBBED} AS text, CASE WHEN depth > 2 THEN p.up END AS up FROM {ACTION} i
+    FROM (SELECT i.*, {NORMAL} AS action, {STUBBED} AS text, CASE WHEN depth > 2 THEN p.up END AS up,
+        depth > 2 AND {NORMAL} = 'create' AND coalesce(p.made, false) AS waits FROM {ACTION} i
       LEFT JOIN (SELECT DISTINCT page_id FROM fx_att) a ON a.page_id = i.page_id
-      LEFT JOIN (SELECT space_key AS sk, path AS pp, page_uuid AS up FROM fx_items) p ON p.sk = i.space_key AND p.pp = i.parent_path)""")
+      LEFT JOIN (SELECT space_key AS sk, path AS pp, {NORMAL} = 'create' AS made,
+        CASE WHEN {NORMAL} <> 'create' THEN page_uuid END AS up FROM {ACTION} x) p ON p.sk = i.space_key AND p.pp = i.parent_path)""")
 def _(fx):
     return phases.upload_plan(fx.items, fx.documents, fx.spaces, fx.listed).select(
-        "space_key", label().alias("path"), "action", "wave", "parent_uuid", "request")
+        "space_key", label().alias("path"), "action", "wave", "parent_uuid", "waits_for_parent", "request")
 
 
 @query("detected_space_name", """

@@ -304,3 +304,12 @@ def test_verification_tells_null_texts_from_absent_documents(spark):
     remote = spark.createDataFrame([("a", None), ("b", "y"), ("d", None)], "id string, text string")
     got = {r.id: r.verdict for r in sync.verify_upload(items, remote).collect()}
     assert got == {"a": "equal", "b": "changed", "c": "missing", "d": "extra"}
+
+
+def test_children_wait_for_a_parent_that_is_created_anew(spark):
+    items = spark.createDataFrame(
+        [("s", ["r"], [], "old-r", "space_root"), ("s", ["r", "a"], ["r"], "stale", "create"), ("s", ["r", "a", "x"], ["r", "a"], None, "create"),
+         ("s", ["r", "b"], ["r"], "known", "skip"), ("s", ["r", "b", "y"], ["r", "b"], None, "create")],
+        "space_key string, path array<string>, parent_path array<string>, page_uuid string, action string").withColumn("pos", F.size("path").cast("long"))
+    got = {r.path[-1]: (r.parent_uuid, r.waits_for_parent) for r in sync.with_parent_uuid(items).collect()}
+    assert got == {"r": (None, False), "a": (None, False), "x": (None, True), "b": (None, False), "y": ("known", False)}
