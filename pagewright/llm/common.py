@@ -32,3 +32,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Texts may be long: hand Python few rows at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+ROW_KEY = "_row_key"
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, written once, so that every later read sees the same keys."""
+    return stage(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")

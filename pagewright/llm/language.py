@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import documents, small_batches, stage
+from pagewright.llm.common import ROW_KEY, documents, keyed_rows, small_batches, stage
 from pagewright.operators.numbering import same_keys
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -145,11 +145,12 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text
         (F.col("letters") & (posterior >= LEAST)).alias("kept"))
 
 
-def known_language(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents that are kept; the columns stay as they are."""
-    gone = (identify(docs, doc_id, **options).where(~F.col("kept"))
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_gone")), "left_anti")
+def known_language(docs: DataFrame, **options) -> DataFrame:
+    """The documents that are kept; the columns stay as they are. Every row has its own verdict:
+    rows of no id, or of one id, do not share it."""
+    rows = keyed_rows(docs)
+    gone = identify(rows, ROW_KEY, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return rows.join(gone, F.col(ROW_KEY) == F.col("_gone"), "left_anti").drop(ROW_KEY)
 
 
 def op2_language_id(spark, sf_dir):
