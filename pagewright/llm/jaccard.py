@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import documents, small_batches, stage, unstage
+from pagewright.llm.common import ROW_KEY, documents, keyed_rows, small_batches, stage, unstage
 from pagewright.llm.components import components
 
 SIZE, PERCENT = 4, 85
@@ -116,11 +116,11 @@ def _nodes(size: int):
                     if len(seen) > 1_000_000:
                         seen.clear()
             bits = np.array(bits).reshape(-1, PARITY_WORDS)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "pick": batch["pick"], "n": n, "node": node, "long": long,
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "pick": batch["pick"], "n": n, "node": node, "long": long,
                                 "bucket": None, "df": None} | {p: bits[:, i] for i, p in enumerate(PARITY)})
         used = np.flatnonzero(counts)
         for part in np.array_split(used, max(1, len(used) // 50_000)):
-            yield pd.DataFrame({"doc_id": None, "pick": None, "n": None, "node": None, "long": None,
+            yield pd.DataFrame({"doc_id": None, "key": None, "pick": None, "n": None, "node": None, "long": None,
                                 "bucket": part, "df": counts[part]} | dict.fromkeys(PARITY))
 
     return run
@@ -213,10 +213,21 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     no id are linked like others, but give no component id. Repeated rows are equal sets; other
     columns are not read; an empty table gives no rows. Sets are compared by 64-bit hashes.
     """
+    placed = linked(docs, doc_id, text, size, percent)
+    least = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    return (placed.join(least, "root", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key: str | None = None) -> DataFrame:
+    """One row per document: doc_id, key (the column of that name), pick (a hash of id and text),
+    n and root, which the documents of a component share. See ``join``."""
     small_batches(docs.sparkSession)
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
+                       (F.col(key) if key else F.lit(None)).cast("long").alias("key"))
     keyed = slim.withColumn("pick", F.xxhash64("doc_id", F.xxhash64("text")))
-    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, pick long, n long, node long, long binary, bucket long, df long, "
+    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, key long, pick long, n long, node long, long binary, bucket long, df long, "
                                    + ", ".join(f"{p} long" for p in PARITY)), "nodes")
     nodes = both.where("bucket IS NULL").drop("bucket", "df")
 
@@ -318,19 +329,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
         roots = components(tested.where("linked"))
     unstage(*spent)
 
-    placed = nodes.drop("long").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = placed.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return (placed.join(least, "root", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")))
+    return (nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            .select("doc_id", "key", "pick", "n", "root"))
 
 
 def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
                        percent: int = 80) -> DataFrame:
-    """The documents that are the first of their component; rows without an id all stay."""
-    found = join(docs, doc_id, text, size, percent)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
+    """Exactly one row of each component: that of the smallest id, rows without an id last, then
+    by a hash of the text and by place. Rows without words are in no component and all stay."""
+    rows = keyed_rows(docs)
+    found = linked(rows, doc_id, text, size, percent, ROW_KEY)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pick", "key")
+    first = found.where("n > 0").groupBy("root").agg(F.min(order).alias("first")).select("first.key")
+    kept = first.unionByName(found.where("n = 0").select("key"))
+    return rows.join(kept, F.col(ROW_KEY) == F.col("key"), "left_semi").drop(ROW_KEY)
 
 
 def op8_ngram_jaccard(spark, sf_dir):
