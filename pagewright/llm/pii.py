@@ -42,12 +42,13 @@ WIDE_HINT = {"email": "at", "ip": ":", "card": None, "phone": None}
 CONTEXT = 24  # characters before a span that the trees may look at
 KEYWORDS = "(?i)(?:phone|tel|call|fax|mobil|mail|contact|card|visa|credit|ip|addr|host)"
 
-# Model parameters; documents' candidates are sampled to a bounded number of rows.
+# Model parameters; the trees are fitted on a bounded number of spans, thresholds rest on all.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 12, 3
 PRECISION = 0.98  # least precision on the calibration part of a threshold that selects spans
 FEATURES = 22
-LEAST_ROWS = 30   # calibration rows that a threshold must rest on
+LEAST_ROWS = 30   # distinct held-out spans that a threshold must rest on
+GRID = 10_000     # steps of one in which scores are counted, which bounds what is collected
 RUN = 256
 
 
@@ -163,12 +164,13 @@ def features(span: Column) -> list[Column]:
 
 
 def training(base: Column, wide: Column) -> Column:
-    """Labelled spans of one text: base spans are personal data; so are they with another
+    """Labelled spans of one text, each with the value it was made from: base spans are personal data; so are they with another
     format (no country code, dots for blanks, a masked sign). Proposed spans that are no base
     span, and base spans with their proof broken (a wrong check digit, a part over 255, too
     few digits, no host), are not."""
     def altered(label: int, change) -> Column:
-        return F.transform(base, lambda s: F.struct(s.withField("value", change(s)).alias("s"), F.lit(label).alias("label")))
+        return F.transform(base, lambda s: F.struct(s.withField("value", change(s)).alias("s"), F.lit(label).alias("label"),
+                                                    s["value"].alias("origin")))
 
     def by_kind(**change):
         def of(s: Column) -> Column:
@@ -187,7 +189,7 @@ def training(base: Column, wide: Column) -> Column:
     broken = by_kind(email=lambda v: F.substring_index(v, ".", 1), ip=lambda v: F.concat(v, F.lit("99")),
                      card=last, phone=lambda v: F.left(digits(v), F.lit(6)))
     other = F.transform(F.filter(wide, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))),
-                        lambda s: F.struct(s.alias("s"), F.lit(0).alias("label")))
+                        lambda s: F.struct(s.alias("s"), F.lit(0).alias("label"), s["value"].alias("origin")))
     return F.concat(altered(1, same), altered(1, loose), altered(0, broken), other)
 
 
@@ -203,7 +205,7 @@ def tree_score(node, inputs: list[Column]) -> Column:
 class Trees:
     """Boosted trees and a threshold for each kind (None: nothing is added for it)."""
 
-    def __init__(self, model, thresholds: dict[int, float]):
+    def __init__(self, model, thresholds: dict[int, int]):
         self.model, self.thresholds = model, thresholds
 
     def score(self, inputs: list[Column]) -> Column:
@@ -211,50 +213,64 @@ class Trees:
                  for t, w in zip(self.model.trees, self.model.treeWeights)]
         return reduce(lambda a, b: a + b, parts)
 
+    def steps(self, inputs: list[Column]) -> Column:
+        return F.floor(self.score(inputs) * GRID)
+
     def select(self, spans: Column) -> Column:
         if not self.thresholds:
             return F.array().cast(SPAN)
-        limit = F.lit(None).cast("double")
+        limit = F.lit(None).cast("long")
 
         def wanted(span: Column) -> Column:
             least = limit
             for kind, threshold in self.thresholds.items():
                 least = F.when(span["kind"] == kind, F.lit(threshold)).otherwise(least)
-            return bind(F.array(*features(span)), lambda f: self.score([f[i] for i in range(FEATURES)])) >= least
+            return bind(F.array(*features(span)), lambda f: self.steps([f[i] for i in range(FEATURES)])) >= least
 
         return F.filter(spans, lambda s: F.coalesce(wanted(s), F.lit(False)))
 
 
 def fit(found: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Trees | None:
-    """Train on labelled spans of ``found`` (base, wide): at most about ``sample_rows`` rows,
-    chosen by hash, four fifths to train and one fifth to calibrate. For each kind the lowest
-    score from which on the calibration rows are personal data with ``PRECISION`` becomes the
-    threshold. Without both classes there is no model and only base spans count."""
-    rows = found.select(F.explode(training(F.col("base"), F.col("wide"))).alias("t")).select("t.s", "t.label")
-    rows = stage(rows.withColumn("x", F.array(*features(F.col("s"))))
-                 .withColumn("h", F.pmod(F.xxhash64("s", "label", F.lit(seed)), F.lit(1 << 30))), "spans")
-    n = rows.count()
-    limit = int(min(1.0, sample_rows / max(n, 1)) * (1 << 30))
-    sample = rows.where(F.col("h") < limit).select(
-        F.col("s.kind").alias("kind"), "label", "h", *[F.col("x")[i].alias(f"f{i}") for i in range(FEATURES)])
-    train = sample.where(F.pmod(F.col("h"), F.lit(5)) != 0)
+    """Train on labelled spans of ``found`` (base, wide), calibrate on others.
+
+    A hash of the value that a span was made from holds one fifth of the values out. The trees
+    see distinct spans of the rest, at most about ``sample_rows`` / 8 of each kind and label,
+    chosen by hash. All held-out spans are scored and counted: for each kind the lowest score
+    from which on they are personal data with ``PRECISION``, as often as they occur, becomes
+    the threshold. Without both classes there is no model and only base spans count."""
+    rows = found.select(F.explode(training(F.col("base"), F.col("wide"))).alias("t"))
+    look = ["kind", "value", "before", "after"]
+    spans = rows.groupBy(*[F.col(f"t.s.{c}").alias(c) for c in look], F.col("t.label").alias("label"),
+                         F.col("t.origin").alias("origin")).agg(F.count(F.lit(1)).alias("c"))
+    spans = stage(spans.select(
+        "kind", "label", "c", F.array(*features(F.struct(*look))).alias("x"),
+        (F.pmod(F.xxhash64("kind", "origin", F.lit(seed)), F.lit(5)) == 0).alias("held"),
+        F.pmod(F.xxhash64(*look, "label", F.lit(seed)), F.lit(1 << 30)).alias("h")), "spans")
+    inputs = [F.col("x")[i] for i in range(FEATURES)]
+    train = spans.where(~F.col("held"))
+    limit = F.lit(0)
+    sizes = train.groupBy("kind", "label").count().collect()  # a row for each kind and label
+    for kind, label, n in sizes:
+        share = int(min(1.0, sample_rows / (2 * len(KINDS)) / n) * (1 << 30))
+        limit = F.when((F.col("kind") == kind) & (F.col("label") == label), share).otherwise(limit)
+    if len({label for _, label, _ in sizes}) < 2:
+        return None
+    train = train.where(F.col("h") < limit).select(
+        F.col("label").cast("double").alias("label"), *[x.alias(f"f{i}") for i, x in enumerate(inputs)])
     if train.agg(F.count_distinct("label")).first()[0] < 2:
         return None
     pack = VectorAssembler(inputCols=[f"f{i}" for i in range(FEATURES)], outputCol="features")
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, labelCol="label").fit(
-        pack.transform(train.withColumn("label", F.col("label").cast("double"))))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, labelCol="label").fit(pack.transform(train))
     trees = Trees(model, {})
-    held = sample.where(F.pmod(F.col("h"), F.lit(5)) == 0).withColumn(
-        "score", trees.score([F.col(f"f{i}") for i in range(FEATURES)]))
-    # at most sample_rows / 5 rows reach the driver
-    table = held.select("kind", "score", "label").toPandas().sort_values("score", ascending=False)
+    held = spans.where("held").groupBy("kind", trees.steps(inputs).alias("step")).agg(
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("label")).alias("good"), F.count(F.lit(1)).alias("spans"))
+    # a row for each kind and step of the score reaches the driver
+    table = held.toPandas().sort_values("step", ascending=False)
     for kind, group in table.groupby("kind"):
-        group = group.reset_index(drop=True)
-        precision = group["label"].cumsum() / (group.index + 1)
-        last = group["score"].ne(group["score"].shift(-1))
-        good = group["score"][(precision >= PRECISION) & last & (group.index + 1 >= LEAST_ROWS)]
-        if len(good):
-            trees.thresholds[int(kind)] = float(good.iloc[-1])
+        total = group[["n", "good", "spans"]].cumsum()
+        fine = group["step"][(total["good"] >= PRECISION * total["n"]) & (total["spans"] >= LEAST_ROWS)]
+        if len(fine):
+            trees.thresholds[int(kind)] = int(fine.iloc[-1])
     return trees
 
 
