@@ -163,34 +163,88 @@ def features(span: Column) -> list[Column]:
     return [F.coalesce(c, F.lit(0)).cast("double") for c in columns]
 
 
+SAYS = {  # words before a span that say what it is
+    "email": r"(?i)\b(?:e-?mail|mail|contact|write to|reach)\b", "ip": r"(?i)\b(?:ip|host|addr|address|server)\b",
+    "card": r"(?i)\b(?:card|visa|mastercard|amex|credit)\b",
+    "phone": r"(?i)\b(?:phone|tel|telephone|call|fax|mobile?|cell|telefon|tel[eé]fono|t[eé]l)\b",
+}
+CLOCK = r"^[0-9]{1,4}(?::[0-9]{1,2}){7}$"  # eight short decimal groups
+GLOBAL = r"^(?:[23][0-9A-Fa-f]{3}|[fF][cCdD][0-9A-Fa-f]{2}|[fF][eE][89abAB][0-9A-Fa-f]):"  # assigned blocks of IPv6
+NOT_PHONE = (r"^[0-9]{4}[-./ ][0-9]{1,2}[-./ ][0-9]{1,2}$", r"^[0-9]{1,2}[-./ ][0-9]{1,2}[-./ ][0-9]{4}$",  # dates
+             r"^[1-9][0-9]*\.[0-9]+$",                                # decimals
+             r"^[1-9][0-9]{6,8}$", r"^[1-9][0-9]{11,}$",              # plain numbers but those of ten or eleven digits
+             r"^[0-9](?:[ .-][0-9]){6,}$", r"^(?:[1-9][0-9][ .-]){4,}[0-9]{1,2}$")  # lists of short numbers
+
+
+def proof(span: Column) -> Column:
+    """1 or 0 where form, check digit, number plan or the words before show what a proposal is,
+    else null."""
+    value, number = span["value"], digits(span["value"])
+    said = lambda kind: F.coalesce(span["before"].rlike(SAYS[kind]), F.lit(False))
+    card = F.length(number).between(13, 19) & F.call_function("luhn_check", number)
+    each = {
+        "email": F.when(~value.rlike(r"\.?[A-Za-z]{2,}$"), 0).when(said("email"), 1),
+        "ip": F.when(value.rlike(CLOCK) & ~value.contains(":0:"), 0)
+        .when(said("ip") | (value.rlike(GLOBAL) & value.rlike("[A-Fa-f]")), 1),
+        "card": F.when(~card, 0).when(said("card"), 1),
+        "phone": F.when(reduce(lambda a, b: a | b, [value.rlike(x) for x in NOT_PHONE[:3]]), 0).when(said("phone"), 1)
+        .when(reduce(lambda a, b: a | b, [value.rlike(x) for x in NOT_PHONE[3:]]), 0),
+    }
+    label = F.lit(None).cast("int")
+    for i, kind in enumerate(KINDS):
+        label = F.when(span["kind"] == i, each[kind]).otherwise(label)
+    return label
+
+
+def checked(number: Column) -> Column:
+    """Digits and the check digit that makes them a card number."""
+    return F.get(F.filter(F.array(*[F.concat(number, F.lit(str(d))) for d in range(10)]),
+                          lambda n: F.call_function("luhn_check", n)), F.lit(0))
+
+
 def training(base: Column, wide: Column) -> Column:
-    """Labelled spans of one text, each with the value it was made from: base spans are personal data; so are they with another
-    format (no country code, dots for blanks, a masked sign). Proposed spans that are no base
-    span, and base spans with their proof broken (a wrong check digit, a part over 255, too
-    few digits, no host), are not."""
-    def altered(label: int, change) -> Column:
-        return F.transform(base, lambda s: F.struct(s.withField("value", change(s)).alias("s"), F.lit(label).alias("label"),
-                                                    s["value"].alias("origin")))
-
-    def by_kind(**change):
-        def of(s: Column) -> Column:
-            value = s["value"]
-            for i, kind in enumerate(KINDS):
-                value = F.when(s["kind"] == i, change[kind](s["value"])).otherwise(value)
-            return value
-        return of
-
-    last = lambda v: F.concat(F.left(v, F.length(v) - 1),
-                              F.pmod(F.right(v, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))
-    same = lambda s: s["value"]
-    loose = by_kind(email=lambda v: F.regexp_replace(v, "@", " [at] "), ip=lambda v: v,
-                    card=lambda v: F.regexp_replace(digits(v), "([0-9]{4})(?=[0-9])", "$1."),
-                    phone=lambda v: F.regexp_replace(v, r"^\+[0-9]{1,3}[ -]", ""))
-    broken = by_kind(email=lambda v: F.substring_index(v, ".", 1), ip=lambda v: F.concat(v, F.lit("99")),
-                     card=last, phone=lambda v: F.left(digits(v), F.lit(6)))
-    other = F.transform(F.filter(wide, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"]))),
-                        lambda s: F.struct(s.alias("s"), F.lit(0).alias("label"), s["value"].alias("origin")))
-    return F.concat(altered(1, same), altered(1, loose), altered(0, broken), other)
+    """Labelled spans of one text, each with the value it was made from: base spans are personal
+    data; so are they in each of the wide formats (a masked sign, IPv6, other separators and
+    lengths with the right check digit, no country code). Base spans with their proof broken (a
+    wrong check digit, a part over 255, too few digits, no host, eight short numbers for
+    IPv6) are not. Proposed spans that touch no base span count as ``proof`` says and are left
+    out where it says nothing: they may be either. Of runs of digits that fail the check, one
+    in nine pass it by chance, so one in nine is also shown with the right digit, as none."""
+    def changed(s: Column, value: Column, label: int) -> Column:
+        return F.struct(s.withField("value", value).alias("s"), F.lit(label).alias("label"), s["value"].alias("origin"))
+
+    def made(s: Column) -> Column:
+        v, number, hash = s["value"], digits(s["value"]), F.md5(s["value"].cast("binary"))
+        dialled = F.regexp_replace(v, r"^\+[0-9]{1,3}[ -]", "")
+        local = F.when(~dialled.startswith("+") & (F.length(digits(dialled)) >= 7), dialled)
+        short = [F.regexp_replace(F.substring(hash, 4 * i + 1, 4), "^0{1,3}", "") for i in range(1, 8)]
+        clock = F.translate(hash, "abcdef", "012345")
+        at = lambda sign, dot: F.concat(F.substring_index(v, "@", 1), F.lit(sign), F.replace(F.substring_index(v, "@", -1), F.lit("."), F.lit(dot)))
+        forms = {
+            "email": ([at(" [at] ", "."), at("(at)", " [dot] "), at(" (at) ", "(dot)")], [F.substring_index(v, ".", 1)]),
+            "ip": ([F.concat_ws(":", F.lit("2001"), *short), F.concat_ws(":", F.lit("2001"), F.lit("db8"), *[F.lit("0")] * 4, *short[:2])],
+                   [F.concat(v, F.lit("99")), F.concat_ws(":", *[F.substring(clock, 2 * i + 1, 2) for i in range(8)])]),
+            "card": ([F.regexp_replace(number, "([0-9]{4})(?=[0-9])", "$1."), checked(F.left(number, F.lit(14))), checked(F.left(number, F.lit(12)))],
+                     [F.concat(F.left(v, F.length(v) - 1), F.pmod(F.right(v, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))]),
+            "phone": ([local, F.regexp_replace(local, r"^([0-9]{2,4})[ .-]", "($1) "), F.regexp_replace(local, "[ -]", "."),
+                       F.regexp_replace(F.concat(F.lit("00"), F.substring(v, 2, 99)), "[()]", "")], [F.left(number, F.lit(6))]),
+        }
+        out = F.array().cast("array<struct<value:string,label:int>>")
+        for i, kind in enumerate(KINDS):
+            right, wrong = forms[kind]
+            out = F.when(s["kind"] == i, F.array(*[F.struct(x.alias("value"), F.lit(label).alias("label"))
+                                                   for label, xs in ((1, right), (0, wrong)) for x in xs])).otherwise(out)
+        out = F.filter(F.array_distinct(out), lambda o: o["value"].isNotNull() & (o["value"] != v))
+        return F.transform(out, lambda o: F.struct(s.withField("value", o["value"]).alias("s"), o["label"].alias("label"), v.alias("origin")))
+
+    apart = F.filter(wide, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+    other = F.filter(F.transform(apart, lambda w: F.struct(w.alias("s"), proof(w).alias("label"), w["value"].alias("origin"))),
+                     lambda t: t["label"].isNotNull())
+    card = KINDS.index("card")
+    failed = F.filter(apart, lambda w: (w["kind"] == card) & (proof(w) == 0) & (F.pmod(F.xxhash64(w["value"], F.lit(9)), F.lit(9)) == 0))
+    chance = F.transform(failed, lambda w: changed(w, F.concat(
+        F.left(w["value"], F.length(w["value"]) - 1), F.right(checked(F.left(digits(w["value"]), F.length(digits(w["value"])) - 1)), F.lit(1))), 0))
+    return F.concat(F.transform(base, lambda s: changed(s, s["value"], 1)), F.flatten(F.transform(base, made)), other, chance)
 
 
 def tree_score(node, inputs: list[Column]) -> Column:
@@ -297,8 +351,8 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_row
     """One row per document: doc_id, base and added spans (kind, start, end, value, ...).
 
     Base spans follow the fixed formats and always stay. Wider formats propose more; trees
-    trained on the corpus' own base spans, on altered copies of them and on proposals that are
-    none choose among these above a threshold calibrated per kind. Each text is searched on
+    trained on the corpus' own base spans, on altered copies of them and on proposals that a
+    proof decides (see ``training``) choose among these above a threshold calibrated per kind. Each text is searched on
     its own, whole, so copies agree. A null or empty text has no spans, an empty table gives
     no rows, repeated rows and other columns do not matter.
     """
