@@ -23,9 +23,12 @@ WIDEST = 128             # a beam beyond it would cost more than comparing all n
 UPPER, STARTS = 24, 8    # beam on upper levels, and what of it enters the next one
 CHUNK = 512              # queries searched side by side
 EXPAND = 4               # beam members expanded in one step
-AUDITED = 128            # queries that a task compares with brute force before it searches all
-AUDITED_LINKED = 24      # queries with links that it compares afterwards
-RECALL = 0.99            # least share of the audited links that must be found
+AUDITED = 128            # queries, at least, that a task compares with all nodes before it searches the rest
+AUDIT_SHARE = 64         # one in so many queries of a block, at least
+FEW = 8                  # links of a query; those of more are audited apart
+LEAST_LINKED = 100       # queries of few links that an audit must rest on
+AUDITED_LINKED = 24      # queries found to have few links, and many, that it compares afterwards
+RECALL = 0.99            # least share of its links that an audited query must find, on average
 
 
 class Graph:
@@ -182,19 +185,24 @@ def _build(cell: pd.DataFrame) -> pd.DataFrame:
                          "nodes": [nodes.tobytes()], "raw": [raw.tobytes()], "copies": [cell["copies"].to_numpy()[order].tobytes()]})
 
 
-def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float) -> list[np.ndarray]:
+def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float,
+          own: np.ndarray | None = None) -> list[np.ndarray]:
     """Positions whose cosine with each query reaches ``least``, verified in double precision.
+    ``own`` has each query's own position, or -1; it counts as no link in audits.
 
-    The beam doubles until two audits by brute force find enough: one of queries drawn before
-    the block is searched, so that a beam too narrow is not tried on all of it, and one of
-    queries that have links, after it. In place of a beam beyond ``WIDEST`` all nodes are
-    compared.
+    Queries are drawn and compared with all nodes until ``LEAST_LINKED`` of them have few links;
+    where a block has no more than that, all of it is compared. The beam then doubles until the
+    drawn queries find enough of their links, each query counting alike and those of few and of
+    many links apart, and so do queries of the rest that were found to have links. In place of a
+    beam beyond ``WIDEST`` all nodes are compared.
     """
     margin = np.float32(least - 1e-4)
     rng = np.random.default_rng(len(queries))
+    own = np.full(len(queries), -1) if own is None else own
 
-    def search(part: np.ndarray, width: int | None) -> list[np.ndarray]:
-        found, small = [], part.astype(np.float32)
+    def search(at: np.ndarray, width: int | None) -> list[np.ndarray]:
+        found, part = [], queries[at]
+        small = part.astype(np.float32)
         for i in range(0, len(part), CHUNK):
             chunk = small[i:i + CHUNK]
             if width is None:
@@ -205,21 +213,38 @@ def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float) ->
                       for query, row, s in zip(chunk, ids, sims)]
         return [ids[exact[ids] @ query >= least] if len(ids) else ids for ids, query in zip(found, part)]
 
-    def passes(found: list[np.ndarray], true: int) -> bool:
-        return sum(map(len, found)) >= RECALL * true
-
-    drawn = queries[rng.choice(len(queries), min(len(queries), AUDITED), replace=False)]
-    true = int((drawn @ exact.T >= least).sum())
-    width = BEAM
-    while width <= min(WIDEST, len(exact)):
-        if passes(search(drawn, width), true):
-            found = search(queries, width)
-            having = np.flatnonzero([len(f) > 1 for f in found])
-            having = rng.choice(having, min(len(having), AUDITED_LINKED), replace=False)
-            if passes([found[i] for i in having], int((queries[having] @ exact.T >= least).sum())):
-                return found
+    def strata(found: list[np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The links of each query, and which queries have few and which many."""
+        n = np.array([len(ids) - int((ids == o).any()) for ids, o in zip(found, own[at])], np.int64)
+        return n, np.flatnonzero((n > 0) & (n <= FEW)), np.flatnonzero(n > FEW)
+
+    def passes(found: list[np.ndarray], true: list[np.ndarray], at: np.ndarray) -> bool:
+        n, *groups = strata(true, at)
+        share = strata(found, at)[0] / np.maximum(n, 1)
+        return all(share[group].mean() >= RECALL for group in groups if len(group))
+
+    order = rng.permutation(len(queries))
+    size, known = max(AUDITED, len(queries) // AUDIT_SHARE), []
+    while True:
+        known += search(order[len(known):size], None)
+        drawn = order[:len(known)]
+        _, few, many = strata(known, drawn)
+        if len(few) >= LEAST_LINKED or len(known) == len(order):
+            break
+        size *= 2
+    rest, linked = order[len(known):], np.concatenate([few, many])
+    true = [known[i] for i in linked]
+    width, found = BEAM, None
+    while len(rest) and found is None and width <= min(WIDEST, len(exact)):
+        if passes(search(drawn[linked], width), true, drawn[linked]):
+            found = search(rest, width)
+            having = np.concatenate([rng.choice(group, min(len(group), AUDITED_LINKED), replace=False)
+                                     for group in strata(found, rest)[1:]])
+            if not passes([found[i] for i in having], search(rest[having], None), rest[having]):
+                found = None
         width *= 2
-    return search(queries, None)
+    known += search(rest, None) if found is None else found
+    return [known[i] for i in np.argsort(order)]
 
 
 def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
@@ -231,7 +256,9 @@ def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
     copies = np.frombuffer(row["copies"], np.int64)
     exact = unit(np.frombuffer(row["raw"], np.float64).reshape(len(nodes), -1))
     own = block["node"].to_numpy()
-    found = links(graph, exact, unit(np.array([v for v in block["v"]], np.float64)), COSINE)
+    place = np.argsort(nodes)
+    at = place[np.minimum(np.searchsorted(nodes[place], own), len(nodes) - 1)]
+    found = links(graph, exact, unit(np.array([v for v in block["v"]], np.float64)), COSINE, np.where(nodes[at] == own, at, -1))
     root: dict[int, int] = {}
 
     def top(x: int) -> int:
