@@ -1,4 +1,4 @@
-"""Scores of a hashed maximum-entropy language model with a class-factored softmax."""
+"""Scores of a hashed maximum-entropy language model with a softmax factored into a tree of classes."""
 from __future__ import annotations
 
 import math
@@ -12,13 +12,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import documents, small_batches, stage
+from pagewright.llm.common import documents, small_batches, stage, unstage
 
 END = b" "               # no word holds a blank
 FREQUENT = 200_000       # words with counts that every worker holds, at most
 LONGEST = 64             # bytes of such a word, at most
-CLASSES = WIDTH = 16     # the commonest CLASSES * WIDTH words are predicted each by itself
-FEATURES = 1 << 12       # rows of the hashed weight table
+WIDTH = 16               # branches of a class: classes or words
+LEAST_FEATURES = 1 << 12  # rows of the hashed weight table at least; else one for so many distinct words ...
+ROW_WORDS = 4
+ROW_TOKENS = 128         # ... or tokens
+PART_TOKENS = 20_000_000  # tokens that one partition steps along, about
 HASHED = 3               # features of a token: previous word, the one before (skip), both
 ROUNDS = 2               # rounds of updates; each trains on its own share of the documents
 RATE = 0.15
@@ -43,32 +46,65 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"word": list(found), "c": list(found.values())})
 
 
+def tree(masses: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parent, branch) of all leaves, then of all classes, and the logarithms of the shares of
+    each class's branches. The lightest classes are joined first, so that common words have
+    short paths; the last class is the root and its parent is -1."""
+    n = len(masses)
+    empty = max(WIDTH - n, 0) or -(n - 1) % (WIDTH - 1)
+    order = np.argsort(masses, kind="stable")
+    light = [1e-12] * empty + masses[order].tolist()
+    classes = (len(light) - 1) // (WIDTH - 1)
+    share, made = np.zeros((classes, WIDTH)), []
+    above, place_of = np.zeros(len(light), np.int32), np.zeros(len(light), np.int8)  # of leaves, lightest first
+    parent, branch = np.full(n + classes, -1, np.int32), np.zeros(n + classes, np.int8)
+    i = j = 0
+    for k in range(classes):
+        for place in range(WIDTH):
+            if j >= len(made) or (i < len(light) and light[i] <= made[j]):
+                share[k, place], above[i], place_of[i] = light[i], k, place
+                i += 1
+            else:
+                share[k, place], parent[n + j], branch[n + j] = made[j], k, place
+                j += 1
+        made.append(float(share[k].sum()))
+    parent[order], branch[order] = above[empty:], place_of[empty:]
+    return parent, branch, np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
+
+
 class Model:
-    """Biases start at the logarithms of the counts, weights at 0: a unigram model at first."""
+    """Biases start at the logarithms of the counts, weights at 0: a unigram model at first.
+
+    A leaf of the tree is a word of the table or a bucket of other words; ``buckets`` has the
+    counts of these, half a count for each word and for one unseen word included."""
 
-    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int):
-        self.total, self.distinct = total, distinct
+    def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, buckets: np.ndarray):
+        self.total, self.distinct, self.buckets = total, distinct, buckets
         self.counts = dict(zip(words, counts))
         self.ids = {w: i for i, w in enumerate(words)}
-        self.head = min(len(words), CLASSES * WIDTH)
-        top = np.full(CLASSES * WIDTH, 1e-9)
-        top[:self.head] = counts[:self.head]
-        per = top.reshape(CLASSES, WIDTH)
-        self.other_total = total - sum(counts[:self.head])
-        self.other_mass = self.other_total + 0.5 * (distinct - self.head + 1)
-        classes = np.append(per.sum(axis=1), self.other_mass)
-        self.class_bias = np.log(classes / classes.sum()).astype(np.float32)
-        self.word_bias = np.log(per / per.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.class_weight = np.zeros((FEATURES, CLASSES + 1), np.float32)
-        self.word_weight = np.zeros((FEATURES, CLASSES, WIDTH), np.float32)
+        self.parent, self.branch, self.bias = tree(np.concatenate([np.array(counts, float) + 0.5, buckets]))
+        self.leaves = len(words) + len(buckets)
+        self.rows = 1 << (max(LEAST_FEATURES, distinct // ROW_WORDS, total // ROW_TOKENS) - 1).bit_length()
+        self.weight = np.zeros((self.rows, WIDTH), np.float32)
+
+    def __getstate__(self) -> dict:
+        """What travels to workers: of the weights only rows that moved."""
+        at = np.flatnonzero(self.weight.any(axis=1))
+        return self.__dict__ | {"weight": (at.astype(np.int32), self.weight[at])}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state
+        at, moved = state["weight"]
+        self.weight = np.zeros((self.rows, WIDTH), np.float32)
+        self.weight[at] = moved
 
     def encode(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, features) of all tokens; a word outside the table has an id by its hash."""
-        ids, known = [], self.ids.get
+        """(leaves, features) of all tokens; a word outside the table has the leaf of its bucket."""
+        ids, known, first, buckets = [], self.ids.get, len(self.ids), len(self.buckets)
         for words in found:
             ids.append(-1)
             ids.append(-1)
-            ids += [i if (i := known(w)) is not None else FREQUENT + (zlib.crc32(w) & 0xFFFF) for w in words]
+            ids += [i if (i := known(w)) is not None else first + zlib.crc32(w) % buckets for w in words]
         ids = np.array(ids, np.int64)
         starts = np.cumsum([0, *[len(w) + 2 for w in found]])[:-1]
         real = np.ones(len(ids), bool)
@@ -78,58 +114,63 @@ class Model:
         mixed = np.stack([one * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1),
                           two * np.uint64(0xD1342543DE82EF95) + np.uint64(2),
                           (one * np.uint64(0x9E3779B97F4A7C15) ^ two * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)], 1)
-        return ids[at], (mixed >> np.uint64(40) & np.uint64(FEATURES - 1)).astype(np.int64)
-
-    def _softmax(self, logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return logits
+        return ids[at], mixed ^ (mixed >> np.uint64(29))
 
     def forward(self, ids: np.ndarray, x: np.ndarray):
-        """Class probabilities; for words of the head also those within their class."""
-        head = ids < self.head
-        label = np.where(head, ids // WIDTH, CLASSES)
-        p = self._softmax(self.class_bias + self.class_weight[x[:, 0]] + self.class_weight[x[:, 1]] + self.class_weight[x[:, 2]])
-        inner, c, xh = ids[head], label[head], x[head]
-        q = self._softmax(self.word_bias[c] + self.word_weight[xh[:, 0], c] + self.word_weight[xh[:, 1], c] + self.word_weight[xh[:, 2], c])
-        return head, label, p, inner % WIDTH, c, xh, q
+        """For every class on the way from the root to each token: the token, the branch taken,
+        rows of the weight table, probabilities of the branches."""
+        tokens, nodes, branches = [], [], []
+        token, node = np.arange(len(ids)), ids
+        while len(token):
+            up = self.parent[node]
+            on = up >= 0
+            token, taken, up = token[on], self.branch[node[on]], up[on]
+            tokens.append(token)
+            nodes.append(up)
+            branches.append(taken)
+            node = up.astype(np.int64) + self.leaves
+        token, node, taken = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(branches)
+        mixed = (x[token] + node.astype(np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xFF51AFD7ED558CCD)
+        rows = (mixed >> np.uint64(64 - self.rows.bit_length() + 1)).astype(np.int64)
+        p = self.bias[node]
+        for j in range(HASHED):
+            p += self.weight[rows[:, j]]
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        return token, taken, rows, p
 
     def log10(self, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """log10 P(token | context); for a word outside the head, of its class alone."""
-        head, label, p, inner, _, _, q = self.forward(ids, x)
-        out = np.log10(p[np.arange(len(ids)), label].astype(float))
-        out[head] += np.log10(q[np.arange(len(inner)), inner].astype(float))
-        return out
-
-    def update(self, ids: np.ndarray, x: np.ndarray, memory: tuple[np.ndarray, np.ndarray]) -> None:
-        """One step along the gradient of the log likelihood, scaled by past gradients."""
-        head, label, p, inner, c, xh, q = self.forward(ids, x)
-        p[np.arange(len(ids)), label] -= 1
-        q[np.arange(len(inner)), inner] -= 1
-        for weight, past, grad, rows in (
-                (self.class_weight, memory[0], p, x),
-                (self.word_weight.reshape(FEATURES * CLASSES, WIDTH), memory[1], q, xh * CLASSES + c[:, None])):
-            width = weight.shape[1]
-            step = np.zeros(weight.size)
-            for j in range(HASHED):
-                at = rows[:, j, None] * width + np.arange(width)
-                step += np.bincount(at.ravel(), grad.ravel(), weight.size)
-            step = step.reshape(weight.shape).astype(np.float32)
-            past += step * step
-            weight -= RATE * step / np.sqrt(past + 1.0)
+        """log10 P(leaf | context) of each token."""
+        token, taken, _, p = self.forward(ids, x)
+        return np.bincount(token, np.log10(np.maximum(p[np.arange(len(taken)), taken].astype(float), 1e-30)), len(ids))
+
+    def update(self, ids: np.ndarray, x: np.ndarray, past: np.ndarray, touched: np.ndarray) -> None:
+        """One step along the gradient of the log likelihood, scaled by past gradients, in the
+        rows that the tokens touch."""
+        _, taken, rows, p = self.forward(ids, x)
+        p[np.arange(len(taken)), taken] -= 1
+        flat = rows.ravel()
+        order = np.argsort(flat)
+        flat = flat[order]
+        starts = np.flatnonzero(np.diff(flat, prepend=-1))
+        at = flat[starts]
+        step = np.add.reduceat(p[order // HASHED], starts, axis=0)
+        past[at] += step * step
+        self.weight[at] -= RATE * step / np.sqrt(past[at] + 1)
+        touched[at] += np.diff(starts, append=len(flat))
 
 
 def _train(model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = model.class_weight.copy(), model.word_weight.copy()
-        memory = np.zeros_like(start[0]), np.zeros((FEATURES * CLASSES, WIDTH), np.float32)
-        held, size, seen = [], 0, 0
+        start, past = model.weight.copy(), np.zeros_like(model.weight)
+        touched = np.zeros(model.rows, np.float32)
+        held, size = [], 0
 
         def step():
             ids, x = model.encode(held)
             for i in range(0, len(ids), BATCH):
-                model.update(ids[i:i + BATCH], x[i:i + BATCH], memory)
+                model.update(ids[i:i + BATCH], x[i:i + BATCH], past, touched)
 
         for batch in batches:
             for text in batch["text"]:
@@ -137,56 +178,72 @@ def _train(model: Model):
                 size += len(held[-1])
                 if size >= BATCH:
                     step()
-                    seen, held, size = seen + size, [], 0
+                    held, size = [], 0
         if held:
             step()
-            seen += size
-        if not seen:
-            return
-        moved = np.concatenate([model.class_weight - start[0], (model.word_weight - start[1]).reshape(FEATURES, -1)], 1)
-        rows = [(moved[i:i + BLOCK] * np.float32(seen)).astype("<f4").tobytes() for i in range(0, FEATURES, BLOCK)]
-        yield pd.DataFrame({"block": range(len(rows)), "part": TaskContext.get().partitionId(), "seen": seen, "moved": rows})
+        part = TaskContext.get().partitionId()
+        for i in range(0, model.rows, BLOCK * 256):
+            out = []
+            for j in range(i, min(i + BLOCK * 256, model.rows), BLOCK):
+                at = np.flatnonzero(touched[j:j + BLOCK])
+                if len(at):
+                    out.append((j // BLOCK, part, at.astype("u1").tobytes(), touched[j + at].astype("<f4").tobytes(),
+                                (model.weight[j + at] - start[j + at]).astype("<f2").tobytes()))
+            if out:
+                yield pd.DataFrame(out, columns=["block", "part", "at", "touched", "moved"])
 
     return run
 
 
+def _mean(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Touches and the mean movement of each row of a block, weighted by touches."""
+    touched, moved = np.zeros(BLOCK), np.zeros((BLOCK, WIDTH))
+    for at, n, steps in zip(group["at"], group["touched"], group["moved"]):
+        at, n = np.frombuffer(at, "u1"), np.frombuffer(n, "<f4").astype(float)
+        touched[at] += n
+        moved[at] += np.frombuffer(steps, "<f2").reshape(-1, WIDTH) * n[:, None]
+    return touched, moved / np.maximum(touched, 1)[:, None]
+
+
 def _add(group: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(m, "<f4").astype(float) for m in group["moved"])
+    touched, moved = _mean(group)
+    at = np.flatnonzero(touched)
     return pd.DataFrame({"block": group["block"].iloc[:1], "part": group["part"].iloc[:1] // 256,
-                         "seen": [int(group["seen"].sum())], "moved": [total.astype("<f4").tobytes()]})
+                         "at": [at.astype("u1").tobytes()], "touched": [touched[at].astype("<f4").tobytes()],
+                         "moved": [moved[at].astype("<f2").tobytes()]})
 
 
-UPDATE = "block int, part int, seen long, moved binary"
+UPDATE = "block int, part int, at binary, touched binary, moved binary"
 
 
 def train(model: Model, docs: DataFrame, rounds: int = ROUNDS) -> Model:
     """Rounds of distributed updates: every partition steps along its own documents from the
-    same model; the steps are averaged, weighted by tokens, 256 partitions at a time."""
+    same model; the steps of each row are averaged, weighted by how often documents touch it, 256
+    partitions at a time."""
+    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, model.total // PART_TOKENS)
     for turn in range(rounds):
         share = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        sums = share.select("text").mapInPandas(_train(model), UPDATE)
-        sums = stage(sums, "updates")
+        sums = stage(share.select("text").coalesce(parts).mapInPandas(_train(model), UPDATE), "updates")
         while True:
-            sums = stage(sums.groupBy("block", F.floor(F.col("part") / 256).alias("g")).applyInPandas(_add, UPDATE), "updates")
+            each, sums = sums, stage(sums.groupBy("block", F.floor(F.col("part") / 256).alias("g")).applyInPandas(_add, UPDATE), "updates")
+            unstage(each)
             if (sums.agg(F.max("part")).first()[0] or 0) == 0:
                 break
-        # FEATURES / BLOCK rows, the size of the model
+        # rows / BLOCK rows, the size of the model
         for row in sums.toLocalIterator():
-            moved = np.frombuffer(row["moved"], "<f4").reshape(BLOCK, -1) / max(row["seen"], 1)
-            at = slice(row["block"] * BLOCK, (row["block"] + 1) * BLOCK)
-            model.class_weight[at] += moved[:, :CLASSES + 1]
-            model.word_weight[at] += moved[:, CLASSES + 1:].reshape(BLOCK, CLASSES, WIDTH)
+            at = np.frombuffer(row["at"], "u1").astype(np.int64) + row["block"] * BLOCK
+            model.weight[at] += np.frombuffer(row["moved"], "<f2").reshape(-1, WIDTH).astype(np.float32)
+        unstage(sums)
     return model
 
 
 def _score(model: Model):
     z = math.log10(model.total + 0.5 * (model.distinct + 1))
-    z_other = math.log10(model.other_mass)
+    bucket_logs = np.log10(model.buckets)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         row = TaskContext.get().partitionId() << 36
         logs = {w: math.log10(c + 0.5) for w, c in model.counts.items()}
-        tail_logs = {w: logs[w] for w, i in model.ids.items() if i >= model.head}
         for batch in batches:
             found = [tokens(text) for text in batch["text"]]
             ids, x = model.encode(found)
@@ -203,11 +260,11 @@ def _score(model: Model):
                 base[i] = math.fsum(held) - len(words) * z
                 rest += [(row + i, w, n) for w, n in Counter(rare).items()]
             sizes = np.array([len(f) for f in found])
-            outside = np.bincount(owner, ids >= model.head, len(found))
-            tail = np.array([math.fsum(tail_logs[w] for w in words if w in tail_logs) for words in found])
+            outside = ids >= len(model.ids)  # in a bucket, by counts: the rest is added by the join
+            shared = np.bincount(owner[outside], bucket_logs[ids[outside] - len(model.ids)], len(found))
             yield pd.DataFrame({"row": row + np.arange(len(found)), "doc_id": batch["doc_id"].astype("Int64"),
                                 "held_out": batch["held_out"], "n_tokens": sizes, "n_known": known, "base": base,
-                                "score": score + tail - outside * z_other, "word": None, "tf": None})
+                                "score": score - shared, "word": None, "tf": None})
             for i in range(0, len(rest), 20_000):
                 keys, words, n = zip(*rest[i:i + 20_000])
                 yield pd.DataFrame({"row": keys, "doc_id": pd.array([None] * len(keys), "Int64"), "held_out": None,
@@ -221,11 +278,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score
     (unigrams with half a count added) and score (the model), both log10 of the whole text.
 
-    The model learns from documents whose crc32(id) mod 5 is not 1. The commonest 256 tokens
-    form 16 classes, all others a further one; a token's class, and its place in the class,
-    each follow a softmax over hashed features: the previous word, the one before it, and both.
-    Other words share their class by smoothed counts, an unseen word having half a count. All
-    training documents are counted and trained on, all documents scored.
+    The model learns from documents whose crc32(id) mod 5 is not 1. All counted words are leaves
+    of a tree of classes with 16 branches each; the branch taken in every class on the way to a
+    token follows a softmax over hashed features: the previous word, the one before it, and
+    both. Words that do not travel to workers are dealt by hash to at least as many buckets as
+    there are of them, each a leaf; those that meet in one share it by smoothed counts, an unseen
+    word having half a count. Rows of the weight table grow with words and tokens. All training
+    documents are counted and trained on, all documents scored.
 
     Counts of at most ``FREQUENT`` words, all of a count that few enough words reach, travel to
     workers; other words are joined with the table of counts. A null text is empty and has the
@@ -251,7 +310,12 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     top = counts.where((F.octet_length("word") <= LONGEST) & (step >= least)).toPandas()
     top["word"] = top["word"].map(bytes)
     top = top.sort_values(["c", "word"], ascending=[False, True])
-    model = Model(top["word"].tolist(), top["c"].tolist(), total, distinct)
+    outside = counts.where((F.octet_length("word") > LONGEST) | (step < least))
+    buckets = np.full(1 << max(distinct - len(top) - 1, 0).bit_length(), 0.5)
+    # a row for each bucket, so about one for each word outside the table
+    other = outside.groupBy(F.pmod(F.crc32("word"), F.lit(len(buckets))).alias("b")).agg(F.sum(F.col("c") + 0.5).alias("m")).toPandas()
+    buckets[other["b"].to_numpy(np.int64)] += other["m"].to_numpy(float)
+    model = Model(top["word"].tolist(), top["c"].tolist(), total, distinct, buckets)
     if total:
         model = train(model, learn)
 
