@@ -35,7 +35,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("ngram_jaccard", ngram_jaccard), ("pii", personal_data),
           ("mixing", mix), ("packing", pack)]
 
-# The trained stages cannot be said in SQL; tests hold every stage against brute force.
+# The trained stages cannot be said in SQL; tests hold the columns and rows of every stage.
 ORACLE_SQL = None
 
 
