@@ -1,7 +1,8 @@
-"""Every registered query against its SQL oracle on the smallest tables."""
+"""Every registered query of the plans against its SQL oracle on the smallest tables."""
 import pytest
 
 import __spark_entry__ as entry
+from pagewright.plans import registry
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,10 +16,10 @@ def duck():
 
 @pytest.fixture(scope="module")
 def registered(spark):
-    return entry.queries(), entry.oracle_sql()
+    return registry.queries(), registry.oracles()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, duck, registered, name):
     queries, oracle = registered
     df = queries[name](spark, SF_DIR)
