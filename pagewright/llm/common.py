@@ -34,6 +34,34 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+FEW_KEYS = 200_000  # keys that are sent to every task; more are joined by shuffle
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that the table does not have yet, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
+def content_hash(df: DataFrame, salt: int = 0) -> Column:
+    """64 bits of a row's whole content; equal rows have equal ones."""
+    return F.xxhash64(F.lit(salt), *[df[f"`{c}`"] for c in df.columns])
+
+
+def without(df: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
+    """The rows whose ``keys`` equal no row of the staged table ``gone``; it travels if it is small."""
+    names = [fresh_name(df, f"_gone{i}") for i in range(len(keys))]
+    gone = gone.toDF(*names)
+    if gone.count() <= FEW_KEYS:
+        gone = F.broadcast(gone)
+    equal = F.lit(True)
+    for name, key in zip(names, keys):
+        equal = equal & (key == F.col(name))
+    return df.join(gone, equal, "left_anti")
+
+
 ROW_KEY = "_row_key"
 
 

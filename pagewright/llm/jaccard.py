@@ -3,24 +3,29 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import ROW_KEY, documents, keyed_rows, small_batches, stage, unstage
+from pagewright.llm.common import content_hash, documents, fresh_name, small_batches, stage, unstage, without
 from pagewright.llm.components import components
 
 SIZE, PERCENT = 4, 85
 ORDERS = 3               # token orders whose prefix filters are intersected
 SKETCH = 1 << 20         # counters of the frequency sketch; bounds what is broadcast
+BLOCK = 1 << 10          # counters in one row
 CACHED_WORDS = 500_000   # a worker forgets its words beyond that
 STAR_ROUNDS = 6
 FEW_PAIRS = 4            # with fewer open pairs per listed document, star rounds end
 PARITY_WORDS = 8         # 64-bit words of a set's parity sketch
 PARITY = [f"p{i}" for i in range(PARITY_WORDS)]
+SHARE_WORDS = 2          # 64-bit words of the signature of a prefix
+SHARES = [f"s{order}_{i}" for order in range(1, ORDERS) for i in range(SHARE_WORDS)]
+DETAILS = ["n", *PARITY, *SHARES]
 LARGE = 128 * PARITY_WORDS  # sets of more tokens also have a long parity sketch
 
 
@@ -57,13 +62,24 @@ def prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n // 100) + 1
 
 
-def prefix(tokens: np.ndarray, levels: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens in a global order: rare levels first, then a hash of the token."""
+def prefix(tokens: np.ndarray, levels: np.ndarray | None, order: int, percent: int) -> np.ndarray:
+    """The first tokens in a global order: by a hash of the token, in the first order after its
+    level, rare ones first."""
     p = prefix_length(len(tokens), percent)
-    seed = np.uint64(order * 0xD1342543DE82EF95 % (1 << 64))
-    rank = mix64(tokens + seed) >> np.uint64(8)
-    rank |= levels[(tokens % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
-    return tokens[np.argpartition(rank, p - 1)[:p]] if p < len(tokens) else tokens
+    if p >= len(tokens):
+        return tokens
+    rank = mix64(tokens + np.uint64(order * 0xD1342543DE82EF95 % (1 << 64)))
+    if order == 0:
+        rank = rank >> np.uint64(8) | levels[(tokens % np.uint64(SKETCH)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
+    return tokens[np.argpartition(rank, p - 1)[:p]]
+
+
+def signature(tokens: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """Each token of the prefix sets a bit; where two signatures share none, neither do the prefixes."""
+    bits = np.zeros(64 * SHARE_WORDS, np.uint8)
+    if len(tokens):
+        bits[(mix64(prefix(tokens, None, order, percent)) % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
 
 
 def node_of(tokens: np.ndarray) -> int:
@@ -99,38 +115,64 @@ def parities_differ(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _nodes(size: int):
+NODE = ("doc_id long, key long, pick long, node long, long binary, block int, counts binary, "
+        + ", ".join(f"{c} long" for c in DETAILS))
+
+
+def _nodes(size: int, percent: int):
+    """A row for each document, then the task's sketch: in how many sets a token's counter occurs."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int64), set()
+        hashes, counts, seen = WordHashes(), np.zeros(SKETCH, np.int32), set()
         for batch in batches:
-            n, node, bits, long = [], [], [], []
+            node, long, details = [], [], []
             for text in batch["text"]:
                 tokens = shingles(text, size, hashes)
-                n.append(len(tokens))
-                bits.append(parity(tokens))
-                long.append(long_parity(tokens))
                 node.append(node_of(tokens))
+                long.append(long_parity(tokens))
+                details.append(np.concatenate([[len(tokens)], parity(tokens), *[signature(tokens, o, percent) for o in range(1, ORDERS)]]))
                 if node[-1] not in seen and len(tokens):
                     seen.add(node[-1])
                     np.add.at(counts, (tokens % np.uint64(SKETCH)).astype(np.int64), 1)
                     if len(seen) > 1_000_000:
                         seen.clear()
-            bits = np.array(bits).reshape(-1, PARITY_WORDS)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "key": batch["key"], "pick": batch["pick"], "n": n, "node": node, "long": long,
-                                "bucket": None, "df": None} | {p: bits[:, i] for i, p in enumerate(PARITY)})
-        used = np.flatnonzero(counts)
-        for part in np.array_split(used, max(1, len(used) // 50_000)):
-            yield pd.DataFrame({"doc_id": None, "key": None, "pick": None, "n": None, "node": None, "long": None,
-                                "bucket": part, "df": counts[part]} | dict.fromkeys(PARITY))
+            details = np.array(details, np.int64).reshape(-1, len(DETAILS))
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64").array, "key": batch["key"].astype("Int64").array, "pick": batch["pick"],
+                                "node": node, "long": long, "block": None, "counts": None} | {c: details[:, i] for i, c in enumerate(DETAILS)})
+        blocks = counts.reshape(-1, BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        none = pd.array([None] * len(used), "Int64")
+        yield pd.DataFrame({"doc_id": none, "key": none, "pick": none, "node": none, "long": None, "block": used,
+                            "counts": [blocks[i].tobytes() for i in used]} | {c: none for c in DETAILS})
 
     return run
 
 
+def _total(group: pd.DataFrame) -> pd.DataFrame:
+    """The sum of a block of counters over all tasks."""
+    sums = np.zeros(BLOCK, np.int64)
+    for counts in group["counts"]:
+        sums += np.frombuffer(counts, np.int32)
+    return pd.DataFrame({"block": group["block"].iloc[:1], "counts": [sums.tobytes()]})
+
+
+def levels_of(sketch: DataFrame) -> np.ndarray:
+    """Levels of tokens by counter: 0 for usual ones, then by the logarithm of how frequent they
+    are. ``SKETCH`` counters reach the driver."""
+    df = np.zeros(SKETCH, np.int64)
+    for r in sketch.groupBy("block").applyInPandas(_total, "block int, counts binary").toLocalIterator():
+        df[r.block * BLOCK:(r.block + 1) * BLOCK] = np.frombuffer(r.counts, np.int64)
+    mean = df.sum() / SKETCH
+    levels = np.zeros(SKETCH, np.uint8)
+    frequent = df > mean + 6 * mean ** 0.5 + 2
+    levels[frequent] = np.ceil(np.log2(df[frequent] - mean) * 4).clip(1, 255).astype(np.uint8)
+    return levels
+
+
 def _postings(size: int, percent: int, levels: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, seen = WordHashes(), set()
         for batch in batches:
-            tokens, nodes, sizes = [], [], []
+            tokens, nodes = [], []
             for text in batch["text"]:
                 found = shingles(text, size, hashes)
                 if not len(found) or (node := node_of(found)) in seen:
@@ -139,12 +181,10 @@ def _postings(size: int, percent: int, levels: np.ndarray):
                 first = prefix(found, levels, 0, percent)
                 tokens.append(first.view(np.int64))
                 nodes.append(np.full(len(first), node))
-                sizes.append(np.full(len(first), len(found)))
                 if len(seen) > 1_000_000:
                     seen.clear()
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens), "node": np.concatenate(nodes),
-                                    "n": np.concatenate(sizes)})
+                yield pd.DataFrame({"token": np.concatenate(tokens), "node": np.concatenate(nodes)})
 
     return run
 
@@ -196,17 +236,20 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     """One row per document: doc_id, n_shingles and component_id, the smallest id that links
     of Jaccard similarity ``percent``/100 or more reach.
 
-    Documents of equal sets are one node. A global order puts shingles of rare sketch
-    counters first, so passages that many documents share stay out of prefixes; the order
-    within a level is a hash, different in each of the ``ORDERS`` orders. Candidates share a
-    prefix token under the first order, found by an inverted list, and of these only pairs
-    that also share one under all other orders are verified, exactly, on whole sets.
+    Documents of equal sets are one node. The first global order puts shingles of rare sketch
+    counters first, so passages that many documents share stay out of prefixes; the other orders
+    are hashes of the token. Candidates share a prefix token under every one of the ``ORDERS``
+    orders: under the first by an inverted list, under the others by bit signatures of the
+    prefixes that each member of a list carries, so that a pair whose signatures share no bit is
+    not emitted. Sizes and parity sketches exclude pairs in the same way. What is left is
+    verified, exactly, on prefixes and whole sets.
 
     No list emits all its pairs: in star rounds every member of a list is compared with one
-    leader of the list in another component, and components are joined. In the last step the
-    members outside a list's largest component meet the members of other components, so no
-    link that could join two components is lost, whatever the size of a list. Pairs whose
-    sizes or parity sketches rule out the similarity are not emitted, or not verified.
+    leader of the list in another component, and components are joined. The first leader of a
+    list is the node that shares most prefix tokens with others, such as the text from which
+    copies were made. In the last step the members outside a list's largest component meet the
+    members of other components, so no link that could join two components is lost, whatever
+    the size of a list.
 
     Words are lower-cased in A-Z only; a document with fewer words than ``size`` has its
     whole sequence as one shingle; one without words, or null, is linked with nothing. Rows of
@@ -227,35 +270,26 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"),
                        (F.col(key) if key else F.lit(None)).cast("long").alias("key"))
     keyed = slim.withColumn("pick", F.xxhash64("doc_id", F.xxhash64("text")))
-    both = stage(keyed.mapInPandas(_nodes(size), "doc_id long, key long, pick long, n long, node long, long binary, bucket long, df long, "
-                                   + ", ".join(f"{p} long" for p in PARITY)), "nodes")
-    nodes = both.where("bucket IS NULL").drop("bucket", "df")
-
-    # at most SKETCH rows, and only counters well above the mean, reach the driver
-    sketch = both.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("df").alias("df"))
-    mean = (sketch.agg(F.sum("df")).first()[0] or 0) / SKETCH
-    floor = mean + 6 * mean ** 0.5 + 2
-    frequent = sketch.where(F.col("df") > floor).toPandas()
-    levels = np.zeros(SKETCH, np.uint8)
-    if len(frequent):
-        over = frequent["df"].to_numpy() - mean
-        levels[frequent["bucket"].to_numpy().astype(np.int64)] = np.ceil(np.log2(over) * 4).clip(1, 255).astype(np.uint8)
+    both = stage(keyed.mapInPandas(_nodes(size, percent), NODE), "nodes")
+    nodes = both.where("block IS NULL").drop("block", "counts")
+    levels = levels_of(both.where("block IS NOT NULL").select("block", "counts"))
 
-    postings = stage(slim.select("text").mapInPandas(_postings(size, percent, levels), "token long, node long, n long"),
-                     "postings")
-    shared = postings.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    lists = stage(postings.join(shared.select("token"), "token").distinct(), "lists")
-    unstage(postings)
+    # lists of at least two nodes, dealt out once
+    postings = slim.select("text").mapInPandas(_postings(size, percent, levels), "token long, node long")
+    whole_list, by_node = Window.partitionBy("token"), Window.partitionBy("token").orderBy("node")
+    lists = (postings.select("token", "node", F.count(F.lit(1)).over(whole_list).alias("c"), F.min("node").over(whole_list).alias("lo"),
+                             F.max("node").over(whole_list).alias("hi"), F.lag("node").over(by_node).alias("before"))
+             .where("lo <> hi AND (before IS NULL OR before <> node)").select("token", "node", "c"))
 
     # one document for each node
-    whole = F.struct("doc_id", "pick", *PARITY)
-    picked = nodes.groupBy("node").agg(F.min(whole).alias("r")).select("node", "r.pick", *[f"r.{p}" for p in PARITY])
-    slim_lists, lists = lists, stage(lists.join(picked, "node"), "listed")
-    unstage(slim_lists)
+    picked = nodes.groupBy("node").agg(F.min("pick").alias("pick"), *[F.min(c).alias(c) for c in DETAILS])
+    lists = stage(lists.join(picked.drop("pick"), "node").select(
+        "token", "node", F.sum("c").over(Window.partitionBy("node")).alias("hub"), *DETAILS), "listed")
 
     def named(pairs: DataFrame) -> DataFrame:
         """The nodes of the pairs and their documents."""
-        return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(picked, "node").select("node", "pick")
+        ends = pairs.select(F.col("a").alias("node")).distinct().unionByName(pairs.select(F.col("b").alias("node")).distinct())
+        return ends.distinct().join(picked.select("node", "pick"), "node")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Tested pairs. Long sketches first exclude pairs of large sets. Texts of the pairs' documents are read again: a bitmap of SKETCH counters
@@ -286,10 +320,14 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
         return found
 
     def may_link(other: str):
-        """Sizes and parity sketches allow the similarity; this never excludes a link."""
+        """Sizes, prefixes and parity sketches allow the similarity; this never excludes a link."""
         n, m = F.col("n"), F.col(f"{other}.n")
         differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}.{p}"))) for p in PARITY), F.lit(0))
-        return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+        shared = F.lit(True)
+        for order in range(1, ORDERS):
+            meet = [F.col(f"s{order}_{i}").bitwiseAND(F.col(f"{other}.s{order}_{i}")) != 0 for i in range(SHARE_WORDS)]
+            shared = shared & reduce(lambda x, y: x | y, meet)
+        return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & shared
                 & (differ * (100 + percent) <= (n + m) * (100 - percent)))
 
     def tidy(pairs: DataFrame, other: str) -> DataFrame:
@@ -298,7 +336,7 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
         pairs = pairs.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
         return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
-    whole = F.struct("node", "root", "n", *PARITY)
+    whole = F.struct("node", "root", *DETAILS)
     tested, roots, todo = None, None, None
     spent = [lists]
     listed = lists.count()
@@ -314,8 +352,10 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
             last, todo = todo, placed.agg(F.sum(F.when(F.col("root") != F.col("big"), F.col("all")))).first()[0] or 0
             if todo <= FEW_PAIRS * listed or turn == STAR_ROUNDS or (last and todo > 0.8 * last):
                 break
-        lead = placed.groupBy("token").agg(F.min_by(whole, F.xxhash64("node", F.lit(turn))).alias("l"))
-        stars = tidy(placed.join(lead, "token").where("root <> l.root").where(may_link("l")), "l")
+        # first the member that shares most, then others at random; outside the largest component in odd turns
+        outer = [(F.col("root") != F.col("big")).desc()] if turn % 2 else []
+        rank = Window.partitionBy("token").orderBy(*outer, F.xxhash64("node", F.lit(turn)) if turn > 1 else F.col("hub").desc(), "node")
+        stars = tidy(placed.withColumn("l", F.first(whole).over(rank)).where("root <> l.root").where(may_link("l")), "l")
         found = verified(stars)
         tested = found if tested is None else tested.unionByName(found)
         roots = components(tested.where("linked"))
@@ -329,20 +369,35 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
         roots = components(tested.where("linked"))
     unstage(*spent)
 
-    return (nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-            .select("doc_id", "key", "pick", "n", "root"))
+    found = stage(nodes.select("doc_id", "key", "pick", "n", "node").join(roots, "node", "left")
+                  .select("doc_id", "key", "pick", "n", F.coalesce("root", "node").alias("root")), "linked")
+    unstage(both)
+    return found
 
 
 def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
                        percent: int = 80) -> DataFrame:
     """Exactly one row of each component: that of the smallest id, rows without an id last, then
-    by a hash of the text and by place. Rows without words are in no component and all stay."""
-    rows = keyed_rows(docs)
-    found = linked(rows, doc_id, text, size, percent, ROW_KEY)
+    by hashes of the text and of the whole row; of rows equal in all columns one stays. Rows
+    without words are in no component and all stay. Rows are found again by 128 bits of their
+    content, so the table is not written with a key. Columns stay as they are."""
+    name = fresh_name(docs, "_content")
+    found = linked(docs.withColumn(name, content_hash(docs)), doc_id, text, size, percent, name)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "pick", "key")
-    first = found.where("n > 0").groupBy("root").agg(F.min(order).alias("first")).select("first.key")
-    kept = first.unionByName(found.where("n = 0").select("key"))
-    return rows.join(kept, F.col(ROW_KEY) == F.col("key"), "left_semi").drop(ROW_KEY)
+    first = found.where("n > 0").groupBy("root").agg(F.min(order).alias("first"))
+    stays = (F.col("pick") == F.col("first.pick")) & (F.col("key") == F.col("first.key"))
+    marked = found.where("n > 0").join(first, "root").groupBy("pick", "key", stays.alias("stays")).agg(F.count(F.lit(1)).alias("c"))
+    marked = stage(marked.where("NOT stays OR c > 1"), "marked")
+    unstage(found)
+
+    keys = [F.xxhash64(doc_id, F.xxhash64(text)), content_hash(docs)]
+    kept = without(docs, marked.where("NOT stays").select("pick", "key"), *keys)
+    repeated = marked.where("stays").select("pick", "key")
+    if repeated.isEmpty():
+        return kept
+    names = [fresh_name(docs, "_pick"), fresh_name(docs, "_content")]
+    again = kept.withColumns(dict(zip(names, keys))).join(repeated.toDF(*names), names, "left_semi").dropDuplicates(names)
+    return without(kept, repeated, *keys).unionByName(again.drop(*names))
 
 
 def op8_ngram_jaccard(spark, sf_dir):
