@@ -60,11 +60,3 @@ def without(df: DataFrame, gone: DataFrame, *keys: Column) -> DataFrame:
     for name, key in zip(names, keys):
         equal = equal & (key == F.col(name))
     return df.join(gone, equal, "left_anti")
-
-
-ROW_KEY = "_row_key"
-
-
-def keyed_rows(docs: DataFrame) -> DataFrame:
-    """The rows with a key of their own, written once, so that every later read sees the same keys."""
-    return stage(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()), "keyed")

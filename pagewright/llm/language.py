@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import ROW_KEY, documents, keyed_rows, small_batches, stage
+from pagewright.llm.common import content_hash, documents, fresh_name, small_batches, stage, without
 from pagewright.operators.numbering import same_keys
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -146,11 +146,12 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str | Column = "text
 
 
 def known_language(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are kept; the columns stay as they are. Every row has its own verdict:
-    rows of no id, or of one id, do not share it."""
-    rows = keyed_rows(docs)
-    gone = identify(rows, ROW_KEY, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return rows.join(gone, F.col(ROW_KEY) == F.col("_gone"), "left_anti").drop(ROW_KEY)
+    """The documents that are kept; the columns stay as they are. The verdict belongs to the
+    content of a row, by 128 bits of its hash: rows of no id, or of one id, do not share it."""
+    key = F.concat_ws("-", content_hash(docs), content_hash(docs, 1))
+    name = fresh_name(docs, "_content")
+    gone = stage(identify(docs.withColumn(name, key), name, **options).where(~F.col("kept")).select("doc_id").distinct(), "rejected")
+    return without(docs, gone, key)
 
 
 def op2_language_id(spark, sf_dir):
