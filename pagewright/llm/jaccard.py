@@ -19,6 +19,7 @@ ORDERS = 3               # token orders whose prefix filters are intersected
 SKETCH = 1 << 20         # counters of the frequency sketch; bounds what is broadcast
 BLOCK = 1 << 10          # counters in one row
 CACHED_WORDS = 500_000   # a worker forgets its words beyond that
+SHORT = 8                # a list of no more members is done at once: each meets those before it
 STAR_ROUNDS = 6
 FEW_PAIRS = 4            # with fewer open pairs per listed document, star rounds end
 PARITY_WORDS = 8         # 64-bit words of a set's parity sketch
@@ -244,7 +245,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int
     not emitted. Sizes and parity sketches exclude pairs in the same way. What is left is
     verified, exactly, on prefixes and whole sets.
 
-    No list emits all its pairs: in star rounds every member of a list is compared with one
+    No list emits all its pairs: in one of up to ``SHORT`` nodes each is compared with those before
+    it, and in star rounds every member of a longer one is compared with one
     leader of the list in another component, and components are joined. The first leader of a
     list is the node that shares most prefix tokens with others, such as the text from which
     copies were made. In the last step the members outside a list's largest component meet the
@@ -284,7 +286,7 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
     # one document for each node
     picked = nodes.groupBy("node").agg(F.min("pick").alias("pick"), *[F.min(c).alias(c) for c in DETAILS])
     lists = stage(lists.join(picked.drop("pick"), "node").select(
-        "token", "node", F.sum("c").over(Window.partitionBy("node")).alias("hub"), *DETAILS), "listed")
+        "token", "node", "c", F.sum("c").over(Window.partitionBy("node")).alias("hub"), *DETAILS), "listed")
 
     def named(pairs: DataFrame) -> DataFrame:
         """The nodes of the pairs and their documents."""
@@ -319,13 +321,14 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
         unstage(pairs, long, rated, sets)
         return found
 
-    def may_link(other: str):
+    def may_link(other):
         """Sizes, prefixes and parity sketches allow the similarity; this never excludes a link."""
-        n, m = F.col("n"), F.col(f"{other}.n")
-        differ = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}.{p}"))) for p in PARITY), F.lit(0))
+        of = (lambda c: F.col(f"{other}.{c}")) if isinstance(other, str) else lambda c: other[c]
+        n, m = F.col("n"), of("n")
+        differ = sum((F.bit_count(F.col(p).bitwiseXOR(of(p))) for p in PARITY), F.lit(0))
         shared = F.lit(True)
         for order in range(1, ORDERS):
-            meet = [F.col(f"s{order}_{i}").bitwiseAND(F.col(f"{other}.s{order}_{i}")) != 0 for i in range(SHARE_WORDS)]
+            meet = [F.col(f"s{order}_{i}").bitwiseAND(of(f"s{order}_{i}")) != 0 for i in range(SHARE_WORDS)]
             shared = shared & reduce(lambda x, y: x | y, meet)
         return ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & shared
                 & (differ * (100 + percent) <= (n + m) * (100 - percent)))
@@ -339,7 +342,7 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
     whole = F.struct("node", "root", *DETAILS)
     tested, roots, todo = None, None, None
     spent = [lists]
-    listed = lists.count()
+    listed = lists.where(F.col("c") > SHORT).count()
     for turn in range(STAR_ROUNDS + 1):
         placed = lists.withColumn("root", F.col("node")) if roots is None else \
             lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -355,8 +358,14 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
         # first the member that shares most, then others at random; outside the largest component in odd turns
         outer = [(F.col("root") != F.col("big")).desc()] if turn % 2 else []
         rank = Window.partitionBy("token").orderBy(*outer, F.xxhash64("node", F.lit(turn)) if turn > 1 else F.col("hub").desc(), "node")
-        stars = tidy(placed.withColumn("l", F.first(whole).over(rank)).where("root <> l.root").where(may_link("l")), "l")
-        found = verified(stars)
+        led = placed.withColumn("l", F.first(whole).over(rank))
+        if not turn:
+            before = Window.partitionBy("token").orderBy(F.col("hub").desc(), "node").rowsBetween(1 - SHORT, -1)
+            led = led.withColumn("met", F.collect_list(whole).over(before))
+            led = led.withColumn("met", F.when(F.col("c") <= SHORT, F.col("met")).otherwise(F.array("l")))
+            led = led.withColumn("l", F.explode(F.filter("met", lambda e: (e["node"] != F.col("node")) & may_link(e))))
+            lists = lists.where(F.col("c") > SHORT)
+        found = verified(tidy(led.where("root <> l.root").where(may_link("l")), "l"))
         tested = found if tested is None else tested.unionByName(found)
         roots = components(tested.where("linked"))
     if todo:
