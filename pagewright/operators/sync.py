@@ -5,6 +5,8 @@ Nothing here talks to a network.
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from pagewright.functions import fixed
 from pagewright.functions.text import col, is_blank, response_class, title_from_html
 from pagewright.operators.numbering import number_rows
 from pagewright.operators.tree import KEY, prefixes
+from pagewright.session import stage, unstage
 
 # ---------------------------------------------------------------- snapshots
 
@@ -350,6 +353,65 @@ def merge_state(items: DataFrame, outcomes: DataFrame) -> DataFrame:
             .drop("_uuid", "_parent", "_created"))
 
 
+def run_waves(items: DataFrame, spaces: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Items after all waves were run: merged state and ``upload_state``.
+
+    ``outcomes`` (space_key, path, page_uuid, created) tells what each request came to, one row
+    per item at most; it is a table, so a run can be repeated. One wave a turn: the requests of a
+    wave are the items whose parent is there (top-level items need none), their outcomes give the
+    parents of the next wave. A turn reads its wave and the parents just found, and writes only
+    what it found; the loop ends with the first wave that has no request.
+
+    The first root item of a space with a collection becomes created under the collection's id.
+    ``upload_state``: ``created``; ``failed`` (its own request failed); ``pending`` (requested, no
+    outcome yet); ``not attempted`` (an ancestor is not there). An item that was created
+    before keeps its state where an update of it failed, and its children still run. Items are
+    unique by space and path; outcomes of unknown items are ignored.
+    """
+    waved = (sync_waves(items).withColumn("_root", F.coalesce(F.col("path") == F.col("root_path"), F.lit(False)))
+             .select(*KEY, "parent_path", "wave", "_root", "page_uuid", "created",
+                     ((F.size("path") == 1) | F.coalesce(F.col("parent_path") == F.col("root_path"), F.lit(False))).alias("_top")))
+    waved = stage(waved, "waves")
+    came = stage(outcomes.select(*KEY, F.col("page_uuid").alias("_uuid"), F.col("created").alias("_ok")), "outcomes")
+    homes = spaces.where("collection_id IS NOT NULL").select("space_key", F.col("collection_id").alias("_home"))
+
+    def settled(requests: DataFrame) -> DataFrame:
+        """Requests with the outcome they had."""
+        before = F.coalesce("created", F.lit(False)) & F.col("page_uuid").isNotNull()
+        state = (F.when(F.coalesce("_ok", F.lit(False)) | (F.col("_ok").isNull() & F.coalesce("created", F.lit(False))), "created")
+                 .when(F.col("_ok").isNull(), "pending").when(before, "created").otherwise("failed"))
+        return (requests.join(came, KEY, "left").withColumn("upload_state", state)
+                .select(*KEY, F.coalesce(F.when(F.col("_ok"), F.col("_uuid")), "page_uuid").alias("page_uuid"), "_up", "upload_state"))
+
+    none = F.lit(None).cast("string")
+    root = (waved.where("_root").join(homes, "space_key", "left")
+            .select(*KEY, F.coalesce("_home", "page_uuid").alias("page_uuid"), none.alias("_up"),
+                    F.when(F.col("_home").isNotNull() | F.coalesce("created", F.lit(False)), "created").otherwise("pending").alias("upload_state")))
+    turns = [stage(root, "turn")]
+    wave = 1
+    while True:
+        there = turns[-1].where("upload_state = 'created' AND page_uuid IS NOT NULL").select(
+            "space_key", F.col("path").alias("parent_path"), F.col("page_uuid").alias("_up"))
+        level = waved.where((F.col("wave") == wave) & ~F.col("_root"))
+        ready = level.where("NOT _top").join(there, ["space_key", "parent_path"])
+        if wave == 1:
+            ready = ready.unionByName(level.where("_top").withColumn("_up", none))
+        turn = stage(settled(ready), "turn")
+        if turn.isEmpty():
+            unstage(turn)
+            break
+        turns.append(turn)
+        wave += 1
+    done = reduce(DataFrame.unionByName, turns).withColumnsRenamed({"page_uuid": "_uuid"})
+    return (items.drop("upload_state").join(done, KEY, "left")
+            .withColumn("upload_state", F.coalesce("upload_state", F.lit("not attempted")))
+            .withColumn("parent_uuid", F.when(F.col("upload_state") == "created", F.col("_up")).otherwise(F.col("parent_uuid")))
+            .withColumn("page_uuid", F.coalesce("_uuid", "page_uuid"))
+            .withColumn("created", F.when(F.col("upload_state").isin("created", "failed"), F.col("upload_state") == "created")
+                        .otherwise(F.coalesce("created", F.lit(False))))
+            .drop("_uuid", "_up"))
+
+
 def reset_state(items: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Items of the given spaces as before any upload."""
     hit = F.lit(True) if keys is None else F.col("space_key").isin(keys)

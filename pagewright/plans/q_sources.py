@@ -7,8 +7,8 @@ from pagewright.plans.q_markdown import CLEAN
 from pagewright.plans.q_status import raw_files
 from pagewright.plans.registry import label, query
 from pagewright.session import scratch_path
-from pagewright.sources import files, spaces
-from pagewright.streaming.resume import resume_stream
+from pagewright.sources import files, spaces, zips
+from pagewright.streaming.resume import current_pages, resume_stream
 
 
 @query("scan_pages", "SELECT md5(html) AS md5, CAST(length(html) AS INTEGER) AS chars FROM pages")
@@ -19,9 +19,44 @@ def _(fx):
     return files.scan_pages(fx.spark, folder, "*.txt").select(F.md5(html).alias("md5"), F.length(html).alias("chars"))
 
 
-@query("scan_archives")
+def archive_folder(fx):
+    """The archives of the pages as files in a folder of their own, written by the tasks."""
+    folder = scratch_path(fx.spark, "zips").removeprefix("file://")
+
+    def write(batches):
+        from pyarrow import fs
+
+        system, place = fs.FileSystem.from_uri(folder)
+        system.create_dir(place)
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"]):
+                with system.open_output_stream(f"{place}/{path.split('/')[-1]}") as out:
+                    out.write(content)
+            yield pdf[["path"]]
+
+    fx.page_archives.mapInPandas(write, "path string").count()
+    return folder
+
+
+# a stored member takes 30 + 46 bytes of headers, its name twice and its content; the end record 22
+@query("scan_archives", """
+    SELECT 'page-' || page_id || '.html.zip' AS name, CASE WHEN page_id % 10 = 9 THEN 10
+        ELSE 22 + 2 * 76 + 2 * (length('IS/index.html') + length('IS/Page_' || (30000000 + page_id) || '.html'))
+          + octet_length(encode(url)) + octet_length(encode(html)) END AS archive_size,
+      CASE WHEN page_id % 10 = 9 THEN 0 ELSE 2 END::BIGINT AS members, CASE WHEN page_id % 10 = 9 THEN 'Invalid or corrupted zip file' END AS error FROM pages""")
+def _(fx):
+    return zips.scan_archives(fx.spark, archive_folder(fx)).select(basename("zip_file").alias("name"), "archive_size", "members", "error")
+
+
+@query("read_archive_members", """
+    SELECT 'page-' || page_id || '.html.zip' AS name, 'IS/Page_' || (30000000 + page_id) || '.html' AS member, octet_length(encode(html)) AS file_size,
+      md5(html) AS md5 FROM pages WHERE page_id % 10 <> 9
+    UNION ALL SELECT 'page-' || page_id || '.html.zip', 'IS/index.html', octet_length(encode(url)), md5(url) FROM pages WHERE page_id % 10 <> 9""")
 def _(fx):
-    return files.scan_archives(fx.spark, fx.dir, "*.parquet").select(basename("path").alias("name"), "length")
+    members = zips.scan_members(fx.spark, archive_folder(fx))
+    admitted = archives.admitted(members)
+    return zips.read_members(admitted).select(
+        basename("zip_file").alias("name"), "member", F.octet_length("content").cast("long").alias("file_size"), F.md5("content").alias("md5"))
 
 
 @query("scan_zip_members", """
@@ -132,15 +167,21 @@ def _(fx):
 
 
 @query("resume_stream", """
-    SELECT page_id, CAST(len(regexp_extract_all(html, '<a ')) AS INTEGER) AS links, md5(html) AS md5 FROM pages""")
+    SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 2 ELSE 1 END::INTEGER AS page_version,
+      len(regexp_extract_all(html, '<a '))::INTEGER + CASE WHEN page_id % 4 = 1 THEN 1 ELSE 0 END::INTEGER AS links,
+      md5(CASE WHEN page_id % 4 = 1 THEN html || '<a ' ELSE html END) AS md5 FROM pages""")
 def _(fx):
-    schema = fx.table("pages").schema
-    target, checkpoint = scratch_path(fx.spark, "resumed"), scratch_path(fx.spark, "resume-state")
+    target, checkpoint, source = (scratch_path(fx.spark, f"resumed-{n}") for n in ("out", "state", "in"))
+    pages = fx.table("pages").select("page_id", "html")
+    changed = pages.withColumn("html", F.when(F.col("page_id") % 4 == 1, F.concat("html", F.lit("<a "))).otherwise(F.col("html")))
 
     def step(batch):
-        return batch.select("page_id", F.size(F.regexp_extract_all("html", F.lit("<a "), F.lit(0))).alias("links"),
+        return batch.select("page_id", "page_version", F.size(F.regexp_extract_all("html", F.lit("<a "), F.lit(0))).alias("links"),
                             F.md5("html").alias("md5"))
 
-    for _run in range(2):  # the second run finds nothing new
-        resume_stream(fx.spark, f"{fx.dir}/pages*.parquet", schema, checkpoint, target, step).awaitTermination()
-    return fx.spark.read.parquet(target).select("page_id", "links", "md5")
+    # at first a part of the pages; then all, some new, some changed and some as before; then nothing more
+    for arrived in (pages.where("page_id % 4 <> 0"), changed, None):
+        if arrived is not None:
+            arrived.write.mode("append").parquet(source)
+        resume_stream(fx.spark, source, pages.schema, checkpoint, target, step).awaitTermination()
+    return current_pages(fx.spark, target)

@@ -247,6 +247,33 @@ def _(fx):
         "space_key", label().alias("path"), "page_uuid", "parent_uuid", "created")
 
 
+WAVES = """(SELECT i.*, s.collection_id, p.pos AS up, i.depth > 1 AND i.pos % 7 = 3 AS bad, EXISTS (
+      SELECT 1 FROM fx_items f WHERE f.space_key = i.space_key AND f.depth > 1 AND f.depth < i.depth AND f.pos % 7 = 3 AND f.path = i.path[1:f.depth]) AS lost
+    FROM fx_items i JOIN fx_spaces s ON s.space_key = i.space_key LEFT JOIN fx_items p ON p.space_key = i.space_key AND p.path = i.parent_path)"""
+
+
+def run(fx, failing: bool):
+    """All waves over fresh items; every seventh request fails, or none."""
+    ok = (F.col("pos") % 7 != 3) if failing else F.lit(True)
+    outcomes = fx.items.select("space_key", "path", F.when(ok, F.concat_ws("-", F.lit("new"), "space_key", F.col("pos").cast("string"))).alias("page_uuid"),
+                               ok.alias("created"))
+    return sync.run_waves(sync.reset_state(fx.items), fx.spaces, outcomes)
+
+
+@query("sync_run", f"""
+    SELECT space_key, array_to_string(path, '/') AS path, CASE WHEN lost THEN 'not attempted' WHEN bad THEN 'failed' ELSE 'created' END AS upload_state,
+      CASE WHEN depth = 1 THEN collection_id WHEN NOT lost AND NOT bad THEN 'new-' || space_key || '-' || pos END AS page_uuid,
+      CASE WHEN depth > 2 AND NOT lost AND NOT bad THEN 'new-' || space_key || '-' || up END AS parent_uuid, NOT lost AND NOT bad AS created FROM {WAVES}""")
+def _(fx):
+    return run(fx, True).select("space_key", label().alias("path"), "upload_state", "page_uuid", "parent_uuid", "created")
+
+
+@query("sync_run_success", """
+    SELECT space_key, count(*) AS total_items, count(*) AS created_items, true AS upload_successful FROM fx_items GROUP BY 1""")
+def _(fx):
+    return status.upload_status(run(fx, False)).select("space_key", "total_items", "created_items", "upload_successful")
+
+
 @query("reset_state", """
     SELECT space_key, array_to_string(path, '/') AS path, created AND space_key NOT IN ('asia', 'europe') AS created,
       CASE WHEN space_key NOT IN ('asia', 'europe') THEN page_uuid END AS page_uuid FROM fx_items""")

@@ -1,12 +1,15 @@
 """Files, archives, stored spaces and the incremental run."""
+import io
+import warnings
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.operators import archives
 from pagewright.session import scratch_path
-from pagewright.sources import files, spaces
-from pagewright.streaming.resume import resume_stream
+from pagewright.sources import files, spaces, zips
+from pagewright.streaming.resume import current_pages, resume_stream
 
 
 @pytest.fixture
@@ -106,21 +109,123 @@ def test_writing_a_space_replaces_only_that_space(spark, tmp_path):
 
 def test_resume(spark, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    schema = "page_id long, html string"
+    schema = "page_id long, html string, at int"
+    seen = []
 
     def arrive(*rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
 
+    def step(df):
+        seen.extend(r.page_id for r in df.select("page_id").collect())
+        return df.selectExpr("page_id", "page_version", "length(html) as n")
+
     def run():
-        resume_stream(spark, source, spark.createDataFrame([], schema).schema, state, target,
-                      lambda df: df.selectExpr("page_id", "length(html) as n")).awaitTermination()
-        return sorted((r.page_id, r.n) for r in spark.read.parquet(target).collect())
-
-    arrive((1, "a"), (2, "bb"))
-    assert run() == [(1, 1), (2, 2)]
-    assert run() == [(1, 1), (2, 2)]
-    arrive((2, "changed"), (3, "ccc"))
-    assert run() == [(1, 1), (2, 2), (3, 3)]
+        seen.clear()
+        resume_stream(spark, source, spark.createDataFrame([], schema).schema, state, target, step, order="at").awaitTermination()
+        return sorted((tuple(r) for r in current_pages(spark, target).collect()), key=str)
+
+    arrive((1, "a", 1), (2, "bb", 1), (4, "x", 1), (4, "xyz", 3), (4, "xy", 2), (4, "xyz", 4))
+    first = [(1, 1, 1), (2, 1, 2), (4, 3, 3)]
+    assert run() == first
+    assert run() == first and seen == []
+    arrive((1, "a", 2), (2, "changed", 2), (3, "ccc", 2), (None, None, 2), (None, "", 2))
+    later = sorted([(1, 1, 1), (2, 2, 7), (3, 1, 3), (4, 3, 3), (None, 1, None)], key=str)
+    got = run()
+    assert sorted(seen, key=str) == [2, 3, None]  # a null content equals an empty one
+    assert [r[:2] for r in got] == [r[:2] for r in later]
+    arrive((2, "bb", 3))  # back to what it was: a change as well
+    assert (2, 3, 2) in run()
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "page_id long, html string"
+    spark.createDataFrame([(i, f"t{i}") for i in range(20)], schema).write.parquet(source)
+    fails = [True]
+
+    def step(df):
+        if fails.pop() if fails else False:
+            raise RuntimeError("lost")
+        return df.select("page_id", "page_version", "html")
+
+    for _ in range(2):
+        query = resume_stream(spark, source, spark.createDataFrame([], schema).schema, state, target, step)
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            assert "lost" in str(error)
+    assert sorted(map(tuple, current_pages(spark, target).collect())) == [(i, 1, f"t{i}") for i in range(20)]
+
+
+class Counting(io.FileIO):
+    """A file that counts the bytes that are read from it."""
+
+    count = 0
+
+    def read(self, size=-1):
+        data = super().read(size)
+        self.count += len(data)
+        return data
+
+
+def test_a_directory_is_read_without_bodies(tmp_path):
+    path = tmp_path / "big.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(50):
+            z.writestr(f"m{i}", bytes(200_000))
+    opened = Counting(path)
+    rows = list(zips.directory("big.zip", path.stat().st_size, opened))
+    assert len(rows) == 50 and all(r[3] == 200_000 for r in rows)
+    assert opened.count < 0.05 * path.stat().st_size
+
+
+def test_archive_source(spark, tmp_path, monkeypatch):
+    def make(name, **members):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for member, body in members.items():
+                z.writestr(member, body)
+
+    make("a.zip", x="one", y="two" * 1000)
+    make("empty.zip")
+    make("broken.zip", good="fine", bad="B" * 50)
+    raw = (tmp_path / "broken.zip").read_bytes()
+    (tmp_path / "broken.zip").write_bytes(raw.replace(b"B" * 50, b"B" * 49 + b"C"))
+    (tmp_path / "damaged.zip").write_bytes(b"PK no archive at all, but long enough to look for its end")
+    (tmp_path / "short.zip").write_bytes(b"")
+    (tmp_path / "other.txt").write_text("not listed")
+    (tmp_path / "sub.zip").mkdir()
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        with zipfile.ZipFile(tmp_path / "twice.zip", "w") as z:
+            z.writestr("same", "first")
+            z.writestr("same", "second")
+    with zipfile.ZipFile(tmp_path / "many.zip", "w") as z:  # more entries than a plain directory can count: ZIP64
+        for i in range(66_000):
+            z.writestr(zipfile.ZipInfo(f"d/{i}"), b"")
+
+    members = zips.scan_members(spark, str(tmp_path))
+    by = {r.zip_file.split("/")[-1]: r for r in zips.scan_archives(spark, str(tmp_path)).collect()}
+    assert {n: (r.members, r.error) for n, r in by.items()} == {
+        "a.zip": (2, None), "empty.zip": (0, None), "broken.zip": (2, None), "twice.zip": (2, None), "many.zip": (66_000, None),
+        "damaged.zip": (0, "Invalid or corrupted zip file"), "short.zip": (0, "Invalid or corrupted zip file")}
+    assert all(r.archive_size == (tmp_path / n).stat().st_size for n, r in by.items())
+
+    bodies = zips.read_members(members.where("zip_file NOT LIKE '%many.zip'")).collect()
+    found = sorted((r.member, bytes(r.content) if r.content is not None else None) for r in bodies)
+    assert found == [("bad", None), ("good", b"fine"), ("same", b"first"), ("same", b"second"), ("x", b"one"), ("y", b"two" * 1000)]
+    assert [("Bad CRC" in r.error) for r in bodies if r.error] == [True]
+
+    # one large archive is read by several tasks, each from its own places
+    spread = zips.read_members(members.where("zip_file LIKE '%many.zip'")).withColumn("task", F.spark_partition_id())
+    found = spread.groupBy("task").count().collect()
+    assert sum(r["count"] for r in found) == 66_000 and len(found) > 1
+
+    reader = zips.ZipReader({"path": str(tmp_path)})
+    monkeypatch.setattr(zips, "LIST_FILES", 3)
+    parts = reader.partitions()
+    assert [len(p.files) for p in parts] == [3, 3, 1]
+    (tmp_path / "sub.zip" / "deeper").mkdir()
+    assert zips.scan_members(spark, str(tmp_path / "sub.zip")).count() == 0
 
 
 def test_scratch_follows_the_session(spark):
