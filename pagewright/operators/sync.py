@@ -467,6 +467,40 @@ def verify_upload(items: DataFrame, documents: DataFrame) -> DataFrame:
             .drop("_mine", "_theirs", "_here", "_there"))
 
 
+def verify_tree(items: DataFrame, documents: DataFrame, listed: DataFrame, details: DataFrame) -> DataFrame:
+    """Content, place and attachments of every item against the remote tree, and of every remote
+    document without an item.
+
+    ``documents`` carries (id, parent_id, text), ``listed`` (page_id, path) what items list and
+    ``details`` (page_id, path, uploaded) what arrived. ``content`` is equal, changed, missing,
+    not uploaded or extra; ``moved``: the document is there, but not below the document of the
+    item's parent; ``missing_files`` counts listed attachments that did not arrive.
+    ``below`` counts differing items in the subtree, so a reader opens only subtrees where it is
+    not 0; paths of differing items alone are spread over their ancestors for it. The space page
+    is its collection and is not compared. Each side is joined once; missing ids never meet.
+    """
+    home = F.coalesce(F.col("path") == F.col("root_path"), F.lit(False))
+    placed = with_parent_uuid(items).join(root_pages(items), "space_key", "left").where(~home)
+    files = (listed.select("page_id", "path").distinct()
+             .join(details.where("uploaded").select("page_id", "path", F.lit(True).alias("_done")).distinct(), ["page_id", "path"], "left")
+             .groupBy("page_id").agg(F.count_if(F.col("_done").isNull()).alias("_lost")))
+    mine = placed.join(files, "page_id", "left").select(
+        *KEY, F.col("page_uuid").alias("id"), F.col("parent_uuid").alias("_parent"), F.sha2("md_content", 256).alias("_mine"),
+        F.coalesce("_lost", F.lit(0)).alias("missing_files"), F.lit(True).alias("_here"))
+    theirs = documents.select("id", F.col("parent_id").alias("_under"), F.sha2("text", 256).alias("_theirs"), F.lit(True).alias("_there"))
+    here, there = F.col("_here").isNotNull(), F.col("_there").isNotNull()
+    content = (F.when(~here, "extra").when(F.col("id").isNull(), "not uploaded").when(~there, "missing")
+               .when(F.col("_mine").eqNullSafe(F.col("_theirs")), "equal").otherwise("changed"))
+    compared = stage(mine.join(theirs, "id", "full_outer").select(
+        *KEY, "id", content.alias("content"), (here & there & ~F.col("_parent").eqNullSafe(F.col("_under"))).alias("moved"),
+        F.coalesce("missing_files", F.lit(0)).cast("long").alias("missing_files")), "compared")
+    differs = (F.col("content") != "equal") | F.col("moved") | (F.col("missing_files") > 0)
+    below = (compared.where(differs & F.col("path").isNotNull())
+             .select("space_key", F.explode(prefixes("path")).alias("path")).groupBy(*KEY)
+             .agg(F.count(F.lit(1)).alias("below")))
+    return compared.join(below, KEY, "left").withColumn("below", F.coalesce("below", F.lit(0)))
+
+
 def rollback_plan(created: DataFrame) -> DataFrame:
     """Deletions: attachments, then documents, then collections; each newest first."""
     rank = F.when(F.col("kind") == "attachment", 1).when(F.col("kind") == "document", 2).otherwise(3)

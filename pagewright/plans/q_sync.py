@@ -318,6 +318,28 @@ def _(fx):
     return sync.verify_upload(fx.items, fx.documents)
 
 
+@query("verify_tree", """
+    SELECT * FROM (WITH i AS (SELECT i.*, CASE WHEN i.depth > 2 THEN p.page_uuid END AS up FROM fx_items i
+      LEFT JOIN fx_items p ON p.space_key = i.space_key AND p.path = i.parent_path WHERE i.depth > 1),
+    r AS (SELECT d.id, d.text, CASE WHEN d.id LIKE '%7' THEN 'nat-0' ELSE i.up END AS parent_id FROM fx_docs d LEFT JOIN i ON i.page_uuid = d.id),
+    f AS (SELECT a.page_id, count(*) FILTER (NOT coalesce(d.uploaded, false)) AS lost FROM fx_att a
+      LEFT JOIN fx_det d ON d.page_id = a.page_id AND d.path = a.path GROUP BY 1),
+    v AS (SELECT i.space_key, i.path, coalesce(i.page_uuid, r.id) AS id, CASE WHEN i.path IS NULL THEN 'extra' WHEN page_uuid IS NULL THEN 'not uploaded'
+        WHEN r.id IS NULL THEN 'missing' WHEN md_content IS NOT DISTINCT FROM r.text THEN 'equal' ELSE 'changed' END AS content,
+      r.id IS NOT NULL AND i.path IS NOT NULL AND up IS DISTINCT FROM parent_id AS moved, coalesce(lost, 0) AS missing_files
+      FROM i FULL JOIN r ON r.id = i.page_uuid LEFT JOIN f ON f.page_id = i.page_id),
+    b AS (SELECT space_key, list_transform(range(1, len(path) + 1), lambda n: path[1:n]) AS above FROM v
+      WHERE path IS NOT NULL AND (content <> 'equal' OR moved OR missing_files > 0)),
+    c AS (SELECT space_key, path, count(*) AS below FROM (SELECT space_key, unnest(above) AS path FROM b) GROUP BY ALL)
+    SELECT v.space_key, array_to_string(v.path, '/') AS path, id, content, moved, missing_files, coalesce(below, 0) AS below
+    FROM v LEFT JOIN c ON c.space_key = v.space_key AND c.path = v.path)""")
+def _(fx):
+    expected = sync.with_parent_uuid(fx.items).where("page_uuid IS NOT NULL").select(F.col("page_uuid").alias("id"), "parent_uuid")
+    remote = fx.documents.join(expected, "id", "left").withColumn(
+        "parent_id", F.when(F.col("id").endswith("7"), "nat-0").otherwise(F.col("parent_uuid")))
+    return sync.verify_tree(fx.items, remote, fx.listed, fx.details).withColumn("path", label())
+
+
 CREATED = """(SELECT 'attachment' AS kind, attachment_id AS id, ord AS seq, 1 AS rank FROM fx_det WHERE uploaded
     UNION ALL SELECT 'document', id, CAST(regexp_extract(id, '[0-9]+') AS BIGINT), 2 FROM fx_docs
     UNION ALL SELECT 'collection', collection_id, CAST(regexp_extract(collection_id, '[0-9]+') AS BIGINT), 3 FROM fx_spaces)"""
