@@ -13,9 +13,11 @@ SEED = "mix-1"
 BUCKET_DIGITS = 3  # hexadecimal digits of the draw: 4096 buckets a source
 
 
-def draw(doc_id: str, seed: str):
-    """A seeded place of the document in the order in which its source is drawn."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
+def draw(doc_id: str, text: str, seed: str):
+    """A seeded place of the document in the order in which its source is drawn; only rows
+    equal in id and text share one."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}|"), part(doc_id), F.lit("|"), F.md5(part(text))))
 
 
 def water_fill(sources: DataFrame, budget: int, max_epochs: int) -> DataFrame:
@@ -44,9 +46,10 @@ def water_fill(sources: DataFrame, budget: int, max_epochs: int) -> DataFrame:
 
 def plan(docs: DataFrame, doc_id: str, text: str, source: str, cycle: tuple[int, ...],
          share: float, max_epochs: int, seed: str) -> DataFrame:
-    """One row per source: source_size, target, whole repetitions, and the draw up to which
-    its documents are taken once more."""
-    slim = stage(docs.select(F.col(source).alias("s"), draw(doc_id, seed).alias("h"),
+    """One row per source: source_size, target, whole repetitions, the draw up to which its
+    documents are taken once more (``cut``), and the draw of equal rows of which only ``copies``
+    are (``edge``, null where the rest ends between different rows)."""
+    slim = stage(docs.select(F.col(source).alias("s"), draw(doc_id, text, seed).alias("h"),
                              word_count(text).alias("size")), "mix")
     slim = slim.withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
     buckets = slim.groupBy("s", "b").agg(F.sum("size").alias("n"))
@@ -68,15 +71,22 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, cycle: tuple[int,
     edge = (level.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
             .withColumn("before", F.col("upto") - F.col("n")).select("s", "b", "before", "rest"))
     inside = (same_keys(slim, edge, ["s", "b"]).groupBy("s", "h", "before", "rest")
-              .agg(F.sum("size").alias("n")))
+              .agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("k")))
     running = Window.partitionBy("s").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    # of k equal rows, copy j (from 0) is taken if half of it still fits
+    fits = F.ceil((F.col("rest") - F.col("start")) * F.col("k") / F.greatest("n", F.lit(1)) - 0.5)
+    copies = F.when(F.col("n") > 0, fits).when(F.col("start") < F.col("rest"), F.col("k")).otherwise(0)
     taken = (inside.withColumn("start", F.col("before") + F.sum("n").over(running) - F.col("n"))
-             .where(2 * F.col("start") + F.col("n") < 2 * F.col("rest")))
-    full = level.where(F.col("upto") <= F.col("rest")).select("s", F.concat("b", F.lit("z")).alias("h"))
-    cut = taken.select("s", "h").unionByName(full).groupBy("s").agg(F.max("h").alias("cut"))
+             .withColumn("copies", F.least("k", copies)).where("copies > 0"))
+    full = level.where(F.col("upto") <= F.col("rest")).select(
+        "s", F.concat("b", F.lit("z")).alias("h"), F.lit(1).alias("k"), F.lit(1).alias("copies"))
+    whole_rows, part = F.col("copies") == F.col("k"), F.col("copies") < F.col("k")
+    cut = taken.select("s", "h", "k", "copies").unionByName(full).groupBy("s").agg(
+        F.max(F.when(whole_rows, F.col("h"))).alias("cut"), F.max(F.when(part, F.col("h"))).alias("edge"),
+        F.max(F.when(part, F.col("copies"))).alias("copies"))
     # as a table its size is known, so a small one is broadcast and documents stay in place
     return stage(same_keys(filled, cut, ["s"], "left").select(
-        "s", "source_size", "target", "whole", F.coalesce("cut", F.lit("")).alias("cut")), "mix-plan")
+        "s", "source_size", "target", "whole", F.coalesce("cut", F.lit("")).alias("cut"), "edge", "copies"), "mix-plan")
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -90,19 +100,28 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     rest is reached; the document on the edge is taken if at least half of it still fits, so a
     source misses its target by half a document at most. The same data gives the same mix.
 
-    A null text has size 0; null is a source; rows of one id (or of none) are taken or left
-    together. Added columns replace input columns of the same name. Empty in, empty out.
+    A null text has size 0; null is a source. Rows without an id, or of one id, are drawn by
+    their text as well; of rows equal in both, as many are taken as fit. Added columns replace
+    input columns of the same name. Empty in, empty out.
     Only one row per source, and 4,096 sums per source, are gathered; the order inside a
     source is needed in one bucket of 4,096 alone.
     """
     sources = plan(docs, doc_id, text, source, cycle, share, max_epochs, seed)
-    sized = docs.withColumns({"size": word_count(text), "_mix_key": F.col(source), "_mix_draw": draw(doc_id, seed)})
+    sized = docs.withColumns({"size": word_count(text), "_mix_key": F.col(source), "_mix_draw": draw(doc_id, text, seed)})
     sized = sized.drop("source_size", "target")
     joined = same_keys(sized, sources.withColumnsRenamed(
-        {"s": "_mix_key", "whole": "_mix_whole", "cut": "_mix_cut"}), ["_mix_key"])
+        {"s": "_mix_key", "whole": "_mix_whole", "cut": "_mix_cut", "edge": "_mix_edge", "copies": "_mix_copies"}),
+        ["_mix_key"])
     reps = F.col("_mix_whole") + (F.col("_mix_draw") <= F.col("_mix_cut")).cast("long")
-    return (joined.withColumn("reps", reps).withColumn("taken", F.col("reps") * F.col("size"))
-            .drop("_mix_key", "_mix_draw", "_mix_whole", "_mix_cut"))
+    mixed = joined.withColumn("reps", reps)
+    if not sources.where(F.col("edge").isNotNull()).isEmpty():
+        at_edge = F.coalesce(F.col("_mix_draw") == F.col("_mix_edge"), F.lit(False))
+        equal = number_rows(mixed.where(at_edge), ["_mix_key"], [F.monotonically_increasing_id()], "_mix_rn")
+        once = (F.col("_mix_rn") <= F.col("_mix_copies")).cast("long")
+        mixed = mixed.where(~at_edge).unionByName(
+            equal.withColumn("reps", F.col("_mix_whole") + once).drop("_mix_rn"))
+    return (mixed.withColumn("taken", F.col("reps") * F.col("size"))
+            .drop("_mix_key", "_mix_draw", "_mix_whole", "_mix_cut", "_mix_edge", "_mix_copies"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
@@ -118,7 +137,7 @@ def op1_mixing(spark, sf_dir):
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, md5('mix-1|' || doc_id) AS h,
+  SELECT doc_id, source, md5('mix-1|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))) AS h,
     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
 w AS (SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w,
@@ -135,7 +154,7 @@ t AS (SELECT source, source_size, CASE WHEN clamped THEN (3 * source_size)::DOUB
     ELSE f.free * w / f.weight END AS target FROM c, f),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
 r AS (SELECT d.*, e.source_size, target, whole, target - whole * e.source_size AS rest,
-    (sum(size) OVER (PARTITION BY d.source ORDER BY h) - size)::BIGINT AS start
+    (sum(size) OVER (PARTITION BY d.source ORDER BY h ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
   FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
   (whole + CASE WHEN 2 * start + size < 2 * rest THEN 1 ELSE 0 END) * size AS taken FROM r

@@ -5,8 +5,10 @@ once and nothing recurses.
 """
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -27,17 +29,20 @@ BASE = {
 }
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})"
 # Texts without these need no search.
-HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+HINT = {"email": "@", "ip": r"\.", "card": "[0-9]", "phone": r"\+"}
 
 # High-recall formats beyond the base ones; what they propose may overlap base spans and one
 # another, and the trees decide.
+MASKED_DOT = r"(?: ?(?:\((?:dot|\.)\)|\[(?:dot|\.)\]) ?| dot )"
+HEX = "[0-9A-Fa-f]{1,4}+"
 WIDE = {
-    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++ ?(?:\(at\)|\[at\]) ?{HOST}++(?: ?(?:\.|\(dot\)|\[dot\]) ?{HOST}++)++",
-    "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){7}+(?![0-9A-Fa-f:])",
+    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++(?: ?(?:\(at\)|\[at\]|@) ?{HOST}++(?:(?:\.|{MASKED_DOT}){HOST}++)++"
+             rf"| at {HOST}++(?:{MASKED_DOT}{HOST}++)++)",
+    "ip": rf"(?<![0-9A-Za-z:]){HEX}(?:(?::{HEX}){{7}}+|(?::{HEX}){{0,5}}+::(?:{HEX}(?::{HEX}){{0,5}}+)?+)(?![0-9A-Za-z:])",
     "card": r"(?<![0-9])(?<![0-9][ ./-])[0-9](?:[ ./-]{0,2}[0-9]){12,18}+(?![ ./-]?[0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?<![0-9][ ().-])(?:00|\()?[0-9](?:[ ().-]{0,2}[0-9]){6,14}+(?![ ().-]{0,2}[0-9A-Za-z])",
+    "phone": r"(?<![0-9A-Za-z+])(?<![0-9][ ().-])(?:00|\()?[0-9](?:[ ().-]{0,2}[0-9]){6,14}+(?![ ().-]{0,2}[0-9])(?![A-Za-z])",
 }
-WIDE_HINT = {"email": "at", "ip": ":", "card": None, "phone": None}
+WIDE_HINT = {"email": r"@|[(\[]at[)\]]|[(\[](?:dot|\.)[)\]]| dot ", "ip": ":", "card": "[0-9]", "phone": "[0-9]"}
 
 CONTEXT = 24  # characters before a span that the trees may look at
 KEYWORDS = "(?i)(?:phone|tel|call|fax|mobil|mail|contact|card|visa|credit|ip|addr|host)"
@@ -46,8 +51,8 @@ KEYWORDS = "(?i)(?:phone|tel|call|fax|mobil|mail|contact|card|visa|credit|ip|add
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 12, 3
 PRECISION = 0.98  # least precision on the calibration part of a threshold that selects spans
-FEATURES = 22
-LEAST_ROWS = 30   # distinct held-out spans that a threshold must rest on
+SURE, ERROR = 0.95, 0.05  # precision that distinct held-out spans must prove, and the chance that they err
+FEATURES = 26
 GRID = 10_000     # steps of one in which scores are counted, which bounds what is collected
 RUN = 256
 
@@ -124,9 +129,7 @@ def _search(text: Column, patterns: dict, hints: dict, test=None) -> Column:
         spans = matches(text, patterns[kind], i)
         if test:
             spans = F.filter(spans, _where(test, kind))
-        none = F.array().cast(SPAN)
-        found.append(F.when(F.contains(text, F.lit(hints[kind])), spans).otherwise(none) if hints[kind]
-                     else F.when(text.rlike("[0-9]"), spans).otherwise(none))
+        found.append(F.when(text.rlike(hints[kind]), spans).otherwise(F.array().cast(SPAN)))
     return F.concat(*found)
 
 
@@ -159,6 +162,7 @@ def features(span: Column) -> list[Column]:
         flag(value.rlike(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}$")),
         flag(span["before"].rlike(KEYWORDS)), flag(span["before"].rlike(r"[^\x20\n]$")),
         flag(span["after"].rlike(r"[0-9A-Za-z]")), F.regexp_count(span["before"], F.lit("[0-9]")),
+        flag(value.contains("::")), flag(value.rlike(GLOBAL)), flag(value.contains(" at ")), flag(value.rlike(MASKED_DOT)),
     ]
     return [F.coalesce(c, F.lit(0)).cast("double") for c in columns]
 
@@ -204,10 +208,10 @@ def checked(number: Column) -> Column:
 
 def training(base: Column, wide: Column) -> Column:
     """Labelled spans of one text, each with the value it was made from: base spans are personal
-    data; so are they in each of the wide formats (a masked sign, IPv6, other separators and
+    data; so are they in each of the wide formats (masked or spelled signs, IPv6, other separators and
     lengths with the right check digit, no country code). Base spans with their proof broken (a
-    wrong check digit, a part over 255, too few digits, no host, eight short numbers for
-    IPv6) are not. Proposed spans that touch no base span count as ``proof`` says and are left
+    wrong check digit, a part over 255, too few digits, no host, eight short numbers or two
+    names for IPv6) are not. Proposed spans that touch no base span count as ``proof`` says and are left
     out where it says nothing: they may be either. Of runs of digits that fail the check, one
     in nine pass it by chance, so one in nine is also shown with the right digit, as none."""
     def changed(s: Column, value: Column, label: int) -> Column:
@@ -221,9 +225,13 @@ def training(base: Column, wide: Column) -> Column:
         clock = F.translate(hash, "abcdef", "012345")
         at = lambda sign, dot: F.concat(F.substring_index(v, "@", 1), F.lit(sign), F.replace(F.substring_index(v, "@", -1), F.lit("."), F.lit(dot)))
         forms = {
-            "email": ([at(" [at] ", "."), at("(at)", " [dot] "), at(" (at) ", "(dot)")], [F.substring_index(v, ".", 1)]),
-            "ip": ([F.concat_ws(":", F.lit("2001"), *short), F.concat_ws(":", F.lit("2001"), F.lit("db8"), *[F.lit("0")] * 4, *short[:2])],
-                   [F.concat(v, F.lit("99")), F.concat_ws(":", *[F.substring(clock, 2 * i + 1, 2) for i in range(8)])]),
+            "email": ([at(" [at] ", "."), at("(at)", " [dot] "), at(" (at) ", "(dot)"),
+                       at(" at ", " dot "), at("@", "[.]")], [F.substring_index(v, ".", 1)]),
+            "ip": ([F.concat_ws(":", F.lit("2001"), *short), F.concat_ws(":", F.lit("2001"), F.lit("db8"), *[F.lit("0")] * 4, *short[:2]),
+                    F.concat(F.lit("2001:db8::"), short[0]), F.concat_ws("::", F.lit("fe80"), F.concat_ws(":", *short[:4]))],
+                   [F.concat(v, F.lit("99")), F.concat_ws("::", F.translate(F.left(hash, F.lit(3)), "0123456789", "abcdefabcd"),
+                                                          F.translate(F.right(hash, F.lit(3)), "0123456789", "abcdefabcd")),
+                    F.concat_ws(":", *[F.substring(clock, 2 * i + 1, 2) for i in range(8)])]),
             "card": ([F.regexp_replace(number, "([0-9]{4})(?=[0-9])", "$1."), checked(F.left(number, F.lit(14))), checked(F.left(number, F.lit(12)))],
                      [F.concat(F.left(v, F.length(v) - 1), F.pmod(F.right(v, F.lit(1)).cast("int") + 1, F.lit(10)).cast("string"))]),
             "phone": ([local, F.regexp_replace(local, r"^([0-9]{2,4})[ .-]", "($1) "), F.regexp_replace(local, "[ -]", "."),
@@ -284,6 +292,21 @@ class Trees:
         return F.filter(spans, lambda s: F.coalesce(wanted(s), F.lit(False)))
 
 
+def proven(n: int, wrong: int) -> bool:
+    """Whether ``wrong`` faults among ``n`` spans put the exact lower bound of their precision
+    (Clopper-Pearson) at ``SURE`` or more."""
+    p = 1 - SURE
+    if wrong >= p * n:
+        return False
+    rate = wrong / n
+    gain = (rate * math.log(rate / p) if wrong else 0) + (1 - rate) * math.log((1 - rate) / SURE)
+    if n * gain >= -math.log(ERROR):  # the tail is below exp(-n * gain)
+        return True
+    steps = np.arange(1, wrong + 1)
+    terms = n * math.log(SURE) + np.concatenate([[0.0], np.cumsum(np.log((n - steps + 1) / steps) + math.log(p / SURE))])
+    return bool(np.exp(terms).sum() <= ERROR)
+
+
 def fit(found: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Trees | None:
     """Train on labelled spans of ``found`` (base, wide), calibrate on others.
 
@@ -291,7 +314,8 @@ def fit(found: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Tree
     see distinct spans of the rest, at most about ``sample_rows`` / 8 of each kind and label,
     chosen by hash. All held-out spans are scored and counted: for each kind the lowest score
     from which on they are personal data with ``PRECISION``, as often as they occur, becomes
-    the threshold. Without both classes there is no model and only base spans count."""
+    the threshold, if the distinct ones among them prove a precision of ``SURE`` (see
+    ``proven``; 59 without a fault do, so a kind with fewer adds nothing). Without both classes there is no model and only base spans count."""
     rows = found.select(F.explode(training(F.col("base"), F.col("wide"))).alias("t"))
     look = ["kind", "value", "before", "after"]
     spans = rows.groupBy(*[F.col(f"t.s.{c}").alias(c) for c in look], F.col("t.label").alias("label"),
@@ -317,12 +341,14 @@ def fit(found: DataFrame, sample_rows: int = SAMPLE_ROWS, seed: int = 5) -> Tree
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, labelCol="label").fit(pack.transform(train))
     trees = Trees(model, {})
     held = spans.where("held").groupBy("kind", trees.steps(inputs).alias("step")).agg(
-        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("label")).alias("good"), F.count(F.lit(1)).alias("spans"))
+        F.sum("c").alias("n"), F.sum(F.col("c") * F.col("label")).alias("good"), F.count(F.lit(1)).alias("spans"),
+        F.count_if(F.col("label") == 0).alias("wrong"))
     # a row for each kind and step of the score reaches the driver
     table = held.toPandas().sort_values("step", ascending=False)
     for kind, group in table.groupby("kind"):
-        total = group[["n", "good", "spans"]].cumsum()
-        fine = group["step"][(total["good"] >= PRECISION * total["n"]) & (total["spans"] >= LEAST_ROWS)]
+        total = group[["n", "good", "spans", "wrong"]].cumsum()
+        sure = np.array([proven(int(n), int(bad)) for n, bad in zip(total["spans"], total["wrong"])])
+        fine = group["step"][sure & (total["good"] >= PRECISION * total["n"]).to_numpy()]
         if len(fine):
             trees.thresholds[int(kind)] = int(fine.iloc[-1])
     return trees

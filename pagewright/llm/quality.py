@@ -127,7 +127,8 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     A document fails the base rules with under 20 words, or with over 30 percent of its words
     in repeated windows of eight. Else it is kept unless a rule's cutoff for its stratum is
     exceeded (see ``cutoffs``). Labels with no document, of no id or without a label are
-    ignored; repeated labels count once, the lowest one. A null stratum is a stratum; one
+    ignored; repeated labels count once, the lowest one, and so do repeated rows of a labelled
+    id (one trial each, the row of least stratum and counts). A null stratum is a stratum; one
     without enough labels has no cutoffs. A null text has no words and fails. Repeated rows
     are judged alike; an empty table gives no rows. Other columns are not read.
     """
@@ -135,7 +136,9 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     found = stage(slim.select("doc_id", "stratum", "m.w.*", "m.l.*", "m.n_symbols", "m.n_exclaims"), "measures")
     truth = (labels.where(F.col(good).isNotNull() & F.col(doc_id).isNotNull())
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.min(good).alias("good")))
-    cuts = cutoffs(found.join(truth, "doc_id"), "stratum", "good")
+    trial = F.struct(*[c for c in found.columns if c != "doc_id"])
+    trials = found.join(truth, "doc_id").groupBy("doc_id", "good").agg(F.min(trial).alias("m")).select("good", "m.*")
+    cuts = cutoffs(trials, "stratum", "good")
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     above = [F.coalesce(of().cast("double") > F.col(f"cut_{name}"), F.lit(False)) for name, (of, _) in RULES.items()]

@@ -39,21 +39,21 @@ def assign(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text:
     shard and slot (0, 1, ... within the shard).
 
     Documents of one text form a group and stay together, unless the group takes over half a
-    shard's room in bytes, tokens or rows: such a group is cut by a hash of the id into units
-    of about an eighth of a shard. At most 3 * 2 * shards groups and 3 * 64 * shards units can
+    shard's room in bytes, tokens or rows: such a group is cut row by row, whatever the ids, into
+    units of about an eighth of a shard. At most 3 * 2 * shards groups and 3 * 64 * shards units can
     be so large, which bounds what is broadcast and what the driver places first. All other
     units are hashed to cells of about ``cell_units``; each cell places its units, largest
     first, into its share of the room that is left, so every cell is level by itself.
 
-    A null text has no bytes and is a group of its own; rows with equal ids are placed like
-    others and only share hash and order; an empty table gives no rows. Only these columns
-    are returned, so names of other columns cannot clash.
+    A null text has no bytes and is a group of its own; rows with equal ids or none are placed
+    like others and take neighbouring slots in any order; an empty table gives no rows. Only
+    these columns are returned, so names of other columns cannot clash.
     """
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("g"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("crc"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        word_count(text).alias("tokens"))
+        word_count(text).alias("tokens"), F.xxhash64(F.monotonically_increasing_id()).alias("row"))
     slim = stage(keyed, "shard-rows")
     totals = slim.agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"),
                       F.count(F.lit(1)).alias("rows")).first().asDict()
@@ -66,7 +66,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text:
     large = (units(slim, KEY).where(F.col("share") > SPLIT_SHARE)
              .select(*KEY, F.ceil(F.col("share") * 8).alias("cuts")))
     slim = (slim.join(F.broadcast(large), KEY, "left")
-            .withColumn("cut", F.coalesce(F.pmod(F.xxhash64("doc_id"), "cuts"), F.lit(0))).drop("cuts"))
+            .withColumn("cut", F.coalesce(F.pmod("row", "cuts"), F.lit(0))).drop("cuts"))
     key = [*KEY, "cut"]
     unit = stage(units(slim, key), "shard-units")
 
@@ -93,7 +93,7 @@ def assign(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text:
         placed = placed.unionByName(slim.sparkSession.createDataFrame(
             [[int(v) for v in row] for row in heavy[[*key, "shard"]].to_numpy()], schema))
     dealt = slim.join(placed, key)
-    return (number_rows(dealt, ["shard"], ["doc_id", "crc", "size"])
+    return (number_rows(dealt, ["shard"], ["doc_id", "crc", "size", "row"])
             .select("doc_id", "size", F.col("crc").alias("text_crc32"), "tokens", "shard",
                     (F.col("rn") - 1).alias("slot")))
 
