@@ -77,3 +77,6 @@ MAX_DELAY = 60.0
 MAX_NETWORK_DELAY = 10.0
 ATTACHMENT_TRIES = 3
 DEFAULT_RETRY_AFTER = 60
+
+# --- limits of this library ---
+MAX_TITLE = 255  # characters of a document title that a dry run lets pass

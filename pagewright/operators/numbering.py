@@ -16,6 +16,22 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(right, equal, how).drop(*[f"_r_{key}" for key in keys])
 
 
+def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over the rows of the group up to this one, in ``order``.
+
+    Ranges as in ``number_rows``: each is summed on its own and shifted by the sums of those
+    before it. Rows equal in all of ``order`` are summed in any order. Null keys form a group.
+    """
+    ranged = stage(df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()), "running")
+    keys = [*group, "_range"]
+    before = Window.partitionBy(*(group or [F.lit(1)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (ranged.groupBy(*keys).agg(F.sum(value).alias("_n"))
+             .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    inside = F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return (same_keys(ranged.withColumn("_inside", inside), shift, keys)
+            .withColumn(out, F.col("_inside") + F.col("_shift")).drop("_inside", "_shift", "_range"))
+
+
 def number_rows(df: DataFrame, group: list[str], order: list[str | Column], out: str = "rn") -> DataFrame:
     """Add ``out`` = 1-based position of each row in its group, ordered by ``order``.
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import fixed
 from pagewright.functions.text import col, is_blank, response_class, title_from_html
-from pagewright.operators.numbering import number_rows
-from pagewright.operators.tree import KEY, prefixes
+from pagewright.operators.numbering import number_rows, running_sum
+from pagewright.operators.tree import KEY, closing, intervals, opening
 from pagewright.session import stage, unstage
 
 # ---------------------------------------------------------------- snapshots
@@ -134,11 +134,15 @@ def sync_waves(items: DataFrame) -> DataFrame:
 
 
 def blocked_parents(items: DataFrame, failed: DataFrame) -> DataFrame:
-    """Distinct parent paths at or below a failed create."""
+    """Distinct parent paths at or below a failed create: in pre-order, those at which more
+    failed subtrees have opened than closed."""
+    none = F.lit(None).cast("array<string>")
     asked = (items.where(F.size("path") > 1).select("space_key", "parent_path").distinct()
-             .select("space_key", "parent_path", F.explode(prefixes("parent_path")).alias("path")))
-    return asked.join(failed.select(*KEY).distinct(), KEY, "left_semi") \
-        .select("space_key", "parent_path").distinct()
+             .select("space_key", "parent_path", opening("parent_path").alias("_at"), F.lit(1).alias("_tie"), F.lit(0).alias("_v")))
+    edge = lambda at, step: failed.select(*KEY).distinct().select(
+        "space_key", none.alias("parent_path"), at("path").alias("_at"), F.lit(0).alias("_tie"), F.lit(step).alias("_v"))
+    walked = running_sum(asked.unionByName(edge(opening, 1)).unionByName(edge(closing, -1)), ["space_key"], ["_at", "_tie"], "_v", "_open")
+    return walked.where("parent_path IS NOT NULL AND _open > 0").select("space_key", "parent_path")
 
 
 def attempted_items(items: DataFrame, failed: DataFrame) -> DataFrame:
@@ -335,11 +339,17 @@ def mark_failed(items: DataFrame, errors: DataFrame) -> DataFrame:
 
 
 def collection_errors(failures: DataFrame) -> DataFrame:
-    """Collection-level error records per space, with a count; records stay rows."""
+    """Collection-level errors per space with their count; ``collection_error_records`` has the
+    records themselves."""
     return failures.groupBy("space_key", "error").agg(
         F.count(F.lit(1)).alias("times"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"))
 
 
+def collection_error_records(failures: DataFrame) -> DataFrame:
+    """Every collection-level error record as a row, with ``retry_count`` = those of its space before."""
+    return item_errors(failures, "space_key")
+
+
 # ---------------------------------------------------------------- state
 
 def merge_state(items: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -455,6 +465,60 @@ def dry_run_report(plan: DataFrame) -> DataFrame:
         F.sum("missing_files").alias("missing_files"))
 
 
+# Checks of an item before anything is sent: name, condition, detail. A table, so callers can add
+# to it; conditions see the item's columns, ``_parent`` (its parent is an item), ``_times`` (items
+# of its path) and ``_home`` (its space has a collection or a name to make one by).
+CHECKS = {
+    "blank title": (lambda: is_blank("title"), lambda: F.lit(None).cast("string")),
+    "long title": (lambda: F.length("title") > fixed.MAX_TITLE, lambda: F.length("title").cast("string")),
+    "orphan": (lambda: (F.size("path") > 1) & ~F.col("_parent"), lambda: F.element_at("parent_path", -1)),
+    "repeated path": (lambda: F.col("_times") > 1, lambda: F.col("_times").cast("string")),
+    "page without file": (lambda: (F.col("type") == "page") & F.col("html_page").isNull(), lambda: F.col("href")),
+    "unknown space": (lambda: ~F.col("_home"), lambda: F.col("space_key")),
+}
+
+
+def dry_run_violations(items: DataFrame, spaces: DataFrame, listed: DataFrame, files: DataFrame,
+                       checks: dict = CHECKS) -> DataFrame:
+    """One row (space_key, path, rule, detail) for each check that an item fails, and one for each
+    listed attachment (page_id, path) of an item that is no file; nothing is sent.
+
+    All checks run in one pass over the items, once these know their parent, their namesakes
+    and their space; an item gives at most one row a check, so the array is bounded by the
+    table of checks. A check whose condition is null holds. Items of no space or a null path
+    are checked like others; attachments of unknown pages are not listed.
+    """
+    slim = items.select(*KEY, "parent_path", "title", "type", "href", "html_page", "page_id")
+    paths = slim.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_times"))
+    up = paths.select("space_key", F.col("path").alias("parent_path"), F.lit(True).alias("_up"))
+    homes = spaces.where(~is_blank("space_name") | F.col("collection_id").isNotNull()).select("space_key", F.lit(True).alias("_at")).distinct()
+    known = (slim.join(paths, KEY, "left").join(up, ["space_key", "parent_path"], "left").join(homes, "space_key", "left")
+             .withColumns({"_parent": F.col("_up").isNotNull(), "_home": F.col("_at").isNotNull()}))
+    rows = F.array(*[F.when(failed(), F.struct(F.lit(rule).alias("rule"), detail().alias("detail")))
+                     for rule, (failed, detail) in checks.items()])
+    found = (known.select(*KEY, F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r"))
+             .select(*KEY, "r.rule", "r.detail"))
+    lost = listed.select("page_id", F.col("path").alias("file")).distinct().join(
+        files.select("page_id", F.col("path").alias("file")), ["page_id", "file"], "left_anti")
+    return found.unionByName(slim.select(*KEY, "page_id").join(lost, "page_id").select(
+        *KEY, F.lit("missing file").alias("rule"), F.col("file").alias("detail")))
+
+
+def work_estimate(plan: DataFrame, batch: int = 10, per_minute: int = 60) -> DataFrame:
+    """Per space: requests by kind, batches, waves and the minutes they take at least at
+    ``per_minute`` requests. ``plan`` carries action, path, attachments (listed and not there yet)
+    and bytes; an attachment takes two requests, a record and its file."""
+    count = lambda kind: F.count_if(F.col("action") == kind)
+    sums = plan.groupBy("space_key").agg(
+        count("create").alias("creates"), count("update").alias("updates"), count("skip").alias("skips"),
+        F.sum(F.coalesce("attachments", F.lit(0))).cast("long").alias("attachments"),
+        F.sum(F.coalesce("bytes", F.lit(0))).cast("long").alias("bytes"), F.max(F.size("path")).alias("waves"))
+    documents = F.col("creates") + F.col("updates")
+    return (sums.withColumn("requests", documents + 2 * F.col("attachments"))
+            .withColumn("batches", F.ceil(documents / batch).cast("long"))
+            .withColumn("minutes", F.ceil(F.col("requests") / per_minute).cast("long")))
+
+
 def verify_upload(items: DataFrame, documents: DataFrame) -> DataFrame:
     """Items against remote documents by id: missing, extra, changed or equal."""
     mine = items.where("page_uuid is not null").select(
@@ -476,7 +540,7 @@ def verify_tree(items: DataFrame, documents: DataFrame, listed: DataFrame, detai
     not uploaded or extra; ``moved``: the document is there, but not below the document of the
     item's parent; ``missing_files`` counts listed attachments that did not arrive.
     ``below`` counts differing items in the subtree, so a reader opens only subtrees where it is
-    not 0; paths of differing items alone are spread over their ancestors for it. The space page
+    not 0; it is the difference of two running counts in pre-order. The space page
     is its collection and is not compared. Each side is joined once; missing ids never meet.
     """
     home = F.coalesce(F.col("path") == F.col("root_path"), F.lit(False))
@@ -495,9 +559,8 @@ def verify_tree(items: DataFrame, documents: DataFrame, listed: DataFrame, detai
         *KEY, "id", content.alias("content"), (here & there & ~F.col("_parent").eqNullSafe(F.col("_under"))).alias("moved"),
         F.coalesce("missing_files", F.lit(0)).cast("long").alias("missing_files")), "compared")
     differs = (F.col("content") != "equal") | F.col("moved") | (F.col("missing_files") > 0)
-    below = (compared.where(differs & F.col("path").isNotNull())
-             .select("space_key", F.explode(prefixes("path")).alias("path")).groupBy(*KEY)
-             .agg(F.count(F.lit(1)).alias("below")))
+    below = (intervals(compared.where(F.col("path").isNotNull()), F.coalesce(differs, F.lit(False)).cast("int"))
+             .select(*KEY, (F.col("last") - F.col("first") + 1).alias("below")))
     return compared.join(below, KEY, "left").withColumn("below", F.coalesce("below", F.lit(0)))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions.text import item_type, page_id_from_name
+from pagewright.operators.numbering import running_sum
 from pagewright.session import stage
 
 KEY = ["space_key", "path"]
@@ -85,10 +86,36 @@ def roots(nodes: DataFrame) -> DataFrame:
     return nodes.where(F.size("path") == 1).orderBy("space_key", "pos")
 
 
+def opening(path="path") -> Column:
+    """The place in pre-order where a path opens; all places inside its subtree follow."""
+    return F.transform(path, lambda name: F.struct(F.lit(0).alias("last"), name.alias("name")))
+
+
+def closing(path="path") -> Column:
+    """The place after all of a path's subtree, before its next sibling."""
+    return F.concat(opening(path), F.array(F.struct(F.lit(1).alias("last"), F.lit(None).cast("string").alias("name"))))
+
+
+def intervals(nodes: DataFrame, value: Column | None = None) -> DataFrame:
+    """(space_key, path, first, last) per distinct path: the subtree of a node is the rows whose
+    ``first`` lies in its own ``first`` to ``last``.
+
+    Nodes open and close once each; one sort by ranges puts both in pre-order and running
+    counts are the labels, so a tree of any depth costs two rows a node and a hot space is
+    spread over ranges. With ``value`` (not negative) the labels count it in place of rows:
+    ``last`` - ``first`` + 1 is then its sum over the subtree.
+    """
+    value = (F.lit(1) if value is None else value).cast("long")
+    own = nodes.select(*KEY, opening().alias("_at"), value.alias("_v"), F.lit(True).alias("_opens"))
+    ends = nodes.select(*KEY, closing().alias("_at"), F.lit(0).cast("long").alias("_v"), F.lit(False).alias("_opens"))
+    walked = running_sum(own.unionByName(ends), ["space_key"], ["_at"], "_v", "_upto")
+    return walked.groupBy(*KEY).agg(F.min(F.when(F.col("_opens"), F.col("_upto") - F.col("_v") + 1)).alias("first"),
+                                    F.max("_upto").alias("last"))
+
+
 def subtree_sizes(nodes: DataFrame) -> DataFrame:
     """Number of items in the subtree of each node, itself included."""
-    return (nodes.select("space_key", F.explode(prefixes()).alias("path"))
-            .groupBy(*KEY).agg(F.count(F.lit(1)).alias("items")))
+    return intervals(nodes).select(*KEY, (F.col("last") - F.col("first") + 1).alias("items"))
 
 
 def structure_stats(links: DataFrame, tree: DataFrame) -> DataFrame:

@@ -110,8 +110,13 @@ STEM2 = "regexp_replace(regexp_extract(p2, '[^/]*$'), '\\.[^.]*$', '')"
 NAME1 = "regexp_extract(p1, '[^/]*$')"
 
 
+# every page; one without attachments refers to a file of a fixed name
+FULL = "(SELECT * REPLACE (CASE WHEN p1 = '' THEN 'attachments/none/a file.v2.png' ELSE p1 END AS p1) FROM fx_parts)"
+
+
 def first_refs(fx):
-    return fx.page_parts.where("p1 <> '' and p2 <> ''").withColumn(
+    none = F.lit("attachments/none/a file.v2.png")
+    return fx.page_parts.withColumn("p1", F.when(F.col("p1") == "", none).otherwise(F.col("p1"))).withColumn(
         "name", F.element_at(F.split("p1", "/"), -1)).withColumn(
         "url", F.concat(F.lit("https://kb/a?id="), F.col("page_id")))
 
@@ -123,15 +128,15 @@ def rewritten(column):
 @query("replace_templated_image", f"""
     SELECT page_id, md5(t) AS md5, CAST(length(t) AS INTEGER) AS chars FROM (SELECT page_id,
       text || '![' || c_name || '](https://kb/a?id=' || page_id || ') ![' || {STEM1} || '](https://kb/a?id=' || page_id || ') (' || p1 || ')' AS t
-      FROM fx_parts WHERE p1 <> '' AND p2 <> '')""")
+      FROM {FULL})""")
 def _(fx):
     before = F.concat("text", F.lit("!["), "c_name", F.lit("]({"), "p1", F.lit("}) ![]({"), "p1", F.lit("}) ("), "p1", F.lit(")"))
     return first_refs(fx).select("page_id", *rewritten(refs.replace_templated_image(before, "p1", "url", "name")))
 
 
-@query("replace_templated_doc", """
+@query("replace_templated_doc", f"""
     SELECT page_id, md5(t) AS md5, CAST(length(t) AS INTEGER) AS chars FROM (SELECT page_id,
-      text || '[x](https://kb/a?id=' || page_id || ') ' || p1 AS t FROM fx_parts WHERE p1 <> '' AND p2 <> '')""")
+      text || '[x](https://kb/a?id=' || page_id || ') ' || p1 AS t FROM {FULL})""")
 def _(fx):
     before = F.concat("text", F.lit("[x]({"), "p1", F.lit("}) "), "p1")
     return first_refs(fx).select("page_id", *rewritten(refs.replace_templated_doc(before, "p1", "url")))
@@ -142,7 +147,7 @@ def _(fx):
       text || ' ![a](' || u || ') ![b](' || u || ') ![' || stem || '](' || u || ') see ![' || stem || '](' || u || ')' AS t FROM (
         SELECT page_id, text, {STEM1} AS stem,
           'https://kb/a?id=' || page_id || CASE WHEN c_custkey % 2 = 0 THEN ' " =300x200"' ELSE '' END AS u
-        FROM fx_parts WHERE p1 <> '' AND p2 <> ''))""")
+        FROM {FULL}))""")
 def _(fx):
     title = F.when(F.col("c_custkey") % 2 == 0, ' " =300x200"').otherwise(' "wide"')
     before = F.concat("text", F.lit(" ![a]("), "p1", F.lit(") ![b]("), "p1", title, F.lit(") ![]("), "p1",
@@ -153,7 +158,7 @@ def _(fx):
 @query("replace_doc", f"""
     SELECT page_id, md5(t) AS md5, CAST(length(t) AS INTEGER) AS chars FROM (SELECT page_id,
       text || ' [t](' || u || ') and (' || u || ') and [' || {NAME1} || '](' || u || ')' AS t
-      FROM (SELECT *, 'https://kb/a?id=' || page_id AS u FROM fx_parts WHERE p1 <> '' AND p2 <> ''))""")
+      FROM (SELECT *, 'https://kb/a?id=' || page_id AS u FROM {FULL}))""")
 def _(fx):
     before = F.concat("text", F.lit(" [t]("), "p1", F.lit(") and ("), "p1", F.lit(") and "), "p1")
     return first_refs(fx).select("page_id", *rewritten(refs.replace_doc(before, "p1", "url", "name")))

@@ -231,6 +231,13 @@ def _(fx):
     return sync.collection_errors(fx.results.where("not success").withColumnRenamed("item", "space_key"))
 
 
+@query("collection_error_records", """
+    SELECT item AS space_key, seq, error, row_number() OVER (PARTITION BY item ORDER BY seq) - 1 AS retry_count FROM fx_results WHERE NOT success""")
+def _(fx):
+    return sync.collection_error_records(fx.results.where("not success").withColumnRenamed("item", "space_key")).select(
+        "space_key", "seq", "error", "retry_count")
+
+
 # ---------------------------------------------------------------- state
 
 @query("merge_state", """
@@ -304,6 +311,38 @@ def _(fx):
     return sync.dry_run_report(plan(fx))
 
 
+@query("dry_run_violations", """
+    SELECT * FROM (WITH i AS (SELECT * REPLACE (CASE WHEN pos % 13 = 0 THEN '  ' WHEN pos % 17 = 0 THEN repeat('x', 300) ELSE title END AS title),
+        CASE WHEN pos % 19 <> 0 THEN href END AS html_page FROM fx_items WHERE NOT (depth = 2 AND pos % 4 = 0)),
+    v AS (SELECT space_key, path, 'blank title' AS rule, NULL AS detail FROM i WHERE trim(title) = ''
+      UNION ALL SELECT space_key, path, 'long title', CAST(length(title) AS VARCHAR) FROM i WHERE length(title) > 255
+      UNION ALL SELECT space_key, path, 'orphan', parent_path[-1] FROM i WHERE depth > 1 AND NOT EXISTS (
+        SELECT 1 FROM i p WHERE p.space_key = i.space_key AND p.path = i.parent_path)
+      UNION ALL SELECT space_key, path, 'page without file', href FROM i WHERE type = 'page' AND html_page IS NULL
+      UNION ALL SELECT space_key, path, 'unknown space', space_key FROM i WHERE space_key = 'asia'
+      UNION ALL SELECT i.space_key, i.path, 'missing file', a.path FROM i JOIN fx_att a ON a.page_id = i.page_id WHERE a.ord % 9 = 0)
+    SELECT space_key, array_to_string(path, '/') AS path, rule, detail FROM v)""")
+def _(fx):
+    pos = F.col("pos")
+    items = fx.items.where("NOT (depth = 2 AND pos % 4 = 0)").withColumns({
+        "title": F.when(pos % 13 == 0, "  ").when(pos % 17 == 0, F.repeat(F.lit("x"), F.lit(300))).otherwise(F.col("title")),
+        "html_page": F.when(pos % 19 != 0, F.col("href"))})
+    return sync.dry_run_violations(items, fx.spaces.where("space_key <> 'asia'"), fx.listed.select("page_id", "path"),
+                                   fx.listed.where("ord % 9 <> 0").select("page_id", "path")).withColumn("path", label())
+
+
+@query("work_estimate", f"""
+    SELECT *, CAST(ceil((creates + updates) / 10) AS BIGINT) AS batches, CAST(ceil(requests / 60) AS BIGINT) AS minutes FROM (
+      SELECT *, creates + updates + 2 * attachments AS requests FROM (
+        SELECT space_key, count(*) FILTER (act = 'create') AS creates, count(*) FILTER (act = 'update') AS updates, count(*) FILTER (act = 'skip') AS skips,
+          CAST(sum(coalesce(n, 0)) AS BIGINT) AS attachments, CAST(sum(coalesce(b, 0)) AS BIGINT) AS bytes, CAST(max(depth) AS INTEGER) AS waves
+        FROM (SELECT *, {NORMAL} AS act FROM {ACTION} i) LEFT JOIN (SELECT page_id AS pid, count(*) AS n, sum(size) AS b FROM fx_att GROUP BY 1) ON pid = page_id
+        GROUP BY 1))""")
+def _(fx):
+    files = fx.attachments.groupBy("page_id").agg(F.count(F.lit(1)).alias("attachments"), F.sum("size").alias("bytes"))
+    return sync.work_estimate(sync.sync_action(fx.items, fx.documents, fx.spaces).join(files, "page_id", "left"))
+
+
 @query("batch_assign", """
     SELECT array_to_string(path, '/') AS path, depth - 1 AS wave, (row_number() OVER (PARTITION BY space_key, depth ORDER BY pos, path) - 1) // 10 AS batch FROM fx_items""")
 def _(fx):
