@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import io
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,19 +16,17 @@ from pagewright.llm.components import components
 COSINE = 0.95
 LEAST_SHARDS = 4
 SHARD_BYTES = 64 << 20   # of vectors in a shard, about
-BLOCK_BYTES = 8 << 20    # of queries that one task puts to one shard, about
+LEAST_BLOCKS = 4
+BLOCK_BYTES = 32 << 20   # of queries that one task puts to one shard, about
 DEGREE = 12              # links of a node on upper levels; twice as many on the lowest
 BUILD_BEAM = 40
 BEAM = 32                # width at first; doubled until the audit passes
-WIDEST = 128             # a beam beyond it would cost more than comparing all nodes
 UPPER, STARTS = 24, 8    # beam on upper levels, and what of it enters the next one
 CHUNK = 512              # queries searched side by side
 EXPAND = 4               # beam members expanded in one step
-AUDITED = 128            # queries, at least, that a task compares with all nodes before it searches the rest
-AUDIT_SHARE = 64         # one in so many queries of a block, at least
+AUDITED = 1024           # nodes, drawn from all blocks, that audit every shard
+COPIED = 512             # near copies of its own nodes that audit a shard as well
 FEW = 8                  # links of a query; those of more are audited apart
-LEAST_LINKED = 100       # queries of few links that an audit must rest on
-AUDITED_LINKED = 24      # queries found to have few links, and many, that it compares afterwards
 RECALL = 0.99            # least share of its links that an audited query must find, on average
 
 
@@ -148,14 +147,14 @@ class Graph:
 
     def dump(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, x=self.x, **{f"l{i}": links.astype(np.int32) for i, links in enumerate(self.links)})
+        np.savez(out, **{f"l{i}": links.astype(np.int32) for i, links in enumerate(self.links)})
         return out.getvalue()
 
     @classmethod
-    def load(cls, raw: bytes) -> Graph:
+    def load(cls, raw: bytes, vectors: np.ndarray) -> Graph:
         data = np.load(io.BytesIO(raw))
-        links = [data[f"l{i}"].astype(np.int64) for i in range(len(data.files) - 1)]
-        return cls(data["x"], [len(l) for l in links], links)
+        links = [data[f"l{i}"].astype(np.int64) for i in range(len(data.files))]
+        return cls(vectors, [len(l) for l in links], links)
 
     def near(self, query: np.ndarray, start: np.ndarray, least: float) -> np.ndarray:
         """All nodes of at least a similarity that are reached from ``start`` through such nodes."""
@@ -172,127 +171,121 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-def _build(cell: pd.DataFrame) -> pd.DataFrame:
-    """One graph; a node's level follows from its number, so a rerun gives the same graph."""
-    cell = cell.sort_values("node", ignore_index=True)
+def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float,
+          width: int | None) -> Iterator[np.ndarray]:
+    """For each query the positions whose cosine with it reaches ``least``, verified in double
+    precision. A beam of ``width`` finds first ones, links of links are followed from there;
+    without a width all nodes are compared."""
+    margin = np.float32(least - 1e-4)
+    small = queries.astype(np.float32)
+    for i in range(0, len(queries), CHUNK):
+        chunk = small[i:i + CHUNK]
+        if width is None:
+            found = (np.flatnonzero(row >= margin) for row in chunk @ graph.x.T)
+        else:
+            ids, sims = graph.beam(chunk, 0, graph.descend(chunk, 0), width)
+            found = (graph.near(query, row[s >= margin], margin) if s[0] >= margin else row[:0]
+                     for query, row, s in zip(chunk, ids, sims))
+        for query, ids in zip(queries[i:i + CHUNK], found):
+            yield ids[exact[ids] @ query >= least] if len(ids) else ids
+
+
+def near_copies(vectors: np.ndarray, n: int, least: float) -> np.ndarray:
+    """Drawn vectors turned by a random angle, so that each has a link by construction: its
+    cosine with the vector it was made from lies between ``least`` and 1, evenly."""
+    rng = np.random.default_rng(len(vectors))
+    base = vectors[rng.choice(len(vectors), min(n, len(vectors)), replace=False)]
+    away = rng.normal(size=base.shape)
+    away -= (away * base).sum(axis=1, keepdims=True) * base
+    length = np.linalg.norm(away, axis=1, keepdims=True)
+    away = np.divide(away, length, out=np.zeros_like(away), where=length > 1e-9)
+    cosine = rng.uniform(least + 1e-3 * (1 - least), 1, (len(base), 1))
+    return unit(cosine * base + np.sqrt(1 - cosine ** 2) * away)
+
+
+def audit(graph: Graph, exact: np.ndarray, sample: np.ndarray, least: float) -> int | None:
+    """The width of beam for a shard: doubled from ``BEAM`` on until the audit queries find
+    ``RECALL`` of the links that a comparison with all nodes gives them, each query counting
+    alike. Apart from one another are judged: drawn nodes of other shards with few links here,
+    those with many, and near copies of nodes, which have links even where the table has none.
+    None, for comparing all nodes, if a beam of a quarter of the shard still fails."""
+    copies = near_copies(exact, COPIED, least)
+    queries = np.concatenate([sample, copies])
+    true = np.array([len(ids) for ids in links(graph, exact, queries, least, None)])
+    drawn = np.arange(len(queries)) < len(sample)
+    groups = [np.flatnonzero(g) for g in (drawn & (true > 0) & (true <= FEW), drawn & (true > FEW), ~drawn)]
+    width = BEAM
+    while width <= max(BEAM, len(exact) // 4):
+        found = np.array([len(ids) for ids in links(graph, exact, queries, least, width)])
+        share = found / np.maximum(true, 1)
+        if all(share[g].mean() >= RECALL for g in groups if len(g)):
+            return width
+        width *= 2
+    return None
+
+
+def _build(cell: pd.DataFrame, sample: pd.DataFrame) -> pd.DataFrame:
+    """One audited graph; a node's level follows from its place, so a rerun gives the same graph."""
+    if cell.empty:
+        return pd.DataFrame({c: [] for c in ("dim", "shard", "width", "graph", "nodes", "raw", "copies")})
+    cell = cell.sort_values(["place", "node"], ignore_index=True)
     draw = np.random.default_rng(len(cell)).random(len(cell))
     levels = np.floor(-np.log(np.maximum(draw, 1e-12)) / math.log(DEGREE)).astype(int)
     order = np.argsort(-levels, kind="stable")
     raw = np.array([v for v in cell["v"].iloc[order]], np.float64)
-    graph = Graph.build(unit(raw).astype(np.float32), levels[order])
+    exact = unit(raw)
+    graph = Graph.build(exact.astype(np.float32), levels[order])
     nodes = cell["node"].to_numpy()[order]
-    return pd.DataFrame({"dim": cell["dim"].iloc[:1], "shard": cell["shard"].iloc[:1], "graph": [graph.dump()],
-                         "nodes": [nodes.tobytes()], "raw": [raw.tobytes()], "copies": [cell["copies"].to_numpy()[order].tobytes()]})
-
-
-def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float,
-          own: np.ndarray | None = None) -> list[np.ndarray]:
-    """Positions whose cosine with each query reaches ``least``, verified in double precision.
-    ``own`` has each query's own position, or -1; it counts as no link in audits.
-
-    Queries are drawn and compared with all nodes until ``LEAST_LINKED`` of them have few links;
-    where a block has no more than that, all of it is compared. The beam then doubles until the
-    drawn queries find enough of their links, each query counting alike and those of few and of
-    many links apart, and so do queries of the rest that were found to have links. In place of a
-    beam beyond ``WIDEST`` all nodes are compared.
-    """
-    margin = np.float32(least - 1e-4)
-    rng = np.random.default_rng(len(queries))
-    own = np.full(len(queries), -1) if own is None else own
-
-    def search(at: np.ndarray, width: int | None) -> list[np.ndarray]:
-        found, part = [], queries[at]
-        small = part.astype(np.float32)
-        for i in range(0, len(part), CHUNK):
-            chunk = small[i:i + CHUNK]
-            if width is None:
-                found += [np.flatnonzero(row >= margin) for row in chunk @ graph.x.T]
-                continue
-            ids, sims = graph.beam(chunk, 0, graph.descend(chunk, 0), width)
-            found += [graph.near(query, row[s >= margin], margin) if s[0] >= margin else row[:0]
-                      for query, row, s in zip(chunk, ids, sims)]
-        return [ids[exact[ids] @ query >= least] if len(ids) else ids for ids, query in zip(found, part)]
-
-    def strata(found: list[np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The links of each query, and which queries have few and which many."""
-        n = np.array([len(ids) - int((ids == o).any()) for ids, o in zip(found, own[at])], np.int64)
-        return n, np.flatnonzero((n > 0) & (n <= FEW)), np.flatnonzero(n > FEW)
-
-    def passes(found: list[np.ndarray], true: list[np.ndarray], at: np.ndarray) -> bool:
-        n, *groups = strata(true, at)
-        share = strata(found, at)[0] / np.maximum(n, 1)
-        return all(share[group].mean() >= RECALL for group in groups if len(group))
-
-    order = rng.permutation(len(queries))
-    size, known = max(AUDITED, len(queries) // AUDIT_SHARE), []
-    while True:
-        known += search(order[len(known):size], None)
-        drawn = order[:len(known)]
-        _, few, many = strata(known, drawn)
-        if len(few) >= LEAST_LINKED or len(known) == len(order):
-            break
-        size *= 2
-    rest, linked = order[len(known):], np.concatenate([few, many])
-    true = [known[i] for i in linked]
-    width, found = BEAM, None
-    while len(rest) and found is None and width <= min(WIDEST, len(exact)):
-        if passes(search(drawn[linked], width), true, drawn[linked]):
-            found = search(rest, width)
-            having = np.concatenate([rng.choice(group, min(len(group), AUDITED_LINKED), replace=False)
-                                     for group in strata(found, rest)[1:]])
-            if not passes([found[i] for i in having], search(rest[having], None), rest[having]):
-                found = None
-        width *= 2
-    known += search(rest, None) if found is None else found
-    return [known[i] for i in np.argsort(order)]
+    foreign = [v for v in sample["v"][~sample["node"].isin(nodes)]]
+    width = audit(graph, exact, unit(np.array(foreign, np.float64)) if foreign else exact[:0], COSINE)
+    return pd.DataFrame({"dim": cell["dim"].iloc[:1], "shard": cell["shard"].iloc[:1],
+                         "width": pd.array([width], "Int32"), "graph": [graph.dump()], "nodes": [nodes.tobytes()],
+                         "raw": [raw.tobytes()], "copies": [cell["copies"].to_numpy()[order].tobytes()]})
 
 
 def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
-    """Per query the number of links in the shard, and a forest that spans all links found."""
+    """Per query the number of links in the shard, and edges that join what the links found join:
+    one from each query to a node, and one between nodes for each two groups that a query unites."""
     if block.empty or cell.empty:
         return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
     row = cell.iloc[0]
-    graph, nodes = Graph.load(row["graph"]), np.frombuffer(row["nodes"], np.int64)
-    copies = np.frombuffer(row["copies"], np.int64)
+    nodes, copies = np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["copies"], np.int64)
     exact = unit(np.frombuffer(row["raw"], np.float64).reshape(len(nodes), -1))
-    own = block["node"].to_numpy()
-    place = np.argsort(nodes)
-    at = place[np.minimum(np.searchsorted(nodes[place], own), len(nodes) - 1)]
-    found = links(graph, exact, unit(np.array([v for v in block["v"]], np.float64)), COSINE, np.where(nodes[at] == own, at, -1))
-    root: dict[int, int] = {}
+    graph = Graph.load(row["graph"], exact.astype(np.float32))
+    width = None if pd.isna(row["width"]) else int(row["width"])
+    queries = unit(np.array([v for v in block["v"]], np.float64))
+    parent = np.arange(len(nodes))  # of each node; roots are their own
 
     def top(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
         return x
 
     a, b, n = [], [], []
-    for key, ids in zip(own.tolist(), found):
-        others = nodes[ids]
-        count = int(copies[ids][others != key].sum())
-        if count:
-            a.append(key)
-            b.append(None)
-            n.append(count)
-        for other in others.tolist():
-            x, y = top(key), top(other)
-            if x != y:
-                root[x] = y
-                a.append(key)
-                b.append(other)
-                n.append(0)
-    return pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "n": n})
+    for key, ids in zip(block["node"].tolist(), links(graph, exact, queries, COSINE, width)):
+        ids = ids[nodes[ids] != key]
+        if not len(ids):
+            continue
+        tops = sorted({top(x) for x in np.unique(parent[ids]).tolist()})
+        a += [key, *nodes[tops[1:]].tolist()]
+        b += nodes[tops[:1]].tolist() * len(tops)
+        n += [int(copies[ids].sum())] + [0] * (len(tops) - 1)
+        parent[tops] = parent[ids] = tops[0]
+    return pd.DataFrame({"a": a, "b": b, "n": n}).astype("int64")
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept (vec_id = component_id).
 
-    Vectors with equal components are one node with so many copies. Nodes are hashed to
-    shards of a bounded size, each with its own graph; all nodes query every shard, in blocks.
-    A beam search finds a first link, links of links are followed, and the beam widens until
-    an audit by brute force passes (see ``links``). Every link is verified in double
-    precision. A task returns counts and a spanning forest, not the pairs, so a dense group of
-    m vectors costs m rows per shard. Components are joined over all shards.
+    Vectors with equal components are one node with so many copies, and a key of its own, so
+    different vectors of one id stay apart. Nodes are hashed to shards of a bounded size, each
+    with its own graph; all nodes query every shard, in blocks about as large as a shard. A beam
+    search finds a first link and links of links are followed. The beam's width is chosen once
+    for each shard, as the graph is built, by an audit against brute force (see ``audit``): at
+    most ``AUDITED`` nodes drawn from the table and ``COPIED`` near copies of its own. Every link
+    is verified in double precision. A task returns counts and edges that span the groups, not
+    the pairs, so a dense group of m vectors costs m rows per shard. Components are joined over
+    all shards.
 
     Null and zero vectors, and those with null, infinite or undefined components, link with
     nothing; vectors of another length only with their like. Rows of no id count as links but
@@ -304,24 +297,25 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     fine = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != infinite)) \
         & F.exists("v", lambda x: x != 0)
     rows = stage(rows.withColumn("fine", F.coalesce(fine, F.lit(False))), "vectors")
-    valid = rows.where("fine").groupBy("v").agg(
-        F.coalesce(F.min("vec_id"), F.xxhash64(F.first("v"))).alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = stage(valid.withColumn("dim", F.size("v")), "vector-nodes")
+    valid = rows.where("fine").groupBy("v").agg(F.count(F.lit(1)).alias("copies"))
+    nodes = stage(valid.withColumns({"dim": F.size("v"), "place": F.xxhash64("v"),
+                                     "node": F.monotonically_increasing_id()}), "vector-nodes")
     n, dim = nodes.agg(F.count(F.lit(1)), F.max("dim")).first()
-    shards = max(LEAST_SHARDS, math.ceil(n * (dim or 1) * 8 / SHARD_BYTES))
-    placed = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int"))
-    blocks = max(1, math.ceil(n * (dim or 1) * 8 / BLOCK_BYTES))
-    graphs = stage(placed.groupBy("dim", "shard").applyInPandas(
-        _build, "dim int, shard int, graph binary, nodes binary, raw binary, copies binary"), "graphs")
+    size = n * (dim or 1) * 8
+    shards, blocks = max(LEAST_SHARDS, math.ceil(size / SHARD_BYTES)), max(LEAST_BLOCKS, math.ceil(size / BLOCK_BYTES))
+    placed = nodes.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    queries = (nodes.withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), F.lit(blocks)).cast("int"))
-               .withColumn("shard", every))
+    drawn = nodes.orderBy(F.xxhash64("place"), "node").limit(AUDITED).select("dim", "node", "v").withColumn("shard", every)
+    graphs = stage(placed.groupBy("dim", "shard").cogroup(drawn.groupBy("dim", "shard")).applyInPandas(
+        _build, "dim int, shard int, width int, graph binary, nodes binary, raw binary, copies binary"), "graphs")
+    queries = (nodes.withColumn("block", F.pmod(F.xxhash64("place", F.lit(1)), F.lit(blocks)).cast("int"))
+               .select("dim", "block", "node", "v").withColumn("shard", every))
     spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     key = ["dim", "shard", "block"]
     found = stage(queries.groupBy(*key).cogroup(spread.groupBy(*key)).applyInPandas(_query, "a long, b long, n long"),
                   "found")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
-    roots = components(found.where("b IS NOT NULL").select("a", "b"))
+    roots = components(found.select("a", "b"))
     named = (rows.join(nodes.select("v", "node", "copies"), "v", "left").join(counts, "node", "left")
              .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = named.where("fine").groupBy("root").agg(F.min("vec_id").alias("least"))
