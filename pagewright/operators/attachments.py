@@ -165,6 +165,12 @@ def prepare_content(contents: DataFrame, listed: DataFrame, details: DataFrame)
     return body.unionByName(section_chunks(new, counted))
 
 
+def whole_texts(chunks: DataFrame) -> DataFrame:
+    """(page_id, text): the chunks of each page in order, for a request that holds one text."""
+    ordered = F.array_sort(F.collect_list(F.struct("part", "chunk", "text")))
+    return chunks.groupBy("page_id").agg(F.array_join(F.transform(ordered, lambda c: c["text"]), "").alias("text"))
+
+
 def pending(listed: DataFrame, details: DataFrame) -> DataFrame:
     """(page_id, pending): any listed attachment without a successful upload."""
     state = details.select("page_id", "path", F.col("uploaded").alias("_done"))

@@ -579,26 +579,31 @@ def joined_pieces() -> Column:
     return F.translate(tidy, INDENT + LINE, " \n")
 
 
-def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
-    """(page_id, markdown): prune, pick the main content, convert, clean.
+def converted_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, found, markdown): prune, pick the main content, convert, clean.
 
-    Pages without any content element get a message with their file name (``names`` column).
+    ``found`` is false for pages without any content element; they have no markdown.
     """
     tokens = html_tokens(pages, keep_empty=True)
     matched = _match_and_prune(tokens, PRUNE_RULES, {"_nav": rule_hit(CONTENT_RULES[0])})
     pieces = markdown_pieces(_clean_main(main_content(matched, keep_lost=True)))
-    done = (pieces.where(F.col("piece").isNotNull() | (F.col("pos") == F.col("main.start")) | F.col("main").isNull())
-            .groupBy("page_id").agg(F.max("main").alias("main"),
-                                    strip(clean_markdown(joined_pieces())).alias("markdown")))
-    found, lost = F.col("main").isNotNull(), F.lit("Could not extract content from ")
-    if names is None:
-        name = F.col("page_id").cast("string")
-    else:
-        # only the lost pages need their names
-        name = F.col(names)
-        wanted = done.where(~found).select("page_id").join(pages.select("page_id", names), "page_id")
-        done = done.join(wanted, "page_id", "left")
-    return done.select("page_id", F.when(found, F.col("markdown")).otherwise(F.concat(lost, name)).alias("markdown"))
+    found = F.max(F.col("main").isNotNull())
+    return (pieces.where(F.col("piece").isNotNull() | (F.col("pos") == F.col("main.start")) | F.col("main").isNull())
+            .groupBy("page_id").agg(found.alias("found"), F.when(
+                found, strip(clean_markdown(joined_pieces()))).alias("markdown")))
+
+
+def or_lost(name: Column) -> Column:
+    """The markdown of a converted page, or a message with its file name where nothing was found."""
+    return F.when(F.col("found"), F.col("markdown")).otherwise(F.concat(F.lit("Could not extract content from "), name))
+
+
+def html_to_markdown(pages: DataFrame, names: str | None = None) -> DataFrame:
+    """(page_id, markdown) of ``converted_pages``; lost pages are named by the ``names`` column, else by id."""
+    done, name = converted_pages(pages), F.col("page_id").cast("string")
+    if names is not None:
+        done, name = done.join(pages.select("page_id", F.col(names).alias("_name")), "page_id", "left"), F.col("_name")
+    return done.select("page_id", or_lost(name).alias("markdown"))
 
 
 def legacy_pages(pages: DataFrame) -> DataFrame:

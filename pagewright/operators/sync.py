@@ -238,10 +238,15 @@ def content_update_needed(original, rewritten) -> Column:
     return ~col(rewritten).eqNullSafe(o) | (o != "")
 
 
+def attachment_request() -> Column:
+    """Record request of an attachment of a document."""
+    return F.struct("name", F.col("mime_type").alias("contentType"), F.col("size_bytes").alias("size"),
+                    F.col("document_id").alias("documentId"))
+
+
 def attachment_payload(files: DataFrame, base_url: str) -> DataFrame:
     """Attachment record request, and the download URL its id will have."""
-    body = F.struct("name", F.col("mime_type").alias("contentType"), F.col("size_bytes").alias("size"),
-                    F.col("document_id").alias("documentId"))
+    body = attachment_request()
     url = F.concat(F.lit(f"{base_url}/api/attachments.redirect?id="), F.col("attachment_id"))
     return files.select("page_id", "path", body.alias("request"), url.alias("api_url"))
 

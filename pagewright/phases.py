@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import fixed
 from pagewright.functions.text import default_content, space_key_or_default
-from pagewright.operators import archives, dom, sync, tree
+from pagewright.operators import archives, attachments, dom, sync, tree
+from pagewright.session import stage
 from pagewright.sources import files
 
 
@@ -42,14 +43,19 @@ def process_input(index_pages: DataFrame, page_files: DataFrame) -> tuple[DataFr
 
 
 def extract_content(items: DataFrame, pages: DataFrame) -> DataFrame:
-    """Items with their markdown; ``pages`` carries (space_key, href, html)."""
+    """Items with their markdown; ``pages`` carries (space_key, href, html).
+
+    Every page is converted once; one without content is named by the item that asks for it.
+    """
     ident = F.concat_ws("/", "space_key", "href")
-    converted = dom.html_to_markdown(pages.select(ident.alias("page_id"), "href", "html"), "href")
-    new = converted.select(F.col("page_id").alias("_id"), F.col("markdown").alias("_md"))
+    new = dom.converted_pages(pages.select(ident.alias("page_id"), "html")).select(
+        F.col("page_id").alias("_id"), F.col("found"), F.col("markdown"))
     asked = F.concat_ws("/", "space_key", F.coalesce("html_page", F.lit("")))
-    return (items.withColumn("_id", asked).join(new, "_id", "left")
-            .withColumn("md_content", default_content("title", "html_page", F.col("_md").isNotNull(), "_md"))
-            .drop("_id", "_md"))
+    held = items.select("*", asked.alias("_id"), F.col("html_page").alias("_page"))
+    return (held.join(new, "_id", "left")
+            .withColumn("md_content", default_content("title", "html_page", F.col("found").isNotNull(),
+                                                      dom.or_lost(F.col("_page"))))
+            .drop("_id", "_page", "found", "markdown"))
 
 
 def upload_plan(items: DataFrame, documents: DataFrame, spaces: DataFrame, listed: DataFrame,
@@ -68,3 +74,69 @@ def upload_plan(items: DataFrame, documents: DataFrame, spaces: DataFrame, liste
     update = F.to_json(sync.update_request())
     return waved.withColumn("request", F.when((F.col("action") == "create") & ~F.col("waits_for_parent"), create)
                             .when(F.col("action") == "update", update))
+
+
+def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, listed: DataFrame, files: DataFrame,
+                    details: DataFrame, contents: DataFrame, outcomes: DataFrame | None = None,
+                    force: bool = False) -> DataFrame:
+    """All requests that can be sent now: (space_key, path, wave, step, kind, key, request).
+
+    Steps: 0 ``collection`` for spaces without a collection id, whose items wait for it;
+    1 ``document``, a create or update; 2 ``attachment`` for each listed file not yet uploaded
+    of a document that is there (``key`` is its path); 3 ``update`` of documents created in this
+    run, once all their attachments have an outcome, with the text that links them.
+
+    ``outcomes`` (space_key, path, page_uuid) are documents created in this run. ``files``
+    (page_id, path, size) exist on disk, ``details`` are outcomes of attachments and
+    ``contents`` (page_id, content) the texts. A listed file that does not exist gives no
+    request (``attachments.missing_files`` has it) and is not waited for. Items and plan are
+    written once, as several passes read them. Repeated rows of
+    ``listed`` and ``files`` count once. Attachments meet their document by page id, one row
+    each; only the text of a second update is put together, since the request holds it whole.
+    """
+    key = ["space_key", "path"]
+    names = [c for c in items.columns if c != "_fresh"]
+    if outcomes is None:
+        held, known = items.select(*names, F.lit(False).alias("_fresh")), documents.select("id")
+    else:
+        made = outcomes.where("page_uuid IS NOT NULL").groupBy(*key).agg(F.min("page_uuid").alias("_uuid"))
+        fresh = F.col("_uuid").isNotNull()
+        held = (items.select(*names).join(made, key, "left").withColumns({
+            "page_uuid": F.coalesce("_uuid", "page_uuid"), "created": F.col("created") | fresh, "_fresh": fresh}).drop("_uuid"))
+        known = documents.select("id").union(made.select("_uuid")).distinct()
+    held = stage(held, "items")
+    homes = spaces.where("collection_id IS NOT NULL")
+    opened = held.join(homes.select("space_key"), "space_key", "left_semi")
+    listed = listed.select("page_id", "path").distinct()
+    plan = stage(upload_plan(opened, known, homes, listed, force), "plan")
+    where = ["space_key", "path", "wave"]
+    out = ["space_key", "path", "wave", "step", "kind", "key", "request"]
+
+    def rows(df: DataFrame, step: int, kind: str) -> DataFrame:
+        return df.withColumns({"step": F.lit(step), "kind": F.lit(kind)}).select(*out)
+
+    none = F.lit(None).cast("string")
+    collections = sync.collection_payload(spaces.where("collection_id IS NULL"), items).select(
+        "space_key", F.lit(None).cast("array<string>").alias("path"), F.lit(0).alias("wave"), none.alias("key"),
+        F.to_json("request").alias("request"))
+    sent = plan.where(F.col("request").isNotNull() & ~F.col("_fresh")).withColumn("key", none)
+    there = plan.where(F.col("action").isin("skip", "update") & F.col("exists_remotely"))
+    owner = there.select(*where, F.col("page_id"), F.col("page_uuid").alias("document_id"))
+
+    found = attachments.inventory(files.select("page_id", "path", "size").dropDuplicates(["page_id", "path"]))
+    sent_before = details.where("uploaded").select("page_id", "path")
+    open_files = listed.join(found, ["page_id", "path"]).join(sent_before, ["page_id", "path"], "left_anti")
+    records = (open_files.withColumnRenamed("path", "key").join(owner, "page_id")
+               .withColumn("request", F.to_json(sync.attachment_request())))
+
+    tried = details.select("page_id", "path").distinct()
+    waiting = listed.join(found, ["page_id", "path"], "left_semi").join(tried, ["page_id", "path"], "left_anti").select("page_id")
+    ready = (there.where("_fresh AND has_attachments").join(waiting.distinct(), "page_id", "left_anti")
+             .select(*where, "page_id", "page_uuid", "title", "md_content"))
+    wanted = [t.join(ready.select("page_id"), "page_id", "left_semi") for t in (contents, listed, details)]
+    texts = attachments.whole_texts(attachments.prepare_content(*wanted))
+    again = (ready.join(texts, "page_id").where(sync.content_update_needed("md_content", F.col("text")))
+             .withColumn("md_content", F.col("text"))
+             .withColumns({"key": none, "request": F.to_json(sync.update_request())}))
+    return (rows(collections, 0, "collection").unionByName(rows(sent, 1, "document"))
+            .unionByName(rows(records, 2, "attachment")).unionByName(rows(again, 3, "update")))

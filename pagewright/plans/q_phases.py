@@ -2,10 +2,12 @@
 from pyspark.sql import functions as F
 
 from pagewright import phases
-from pagewright.operators import legacy
+from pagewright.operators import legacy, sync
+from pagewright.plans.q_attachments import MIME
 from pagewright.plans.q_dom import INDEX, MARKDOWN
 from pagewright.plans.q_sync import ACTION, NORMAL, STUBBED
 from pagewright.plans.registry import label, query
+from pagewright.session import stage
 
 
 @query("extract_zips", """
@@ -72,6 +74,35 @@ def _(fx):
         "space_key", label().alias("path"), "action", "wave", "parent_uuid", "waits_for_parent", "request")
 
 
+# the space of region 4 has no collection yet; every second document to be created was created in this run
+MADE = f"(SELECT *, {NORMAL} AS action, {NORMAL} = 'create' AND pos % 2 = 0 AS fresh FROM {ACTION} WHERE collection_id <> 'col-4')"
+UP = "CASE WHEN x.fresh THEN 'new-' || x.pos ELSE x.page_uuid END"
+
+
+@query("upload_requests", rf"""
+    SELECT s.space_key, CAST(NULL AS VARCHAR) AS path, 0 AS wave, 0 AS step, 'collection' AS kind, CAST(NULL AS VARCHAR) AS key, s.space_name AS name
+    FROM fx_spaces s WHERE collection_id = 'col-4'
+    UNION ALL SELECT space_key, array_to_string(i.path, '/'), depth - 1, 1, 'document', NULL, title FROM {MADE} i
+      LEFT JOIN (SELECT space_key AS sk, path AS pp, action = 'create' AND NOT fresh AS open FROM {MADE} x) p ON p.sk = i.space_key AND p.pp = i.parent_path
+      WHERE i.action = 'create' AND NOT fresh AND NOT (depth > 2 AND coalesce(p.open, false))
+    UNION ALL SELECT x.space_key, array_to_string(x.path, '/'), depth - 1, 2, 'attachment', a.path, {MIME} || ' ' || {UP}
+      FROM {MADE} x JOIN fx_att a ON a.page_id = x.page_id
+      WHERE (x.fresh OR action = 'skip' AND ex) AND NOT EXISTS (SELECT 1 FROM fx_det d WHERE d.path = a.path AND d.uploaded)
+    UNION ALL SELECT x.space_key, array_to_string(x.path, '/'), depth - 1, 3, 'update', NULL, {UP} FROM {MADE} x WHERE fresh
+      AND page_id IN (SELECT page_id FROM fx_att) AND page_id NOT IN (SELECT page_id FROM fx_att WHERE quantity <= 5)""")
+def _(fx):
+    spaces = fx.spaces.withColumn("collection_id", F.when(F.col("collection_id") != "col-4", F.col("collection_id")))
+    items = stage(fx.items, "items")
+    new = sync.sync_action(items, fx.documents, fx.spaces).where("action = 'create' AND pos % 2 = 0").select(
+        "space_key", "path", F.concat(F.lit("new-"), "pos").alias("page_uuid"))
+    got = phases.upload_requests(items, fx.documents, spaces, fx.listed, fx.attachments, fx.details,
+                                 fx.markdown.select("page_id", "content"), new)
+    field = lambda name: F.get_json_object("request", f"$.{name}")
+    name = (F.when(F.col("kind") == "collection", field("name")).when(F.col("kind") == "document", field("title"))
+            .when(F.col("kind") == "update", field("id")).otherwise(F.concat_ws(" ", field("contentType"), field("documentId"))))
+    return got.select("space_key", label().alias("path"), "wave", "step", "kind", "key", name.alias("name"))
+
+
 @query("detected_space_name", """
     SELECT coalesce((SELECT c_name FROM customer WHERE c_custkey = 0), 'Information Systems') AS space_name""")
 def _(fx):
