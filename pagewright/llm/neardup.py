@@ -305,7 +305,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     shards, blocks = max(LEAST_SHARDS, math.ceil(size / SHARD_BYTES)), max(LEAST_BLOCKS, math.ceil(size / BLOCK_BYTES))
     placed = nodes.withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
-    drawn = nodes.orderBy(F.xxhash64("place"), "node").limit(AUDITED).select("dim", "node", "v").withColumn("shard", every)
+    # a share of the nodes by hash first, about twice as many as are drawn, so that one task never sorts more
+    chance = F.pmod(F.xxhash64("place"), F.lit(max(n, 1)))
+    drawn = nodes.where(chance < 2 * AUDITED).orderBy(chance, "node").limit(AUDITED).select("dim", "node", "v").withColumn("shard", every)
     graphs = stage(placed.groupBy("dim", "shard").cogroup(drawn.groupBy("dim", "shard")).applyInPandas(
         _build, "dim int, shard int, width int, graph binary, nodes binary, raw binary, copies binary"), "graphs")
     queries = (nodes.withColumn("block", F.pmod(F.xxhash64("place", F.lit(1)), F.lit(blocks)).cast("int"))
