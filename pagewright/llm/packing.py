@@ -3,7 +3,6 @@ from __future__ import annotations
 
 import base64
 import math
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,20 +19,15 @@ from pagewright.llm.common import documents, small_batches, stage
 LENGTH = 1024
 OPEN_WINDOWS = 64         # a partition keeps so many sequences open
 MERGE_PIECES = 100_000    # pieces that one task of the merge handles
-CACHED_CHUNKS = 300_000   # a worker forgets its chunks beyond that
 END = 0                   # id after each document
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = {"<|endoftext|>": 50256}
 
-# Before a space between two characters that are none, the pattern that cuts a text for this
-# vocabulary always starts a new part, so chunks are encoded one by one.
-CHUNK = re.compile(r"(?<=\S)(?= \S)")
-
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class Chunks(dict):
-    """Little-endian 32-bit ids of each chunk of text, encoded when first asked for."""
+class Ids:
+    """Little-endian 32-bit ids of whole texts, one call of the library for each."""
 
     def __init__(self, ranks: str):
         lines = (line.split() for line in open(ranks, "rb"))
@@ -41,16 +35,8 @@ class Chunks(dict):
             "own", pat_str=public_tokenizers.PATTERN, special_tokens=SPECIAL,
             mergeable_ranks={base64.b64decode(token): int(rank) for token, rank in lines})
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_CHUNKS:
-            self.clear()
-        ids = np.array(self.encoding.encode(chunk, allowed_special="all"), dtype="<u4").tobytes()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        return b"".join([self[chunk] for chunk in CHUNK.split(text)])
+    def of(self, text: str) -> bytes:
+        return self.encoding.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
 
 class Windows:
@@ -100,7 +86,7 @@ class Windows:
 
 def _first(ranks: str, length: int, limit: int, keep_ids: bool):
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chunks, windows = Chunks(ranks), Windows(limit, length)
+        encoder, windows = Ids(ranks), Windows(limit, length)
         following = TaskContext.get().partitionId() << 32
         end = np.array([END], dtype="<u4").tobytes()
         columns = [c.split()[0] for c in PIECE.split(",")] + ["ids"] * keep_ids
@@ -123,7 +109,7 @@ def _first(ranks: str, length: int, limit: int, keep_ids: bool):
 
         for batch in batches:
             for key, text in zip(batch["doc_id"], batch["text"]):
-                ids = chunks.ids(text or "") + end
+                ids = encoder.of(text or "") + end
                 total, start = len(ids) // 4, 0
                 key = None if pd.isna(key) else int(key)
                 while total - start >= length:
