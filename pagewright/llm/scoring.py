@@ -5,10 +5,11 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,12 @@ def tree(masses: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return parent, branch, np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
+def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Rows written as single values: several times faster than ``table[at] = rows``."""
+    whole = np.dtype((np.void, table.itemsize * table.shape[1]))
+    table.view(whole).ravel()[at] = rows.view(whole).ravel()
+
+
 class Model:
     """Biases start at the logarithms of the counts, weights at 0: a unigram model at first.
 
@@ -87,17 +94,37 @@ class Model:
         self.rows = 1 << (max(LEAST_FEATURES, distinct // ROW_WORDS, total // ROW_TOKENS) - 1).bit_length()
         self.weight = np.zeros((self.rows, WIDTH), np.float32)
 
+    @cached_property
+    def slot(self) -> np.ndarray:
+        """Room for the numbers of the rows that one update touches."""
+        return np.zeros(self.rows, np.int32)
+
     def __getstate__(self) -> dict:
-        """What travels to workers: of the weights only rows that moved."""
+        """What travels to workers and lies on each of their disks: arrays packed, of the weights only
+        rows that moved, and counts of buckets as whole numbers of halves."""
         at = np.flatnonzero(self.weight.any(axis=1))
-        return self.__dict__ | {"weight": (at.astype(np.int32), self.weight[at])}
+        half = self.weight[at].astype(np.float16)
+        exact = np.array_equal(half, self.weight[at])
+        packed = {"parent": self.parent, "branch": self.branch, "bias": self.bias, "at": at.astype(np.int32),
+                  "buckets": (2 * self.buckets).astype(np.int64) if (2 * self.buckets % 1 == 0).all() else self.buckets,
+                  "moved": half if exact else self.weight[at]}
+        rest = {k: v for k, v in self.__dict__.items() if k not in (*packed, "weight", "slot")}
+        return rest | {"packed": {k: (zlib.compress(v.tobytes(), 1), v.dtype.str, v.shape) for k, v in packed.items()}}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__ = state
-        at, moved = state["weight"]
+        arrays = {k: np.frombuffer(zlib.decompress(v), dtype).reshape(shape) for k, (v, dtype, shape) in state.pop("packed").items()}
+        at, moved, buckets = arrays.pop("at"), arrays.pop("moved"), arrays.pop("buckets")
+        self.__dict__ = state | arrays
+        self.buckets = buckets / 2 if buckets.dtype == np.int64 else buckets
         self.weight = np.zeros((self.rows, WIDTH), np.float32)
         self.weight[at] = moved
 
+    def twin(self) -> Model:
+        """A model with weights of its own; the rest is shared."""
+        other = object.__new__(Model)
+        other.__dict__ = self.__dict__ | {"weight": self.weight.copy()}
+        return other
+
     def encode(self, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """(leaves, features) of all tokens; a word outside the table has the leaf of its bucket."""
         ids, known, first, buckets = [], self.ids.get, len(self.ids), len(self.buckets)
@@ -132,9 +159,9 @@ class Model:
         token, node, taken = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(branches)
         mixed = (x[token] + node.astype(np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xFF51AFD7ED558CCD)
         rows = (mixed >> np.uint64(64 - self.rows.bit_length() + 1)).astype(np.int64)
-        p = self.bias[node]
+        p = self.bias.take(node, 0)
         for j in range(HASHED):
-            p += self.weight[rows[:, j]]
+            p += self.weight.take(rows[:, j], 0)
         p -= p.max(axis=1, keepdims=True)
         np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)
@@ -150,20 +177,33 @@ class Model:
         rows that the tokens touch."""
         _, taken, rows, p = self.forward(ids, x)
         p[np.arange(len(taken)), taken] -= 1
+        # number the distinct rows without a sort: of equal ones the place written last is kept
         flat = rows.ravel()
-        order = np.argsort(flat)
-        flat = flat[order]
-        starts = np.flatnonzero(np.diff(flat, prepend=-1))
-        at = flat[starts]
-        step = np.add.reduceat(p[order // HASHED], starts, axis=0)
-        past[at] += step * step
-        self.weight[at] -= RATE * step / np.sqrt(past[at] + 1)
-        touched[at] += np.diff(starts, append=len(flat))
-
-
-def _train(model: Model):
+        place = np.arange(len(flat), dtype=np.int32)
+        self.slot[flat] = place
+        at = flat[self.slot[flat] == place]
+        self.slot[at] = place[:len(at)]
+        rows = np.ascontiguousarray(self.slot[rows].T).astype(np.int64)
+        step = np.empty((WIDTH, len(at)), np.float32)
+        for k, gradient in enumerate(np.ascontiguousarray(p.T).astype(float)):
+            step[k] = sum(np.bincount(of, gradient, len(at)) for of in rows)
+        step = np.ascontiguousarray(step.T)
+        seen = past.take(at, 0)
+        seen += step * step
+        _put(past, at, seen)
+        seen += 1
+        np.sqrt(seen, out=seen)
+        step *= RATE
+        step /= seen
+        np.subtract(self.weight.take(at, 0), step, out=step)
+        _put(self.weight, at, step)
+        touched[at] += np.bincount(rows.ravel(), minlength=len(at))
+
+
+def _train(shared: Broadcast):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start, past = model.weight.copy(), np.zeros_like(model.weight)
+        model, start = shared.value.twin(), shared.value.weight  # a worker's next task gets the same value
+        past = np.zeros_like(start)
         touched = np.zeros(model.rows, np.float32)
         held, size = [], 0
 
@@ -216,19 +256,24 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
 UPDATE = "block int, part int, at binary, touched binary, moved binary"
 
 
+def _added(updates: DataFrame) -> DataFrame:
+    """The updates of 256 partitions added up; they are shuffled as they come and not written before."""
+    return stage(updates.groupBy("block", F.floor(F.col("part") / 256).alias("g")).applyInPandas(_add, UPDATE), "updates")
+
+
 def train(model: Model, docs: DataFrame, rounds: int = ROUNDS) -> Model:
     """Rounds of distributed updates: every partition steps along its own documents from the
     same model; the steps of each row are averaged, weighted by how often documents touch it, 256
     partitions at a time."""
-    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, model.total // PART_TOKENS)
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, model.total // PART_TOKENS)
     for turn in range(rounds):
         share = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn) if rounds > 1 else docs
-        sums = stage(share.select("text").coalesce(parts).mapInPandas(_train(model), UPDATE), "updates")
-        while True:
-            each, sums = sums, stage(sums.groupBy("block", F.floor(F.col("part") / 256).alias("g")).applyInPandas(_add, UPDATE), "updates")
+        shared = docs.sparkSession.sparkContext.broadcast(model)
+        sums = _added(share.select("text").coalesce(parts).mapInPandas(_train(shared), UPDATE))
+        shared.destroy()  # it lies on every executor's disk
+        while (sums.agg(F.max("part")).first()[0] or 0) > 0:
+            each, sums = sums, _added(sums)
             unstage(each)
-            if (sums.agg(F.max("part")).first()[0] or 0) == 0:
-                break
         # rows / BLOCK rows, the size of the model
         for row in sums.toLocalIterator():
             at = np.frombuffer(row["at"], "u1").astype(np.int64) + row["block"] * BLOCK
@@ -237,11 +282,11 @@ def train(model: Model, docs: DataFrame, rounds: int = ROUNDS) -> Model:
     return model
 
 
-def _score(model: Model):
-    z = math.log10(model.total + 0.5 * (model.distinct + 1))
-    bucket_logs = np.log10(model.buckets)
-
+def _score(shared: Broadcast):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = shared.value
+        z = math.log10(model.total + 0.5 * (model.distinct + 1))
+        bucket_logs = np.log10(model.buckets)
         row = TaskContext.get().partitionId() << 36
         logs = {w: math.log10(c + 0.5) for w, c in model.counts.items()}
         for batch in batches:
@@ -261,10 +306,10 @@ def _score(model: Model):
                 rest += [(row + i, w, n) for w, n in Counter(rare).items()]
             sizes = np.array([len(f) for f in found])
             outside = ids >= len(model.ids)  # in a bucket, by counts: the rest is added by the join
-            shared = np.bincount(owner[outside], bucket_logs[ids[outside] - len(model.ids)], len(found))
+            halves = np.bincount(owner[outside], bucket_logs[ids[outside] - len(model.ids)], len(found))
             yield pd.DataFrame({"row": row + np.arange(len(found)), "doc_id": batch["doc_id"].astype("Int64"),
                                 "held_out": batch["held_out"], "n_tokens": sizes, "n_known": known, "base": base,
-                                "score": score - shared, "word": None, "tf": None})
+                                "score": score - halves, "word": None, "tf": None})
             for i in range(0, len(rest), 20_000):
                 keys, words, n = zip(*rest[i:i + 20_000])
                 yield pd.DataFrame({"row": keys, "doc_id": pd.array([None] * len(keys), "Int64"), "held_out": None,
@@ -321,7 +366,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
     schema = ("row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
               "word binary, tf long")
-    out = stage(slim.mapInPandas(_score(model), schema), "scores")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    out = stage(slim.mapInPandas(_score(shared), schema), "scores")
+    shared.destroy()
     rare = out.where("word IS NOT NULL").select("row", "word", "tf").join(counts, "word", "left")
     rare = rare.withColumn("c", F.coalesce("c", F.lit(0))).groupBy("row").agg(
         F.sum(F.col("tf") * F.log10(F.col("c") + 0.5)).alias("more"),
