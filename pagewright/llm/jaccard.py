@@ -276,17 +276,22 @@ def linked(docs: DataFrame, doc_id: str, text: str, size: int, percent: int, key
     nodes = both.where("block IS NULL").drop("block", "counts")
     levels = levels_of(both.where("block IS NOT NULL").select("block", "counts"))
 
-    # lists of at least two nodes, dealt out once
+    # lists of at least two nodes; those of the same nodes are one list of that weight, since they give the
+    # same pairs: copies share most tokens of their prefixes
     postings = slim.select("text").mapInPandas(_postings(size, percent, levels), "token long, node long")
     whole_list, by_node = Window.partitionBy("token"), Window.partitionBy("token").orderBy("node")
-    lists = (postings.select("token", "node", F.count(F.lit(1)).over(whole_list).alias("c"), F.min("node").over(whole_list).alias("lo"),
+    lists = (postings.select("token", "node", F.min("node").over(whole_list).alias("lo"),
                              F.max("node").over(whole_list).alias("hi"), F.lag("node").over(by_node).alias("before"))
-             .where("lo <> hi AND (before IS NULL OR before <> node)").select("token", "node", "c"))
+             .where("lo <> hi AND (before IS NULL OR before <> node)")
+             .select("node", F.count(F.lit(1)).over(whole_list).alias("c"), F.bit_xor(F.xxhash64("node")).over(whole_list).alias("h1"),
+                     F.bit_xor(F.xxhash64(F.lit(1), "node")).over(whole_list).alias("h2")))
+    lists = (lists.select("node", "c", F.xxhash64("h1", "h2", "c").alias("token")).repartition("node")
+             .groupBy("node", "token", "c").agg(F.count(F.lit(1)).alias("same")))
 
     # one document for each node
     picked = nodes.groupBy("node").agg(F.min("pick").alias("pick"), *[F.min(c).alias(c) for c in DETAILS])
     lists = stage(lists.join(picked.drop("pick"), "node").select(
-        "token", "node", "c", F.sum("c").over(Window.partitionBy("node")).alias("hub"), *DETAILS), "listed")
+        "token", "node", "c", F.sum(F.col("c") * F.col("same")).over(Window.partitionBy("node")).alias("hub"), *DETAILS), "listed")
 
     def named(pairs: DataFrame) -> DataFrame:
         """The nodes of the pairs and their documents."""
