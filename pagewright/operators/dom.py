@@ -19,14 +19,13 @@ def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = Fa
 
     Attribute values and text are decoded here, once for all that follows.
 
-    Pages are spread over ``spark.sql.shuffle.partitions`` tasks, a number that AQE keeps:
-    the tokens of a page need several times the room of its source, so partitions sized by
-    the source would be too few. ``keep_empty`` leaves one row of nulls for pages
-    without any token.
+    The number of tasks follows the pages: AQE joins small partitions up to its advisory size,
+    which ``session.RECOMMENDED`` sets low, since the tokens of a page need several times the
+    room of its source. A fixed number of tasks would spill more with every page.
+    ``keep_empty`` leaves one row of nulls for pages without any token.
     """
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     explode = F.posexplode_outer if keep_empty else F.posexplode
-    exploded = (pages.select("page_id", "html").repartition(parts, "page_id")
+    exploded = (pages.select("page_id", "html").repartition("page_id")
                 .select("page_id", explode(markup.split_tokens("html")).alias("pos", "token"))
                 .withColumn("name", markup.tag_name("token"))
                 .withColumn("kind", markup.token_kind("token", "name")))

@@ -276,8 +276,8 @@ class Fixtures:
                      .withColumn("doc_id", F.col("c_custkey") % n_docs))
         texts = self.table("documents").select("doc_id", "text")
         page_id = (F.lit(CUSTOMER).cast("long") + F.col("c_custkey")).cast("string")
-        return (customers.join(texts, "doc_id").withColumn("page_id", page_id)
-                .join(self.first_paths, "page_id", "left")
+        # texts last, so that they are not shuffled once more with the paths
+        return (customers.withColumn("page_id", page_id).join(self.first_paths, "page_id", "left").join(texts, "doc_id")
                 .select("page_id", "c_custkey", "c_name", "n_name", "r_name", "n_nationkey", "r_regionkey",
                         "text", F.coalesce("p1", F.lit("")).alias("p1"), F.coalesce("p2", F.lit("")).alias("p2")))
 

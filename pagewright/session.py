@@ -12,6 +12,13 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # tasks follow the data: many small shuffle partitions, joined by AQE up to a size whose rows
+    # a task can sort in memory, so that larger inputs get more tasks instead of spilling ones
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "600",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # pages and archives may be large: hand Python few rows at a time
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.session.timeZone": "UTC",
     # keyed streaming state on disk instead of in executor memory
     "spark.sql.streaming.stateStore.providerClass":
