@@ -25,17 +25,18 @@ def process_input(index_pages: DataFrame, page_files: DataFrame) -> tuple[DataFr
 
     ``index_pages`` carries (page_id, export, folder, html), one row per exported space;
     ``page_files`` (page_id, href) lists the files next to each index. When several exports
-    hold a space key, the latest export name wins.
+    hold a space key, the latest export name wins. Spaces and links are written once, as
+    headers and items read them several times.
     """
     tokens = dom.html_tokens(index_pages)
     found = index_pages.select("page_id", "export", "folder").join(dom.space_metadata(tokens), "page_id", "left")
-    spaces = tree.latest_export(found.select(
+    spaces = stage(tree.latest_export(found.select(
         space_key_or_default("space_key", "folder").alias("space_key"), "page_id", "export", "folder",
-        F.coalesce("space_name", "folder").alias("space_name"), "description"))
+        F.coalesce("space_name", "folder").alias("space_name"), "description")), "spaces")
     owner = spaces.select("page_id", "space_key")
-    links = (dom.link_paths(tokens).join(owner, "page_id")
-             .select("space_key", "pos", "title", "path", "href", F.col("link_page_id").alias("page_id"),
-                     "hierarchy_level"))
+    links = stage(dom.link_paths(tokens).join(owner, "page_id")
+                  .select("space_key", "pos", "title", "path", "href", F.col("link_page_id").alias("page_id"),
+                          "hierarchy_level"), "links")
     nodes = tree.build_tree(links, staged=True)
     items = tree.convert_items(nodes, page_files.join(owner, "page_id").select("space_key", "href"))
     headers = tree.space_documents(spaces.drop("page_id"), tree.structure_stats(links, nodes), nodes)
