@@ -14,7 +14,10 @@ from pagewright.streaming.resume import current_pages, resume_stream
 @query("scan_pages", "SELECT md5(html) AS md5, CAST(length(html) AS INTEGER) AS chars FROM pages")
 def _(fx):
     folder = scratch_path(fx.spark, "export")
-    fx.table("pages").select("html").write.option("maxRecordsPerFile", 1).text(folder)
+    # files are made, and put in place, by all tasks and not by the few that the table has or by the driver
+    tasks = 2 * fx.spark.sparkContext.defaultParallelism
+    fx.table("pages").select("html").repartition(tasks).write.option("maxRecordsPerFile", 1).option(
+        "mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
     html = F.regexp_replace("html", r"\n\z", "")  # the text sink ends each file with a line feed
     return files.scan_pages(fx.spark, folder, "*.txt").select(F.md5(html).alias("md5"), F.length(html).alias("chars"))
 
