@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import fixed, markup
 from pagewright.functions.markdown import clean_markdown
 from pagewright.functions.text import col, let, page_id_from_href, strip, without_title_prefix
+from pagewright.session import small_partitions
 
 
 def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = False) -> DataFrame:
@@ -20,10 +21,11 @@ def html_tokens(pages: DataFrame, attributes: bool = True, keep_empty: bool = Fa
     Attribute values and text are decoded here, once for all that follows.
 
     The number of tasks follows the pages: AQE joins small partitions up to its advisory size,
-    which ``session.RECOMMENDED`` sets low, since the tokens of a page need several times the
-    room of its source. A fixed number of tasks would spill more with every page.
+    which ``session.small_partitions`` sets low for this job, since the tokens of a page need many
+    times the room of its source. A fixed number of tasks would spill more with every page.
     ``keep_empty`` leaves one row of nulls for pages without any token.
     """
+    small_partitions(pages.sparkSession)
     explode = F.posexplode_outer if keep_empty else F.posexplode
     exploded = (pages.select("page_id", "html").repartition("page_id")
                 .select("page_id", explode(markup.split_tokens("html")).alias("pos", "token"))

@@ -25,6 +25,13 @@ RECOMMENDED = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# For page jobs: while the tokens of a page are sorted, they take some hundred times the room of
+# its shuffled source (measured: 117 KB for 0.4 KB), so that 16 MB of pages would be spilled.
+PAGE_JOBS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2400",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the recommended runtime settings to a session."""
@@ -33,6 +40,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_partitions(spark: SparkSession) -> None:
+    """Apply ``PAGE_JOBS`` until the next ``configure``: tasks of pages whose tokens fit into memory."""
+    for key, value in PAGE_JOBS.items():
+        spark.conf.set(key, value)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared folder named by ``spark.checkpoint.dir``.
 

@@ -1,4 +1,6 @@
 """Tasks and batches that follow the data."""
+from pyspark.sql import functions as F
+
 from pagewright.operators import dom
 from pagewright.session import configure
 
@@ -10,6 +12,16 @@ def test_pages_are_not_dealt_to_a_fixed_number_of_tasks(spark, capsys):
     assert "REPARTITION_BY_COL" in plan and "REPARTITION_BY_NUM" not in plan
 
 
+def test_tasks_of_pages_have_little_source_each(spark):
+    configure(spark)
+    noise = F.expr("array_join(transform(sequence(1, 600), i -> sha2(cast(id * 1000 + i as string), 512)), ' ')")
+    pages = spark.range(600).select(F.col("id").alias("page_id"), F.concat(F.lit("<p>"), noise).alias("html"))  # 46 MB
+    tokens = dom.html_tokens(pages)
+    assert tokens.select(F.spark_partition_id()).distinct().count() > 16
+    configure(spark)
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+
+
 def test_pages_reach_python_in_small_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     configure(spark)
