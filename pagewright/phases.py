@@ -90,8 +90,8 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     ``outcomes`` (space_key, path, page_uuid) are documents created in this run. ``files``
     (page_id, path, size) exist on disk, ``details`` are outcomes of attachments and
     ``contents`` (page_id, content) the texts. A listed file that does not exist gives no
-    request (``attachments.missing_files`` has it) and is not waited for. Items and plan are
-    written once, as several passes read them. Repeated rows of
+    request (``attachments.missing_files`` has it) and is not waited for. Items, plan, ``listed``,
+    ``files`` and ``details`` are written once, as several passes read them. Repeated rows of
     ``listed`` and ``files`` count once. Attachments meet their document by page id, one row
     each; only the text of a second update is put together, since the request holds it whole.
     """
@@ -108,7 +108,8 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     held = stage(held, "items")
     homes = spaces.where("collection_id IS NOT NULL")
     opened = held.join(homes.select("space_key"), "space_key", "left_semi")
-    listed = listed.select("page_id", "path").distinct()
+    listed = stage(listed.select("page_id", "path").distinct(), "listed")
+    details = stage(details.select("page_id", "path", "ord", "attachment_id", "api_url", "name", "content_type", "uploaded"), "details")
     plan = stage(upload_plan(opened, known, homes, listed, force), "plan")
     where = ["space_key", "path", "wave"]
     out = ["space_key", "path", "wave", "step", "kind", "key", "request"]
@@ -124,7 +125,7 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     there = plan.where(F.col("action").isin("skip", "update") & F.col("exists_remotely"))
     owner = there.select(*where, F.col("page_id"), F.col("page_uuid").alias("document_id"))
 
-    found = attachments.inventory(files.select("page_id", "path", "size").dropDuplicates(["page_id", "path"]))
+    found = stage(attachments.inventory(files.select("page_id", "path", "size").dropDuplicates(["page_id", "path"])), "files")
     sent_before = details.where("uploaded").select("page_id", "path")
     open_files = listed.join(found, ["page_id", "path"]).join(sent_before, ["page_id", "path"], "left_anti")
     records = (open_files.withColumnRenamed("path", "key").join(owner, "page_id")

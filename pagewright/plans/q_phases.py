@@ -93,6 +93,7 @@ UP = "CASE WHEN x.fresh THEN 'new-' || x.pos ELSE x.page_uuid END"
 def _(fx):
     spaces = fx.spaces.withColumn("collection_id", F.when(F.col("collection_id") != "col-4", F.col("collection_id")))
     items = stage(fx.items, "items")
+    fx.attachments = stage(fx.attachments, "attachments")  # listed, files and details come from it
     new = sync.sync_action(items, fx.documents, fx.spaces).where("action = 'create' AND pos % 2 = 0").select(
         "space_key", "path", F.concat(F.lit("new-"), "pos").alias("page_uuid"))
     got = phases.upload_requests(items, fx.documents, spaces, fx.listed, fx.attachments, fx.details,

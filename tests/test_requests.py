@@ -50,6 +50,13 @@ def test_documents_of_earlier_runs_get_no_second_update(spark):
     assert [k[1] for k, _ in got] == ["document"]
 
 
+def test_tables_of_attachments_are_worked_out_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(phases, "stage", lambda df, name, real=phases.stage: written.append(name) or real(df, name))
+    got = run(spark, [("a.png", True)], [("p", "p-id")])
+    assert sorted(written) == ["details", "files", "items", "listed", "plan"] and len(got) == 1
+
+
 def test_a_page_is_converted_once(spark):
     items = spark.createDataFrame([("s", "t", "x.html"), ("s", "u", "y.html"), ("s", "v", None)], "space_key string, title string, html_page string")
     pages = spark.createDataFrame([("s", "x.html", "<html><body><div id='main-content'><p>Hi</p></div></body></html>"),
