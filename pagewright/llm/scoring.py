@@ -22,6 +22,8 @@ WIDTH = 16               # branches of a class: classes or words
 LEAST_FEATURES = 1 << 12  # rows of the hashed weight table at least; else one for so many distinct words ...
 ROW_WORDS = 4
 ROW_TOKENS = 128         # ... or tokens
+MOST_FEATURES = 1 << 20  # rows at most, 67 MB: the driver and every worker hold them
+MOST_BUCKETS = 1 << 18   # leaves at most for the words outside the table
 PART_TOKENS = 20_000_000  # tokens that one partition steps along, about
 HASHED = 3               # features of a token: previous word, the one before (skip), both
 ROUNDS = 2               # rounds of updates; each trains on its own share of the documents
@@ -91,7 +93,8 @@ class Model:
         self.ids = {w: i for i, w in enumerate(words)}
         self.parent, self.branch, self.bias = tree(np.concatenate([np.array(counts, float) + 0.5, buckets]))
         self.leaves = len(words) + len(buckets)
-        self.rows = 1 << (max(LEAST_FEATURES, distinct // ROW_WORDS, total // ROW_TOKENS) - 1).bit_length()
+        rows = max(LEAST_FEATURES, distinct // ROW_WORDS, total // ROW_TOKENS)
+        self.rows = min(1 << (rows - 1).bit_length(), MOST_FEATURES)
         self.weight = np.zeros((self.rows, WIDTH), np.float32)
 
     @cached_property
@@ -327,8 +330,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     of a tree of classes with 16 branches each; the branch taken in every class on the way to a
     token follows a softmax over hashed features: the previous word, the one before it, and
     both. Words that do not travel to workers are dealt by hash to at least as many buckets as
-    there are of them, each a leaf; those that meet in one share it by smoothed counts, an unseen
-    word having half a count. Rows of the weight table grow with words and tokens. All training
+    there are of them, ``MOST_BUCKETS`` at most, each a leaf; those that meet in one share it by
+    smoothed counts, an unseen word having half a count. Rows of the weight table grow with words
+    and tokens up to ``MOST_FEATURES``, so that the model's memory is bounded. All training
     documents are counted and trained on, all documents scored.
 
     Counts of at most ``FREQUENT`` words, all of a count that few enough words reach, travel to
@@ -356,8 +360,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     top["word"] = top["word"].map(bytes)
     top = top.sort_values(["c", "word"], ascending=[False, True])
     outside = counts.where((F.octet_length("word") > LONGEST) | (step < least))
-    buckets = np.full(1 << max(distinct - len(top) - 1, 0).bit_length(), 0.5)
-    # a row for each bucket, so about one for each word outside the table
+    buckets = np.full(min(1 << max(distinct - len(top) - 1, 0).bit_length(), MOST_BUCKETS), 0.5)
+    # a row for each bucket
     other = outside.groupBy(F.pmod(F.crc32("word"), F.lit(len(buckets))).alias("b")).agg(F.sum(F.col("c") + 0.5).alias("m")).toPandas()
     buckets[other["b"].to_numpy(np.int64)] += other["m"].to_numpy(float)
     model = Model(top["word"].tolist(), top["c"].tolist(), total, distinct, buckets)

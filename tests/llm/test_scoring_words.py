@@ -31,3 +31,18 @@ def test_probabilities_of_all_leaves_sum_to_one(spark):
 def test_rows_follow_words_and_tokens():
     rows = lambda total, distinct: scoring.Model([b"a"], [1], total, distinct, np.ones(1)).rows
     assert rows(10, 2) == scoring.LEAST_FEATURES < rows(10, 1_000_000) < rows(100_000_000, 1_000_000)
+
+
+def test_the_model_is_bounded_and_words_of_one_bucket_share_it_by_counts(spark, monkeypatch):
+    assert scoring.Model([b"a"], [1], 10 ** 11, 10 ** 9, np.ones(1)).weight.nbytes < 70e6
+    monkeypatch.setattr(scoring, "MOST_BUCKETS", 4)
+    monkeypatch.setattr(scoring, "LONGEST", 3)  # longer words have no leaf of their own
+    sizes = []
+    monkeypatch.setattr(scoring, "train", lambda model, docs: sizes.append(len(model.buckets)) or model)  # unigrams, as counted
+    rnd = random.Random(3)
+    rows = [(i, " ".join(rnd.choice(["the", "of", *[f"longer{n}" for n in range(40)]]) for _ in range(30))) for i in range(60)]
+    got = scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sizes == [4] and len(got) == 60
+    # half a count for one unseen word in each bucket, not one for all
+    near = lambda a, b: abs(a - b) < 0.02 * abs(b)
+    assert all(r.n_known == r.n_tokens and near(r.score, r.base_score) for r in got)
