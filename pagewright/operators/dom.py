@@ -250,9 +250,10 @@ def rule_hit(rule: dict) -> Column:
 def _any_rule(tokens: DataFrame, rules: list[dict]) -> tuple[DataFrame, Column]:
     """Tokens with helper columns, and the condition that any rule hits.
 
-    A rule of scope "first" names one tag, so its first hit is found next to the tag depths.
+    A rule of scope "first" names one tag, so its first hit is found next to the tag depths, in
+    the same order: up to a token, the first hit is at the token itself only if none came before.
     """
-    firsts = {f"_first{i}": F.min(F.when(rule_hit(r), F.col("pos"))).over(_page("name"))
+    firsts = {f"_first{i}": F.min(F.when(rule_hit(r), F.col("pos"))).over(_in_order("name"))
               for i, r in enumerate(rules) if r.get("first")}
     hit = F.lit(False)
     for i, r in enumerate(rules):
@@ -366,7 +367,7 @@ def rewrite_attachment_urls(tokens: DataFrame) -> DataFrame:
 
 def drop_empty_blocks(matched: DataFrame, blank: bool = False) -> DataFrame:
     """Remove ``p`` and ``div`` elements without visible text."""
-    has_text = (F.col("kind") == "text") & (strip(F.col("text")) != "")
+    has_text = (F.col("kind") == "text") & F.rlike("text", F.lit(r"(?U)\S"))
     upto = F.sum(F.coalesce(has_text, F.lit(False)).cast("int")).over(_in_order())
     counted = matched.withColumn("_upto", upto).withColumn(
         "_end_upto", F.lead("_upto").over(_in_order("name", "depth")))
@@ -564,7 +565,7 @@ def markdown_pieces(matched: DataFrame, templates: bool = True,
                .when((name == "tr") & (F.col("_row") == 1), rule_row)
                .when(shown, literals(1)))
     piece = (F.when(kind == "text", F.when(F.col("_pre") > 0, F.translate(text, " \n", INDENT + LINE))
-                    .otherwise(F.regexp_replace(text, r"(?U)\s+", " ")))
+                    .otherwise(F.regexp_replace(text, r"(?U)[^\S ]\s*| \s+", " ")))
              .when(name == "br", "  \n").when(name == "hr", "\n\n* * *\n\n").when(name == "img", image)
              .when(is_open, opening).when(is_close, closing))
     return (rows.withColumn("piece", F.when(F.col("_head") == 0, piece))

@@ -30,11 +30,17 @@ RECOMMENDED = {
 PAGE_JOBS = {
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2400",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    # the JVM compiles no method of more bytecode than this: a larger one would be interpreted for each token
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # tokens arrive sorted by page: pages are aggregated as they come, not hashed and sorted once more
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the recommended runtime settings to a session."""
+    """Apply the recommended runtime settings to a session; those of page jobs end."""
+    for key in PAGE_JOBS.keys() - RECOMMENDED.keys():
+        spark.conf.unset(key)
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
     return spark
