@@ -52,7 +52,8 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, cycle: tuple[int,
     slim = stage(docs.select(F.col(source).alias("s"), draw(doc_id, text, seed).alias("h"),
                              word_count(text).alias("size")), "mix")
     slim = slim.withColumn("b", F.substring("h", 1, BUCKET_DIGITS))
-    buckets = slim.groupBy("s", "b").agg(F.sum("size").alias("n"))
+    # written once: sizes, levels, edges and whole buckets read it, and their plans stay small
+    buckets = stage(slim.groupBy("s", "b").agg(F.sum("size").alias("n")), "mix-buckets")
     sizes = buckets.groupBy("s").agg(F.sum("n").alias("source_size"))
     ranked = number_rows(sizes, [], [F.col("s").asc_nulls_last()], "rank")
     place = F.pmod(F.col("rank") - 1, F.lit(len(cycle))).cast("int")
@@ -66,8 +67,8 @@ def plan(docs: DataFrame, doc_id: str, text: str, source: str, cycle: tuple[int,
 
     # the bucket of the draw in which the rest runs out, then the place inside it
     until = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    level = same_keys(buckets.withColumn("upto", F.sum("n").over(until)),
-                      filled.select("s", "rest"), ["s"])
+    level = stage(same_keys(buckets.withColumn("upto", F.sum("n").over(until)),
+                            filled.select("s", "rest"), ["s"]), "mix-levels")
     edge = (level.where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") < F.col("rest")))
             .withColumn("before", F.col("upto") - F.col("n")).select("s", "b", "before", "rest"))
     inside = (same_keys(slim, edge, ["s", "b"]).groupBy("s", "h", "before", "rest")

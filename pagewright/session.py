@@ -69,11 +69,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared folder and read it back.
 
     For results that several later passes read: it cuts the lineage, survives lost executors
-    and keeps column pruning, unlike a checkpoint of rows. This runs a job when called.
+    and keeps column pruning, unlike a checkpoint of rows. This runs a job when called; its
+    schema is known, so no second job reads it from the files.
     """
     folder = scratch_path(df.sparkSession, name)
     df.write.parquet(folder)
-    table = df.sparkSession.read.parquet(folder)
+    table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table._folder = folder
     return table
 
