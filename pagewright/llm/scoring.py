@@ -5,7 +5,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,6 +30,8 @@ ROUNDS = 2               # rounds of updates; each trains on its own share of th
 RATE = 0.15
 BATCH = 1 << 15          # tokens of one update
 FLUSH = 300_000          # words that a worker counts before it hands them on
+NEAR = 1 << 12           # rows that numpy works on at once: a few such arrays stay in the cache
+ONES = np.ones(WIDTH, np.float32)
 BLOCK = 256              # rows of the weight table in one row of an update
 
 
@@ -81,6 +83,11 @@ def _put(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     table.view(whole).ravel()[at] = rows.view(whole).ravel()
 
 
+def _take(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    whole = np.dtype((np.void, table.itemsize * table.shape[1]))
+    return table.view(whole).ravel().take(at).view(table.dtype).reshape(-1, table.shape[1])
+
+
 class Model:
     """Biases start at the logarithms of the counts, weights at 0: a unigram model at first.
 
@@ -97,11 +104,6 @@ class Model:
         self.rows = min(1 << (rows - 1).bit_length(), MOST_FEATURES)
         self.weight = np.zeros((self.rows, WIDTH), np.float32)
 
-    @cached_property
-    def slot(self) -> np.ndarray:
-        """Room for the numbers of the rows that one update touches."""
-        return np.zeros(self.rows, np.int32)
-
     def __getstate__(self) -> dict:
         """What travels to workers and lies on each of their disks: arrays packed, of the weights only
         rows that moved, and counts of buckets as whole numbers of halves."""
@@ -111,7 +113,7 @@ class Model:
         packed = {"parent": self.parent, "branch": self.branch, "bias": self.bias, "at": at.astype(np.int32),
                   "buckets": (2 * self.buckets).astype(np.int64) if (2 * self.buckets % 1 == 0).all() else self.buckets,
                   "moved": half if exact else self.weight[at]}
-        rest = {k: v for k, v in self.__dict__.items() if k not in (*packed, "weight", "slot")}
+        rest = {k: v for k, v in self.__dict__.items() if k not in (*packed, "weight")}
         return rest | {"packed": {k: (zlib.compress(v.tobytes(), 1), v.dtype.str, v.shape) for k, v in packed.items()}}
 
     def __setstate__(self, state: dict) -> None:
@@ -146,9 +148,9 @@ class Model:
                           (one * np.uint64(0x9E3779B97F4A7C15) ^ two * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)], 1)
         return ids[at], mixed ^ (mixed >> np.uint64(29))
 
-    def forward(self, ids: np.ndarray, x: np.ndarray):
-        """For every class on the way from the root to each token: the token, the branch taken,
-        rows of the weight table, probabilities of the branches."""
+    def path(self, ids: np.ndarray, x: np.ndarray):
+        """For every class on the way from the root to each token: the token, the class, the branch
+        taken, rows of the weight table."""
         tokens, nodes, branches = [], [], []
         token, node = np.arange(len(ids)), ids
         while len(token):
@@ -160,47 +162,86 @@ class Model:
             branches.append(taken)
             node = up.astype(np.int64) + self.leaves
         token, node, taken = np.concatenate(tokens), np.concatenate(nodes), np.concatenate(branches)
-        mixed = (x[token] + node.astype(np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0xFF51AFD7ED558CCD)
-        rows = (mixed >> np.uint64(64 - self.rows.bit_length() + 1)).astype(np.int64)
-        p = self.bias.take(node, 0)
+        mixed = x[token]
+        mixed += node.astype(np.uint64)[:, None] * np.uint64(0xD6E8FEB86659FD93)
+        mixed *= np.uint64(0xFF51AFD7ED558CCD)
+        mixed >>= np.uint64(64 - self.rows.bit_length() + 1)
+        return token, node, taken, mixed.view(np.int64)
+
+    def odds(self, node: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Odds of the branches of some classes, and their sums."""
+        odds = self.bias.take(node, 0)
         for j in range(HASHED):
-            p += self.weight.take(rows[:, j], 0)
-        p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
+            odds += self.weight.take(rows[:, j], 0)
+        with np.errstate(over="ignore"):
+            found = np.exp(odds)
+            sums = found @ ONES
+        if not (sums.min(initial=1) > 1e-30 and sums.max(initial=1) < 1e30):  # near the ends of what floats hold
+            odds -= odds.max(axis=1, keepdims=True)
+            found = np.exp(odds)
+            sums = found @ ONES
+        return found, sums
+
+    def forward(self, ids: np.ndarray, x: np.ndarray):
+        """As ``path``, with probabilities of the branches in place of the class."""
+        token, node, taken, rows = self.path(ids, x)
+        p = np.empty((len(node), WIDTH), np.float32)
+        for i in range(0, len(node), NEAR):
+            odds, sums = self.odds(node[i:i + NEAR], rows[i:i + NEAR])
+            np.divide(odds, sums[:, None], out=p[i:i + NEAR])
         return token, taken, rows, p
 
     def log10(self, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
         """log10 P(leaf | context) of each token."""
-        token, taken, _, p = self.forward(ids, x)
-        return np.bincount(token, np.log10(np.maximum(p[np.arange(len(taken)), taken].astype(float), 1e-30)), len(ids))
+        token, node, taken, rows = self.path(ids, x)
+        p = np.empty(len(node))
+        for i in range(0, len(node), NEAR):
+            odds, sums = self.odds(node[i:i + NEAR], rows[i:i + NEAR])
+            p[i:i + NEAR] = odds[np.arange(len(sums)), taken[i:i + NEAR]] / sums
+        return np.bincount(token, np.log10(np.maximum(p, 1e-30)), len(ids))
 
     def update(self, ids: np.ndarray, x: np.ndarray, past: np.ndarray, touched: np.ndarray) -> None:
         """One step along the gradient of the log likelihood, scaled by past gradients, in the
         rows that the tokens touch."""
         _, taken, rows, p = self.forward(ids, x)
         p[np.arange(len(taken)), taken] -= 1
-        # number the distinct rows without a sort: of equal ones the place written last is kept
-        flat = rows.ravel()
-        place = np.arange(len(flat), dtype=np.int32)
-        self.slot[flat] = place
-        at = flat[self.slot[flat] == place]
-        self.slot[at] = place[:len(at)]
-        rows = np.ascontiguousarray(self.slot[rows].T).astype(np.int64)
-        step = np.empty((WIDTH, len(at)), np.float32)
-        for k, gradient in enumerate(np.ascontiguousarray(p.T).astype(float)):
-            step[k] = sum(np.bincount(of, gradient, len(at)) for of in rows)
-        step = np.ascontiguousarray(step.T)
-        seen = past.take(at, 0)
-        seen += step * step
-        _put(past, at, seen)
-        seen += 1
-        np.sqrt(seen, out=seen)
-        step *= RATE
-        step /= seen
-        np.subtract(self.weight.take(at, 0), step, out=step)
-        _put(self.weight, at, step)
-        touched[at] += np.bincount(rows.ravel(), minlength=len(at))
+        # equal rows side by side, each with the place of its gradient
+        bits = rows.size.bit_length()
+        key = np.sort(rows.ravel() << bits | np.arange(rows.size))
+        row, place = key >> bits, (key & ((1 << bits) - 1)) // HASHED
+        start = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        at, n = row[start], np.diff(np.append(start, len(row)))
+        touched[at] += n
+        # most rows have one gradient; those of others are added in pairs until there is one
+        while len(at):
+            one = n == 1
+            self.move(at[one], p, start[one] if place is None else place[start[one]], past)
+            at, start, n = at[~one], start[~one], n[~one]
+            half = (n + 1) // 2
+            end = np.cumsum(half)
+            left = np.repeat(start - 2 * (end - half), half) + 2 * np.arange(end[-1] if len(end) else 0)
+            lone = (end - 1)[n % 2 == 1]
+            right = left + 1
+            right[lone] = left[lone]
+            if place is not None:
+                left, right = place[left], place[right]
+            added = _take(p, right)
+            added[lone] = 0
+            added += _take(p, left)
+            p, place, start, n = added, None, end - half, half
+
+    def move(self, at: np.ndarray, gradients: np.ndarray, place: np.ndarray, past: np.ndarray) -> None:
+        """The step of distinct rows, a few at a time: what is worked on stays near the processor."""
+        for i in range(0, len(at), NEAR):
+            here = at[i:i + NEAR]
+            step, seen = _take(gradients, place[i:i + NEAR]), _take(past, here)
+            seen += step * step
+            _put(past, here, seen)
+            seen += 1
+            np.sqrt(seen, out=seen)
+            step *= RATE
+            step /= seen
+            _put(self.weight, here, np.subtract(_take(self.weight, here), step, out=step))
 
 
 def _train(shared: Broadcast):
@@ -291,24 +332,23 @@ def _score(shared: Broadcast):
         z = math.log10(model.total + 0.5 * (model.distinct + 1))
         bucket_logs = np.log10(model.buckets)
         row = TaskContext.get().partitionId() << 36
-        logs = {w: math.log10(c + 0.5) for w, c in model.counts.items()}
+        logs = np.array([math.log10(c + 0.5) for c in model.counts.values()])
         for batch in batches:
             found = [tokens(text) for text in batch["text"]]
             ids, x = model.encode(found)
-            owner = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            sizes = np.array([len(f) for f in found])
+            owner = np.repeat(np.arange(len(found)), sizes)
             score = np.zeros(len(found))
             for i in range(0, len(ids), BATCH):
                 part = slice(i, i + BATCH)
                 score += np.bincount(owner[part], model.log10(ids[part], x[part]), len(found))
-            base, known, rest = np.zeros(len(found)), [], []
-            for i, words in enumerate(found):
-                rare = [w for w in words if w not in logs]
-                held = [logs[w] for w in words if w in logs]
-                known.append(len(held))
-                base[i] = math.fsum(held) - len(words) * z
-                rest += [(row + i, w, n) for w, n in Counter(rare).items()]
-            sizes = np.array([len(f) for f in found])
-            outside = ids >= len(model.ids)  # in a bucket, by counts: the rest is added by the join
+            inside = ids < len(model.ids)
+            known = np.bincount(owner[inside], minlength=len(found))
+            held, ends = logs[ids[inside]].tolist(), np.cumsum(known).tolist()
+            base = [math.fsum(held[end - n:end]) - size * z for n, end, size in zip(known.tolist(), ends, sizes.tolist())]
+            words, rare = list(chain.from_iterable(found)), np.flatnonzero(~inside).tolist()
+            rest = [(row + i, w, n) for (i, w), n in Counter(zip(owner[~inside].tolist(), [words[j] for j in rare])).items()]
+            outside = ~inside  # in a bucket, by counts: the rest is added by the join
             halves = np.bincount(owner[outside], bucket_logs[ids[outside] - len(model.ids)], len(found))
             yield pd.DataFrame({"row": row + np.arange(len(found)), "doc_id": batch["doc_id"].astype("Int64"),
                                 "held_out": batch["held_out"], "n_tokens": sizes, "n_known": known, "base": base,

@@ -54,3 +54,17 @@ def test_a_task_leaves_the_shared_weights_alone():
     ids, x = twin.encode([[b"a", b"b"]])
     twin.update(ids, x, np.zeros_like(twin.weight), np.zeros(twin.rows, np.float32))
     assert twin.weight.any() and not model.weight.any()
+
+
+def test_far_weights_give_probabilities_and_one_row_adds_up_over_many_tokens():
+    model = scoring.Model([b"w%d" % i for i in range(300)], [9] * 300, 2700, 310, np.ones(8))
+    ids, x = model.encode([[b"w1", b"w2"] * 3000])
+    past, touched = np.zeros_like(model.weight), np.zeros(model.rows, np.float32)
+    model.update(ids, x, past, touched)
+    assert touched.max() >= 2999 and touched.sum() == scoring.HASHED * len(model.path(ids, x)[0])
+    for far in (200, -200):  # beyond what a float's exponential holds
+        model.weight[:] = far
+        model.weight[:, 3] += 5
+        p = model.forward(ids, x)[3]
+        assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1, atol=1e-4)
+        assert np.isfinite(model.log10(ids, x)).all()
