@@ -39,7 +39,8 @@ def water_fill(sources: DataFrame, budget: int, max_epochs: int) -> DataFrame:
             break
         clamped = row["n"]
         over = cap * weight < F.lit(free).cast("decimal(38,0)") * F.col("weight")
-    share = F.lit(free) * F.col("weight") / F.lit(max(weight, 1))
+    # words of a large table times a weight exceed an int, which a literal below 2^31 would be
+    share = F.lit(free).cast("long") * F.col("weight") / F.lit(max(weight, 1))
     return sources.withColumn(
         "target", F.when(over, F.col("source_size") * F.lit(max_epochs)).otherwise(share).cast("double"))
 
