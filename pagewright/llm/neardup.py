@@ -4,6 +4,7 @@ from __future__ import annotations
 import io
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -24,8 +25,10 @@ BEAM = 32                # width at first; doubled until the audit passes
 UPPER, STARTS = 24, 8    # beam on upper levels, and what of it enters the next one
 CHUNK = 512              # queries searched side by side
 EXPAND = 4               # beam members expanded in one step
+SCANNED = 1 << 14        # nodes of an upper level that are compared whole; larger levels are searched by beams
 AUDITED = 1024           # nodes, drawn from all blocks, that audit every shard
 COPIED = 512             # near copies of its own nodes that audit a shard as well
+SPARSE = 8               # shuffle partitions for each group of vectors, so that few groups share one
 FEW = 8                  # links of a query; those of more are audited apart
 RECALL = 0.99            # least share of its links that an audited query must find, on average
 
@@ -37,57 +40,79 @@ class Graph:
         self.x, self.sizes, self.links = vectors, sizes, links
 
     def sims(self, queries: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        found = np.einsum("qd,qkd->qk", queries, self.x[np.maximum(ids, 0)])
-        found[ids < 0] = -2
+        """Similarities of each query with its nodes (q, k); only nodes that are there are fetched."""
+        there = ids >= 0
+        found = np.full(ids.shape, -2, np.float32)
+        found[there] = np.einsum("kd,kd->k", np.repeat(queries, there.sum(axis=1), axis=0), self.x.take(ids[there], axis=0))
         return found
 
     def beam(self, queries: np.ndarray, level: int, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The best ``width`` nodes that a beam search from ``start`` (q, s) reaches, best first."""
         q, links = len(queries), self.links[level]
-        rows = np.arange(q)[:, None]
+        best_ids, best_sims = np.full((q, width), -1, np.int64), np.full((q, width), -2, np.float32)
+        rows = np.arange(q)  # queries with nodes to expand; the others leave the arrays
         ids, sims = start.copy(), self.sims(queries, start)
         seen = np.zeros((q, self.sizes[level] + 1), bool)  # the last column stands for no node
-        seen[rows, ids] = True
+        seen[rows[:, None], ids] = True
         seen[:, -1] = True
         done = np.zeros(ids.shape, bool)
         while True:
             open_sims = np.where(done, -3, sims)
             k = min(EXPAND, ids.shape[1])
-            pick = np.argpartition(-open_sims, k - 1, axis=1)[:, :k]
+            pick = np.argpartition(-open_sims, k - 1, axis=1)[:, :k] if k < ids.shape[1] else np.tile(np.arange(k), (len(rows), 1))
             live = np.take_along_axis(open_sims, pick, 1) > -2
-            if not live.any():
-                break
+            busy = live.any(axis=1)
+            if not busy.all():
+                over = ~busy
+                best_ids[rows[over], :ids.shape[1]], best_sims[rows[over], :ids.shape[1]] = ids[over], sims[over]
+                rows, ids, sims, done, pick, live = (a[busy] for a in (rows, ids, sims, done, pick, live))
+                if not len(rows):
+                    break
             np.put_along_axis(done, pick, True, 1)
             near = np.where(live, np.take_along_axis(ids, pick, 1), -1)
-            new = np.where((near >= 0)[:, :, None], links[np.maximum(near, 0)], -1).reshape(q, -1)
+            new = np.where((near >= 0)[:, :, None], links[np.maximum(near, 0)], -1).reshape(len(rows), -1)
             new = np.sort(new, axis=1)
             new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
-            new[seen[rows, new]] = -1
-            seen[rows, new] = True
+            new[seen[rows[:, None], new]] = -1
+            new = np.sort(new, axis=1)[:, new.shape[1] - (new >= 0).sum(axis=1).max():]
+            seen[rows[:, None], new] = True
             ids = np.concatenate([ids, new], 1)
-            sims = np.concatenate([sims, self.sims(queries, new)], 1)
+            sims = np.concatenate([sims, self.sims(queries[rows], new)], 1)
             done = np.concatenate([done, new < 0], 1)
             if ids.shape[1] > width:
                 best = np.argpartition(-sims, width - 1, axis=1)[:, :width]
                 ids, sims, done = (np.take_along_axis(a, best, 1) for a in (ids, sims, done))
-        order = np.argsort(-sims, axis=1)
-        return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
+        order = np.argsort(-best_sims, axis=1)
+        return np.take_along_axis(best_ids, order, 1), np.take_along_axis(best_sims, order, 1)
 
     def descend(self, queries: np.ndarray, level: int) -> np.ndarray:
-        """Near nodes of the level above for each query, found from the top."""
+        """Near nodes of the level above for each query: the nearest of the lowest level that can be
+        compared whole, and from there by beams."""
         start = np.zeros((len(queries), 1), np.int64)
         for above in range(len(self.links) - 1, level, -1):
-            start = self.beam(queries, above, start, UPPER)[0][:, :STARTS]
+            if above - 1 > level and self.sizes[above - 1] <= SCANNED:
+                continue
+            n = self.sizes[above]
+            if STARTS < n <= SCANNED:
+                start = np.argpartition(queries @ -self.x[:n].T, STARTS - 1, axis=1)[:, :STARTS]
+            else:
+                start = self.beam(queries, above, start, UPPER)[0][:, :STARTS]
         return start
 
     def select(self, queries: np.ndarray, ids: np.ndarray, sims: np.ndarray, degree: int) -> np.ndarray:
         """Links: first candidates nearer to the query than to any link taken, then the nearest."""
-        x = self.x[np.maximum(ids, 0)]
-        mutual = np.einsum("qid,qjd->qij", x, x)
-        valid, kept = ids >= 0, np.zeros(ids.shape, bool)
-        for j in range(ids.shape[1]):
-            nearer = np.where(kept, mutual[:, j], -2).max(axis=1) < sims[:, j]
-            kept[:, j] = valid[:, j] & nearer & (kept.sum(axis=1) < degree)
+        valid = ids >= 0
+        wide = int(valid.sum(axis=1).max()) if (np.diff(valid.astype(np.int8), axis=1) <= 0).all() else ids.shape[1]
+        ids, sims, valid = ids[:, :wide], sims[:, :wide], valid[:, :wide]
+        x = self.x.take(np.maximum(ids, 0), axis=0)
+        mutual = x @ x.swapaxes(1, 2)
+        kept, n = np.zeros(ids.shape, bool), np.zeros(len(ids), int)
+        taken = np.full(ids.shape, -2, np.float32)  # similarity of a candidate with the nearest link taken
+        for j in range(wide):
+            take = valid[:, j] & (taken[:, j] < sims[:, j]) & (n < degree)
+            kept[:, j] = take
+            n += take
+            np.maximum(taken, mutual[:, j], out=taken, where=take[:, None])
         rank = np.argsort(np.where(kept, 0, np.where(valid, 1, 2)), axis=1, kind="stable")[:, :degree]
         out = np.take_along_axis(ids, rank, 1)
         return np.pad(out, ((0, 0), (0, degree - out.shape[1])), constant_values=-1)
@@ -156,11 +181,24 @@ class Graph:
         links = [data[f"l{i}"].astype(np.int64) for i in range(len(data.files))]
         return cls(vectors, [len(l) for l in links], links)
 
+    @cached_property
+    def back(self) -> tuple[np.ndarray, np.ndarray]:
+        """The lowest level's links by the node they lead to: those that lead to node i are sources
+        begin[i] to begin[i + 1]."""
+        to = self.links[0].ravel()
+        order = np.argsort(to, kind="stable")
+        order = order[np.count_nonzero(to < 0):]
+        return order // self.links[0].shape[1], np.searchsorted(to[order], np.arange(len(self.links[0]) + 1))
+
     def near(self, query: np.ndarray, start: np.ndarray, least: float) -> np.ndarray:
-        """All nodes of at least a similarity that are reached from ``start`` through such nodes."""
+        """All nodes of at least a similarity that are reached from ``start`` through such nodes, along
+        links in either direction: a node that no other one links to has links of its own."""
+        source, begin = self.back
         found = frontier = start
         while len(frontier):
-            new = np.unique(self.links[0][frontier])
+            first, n = begin[frontier], begin[frontier + 1] - begin[frontier]
+            place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            new = np.unique(np.concatenate([self.links[0][frontier].ravel(), source[place]]))
             new = np.setdiff1d(new[new >= 0], found, assume_unique=True)
             frontier = new[self.x[new] @ query >= least]
             found = np.concatenate([found, frontier])
@@ -171,6 +209,19 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
+def packed(raw: np.ndarray) -> bytes:
+    """Vectors in single precision, if it holds them exactly, or double; as bytes that ``unpacked`` reads."""
+    with np.errstate(over="ignore"):
+        small = raw.astype(np.float32)
+    out = io.BytesIO()
+    np.save(out, small if np.array_equal(small, raw) else raw)
+    return out.getvalue()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.load(io.BytesIO(data)).astype(np.float64)
+
+
 def links(graph: Graph, exact: np.ndarray, queries: np.ndarray, least: float,
           width: int | None) -> Iterator[np.ndarray]:
     """For each query the positions whose cosine with it reaches ``least``, verified in double
@@ -240,7 +291,7 @@ def _build(cell: pd.DataFrame, sample: pd.DataFrame) -> pd.DataFrame:
     width = audit(graph, exact, unit(np.array(foreign, np.float64)) if foreign else exact[:0], COSINE)
     return pd.DataFrame({"dim": cell["dim"].iloc[:1], "shard": cell["shard"].iloc[:1],
                          "width": pd.array([width], "Int32"), "graph": [graph.dump()], "nodes": [nodes.tobytes()],
-                         "raw": [raw.tobytes()], "copies": [cell["copies"].to_numpy()[order].tobytes()]})
+                         "raw": [packed(raw)], "copies": [cell["copies"].to_numpy()[order].tobytes()]})
 
 
 def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
@@ -250,7 +301,7 @@ def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"a": [], "b": [], "n": []}).astype("int64")
     row = cell.iloc[0]
     nodes, copies = np.frombuffer(row["nodes"], np.int64), np.frombuffer(row["copies"], np.int64)
-    exact = unit(np.frombuffer(row["raw"], np.float64).reshape(len(nodes), -1))
+    exact = unit(unpacked(row["raw"]))
     graph = Graph.load(row["graph"], exact.astype(np.float32))
     width = None if pd.isna(row["width"]) else int(row["width"])
     queries = unit(np.array([v for v in block["v"]], np.float64))
@@ -274,6 +325,12 @@ def _query(block: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b, "n": n}).astype("int64")
 
 
+def _grouped(df: DataFrame, key: list[str], groups: int):
+    """Rows grouped by ``key``, most groups in a task of their own: small ones take long too, and
+    a count that is asked for is not joined by AQE."""
+    return df.repartition(SPARSE * groups, *key).groupBy(*key)
+
+
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per vector: vec_id, n_links, component_id and kept (vec_id = component_id).
 
@@ -308,14 +365,14 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     # a share of the nodes by hash first, about twice as many as are drawn, so that one task never sorts more
     chance = F.pmod(F.xxhash64("place"), F.lit(max(n, 1)))
     drawn = nodes.where(chance < 2 * AUDITED).orderBy(chance, "node").limit(AUDITED).select("dim", "node", "v").withColumn("shard", every)
-    graphs = stage(placed.groupBy("dim", "shard").cogroup(drawn.groupBy("dim", "shard")).applyInPandas(
+    graphs = stage(_grouped(placed, ["dim", "shard"], shards).cogroup(_grouped(drawn, ["dim", "shard"], shards)).applyInPandas(
         _build, "dim int, shard int, width int, graph binary, nodes binary, raw binary, copies binary"), "graphs")
     queries = (nodes.withColumn("block", F.pmod(F.xxhash64("place", F.lit(1)), F.lit(blocks)).cast("int"))
                .select("dim", "block", "node", "v").withColumn("shard", every))
     spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     key = ["dim", "shard", "block"]
-    found = stage(queries.groupBy(*key).cogroup(spread.groupBy(*key)).applyInPandas(_query, "a long, b long, n long"),
-                  "found")
+    found = stage(_grouped(queries, key, shards * blocks).cogroup(_grouped(spread, key, shards * blocks)).applyInPandas(
+        _query, "a long, b long, n long"), "found")
     counts = found.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     roots = components(found.select("a", "b"))
     named = (rows.join(nodes.select("v", "node", "copies"), "v", "left").join(counts, "node", "left")
