@@ -5,13 +5,12 @@ attachments whose path occurs in the page, and sections are cut into numbered ch
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.functions import fixed, refs
 from pagewright.functions.text import basename, col, is_image, with_mime_type
-from pagewright.operators.numbering import number_rows
-from pagewright.session import stage
+from pagewright.session import stage_small
 
 CHUNK = 1000  # attachments per section chunk
 
@@ -123,25 +122,40 @@ def section_chunks(contents: DataFrame, details: DataFrame) -> DataFrame:
     each list is cut into chunks of ``CHUNK`` attachments. Concatenating in (part, chunk)
     order gives the whole section, at any number of attachments per page.
     """
-    rows = stage(usable(details).join(contents.select("page_id", "content"), "page_id").select(
+    rows = usable(details).join(contents.select("page_id", "content"), "page_id").select(
         "page_id", "ord", "name", "api_url", "image", "content_type", "attachment_id",
-        _linked().alias("linked")), "section")
+        F.coalesce(~_linked(), F.lit(False)).cast("long").alias("loose"))
+    # one shuffle to ranges of a page's attachments, one that numbers them there for both lists; texts are put together
+    # in place, and only chunks that reach over the end of a range are shuffled once more
+    ranged = stage_small(rows.repartitionByRange("page_id", "ord").withColumn("_range", F.spark_partition_id()), "section").select(
+        F.struct("page_id", "_range").alias("at"), "ord", "name", "api_url", "image", "content_type", "attachment_id", "loose")
+    page = Window.partitionBy("at.page_id")
+    before = page.orderBy("at._range").rowsBetween(Window.unboundedPreceding, -1)
+    counted = ranged.groupBy("at").agg(F.sum("loose").alias("n2"), F.count(F.lit(1)).alias("n4"))
+    shifts = counted.select("at", *[c for n in ("n2", "n4") for c in (
+        n, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before"), F.sum(n).over(page).alias(f"{n}_all"))])
+    so_far = Window.partitionBy("at").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = ranged.withColumns({"r2": F.sum("loose").over(so_far), "r4": F.count(F.lit(1)).over(so_far)}).join(shifts, "at")
     link = F.concat(F.lit("["), F.col("name"), F.lit("]("), F.col("api_url"), F.lit(")"))
     loose = (F.when(F.col("image"), F.concat(F.lit("!"), link, F.lit("\n\n")))
              .otherwise(F.concat(F.lit("- "), link, F.lit("\n"))))
     fact = F.concat(F.lit("- **Content Type:** "), F.coalesce("content_type", F.lit("")),
                     F.lit(" **Original Name:** "), F.col("name"),
                     F.lit(" **Uploaded UUID:** "), F.coalesce("attachment_id", F.lit("")), F.lit("\n"))
-    lines = rows.select("page_id", "ord", F.explode(F.array(
-        F.when(~F.col("linked"), F.struct(F.lit(2).alias("part"), loose.alias("line"))),
-        F.struct(F.lit(4).alias("part"), fact.alias("line")))).alias("l")).where("l is not null") \
-        .select("page_id", "ord", "l.part", "l.line")
-    numbered = number_rows(lines, ["page_id", "part"], ["ord"])
-    body = (numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / CHUNK).cast("long"))
-            .groupBy("page_id", "part", "chunk")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "line"))),
-                                          lambda r: r["line"]), "").alias("text")))
-    parts = rows.groupBy("page_id").agg(F.bool_or(~F.col("linked")).alias("any_loose"))
+
+    def entry(part: int, line: Column) -> Column:
+        first, last = F.col(f"n{part}_before"), F.col(f"n{part}_before") + F.col(f"n{part}")
+        rn = first + F.col(f"r{part}")
+        chunk = F.floor((rn - 1) / CHUNK).cast("long")
+        inside = (chunk * CHUNK >= first) & (F.least((chunk + 1) * CHUNK, F.col(f"n{part}_all")) <= last)
+        return F.struct(F.lit(part).alias("part"), chunk.alias("chunk"), inside.alias("inside"), rn.alias("rn"), line.alias("line"))
+
+    lines = numbered.select("at", F.explode(F.array(F.when(F.col("loose") > 0, entry(2, loose)), entry(4, fact))).alias("l")) \
+        .where("l is not null").select("at", "l.*")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "line"))), lambda r: r["line"]), "").alias("text")
+    body = (lines.where("inside").groupBy("at", "part", "chunk").agg(text).select("at.page_id", "part", "chunk", "text")
+            .unionByName(lines.where("not inside").groupBy("at.page_id", "part", "chunk").agg(text)))
+    parts = counted.groupBy("at.page_id").agg((F.sum("n2") > 0).alias("any_loose"))
     heads = parts.select("page_id", F.explode(F.array(
         F.struct(F.lit(1).alias("part"), F.concat(
             F.lit("\n\n## Original Attachments\n\n"),
@@ -158,8 +172,9 @@ def prepare_content(contents: DataFrame, listed: DataFrame, details: DataFrame)
 
     Pages that list no attachments keep their text as it is.
     """
-    counted = details.join(listed.select("page_id").distinct(), "page_id", "left_semi")
-    new = stage(replace_refs(contents, counted), "contents")
+    counted = stage_small(usable(details).join(listed.select("page_id").distinct(), "page_id", "left_semi").select(
+        "page_id", "path", "ord", "attachment_id", "api_url", "name", "content_type", "uploaded"), "usable")
+    new = stage_small(replace_refs(contents, counted), "contents")
     body = new.select("page_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("chunk"),
                       F.col("content").alias("text"))
     return body.unionByName(section_chunks(new, counted))

@@ -65,20 +65,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table once to the shared folder and read it back.
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write a table once to the shared folder and read it back; ``options`` are those of the writer.
 
     For results that several later passes read: it cuts the lineage, survives lost executors
     and keeps column pruning, unlike a checkpoint of rows. This runs a job when called; its
     schema is known, so no second job reads it from the files.
     """
     folder = scratch_path(df.sparkSession, name)
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     table = df.sparkSession.read.schema(df.schema).parquet(folder)
     table._folder = folder
     return table
 
 
+def stage_small(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` with less disk for more CPU: packed tighter, and the shuffles that made it go at once."""
+    table = stage(df, name, compression="zstd")
+    release_shuffles(df.sparkSession)
+    return table
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the files of shuffles that no plan holds any more be deleted now: Spark does so once the
+    driver has collected the plans that made them, which by itself may come after the query."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def unstage(*tables: DataFrame) -> None:
     """Delete staged tables that no result reads any more."""
     for table in tables:
