@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import fixed
 from pagewright.functions.text import default_content, space_key_or_default
 from pagewright.operators import archives, attachments, dom, sync, tree
-from pagewright.session import stage
+from pagewright.session import stage_small as stage
 from pagewright.sources import files
 
 
@@ -90,8 +90,9 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     ``outcomes`` (space_key, path, page_uuid) are documents created in this run. ``files``
     (page_id, path, size) exist on disk, ``details`` are outcomes of attachments and
     ``contents`` (page_id, content) the texts. A listed file that does not exist gives no
-    request (``attachments.missing_files`` has it) and is not waited for. Items, plan, ``listed``,
-    ``files`` and ``details`` are written once, as several passes read them. Repeated rows of
+    request (``attachments.missing_files`` has it) and is not waited for. Items, plan, ``details``,
+    listed files with what ``files`` and ``details`` tell of them, and their pages are written once, as several passes
+    read them. Repeated rows of
     ``listed`` and ``files`` count once. Attachments meet their document by page id, one row
     each; only the text of a second update is put together, since the request holds it whole.
     """
@@ -108,8 +109,13 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     held = stage(held, "items")
     homes = spaces.where("collection_id IS NOT NULL")
     opened = held.join(homes.select("space_key"), "space_key", "left_semi")
-    listed = stage(listed.select("page_id", "path").distinct(), "listed")
     details = stage(details.select("page_id", "path", "ord", "attachment_id", "api_url", "name", "content_type", "uploaded"), "details")
+    # whether each listed file exists, was uploaded and was tried: three shuffles by path, and no more for what follows
+    sizes = files.select("page_id", "path", "size").dropDuplicates(["page_id", "path"]).withColumn("there", F.lit(True))
+    state = details.groupBy("page_id", "path").agg(F.bool_or("uploaded").alias("sent"), F.lit(True).alias("tried"))
+    joined = stage(listed.select("page_id", "path").distinct().join(sizes, ["page_id", "path"], "left")
+                   .join(state, ["page_id", "path"], "left"), "files")
+    listed, found = stage(joined.select("page_id").distinct(), "listed"), joined.where("there")
     plan = stage(upload_plan(opened, known, homes, listed, force), "plan")
     where = ["space_key", "path", "wave"]
     out = ["space_key", "path", "wave", "step", "kind", "key", "request"]
@@ -125,14 +131,12 @@ def upload_requests(items: DataFrame, documents: DataFrame, spaces: DataFrame, l
     there = plan.where(F.col("action").isin("skip", "update") & F.col("exists_remotely"))
     owner = there.select(*where, F.col("page_id"), F.col("page_uuid").alias("document_id"))
 
-    found = stage(attachments.inventory(files.select("page_id", "path", "size").dropDuplicates(["page_id", "path"])), "files")
-    sent_before = details.where("uploaded").select("page_id", "path")
-    open_files = listed.join(found, ["page_id", "path"]).join(sent_before, ["page_id", "path"], "left_anti")
-    records = (open_files.withColumnRenamed("path", "key").join(owner, "page_id")
+    open_files = found.where(~F.coalesce("sent", F.lit(False))).select("page_id", "path", "size")
+    records = (attachments.inventory(open_files.join(owner.withColumnRenamed("path", "_path"), "page_id"))
+               .withColumnsRenamed({"path": "key", "_path": "path"})
                .withColumn("request", F.to_json(sync.attachment_request())))
 
-    tried = details.select("page_id", "path").distinct()
-    waiting = listed.join(found, ["page_id", "path"], "left_semi").join(tried, ["page_id", "path"], "left_anti").select("page_id")
+    waiting = found.where("tried IS NULL").select("page_id")
     ready = (there.where("_fresh AND has_attachments").join(waiting.distinct(), "page_id", "left_anti")
              .select(*where, "page_id", "page_uuid", "title", "md_content"))
     wanted = [t.join(ready.select("page_id"), "page_id", "left_semi") for t in (contents, listed, details)]

@@ -7,7 +7,7 @@ from pagewright.plans.q_attachments import MIME
 from pagewright.plans.q_dom import INDEX, MARKDOWN
 from pagewright.plans.q_sync import ACTION, NORMAL, STUBBED
 from pagewright.plans.registry import label, query
-from pagewright.session import stage
+from pagewright.session import stage_small
 
 
 @query("extract_zips", """
@@ -92,8 +92,8 @@ UP = "CASE WHEN x.fresh THEN 'new-' || x.pos ELSE x.page_uuid END"
       AND page_id IN (SELECT page_id FROM fx_att) AND page_id NOT IN (SELECT page_id FROM fx_att WHERE quantity <= 5)""")
 def _(fx):
     spaces = fx.spaces.withColumn("collection_id", F.when(F.col("collection_id") != "col-4", F.col("collection_id")))
-    items = stage(fx.items, "items")
-    fx.attachments = stage(fx.attachments, "attachments")  # listed, files and details come from it
+    items = stage_small(fx.items, "items")
+    fx.attachments = stage_small(fx.attachments, "attachments")  # listed, files and details come from it
     new = sync.sync_action(items, fx.documents, fx.spaces).where("action = 'create' AND pos % 2 = 0").select(
         "space_key", "path", F.concat(F.lit("new-"), "pos").alias("page_uuid"))
     got = phases.upload_requests(items, fx.documents, spaces, fx.listed, fx.attachments, fx.details,

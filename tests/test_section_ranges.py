@@ -1,6 +1,7 @@
-"""Attachment sections over ranges of a page's files, and what is written for them."""
+"""Attachment sections over ranges of a page's files, and what is written and joined for them."""
 from pagewright import session
 from pagewright.operators import attachments as att
+from tests import test_requests
 
 DETAIL = "page_id string, path string, ord long, attachment_id string, api_url string, name string, content_type string, uploaded boolean"
 
@@ -52,3 +53,13 @@ def test_details_are_worked_out_once_for_texts_and_sections(spark, monkeypatch):
     got = att.prepare_content(spark.createDataFrame([("a", "x"), ("b", "y")], "page_id string, content string"), files.select("page_id", "path"), files)
     assert written == ["usable", "contents", "section"]
     assert att.whole_texts(got.where("page_id = 'a'")).first().text == "x" + sections("a", "x", rows)[0]
+
+
+def test_lists_files_and_details_meet_by_path_once(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(test_requests.phases, "stage",
+                        lambda df, name, real=test_requests.phases.stage: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or real(df, name))
+    got = test_requests.run(spark, [("a.png", None), ("b.pdf", False), ("gone.txt", False)], [("p", "p-id")])
+    assert [k[1:] for k, _ in got] == [("attachment", "attachments/2/a.png"), ("attachment", "attachments/2/b.pdf"), ("update", None)]
+    joined = dict(plans)["files"]
+    assert joined.count("Join LeftOuter") == 2 and "sent" in joined and "tried" in joined
